@@ -250,3 +250,15 @@ def dim_guard(sig: DataFrame, num_perm: int) -> DataFrame:
                     .otherwise(F.raise_error(F.concat(
                         F.lit("Expecting minhash with length %d, got " % num_perm),
                         F.col("num_perm").cast("string")))).alias("num_perm"))
+
+
+def merged_pair_cardinality(pairs: DataFrame, sig: DataFrame, u: str = "u", v: str = "v",
+                            ndigits: int = 6) -> DataFrame:
+    """Cardinality estimate of the merged (pairwise min) sketch of each pair."""
+    a = sig.select(F.col("key").alias(u), "perm", F.col("v").alias("_a"))
+    b = sig.select(F.col("key").alias(v), "perm", F.col("v").alias("_b"))
+    merged = (pairs.select(u, v).join(a, u).join(b, [v, "perm"])
+              .select(u, v, F.least("_a", "_b").alias("_m")))
+    return merged.groupBy(u, v).agg(
+        F.round(F.count("*") / F.sum(F.col("_m") / F.lit(float(MAX_HASH))) - F.lit(1.0),
+                ndigits).alias("union_card"))
