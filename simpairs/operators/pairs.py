@@ -17,15 +17,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from simpairs.session import materialize
+
 MAX_BLOCK = 4096
 MAX_HOT = 10000
 
 
 def bucket_pairs(buckets: DataFrame, group_cols=("band", "bucket"), key: str = "key",
                  max_block: int = MAX_BLOCK, max_hot: int = MAX_HOT) -> DataFrame:
-    """Distinct canonical pairs ``(u, v)``, u < v, of keys sharing any bucket."""
+    """Distinct canonical pairs ``(u, v)``, u < v, of keys sharing any bucket.
+
+    The bucket rows are read three times (sizes, left, right), so they are
+    materialized once; the returned pairs are materialized as well because
+    scoring reads them several times.
+    """
     gc = list(group_cols)
-    rows = buckets.select(*gc, F.col(key).alias("_k"))
+    rows = materialize(buckets.select(*gc, F.col(key).alias("_k")))
     sizes = rows.groupBy(*gc).agg(F.count("*").alias("_n"))
     hot = (sizes.filter(F.col("_n") > F.lit(max_block))
            .orderBy(F.desc("_n")).limit(max_hot)
@@ -36,9 +43,9 @@ def bucket_pairs(buckets: DataFrame, group_cols=("band", "bucket"), key: str = "
                          F.pmod(F.xxhash64("_k"), F.col("_s")).cast("int").alias("_salt"))
     right = salted.select(*gc, F.col("_k").alias("v"),
                           F.explode(F.sequence(F.lit(0), F.col("_s") - 1)).alias("_salt"))
-    return (left.join(right, gc + ["_salt"])
-            .filter(F.col("u") < F.col("v"))
-            .select("u", "v").distinct())
+    return materialize(left.join(right, gc + ["_salt"])
+                       .filter(F.col("u") < F.col("v"))
+                       .select("u", "v").distinct())
 
 
 # ---------------------------------------------------------------- shaping
@@ -85,26 +92,35 @@ def _with_sizes(pairs: DataFrame, sizes: DataFrame, size_col: str) -> DataFrame:
     return pairs.select("u", "v").join(su, "u").join(sv, "v")
 
 
+def _products(sized_pairs: DataFrame, v: DataFrame) -> DataFrame:
+    """Σ w_u·w_v over common features for pairs carrying sizes ``_nu``/``_nv``.
+
+    ``v`` is ``(key, _f, _w)``. Each pair is expanded with the features of its
+    *smaller* side, then joined with the other side on ``(key, feature)`` – a
+    unique key, so a key with a huge vector is spread by feature.
+    """
+    small_is_u = F.col("_nu") <= F.col("_nv")
+    p = sized_pairs.select(
+        "u", "v",
+        F.when(small_is_u, F.col("u")).otherwise(F.col("v")).alias("_small"),
+        F.when(small_is_u, F.col("v")).otherwise(F.col("u")).alias("_big"))
+    small = v.select(F.col("key").alias("_small"), "_f", F.col("_w").alias("_ws"))
+    big = v.select(F.col("key").alias("_big"), "_f", F.col("_w").alias("_wb"))
+    return (p.join(small, "_small").join(big, ["_big", "_f"])
+            .groupBy("u", "v").agg(F.sum(F.col("_ws") * F.col("_wb")).alias("dot"),
+                                   F.count("*").alias("overlap")))
+
+
 def sparse_products(pairs: DataFrame, vec: DataFrame, feature: str = "element",
                     weight: str | None = None) -> DataFrame:
     """Σ over common features of w_u · w_v for each pair (only pairs that overlap).
 
     ``vec`` is ``(key, feature[, weight])`` with one row per key and feature.
-    Each pair is expanded with the features of its *smaller* side, then joined
-    with the other side on ``(key, feature)`` – a unique key, so no hot spot.
     """
     w = F.col(weight).cast("double") if weight else F.lit(1.0)
     v = vec.select(F.col("key"), F.col(feature).alias("_f"), w.alias("_w"))
     sizes = v.groupBy("key").agg(F.count("*").alias("_n"))
-    p = _with_sizes(pairs, sizes, "_n")
-    p = p.select("u", "v",
-                 F.when(F.col("_nu") <= F.col("_nv"), F.col("u")).otherwise(F.col("v")).alias("_small"),
-                 F.when(F.col("_nu") <= F.col("_nv"), F.col("v")).otherwise(F.col("u")).alias("_big"))
-    small = v.select(F.col("key").alias("_small"), "_f", F.col("_w").alias("_ws"))
-    big = v.select(F.col("key").alias("_big"), "_f", F.col("_w").alias("_wb"))
-    return (p.join(small, "_small").join(big, ["_big", "_f"])
-            .groupBy("u", "v").agg(F.sum(F.col("_ws") * F.col("_wb")).alias("dot"),
-                                   F.count("*").alias("overlap")))
+    return _products(_with_sizes(pairs, sizes, "_n"), v)
 
 
 def set_similarity(pairs: DataFrame, sets: DataFrame, element: str = "element") -> DataFrame:
@@ -113,10 +129,10 @@ def set_similarity(pairs: DataFrame, sets: DataFrame, element: str = "element")
     Returns ``(u, v, n_u, n_v, overlap, jaccard, bincos)``; pairs without a
     common element get overlap 0.
     """
-    s = sets.select("key", F.col(element).alias("_e"))
+    s = sets.select("key", F.col(element).alias("_f"), F.lit(1.0).alias("_w"))
     sizes = s.groupBy("key").agg(F.count("*").alias("_n"))
     base = _with_sizes(pairs, sizes, "_n")
-    inter = sparse_products(pairs, s, "_e").select("u", "v", "overlap")
+    inter = _products(base, s).select("u", "v", "overlap")
     out = base.join(inter, ["u", "v"], "left").withColumn("overlap", F.coalesce("overlap", F.lit(0)))
     n_u, n_v, o = F.col("_nu"), F.col("_nv"), F.col("overlap")
     return out.select(
@@ -132,9 +148,15 @@ def vector_cosine(pairs: DataFrame, vec: DataFrame, feature: str = "item",
     Zero norms give null (never NaN), so a threshold filter drops them.
     """
     v = vec.select("key", F.col(feature).alias("_f"), F.col(weight).cast("double").alias("_w"))
-    norms = v.groupBy("key").agg(F.sum(F.col("_w") * F.col("_w")).alias("_nn"))
-    base = _with_sizes(pairs, norms, "_nn")
-    dots = sparse_products(pairs, v, "_f", "_w").select("u", "v", "dot")
+    stats = v.groupBy("key").agg(F.count("*").alias("_n"),
+                                 F.sum(F.col("_w") * F.col("_w")).alias("_nn"))
+    sized = (pairs.select("u", "v")
+             .join(stats.select(F.col("key").alias("u"), F.col("_n").alias("_nu"),
+                                F.col("_nn").alias("_nnu")), "u")
+             .join(stats.select(F.col("key").alias("v"), F.col("_n").alias("_nv"),
+                                F.col("_nn").alias("_nnv")), "v"))
+    dots = _products(sized, v).select("u", "v", "dot")
+    base = sized.select("u", "v", F.col("_nnu").alias("_nu"), F.col("_nnv").alias("_nv"))
     out = base.join(dots, ["u", "v"], "left").withColumn("dot", F.coalesce("dot", F.lit(0.0)))
     denom = F.sqrt(F.col("_nu") * F.col("_nv"))
     return out.select("u", "v", F.col("dot"),

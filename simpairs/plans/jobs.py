@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from simpairs.operators import banding, elements, minhash, pairs, projection
 from simpairs.operators.tuning import check_bands, optimal_bands, validate
+from simpairs.session import materialize
 
 METHOD_THRESHOLDS = {"js": 0.5, "cs": 0.67, "dcs": 0.66}
 
@@ -38,9 +39,17 @@ def jaccard_candidates(sets: DataFrame, seed: int = 1, bands: tuple[int, int] |
 def jaccard_pairs(sets: DataFrame, threshold: float = 0.5, seed: int = 1,
                   bands: tuple[int, int] | None = (22, 5), num_perm: int = 128,
                   ndigits: int = 6) -> DataFrame:
-    """Verified pairs: LSH candidates whose exact Jaccard is ≥ ``threshold``."""
+    """Verified pairs: LSH candidates whose exact Jaccard is ≥ ``threshold``.
+
+    ``sets`` may repeat an element within a key: the sketch ignores repeats,
+    and set semantics are restored (``distinct``) only for candidate keys.
+    """
     cand = jaccard_candidates(sets, seed, bands, threshold, num_perm)
-    scored = pairs.set_similarity(cand, sets)
+    keys = (cand.select(F.col("u").alias("key"))
+            .union(cand.select(F.col("v").alias("key"))).distinct())
+    # read three times by the scorer (sizes, small side, big side)
+    cand_sets = materialize(sets.join(keys, "key", "left_semi").distinct())
+    scored = pairs.set_similarity(cand, cand_sets)
     return (scored.filter(F.col("jaccard") >= F.lit(threshold))
             .select("u", "v", F.round("jaccard", ndigits).alias("jaccard")))
 
@@ -86,7 +95,7 @@ def near_duplicate_documents(docs: DataFrame, threshold: float = 0.5, k: int = 3
                              seed: int = 1, bands: tuple[int, int] | None = (22, 5),
                              num_perm: int = 128) -> DataFrame:
     """Document pairs whose k-word-shingle sets have Jaccard ≥ ``threshold``."""
-    from simpairs.sources.tables import doc_shingles
+    from simpairs.sources.tables import doc_elements
 
-    sets = doc_shingles(docs.sparkSession, "", k, docs=docs)
+    sets = doc_elements(docs.sparkSession, "", k, docs=docs)
     return jaccard_pairs(sets, threshold, seed, bands, num_perm)

@@ -45,11 +45,11 @@ def _doc_sets(spark, base):
 
 
 def _doc_sig(spark, base):
-    return minhash.minhash_signatures(_doc_sets(spark, base), SPEC)
+    return minhash.minhash_signatures(tb.doc_elements(spark, base, SHINGLE), SPEC)
 
 
 def _doc_index(spark, base, docs=None):
-    sets = tb.doc_shingles(spark, base, SHINGLE, docs=docs)
+    sets = tb.doc_elements(spark, base, SHINGLE, docs=docs)
     return banding.band_buckets(minhash.minhash_signatures(sets, SPEC), BANDS, ROWS)
 
 

@@ -58,15 +58,25 @@ def ensure_checkpoint_dir(spark: SparkSession, local_fallback: bool = False) ->
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint when a shared dir is configured.
+    """Compute ``df`` once for several later uses, cutting its lineage.
 
-    Without a configured directory the DataFrame is returned unchanged and
-    Spark recomputes lost partitions from lineage.
+    The rows are written once as a parquet table under the checkpoint folder
+    the cluster names in ``spark.checkpoint.dir`` (local runs fall back to a
+    temp folder) and read back, so later stages scan files instead of
+    recomputing – and survive lost executors. With no folder at all the rows
+    are persisted (memory and disk) instead.
     """
+    import uuid
+
+    from pyspark import StorageLevel
+
     spark = df.sparkSession
-    if ensure_checkpoint_dir(spark) is None:
-        return df
-    return df.checkpoint(eager=True)
+    root = ensure_checkpoint_dir(spark, local_fallback=True)
+    if root is None:
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    path = f"{root.rstrip('/')}/simpairs-tables/{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)
 
 
 _SHIPPED: set[str] = set()
@@ -97,3 +107,16 @@ def ship_package(spark: SparkSession) -> None:
                     zf.write(full, arc)
     sc.addPyFile(zpath)
     _SHIPPED.add(app)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a narrow input over the cluster before heavy per-row work.
+
+    Only when the scan yields fewer partitions than the default parallelism
+    (few large row groups); a normal big scan already has enough splits and
+    is returned unchanged, so this never adds a shuffle at scale.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df

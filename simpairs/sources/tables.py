@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from simpairs.functions.text import shingles_of_tokens, word_tokens
+from simpairs.session import spread
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -94,18 +95,28 @@ def brand_sets(spark: SparkSession, base: str) -> DataFrame:
 
 # ---------------------------------------------------------------- documents
 
-def doc_shingles(spark: SparkSession, base: str, k: int = 3,
+def doc_elements(spark: SparkSession, base: str, k: int = 3,
                  docs: DataFrame | None = None) -> DataFrame:
-    """Fixture ``doc_shingles``: distinct lower-cased k-word shingles per document."""
+    """Lower-cased k-word shingles per document, repeats kept (``(key, element)``).
+
+    Enough for sketching (MinHash ignores repeats); use ``doc_shingles`` where
+    set semantics matter.
+    """
     d = docs if docs is not None else table(spark, base, "documents")
+    d = spread(d.select("doc_id", "text"))
     toks = d.select(F.col("doc_id").alias("key"), word_tokens("text").alias("_tok"))
-    return (toks.select("key", F.explode(shingles_of_tokens("_tok", k)).alias("element"))
-            .distinct())
+    return toks.select("key", F.explode(shingles_of_tokens("_tok", k)).alias("element"))
+
+
+def doc_shingles(spark: SparkSession, base: str, k: int = 3,
+                 docs: DataFrame | None = None) -> DataFrame:
+    """Fixture ``doc_shingles``: distinct lower-cased k-word shingles per document."""
+    return doc_elements(spark, base, k, docs).distinct()
 
 
 # ---------------------------------------------------------------- vectors
 
 def vectors(spark: SparkSession, base: str) -> DataFrame:
     """Fixture ``vectors``: the embeddings as (key, vec, label)."""
-    e = table(spark, base, "embeddings")
+    e = spread(table(spark, base, "embeddings").select("vec_id", "embedding", "label"))
     return e.select(F.col("vec_id").alias("key"), F.col("embedding").alias("vec"), "label")
