@@ -13,45 +13,63 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from simpairs.operators import banding, elements, minhash, pairs, projection
+from simpairs.operators import banding, copies, elements, minhash, pairs, projection
 from simpairs.operators.tuning import check_bands, optimal_bands, validate
 from simpairs.session import materialize
 
 METHOD_THRESHOLDS = {"js": 0.5, "cs": 0.67, "dcs": 0.66}
 
 
-def jaccard_candidates(sets: DataFrame, seed: int = 1, bands: tuple[int, int] | None = (22, 5),
-                       threshold: float = 0.5, num_perm: int = 128,
-                       method: str = "arrow") -> DataFrame:
-    """Unverified MinHash-LSH candidate pairs ``(u, v)`` of element sets.
-
-    ``bands=None`` picks (b, r) by the false-positive/negative tuner.
-    """
+def _signature_candidates(sets: DataFrame, seed: int, bands, threshold: float, num_perm: int,
+                          method: str, members: DataFrame | None) -> DataFrame:
     validate(threshold, num_perm)
     b, r = bands if bands is not None else optimal_bands(threshold, num_perm)
     check_bands(b, r, num_perm)
     spec = minhash.SketchSpec(seed=seed, num_perm=num_perm)
     sig = minhash.minhash_signatures(sets, spec, method=method)
+    if members is not None:
+        sig = sig.join(copies.representatives(members), "key", "left_semi")
     idx = banding.band_buckets(sig, b, r, num_perm)
     return pairs.bucket_pairs(idx, ("band", "bucket"), "key")
 
 
+def jaccard_candidates(sets: DataFrame, seed: int = 1, bands: tuple[int, int] | None = (22, 5),
+                       threshold: float = 0.5, num_perm: int = 128,
+                       method: str = "arrow", collapse_copies: bool = True) -> DataFrame:
+    """Unverified MinHash-LSH candidate pairs ``(u, v)`` of element sets.
+
+    ``bands=None`` picks (b, r) by the false-positive/negative tuner. With
+    ``collapse_copies`` identical sets are banded once and expanded after
+    (same pairs, no quadratic bucket for a large group of copies).
+    """
+    if not collapse_copies:
+        return _signature_candidates(sets, seed, bands, threshold, num_perm, method, None)
+    members = copies.copy_groups(sets)
+    rep = _signature_candidates(sets, seed, bands, threshold, num_perm, method, members)
+    return copies.expand_pairs(rep, members)
+
+
 def jaccard_pairs(sets: DataFrame, threshold: float = 0.5, seed: int = 1,
                   bands: tuple[int, int] | None = (22, 5), num_perm: int = 128,
-                  ndigits: int = 6) -> DataFrame:
+                  ndigits: int = 6, collapse_copies: bool = True) -> DataFrame:
     """Verified pairs: LSH candidates whose exact Jaccard is ≥ ``threshold``.
 
     ``sets`` may repeat an element within a key: the sketch ignores repeats,
     and set semantics are restored (``distinct``) only for candidate keys.
+    Copies are verified once through their representative and expanded after.
     """
-    cand = jaccard_candidates(sets, seed, bands, threshold, num_perm)
+    members = copies.copy_groups(sets) if collapse_copies else None
+    cand = _signature_candidates(sets, seed, bands, threshold, num_perm, "arrow", members)
     keys = (cand.select(F.col("u").alias("key"))
             .union(cand.select(F.col("v").alias("key"))).distinct())
     # read three times by the scorer (sizes, small side, big side)
     cand_sets = materialize(sets.join(keys, "key", "left_semi").distinct())
     scored = pairs.set_similarity(cand, cand_sets)
-    return (scored.filter(F.col("jaccard") >= F.lit(threshold))
-            .select("u", "v", F.round("jaccard", ndigits).alias("jaccard")))
+    out = (scored.filter(F.col("jaccard") >= F.lit(threshold))
+           .select("u", "v", F.round("jaccard", ndigits).alias("jaccard")))
+    if members is None:
+        return out
+    return copies.expand_pairs(out, members, {"jaccard": 1.0})
 
 
 def cosine_pairs(ratings: DataFrame, threshold: float = 0.67, seed: int = 2020,

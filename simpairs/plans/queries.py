@@ -74,7 +74,8 @@ def _customer_keys(spark, base):
 
 
 def _doc_candidates(spark, base):
-    return pairs.bucket_pairs(_doc_index(spark, base))
+    return jobs.jaccard_candidates(tb.doc_elements(spark, base, SHINGLE), SEED, (BANDS, ROWS),
+                                   DOC_THRESHOLD)
 
 
 def _ev_hits(spark, base):

@@ -51,3 +51,19 @@ def test_cosine_pairs_vs_bruteforce(spark, sf_small):
             assert abs(c - round(x @ y / np.sqrt((x @ x) * (y @ y)), 6)) < 1e-9
             assert c >= t
         assert len(got) > 0
+
+
+def test_group_of_copies_matches_plain_path(spark):
+    # a third of the keys are copies of one set; collapsing must not change results
+    base = [f"e{i}" for i in range(40)]
+    rows = [(k, e) for k in range(30) for e in base]
+    rows += [(100 + k, e) for k in range(30) for e in base[k % 10: 30 + k % 10]]
+    rows += [(200 + k, f"z{k}_{i}") for k in range(30) for i in range(10)]
+    sets = spark.createDataFrame(rows, "key long, element string")
+    a = sorted(tuple(r) for r in jobs.jaccard_pairs(sets, 0.5, 7, collapse_copies=True).collect())
+    b = sorted(tuple(r) for r in jobs.jaccard_pairs(sets, 0.5, 7, collapse_copies=False).collect())
+    assert a == b
+    assert sum(1 for r in a if r[0] < 30 and r[1] < 30) == 30 * 29 // 2
+    ca = sorted(tuple(r) for r in jobs.jaccard_candidates(sets, 7, collapse_copies=True).collect())
+    cb = sorted(tuple(r) for r in jobs.jaccard_candidates(sets, 7, collapse_copies=False).collect())
+    assert ca == cb
