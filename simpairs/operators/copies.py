@@ -53,6 +53,8 @@ def expand_pairs(rep_pairs: DataFrame, members: DataFrame, within_value: dict |
     b = members.select(F.col("rep").alias("v"), F.col("key").alias("_y"))
     cross = (rep_pairs.join(a, "u").join(b, "v")
              .select(F.least("_x", "_y").alias("u"), F.greatest("_x", "_y").alias("v"), *extra))
+    if members.filter(F.col("key") != F.col("rep")).limit(1).count() == 0:
+        return cross  # no group has two members
     multi = members.groupBy("rep").agg(F.count("*").alias("_c")).filter(F.col("_c") > 1)
     grouped = members.join(multi.select("rep"), "rep", "left_semi")
     within = bucket_pairs(grouped.select(F.col("rep").alias("_g"), "key"), ("_g",), "key")
