@@ -116,6 +116,8 @@ def spread(df: DataFrame) -> DataFrame:
     (few large row groups); a normal big scan already has enough splits and
     is returned unchanged, so this never adds a shuffle at scale.
     """
+    if df.isStreaming:
+        return df
     target = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)

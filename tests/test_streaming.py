@@ -2,7 +2,6 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from simpairs.functions.text import shingles_of_tokens, word_tokens
 from simpairs.operators import banding
 from simpairs.operators import minhash as mh
 from simpairs.sources import tables as tb
@@ -29,9 +28,7 @@ def test_index_upkeep_multi_batch(spark, sf_small, tmp_path):
     for lang_set in (["en"], ["fr"], ["de", "es"]):
         docs.filter(F.col("lang").isin(lang_set)).coalesce(1).write.mode("append").parquet(str(src))
     stream = st.file_stream(spark, str(src), "*.parquet", max_files_per_trigger=1)
-    # no spread() on a stream: the shingles are built directly on the stream
-    sets = stream.select(F.col("doc_id").alias("key"), word_tokens("text").alias("_t")) \
-        .select("key", F.explode(shingles_of_tokens("_t", 3)).alias("element"))
+    sets = tb.doc_elements(spark, "", 3, docs=stream)
     idx_path, hits_path = str(tmp_path / "index"), str(tmp_path / "hits")
     q = st.index_upkeep(sets, idx_path, hits_path, "idx_" + uuid.uuid4().hex[:8], SPEC)
     q.awaitTermination(600)
