@@ -14,7 +14,8 @@ Long form is what makes the sketch a plain ``min`` aggregate:
 The permuted hash is ``((a * hv + b) mod 2**64) mod p) & (2**32 - 1)``; the
 ``mod 2**64`` wrap is reproduced exactly. The default plan evaluates it in
 Arrow batches with NumPy ``uint64`` (wraps natively) inside ``mapInPandas``
-and pre-aggregates each batch; ``method="jvm"`` evaluates it with decimal
+and keeps running minimums per key across all batches of a task (a bounded
+map-side combine, flushed every 32k keys); ``method="jvm"`` evaluates it with decimal
 arithmetic in codegen (no Python), used by the streaming path and as a check.
 """
 
@@ -96,46 +97,97 @@ def element_hashes(sets: DataFrame, key: str = "key", element: str = "element")
     return sets.select(F.col(key).cast("long").alias("key"), sha1_hash32(element).alias("hv"))
 
 
-def _batch_partial_sketch(ab: np.ndarray):
+def _batch_mins(keys: np.ndarray, hv: np.ndarray, ab: np.ndarray, chunk: int):
+    """(unique keys, their (n_keys, num_perm) minimum permuted hashes) of one batch."""
+    num_perm = ab.shape[0]
+    order = np.argsort(keys, kind="stable")
+    keys, hv = keys[order], hv[order]
+    uniq, starts = np.unique(keys, return_index=True)
+    ends = np.append(starts[1:], len(keys))
+    mins = np.empty((len(uniq), num_perm), dtype=np.uint64)
+    # walk groups in row chunks; each chunk reduces its groups with reduceat
+    g = 0
+    while g < len(uniq):
+        g_end = g
+        while g_end < len(uniq) and ends[g_end] - starts[g] <= chunk:
+            g_end += 1
+        if g_end == g:  # a single group larger than a chunk
+            acc = np.full(num_perm, MAX_HASH, dtype=np.uint64)
+            for lo in range(starts[g], ends[g], chunk):
+                ph = permuted_hash_np(hv[lo:min(lo + chunk, ends[g])], ab)
+                acc = np.minimum(acc, ph.min(axis=0))
+            mins[g] = acc
+            g += 1
+            continue
+        lo, hi = starts[g], ends[g_end - 1]
+        ph = permuted_hash_np(hv[lo:hi], ab)
+        mins[g:g_end] = np.minimum.reduceat(ph, starts[g:g_end] - lo, axis=0)
+        g = g_end
+    return uniq, mins
+
+
+class _TaskCombiner:
+    """Running minimums per key over all batches of one task, bounded by ``max_keys``."""
+
+    def __init__(self, num_perm: int, max_keys: int):
+        self.num_perm = num_perm
+        self.max_keys = max_keys
+        self.reset()
+
+    def reset(self):
+        self.index: dict[int, int] = {}
+        self.mins = np.full((1024, self.num_perm), MAX_HASH, dtype=np.uint64)
+
+    def add(self, uniq: np.ndarray, mins: np.ndarray) -> None:
+        index = self.index
+        rows = np.fromiter((index.setdefault(k, len(index)) for k in uniq.tolist()),
+                           dtype=np.int64, count=len(uniq))
+        if len(index) > self.mins.shape[0]:
+            grown = np.full((max(len(index), 2 * self.mins.shape[0]), self.num_perm), MAX_HASH,
+                            dtype=np.uint64)
+            grown[:self.mins.shape[0]] = self.mins
+            self.mins = grown
+        self.mins[rows] = np.minimum(self.mins[rows], mins)
+
+    def full(self) -> bool:
+        return len(self.index) >= self.max_keys
+
+    def frames(self, perm_ids: np.ndarray, keys_per_frame: int = 4096):
+        n = len(self.index)
+        keys = np.fromiter(self.index.keys(), dtype=np.int64, count=n)
+        for lo in range(0, n, keys_per_frame):
+            hi = min(lo + keys_per_frame, n)
+            yield pd.DataFrame({
+                "key": np.repeat(keys[lo:hi], self.num_perm),
+                "perm": np.tile(perm_ids, hi - lo),
+                "v": self.mins[lo:hi].reshape(-1).astype(np.int64),
+            })
+        self.reset()
+
+
+def _partial_sketch(ab: np.ndarray, max_keys: int = 32768):
+    """mapInPandas function: per-task partial sketches, flushed every ``max_keys`` keys.
+
+    Memory stays near ``max_keys × num_perm × 8`` bytes plus one batch, however
+    many keys or rows a task sees; output is one row per (key, perm) per flush.
+    """
     num_perm = ab.shape[0]
     perm_ids = np.arange(num_perm, dtype=np.int32)
     # keep the (n, num_perm) matrix near 16 MB however large an Arrow batch is
     chunk = max(1, (1 << 21) // num_perm)
 
     def run(batches):
+        comb = _TaskCombiner(num_perm, max_keys)
         for pdf in batches:
             if pdf.empty:
                 continue
-            keys = pdf["key"].to_numpy(dtype=np.int64)
-            hv = pdf["hv"].to_numpy(dtype=np.int64)
-            order = np.argsort(keys, kind="stable")
-            keys, hv = keys[order], hv[order]
-            uniq, starts = np.unique(keys, return_index=True)
-            ends = np.append(starts[1:], len(keys))
-            mins = np.empty((len(uniq), num_perm), dtype=np.uint64)
-            # walk groups in row chunks; each chunk reduces its groups with reduceat
-            g = 0
-            while g < len(uniq):
-                g_end = g
-                while g_end < len(uniq) and ends[g_end] - starts[g] <= chunk:
-                    g_end += 1
-                if g_end == g:  # a single group larger than a chunk
-                    acc = np.full(num_perm, MAX_HASH, dtype=np.uint64)
-                    for lo in range(starts[g], ends[g], chunk):
-                        ph = permuted_hash_np(hv[lo:min(lo + chunk, ends[g])], ab)
-                        acc = np.minimum(acc, ph.min(axis=0))
-                    mins[g] = acc
-                    g += 1
-                    continue
-                lo, hi = starts[g], ends[g_end - 1]
-                ph = permuted_hash_np(hv[lo:hi], ab)
-                mins[g:g_end] = np.minimum.reduceat(ph, starts[g:g_end] - lo, axis=0)
-                g = g_end
-            yield pd.DataFrame({
-                "key": np.repeat(uniq, num_perm),
-                "perm": np.tile(perm_ids, len(uniq)),
-                "v": mins.reshape(-1).astype(np.int64),
-            })
+            uniq, mins = _batch_mins(pdf["key"].to_numpy(dtype=np.int64),
+                                     pdf["hv"].to_numpy(dtype=np.int64), ab, chunk)
+            comb.add(uniq, mins)
+            if comb.full():
+                yield from comb.frames(perm_ids)
+        if comb.index:
+            yield from comb.frames(perm_ids)
 
     return run
 
@@ -146,7 +198,7 @@ def signatures_from_hashes(hashes: DataFrame, spec: SketchSpec = SketchSpec(),
     ab = permutations(spec.seed, spec.num_perm)
     if method == "arrow":
         ship_package(hashes.sparkSession)
-        partial = hashes.select("key", "hv").mapInPandas(_batch_partial_sketch(ab), LONG_FORM)
+        partial = hashes.select("key", "hv").mapInPandas(_partial_sketch(ab), LONG_FORM)
     elif method == "jvm":
         vals = F.array(*[F.struct(F.lit(i).alias("perm"),
                                   permuted_hash_col(F.col("hv"), int(a), int(b)).alias("v"))

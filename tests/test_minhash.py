@@ -126,3 +126,21 @@ def test_dim_guard(spark, planted):
     sig = mh.minhash_signatures(sets_df(spark, planted), SPEC).filter("perm < 100")
     with pytest.raises(Exception):
         mh.dim_guard(sig, 128).collect()
+
+
+def test_task_combiner_flushes_keep_exact_minimums():
+    import pandas as pd
+    ab = mh.permutations(2020)
+    rnd = np.random.RandomState(0)
+    keys = rnd.randint(0, 300, 5000).astype(np.int64)
+    hv = rnd.randint(0, 2 ** 32, 5000).astype(np.int64)
+    batches = [pd.DataFrame({"key": keys[i:i + 700], "hv": hv[i:i + 700]}) for i in range(0, 5000, 700)]
+    for max_keys in (50, 32768):
+        out = pd.concat(list(mh._partial_sketch(ab, max_keys=max_keys)(iter(batches))))
+        got = out.groupby(["key", "perm"]).v.min()
+        for k in (0, 17, 299):
+            ref = mh.permuted_hash_np(hv[keys == k], ab).min(axis=0)
+            assert (got.loc[k].to_numpy().astype(np.uint64) == ref).all()
+    # without flushing, each key leaves the task once
+    out = pd.concat(list(mh._partial_sketch(ab)(iter(batches))))
+    assert len(out) == 300 * 128
