@@ -21,6 +21,8 @@ from simpairs.session import materialize
 
 MAX_BLOCK = 4096
 MAX_HOT = 10000
+# sets up to this size are scored from packed arrays, larger ones by long-form joins
+PACK_CAP = 1024
 
 
 def bucket_pairs(buckets: DataFrame, group_cols=("band", "bucket"), key: str = "key",
@@ -123,17 +125,37 @@ def sparse_products(pairs: DataFrame, vec: DataFrame, feature: str = "element",
     return _products(_with_sizes(pairs, sizes, "_n"), v)
 
 
-def set_similarity(pairs: DataFrame, sets: DataFrame, element: str = "element") -> DataFrame:
+def set_similarity(pairs: DataFrame, sets: DataFrame, element: str = "element",
+                   pack_cap: int = PACK_CAP) -> DataFrame:
     """Exact overlap, Jaccard and binary cosine of set pairs.
 
-    Returns ``(u, v, n_u, n_v, overlap, jaccard, bincos)``; pairs without a
-    common element get overlap 0.
+    ``sets`` holds one row per distinct (key, element). Returns
+    ``(u, v, n_u, n_v, overlap, jaccard, bincos)``; pairs without a common
+    element get overlap 0. Pairs whose two sets both have at most
+    ``pack_cap`` elements are scored from packed arrays (``array_intersect``,
+    JVM-side; each array bounded by the cap); any pair with a larger side
+    goes through the long-form ``(key, element)`` joins, so no set of any
+    size is ever gathered into one row beyond the cap.
     """
     s = sets.select("key", F.col(element).alias("_f"), F.lit(1.0).alias("_w"))
     sizes = s.groupBy("key").agg(F.count("*").alias("_n"))
     base = _with_sizes(pairs, sizes, "_n")
-    inter = _products(base, s).select("u", "v", "overlap")
-    out = base.join(inter, ["u", "v"], "left").withColumn("overlap", F.coalesce("overlap", F.lit(0)))
+    small = (F.col("_nu") <= F.lit(pack_cap)) & (F.col("_nv") <= F.lit(pack_cap))
+
+    packed = (s.join(sizes.filter(F.col("_n") <= F.lit(pack_cap)), "key", "left_semi")
+              .groupBy("key").agg(F.collect_list("_f").alias("_e")))
+    pu = packed.select(F.col("key").alias("u"), F.col("_e").alias("_a"))
+    pv = packed.select(F.col("key").alias("v"), F.col("_e").alias("_b"))
+    by_array = (base.filter(small).join(pu, "u").join(pv, "v")
+                .select("u", "v", "_nu", "_nv",
+                        F.size(F.array_intersect("_a", "_b")).cast("long").alias("overlap")))
+
+    large = base.filter(~small)
+    inter = _products(large, s).select("u", "v", "overlap")
+    by_join = (large.join(inter, ["u", "v"], "left")
+               .select("u", "v", "_nu", "_nv", F.coalesce("overlap", F.lit(0)).cast("long").alias("overlap")))
+
+    out = by_array.unionByName(by_join)
     n_u, n_v, o = F.col("_nu"), F.col("_nv"), F.col("overlap")
     return out.select(
         "u", "v", n_u.alias("n_u"), n_v.alias("n_v"), o.alias("overlap"),

@@ -60,3 +60,15 @@ def test_multimap(spark):
     gone = spark.createDataFrame([(1, "a")], "k long, val string")
     left = sorted(tuple(r) for r in multimap.remove_values(df, gone, "k", "val", "o").collect())
     assert left == [(1, "a", 2), (1, "b", 3), (2, "c", 4)]
+
+
+@pytest.mark.parametrize("cap", [0, 5, 1024])
+def test_set_similarity_packed_and_long_agree(spark, cap):
+    rnd = np.random.RandomState(4)
+    sets = {k: set(rnd.choice(40, rnd.randint(1, 25), replace=False).tolist()) for k in range(14)}
+    df = spark.createDataFrame([(k, str(e)) for k, es in sets.items() for e in es], "key long, element string")
+    allp = spark.createDataFrame(list(itertools.combinations(range(14), 2)), "u long, v long")
+    got = {(r.u, r.v): (r.n_u, r.n_v, r.overlap) for r in pairs.set_similarity(allp, df, pack_cap=cap).collect()}
+    assert len(got) == 91
+    for (u, v), (nu, nv, o) in got.items():
+        assert (nu, nv, o) == (len(sets[u]), len(sets[v]), len(sets[u] & sets[v]))
