@@ -14,10 +14,12 @@ collected set – so a key with a huge set is spread by element.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from simpairs.session import materialize
+from simpairs.session import materialize, ship_package
 
 MAX_BLOCK = 4096
 MAX_HOT = 10000
@@ -163,11 +165,49 @@ def set_similarity(pairs: DataFrame, sets: DataFrame, element: str = "element",
         (o.cast("double") / F.sqrt((n_u * n_v).cast("double"))).alias("bincos"))
 
 
+_DOT_SCHEMA = "u long, v long, _nnu double, _nnv double, dot double"
+
+
+def _arrow_sparse_dots(batches):
+    """mapInArrow kernel: Σ w_u·w_v over common features of packed sorted vectors.
+
+    Vectorised per batch: every (row, feature) becomes one composite int64
+    key, one ``intersect1d`` finds all matches, ``bincount`` sums per row.
+    """
+    import pyarrow as pa
+
+    for rb in batches:
+        n = rb.num_rows
+        if n == 0:
+            continue
+        fu, fv = rb.column("_fu"), rb.column("_fv")
+        items_u = fu.flatten().to_numpy(zero_copy_only=False)
+        items_v = fv.flatten().to_numpy(zero_copy_only=False)
+        w_u = rb.column("_wu").flatten().to_numpy(zero_copy_only=False)
+        w_v = rb.column("_wv").flatten().to_numpy(zero_copy_only=False)
+        rows = np.arange(n, dtype=np.int64)
+        pid_u = np.repeat(rows, fu.value_lengths().to_numpy(zero_copy_only=False))
+        pid_v = np.repeat(rows, fv.value_lengths().to_numpy(zero_copy_only=False))
+        _, rank = np.unique(np.concatenate([items_u, items_v]), return_inverse=True)
+        key_u = (pid_u << 32) | rank[:len(items_u)]
+        key_v = (pid_v << 32) | rank[len(items_u):]
+        _, iu, iv = np.intersect1d(key_u, key_v, assume_unique=True, return_indices=True)
+        dot = np.bincount(pid_u[iu], weights=w_u[iu] * w_v[iv], minlength=n)
+        yield pa.RecordBatch.from_arrays(
+            [rb.column("u"), rb.column("v"), rb.column("_nnu"), rb.column("_nnv"),
+             pa.array(dot, type=pa.float64())],
+            names=["u", "v", "_nnu", "_nnv", "dot"])
+
+
 def vector_cosine(pairs: DataFrame, vec: DataFrame, feature: str = "item",
-                  weight: str = "w") -> DataFrame:
+                  weight: str = "w", pack_cap: int = PACK_CAP) -> DataFrame:
     """Exact cosine of sparse weighted vectors ``(key, feature, weight)``.
 
-    Zero norms give null (never NaN), so a threshold filter drops them.
+    Pairs whose vectors both have at most ``pack_cap`` non-zeros (and an
+    integer feature id) are scored from packed, feature-sorted arrays by a
+    vectorised Arrow kernel; every other pair by long-form joins on
+    ``(key, feature)``. Zero norms give null (never NaN), so a threshold
+    filter drops them.
     """
     v = vec.select("key", F.col(feature).alias("_f"), F.col(weight).cast("double").alias("_w"))
     stats = v.groupBy("key").agg(F.count("*").alias("_n"),
@@ -177,9 +217,27 @@ def vector_cosine(pairs: DataFrame, vec: DataFrame, feature: str = "item",
                                 F.col("_nn").alias("_nnu")), "u")
              .join(stats.select(F.col("key").alias("v"), F.col("_n").alias("_nv"),
                                 F.col("_nn").alias("_nnv")), "v"))
-    dots = _products(sized, v).select("u", "v", "dot")
-    base = sized.select("u", "v", F.col("_nnu").alias("_nu"), F.col("_nnv").alias("_nv"))
-    out = base.join(dots, ["u", "v"], "left").withColumn("dot", F.coalesce("dot", F.lit(0.0)))
-    denom = F.sqrt(F.col("_nu") * F.col("_nv"))
+    if not isinstance(v.schema["_f"].dataType, T.IntegralType):
+        pack_cap = 0
+    small = (F.col("_nu") <= F.lit(pack_cap)) & (F.col("_nv") <= F.lit(pack_cap))
+
+    parts = []
+    if pack_cap > 0:
+        ship_package(vec.sparkSession)
+        packed = (v.join(stats.filter(F.col("_n") <= F.lit(pack_cap)), "key", "left_semi")
+                  .groupBy("key")
+                  .agg(F.array_sort(F.collect_list(F.struct(F.col("_f").cast("long").alias("_f"),
+                                                            "_w"))).alias("_kv"))
+                  .select("key", F.col("_kv._f").alias("_fs"), F.col("_kv._w").alias("_ws")))
+        pu = packed.select(F.col("key").alias("u"), F.col("_fs").alias("_fu"), F.col("_ws").alias("_wu"))
+        pv = packed.select(F.col("key").alias("v"), F.col("_fs").alias("_fv"), F.col("_ws").alias("_wv"))
+        parts.append(sized.filter(small).select("u", "v", "_nnu", "_nnv").join(pu, "u").join(pv, "v")
+                     .mapInArrow(_arrow_sparse_dots, _DOT_SCHEMA))
+    large = sized.filter(~small)
+    dots = _products(large, v).select("u", "v", "dot")
+    parts.append(large.select("u", "v", "_nnu", "_nnv").join(dots, ["u", "v"], "left")
+                 .withColumn("dot", F.coalesce("dot", F.lit(0.0))))
+    out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    denom = F.sqrt(F.col("_nnu") * F.col("_nnv"))
     return out.select("u", "v", F.col("dot"),
                       F.when(denom > 0, F.col("dot") / denom).alias("cosine"))

@@ -72,3 +72,22 @@ def test_set_similarity_packed_and_long_agree(spark, cap):
     assert len(got) == 91
     for (u, v), (nu, nv, o) in got.items():
         assert (nu, nv, o) == (len(sets[u]), len(sets[v]), len(sets[u] & sets[v]))
+
+
+@pytest.mark.parametrize("cap", [0, 4, 1024])
+def test_vector_cosine_packed_and_long_agree(spark, cap):
+    rnd = np.random.RandomState(9)
+    dense = rnd.randint(-3, 4, size=(12, 9)) * (rnd.rand(12, 9) < 0.5)
+    dense[7] = 0
+    items = [10 ** 12 + 5, 3, 77, 2 ** 40, 0, 1, 9, 123456789, 42]  # arbitrary item ids
+    rows = [(k, items[j], int(dense[k, j])) for k in range(12) for j in range(9) if dense[k, j] != 0]
+    vec = spark.createDataFrame(rows, "key long, item long, w long")
+    allp = spark.createDataFrame(list(itertools.combinations(range(12), 2)), "u long, v long")
+    got = {(r.u, r.v): (r.dot, r.cosine) for r in pairs.vector_cosine(allp, vec, pack_cap=cap).collect()}
+    for (u, v), (dot, c) in got.items():
+        x, y = dense[u].astype(float), dense[v].astype(float)
+        assert abs(dot - x @ y) < 1e-9
+        if (x @ x) * (y @ y) > 0:
+            assert abs(c - x @ y / np.sqrt((x @ x) * (y @ y))) < 1e-12
+        else:
+            assert c is None
