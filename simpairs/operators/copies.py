@@ -57,7 +57,9 @@ def expand_pairs(rep_pairs: DataFrame, members: DataFrame, within_value: dict |
         return cross  # no group has two members
     multi = members.groupBy("rep").agg(F.count("*").alias("_c")).filter(F.col("_c") > 1)
     grouped = members.join(multi.select("rep"), "rep", "left_semi")
-    within = bucket_pairs(grouped.select(F.col("rep").alias("_g"), "key"), ("_g",), "key")
+    # members is materialized already and the pairs are read once: no extra copies
+    within = bucket_pairs(grouped.select(F.col("rep").alias("_g"), "key"), ("_g",), "key",
+                          materialize_input=False, materialize_output=False)
     values = within_value or {}
     within = within.select("u", "v", *[F.lit(values[c]).alias(c) if c in values else
                                        F.lit(None).cast(rep_pairs.schema[c].dataType).alias(c)

@@ -28,15 +28,19 @@ PACK_CAP = 1024
 
 
 def bucket_pairs(buckets: DataFrame, group_cols=("band", "bucket"), key: str = "key",
-                 max_block: int = MAX_BLOCK, max_hot: int = MAX_HOT) -> DataFrame:
+                 max_block: int = MAX_BLOCK, max_hot: int = MAX_HOT,
+                 materialize_input: bool = True, materialize_output: bool = True) -> DataFrame:
     """Distinct canonical pairs ``(u, v)``, u < v, of keys sharing any bucket.
 
     The bucket rows are read three times (sizes, left, right), so they are
     materialized once; the returned pairs are materialized as well because
-    scoring reads them several times.
+    scoring reads them several times. Callers whose input is already a cheap
+    scan, or who read the pairs once, can switch either off.
     """
     gc = list(group_cols)
-    rows = materialize(buckets.select(*gc, F.col(key).alias("_k")))
+    rows = buckets.select(*gc, F.col(key).alias("_k"))
+    if materialize_input:
+        rows = materialize(rows)
     sizes = rows.groupBy(*gc).agg(F.count("*").alias("_n"))
     hot = (sizes.filter(F.col("_n") > F.lit(max_block))
            .orderBy(F.desc("_n")).limit(max_hot)
@@ -47,9 +51,10 @@ def bucket_pairs(buckets: DataFrame, group_cols=("band", "bucket"), key: str = "
                          F.pmod(F.xxhash64("_k"), F.col("_s")).cast("int").alias("_salt"))
     right = salted.select(*gc, F.col("_k").alias("v"),
                           F.explode(F.sequence(F.lit(0), F.col("_s") - 1)).alias("_salt"))
-    return materialize(left.join(right, gc + ["_salt"])
-                       .filter(F.col("u") < F.col("v"))
-                       .select("u", "v").distinct())
+    out = (left.join(right, gc + ["_salt"])
+           .filter(F.col("u") < F.col("v"))
+           .select("u", "v").distinct())
+    return materialize(out) if materialize_output else out
 
 
 # ---------------------------------------------------------------- shaping
