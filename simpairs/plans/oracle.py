@@ -321,6 +321,9 @@ rk AS (SELECT q, key, cosine, row_number() OVER (PARTITION BY q ORDER BY cosine
     s["sampled_pairs"] = _with(_perms(), _doc_index(), _cand("doc_idx", "cand")) + f"""
 SELECT u, v FROM cand
 ORDER BY md5(concat_ws(':', '{Q.SEED}', u::VARCHAR, v::VARCHAR)), u, v LIMIT {Q.SAMPLE_CAP}"""
+    s["stream_signature"] = _with(_perms(), _ev_sets(), _sig("ev_sets", "sig")) + \
+        "SELECT key, perm, v FROM sig"
+    s["stream_index"] = s["band_buckets"]
     s["js_pairs"] = _with(_perms(), _ev_index(), _cand("ev_idx", "cand"),
                           _jaccard_verified("ev_sets", "cand", Q.JS_THRESHOLD))
     s["doc_near_duplicates"] = _with(_perms(), _doc_index(), _cand("doc_idx", "cand"),

@@ -334,6 +334,36 @@ def q_users_with_matches(spark, base):
     return pairs.users_with_matches(_ev_hits(spark, base))
 
 
+def q_stream_signature(spark, base):
+    """X4: events streamed from the table directory; state = batch signatures."""
+    import uuid
+
+    from simpairs.streaming import sketches as st
+
+    name = "stream_sig_" + uuid.uuid4().hex[:12]
+    ev = st.file_stream(spark, base, "events.parquet")
+    sets = ev.select(F.col("user_id").alias("key"), tb.event_item().cast("string").alias("element"))
+    q = st.start_signature_stream(sets, name, SPEC)
+    q.awaitTermination()
+    # the memory sink holds every update; the latest value per position is its minimum
+    return spark.table(name).groupBy("key", "perm").agg(F.min("v").alias("v"))
+
+
+def q_stream_index(spark, base):
+    """X5: documents streamed into the banding index with foreachBatch insert/probe."""
+    import uuid
+
+    from simpairs.streaming import sketches as st
+
+    run = uuid.uuid4().hex[:12]
+    root = st.checkpoint_location(spark, "simpairs-index-" + run)
+    docs = st.file_stream(spark, base, "documents.parquet")
+    sets = tb.doc_elements(spark, base, SHINGLE, docs=docs)
+    q = st.index_upkeep(sets, root + "/index", root + "/hits", "index_" + run, SPEC, BANDS, ROWS)
+    q.awaitTermination()
+    return st.read_index(spark, root + "/index")
+
+
 def q_js_pairs(spark, base):
     return jobs.similar_pairs(tb.ev_ratings(spark, base), "js", JS_THRESHOLD, SEED)
 
