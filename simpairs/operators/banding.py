@@ -3,8 +3,9 @@
 The index is an ordinary table: inserting is a union/append, probing is an
 equi-join on ``(band, bucket)``, removing is an anti-join, and every
 "storage view" (keys, sizes, item counts) is a group-by of the same rows.
-Buckets are the hex text of the band's ``rows`` 64-bit values (big-endian,
-16 digits each), so equal bands ⇔ equal buckets, with no hash collisions.
+Buckets are the hex text of the band's ``rows`` values in permutation order
+(8 digits each – every value is below 2**32), so equal bands ⇔ equal buckets,
+with no hash collisions and half the join-key bytes of a 64-bit layout.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ def band_buckets(sig: DataFrame, bands: int = DEFAULT_BANDS[0], rows: int = DEFA
     grouped = (used.groupBy("key", (F.col("perm") / F.lit(rows)).cast("int").alias("band"))
                .agg(F.array_sort(F.collect_list(F.struct("perm", "v"))).alias("_pv")))
     bucket = F.array_join(
-        F.transform("_pv", lambda x: F.lpad(F.hex(x["v"]), 16, "0")), "")
+        F.transform("_pv", lambda x: F.lpad(F.hex(x["v"]), 8, "0")), "")
     return grouped.select("key", "band", bucket.alias("bucket"))
 
 

@@ -79,7 +79,7 @@ def _bands(sig: str, name: str) -> str:
     b, r = Q.BANDS, Q.ROWS
     return f"""{name} AS (
   SELECT key, (perm // {r})::INTEGER AS band,
-         string_agg(lpad(hex(v), 16, '0'), '' ORDER BY perm) AS bucket
+         string_agg(lpad(hex(v), 8, '0'), '' ORDER BY perm) AS bucket
   FROM {sig} WHERE perm < {b * r} GROUP BY key, perm // {r})"""
 
 

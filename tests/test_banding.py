@@ -18,7 +18,7 @@ def test_bucket_shape(ev_index):
     rows = ev_index.collect()
     n_keys = len({r.key for r in rows})
     assert len(rows) == 22 * n_keys
-    assert all(len(r.bucket) == 80 for r in rows)
+    assert all(len(r.bucket) == 40 for r in rows)
 
 
 def test_query_bands_monotone(ev_index):
