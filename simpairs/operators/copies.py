@@ -2,8 +2,8 @@
 
 Copies share every bucket, so a group of copies holding a third of the keys
 would turn the bucket self-join quadratic. They are collapsed first: each
-key gets a multiset fingerprint (element count and two independent 64-bit
-hash sums, a partial aggregate – no element shuffle), keys with equal
+key gets a multiset fingerprint (element count and sums of two independent
+64-bit hashes, a partial aggregate – no element shuffle), keys with equal
 fingerprints map to one representative (the smallest key), and LSH plus
 verification run on representatives only. Representative pairs are then
 expanded back to member pairs; pairs inside a group (Jaccard 1) come from
@@ -19,23 +19,31 @@ from pyspark.sql import functions as F
 from simpairs.operators.pairs import bucket_pairs
 from simpairs.session import materialize
 
-_DEC = "decimal(38,0)"
+_PIECES = [f"_p{i}{j}" for i in range(2) for j in range(4)]
 
 
 def fingerprints(sets: DataFrame, key: str = "key", element: str = "element") -> DataFrame:
-    """``(key, _n, _h1, _h2)``: order-free fingerprint of each key's element multiset."""
+    """``(key, _n, _p00 … _p13)``: order-free fingerprint of each key's element multiset.
+
+    Two independent 64-bit hashes per element, each cut into four 16-bit
+    pieces, summed per key as ``long`` (no overflow below 2**47 elements per
+    key, and codegen-friendly, unlike 38-digit decimals).
+    """
     e = F.col(element).cast("string")
-    return sets.groupBy(F.col(key).alias("key")).agg(
-        F.count("*").alias("_n"),
-        F.sum(F.xxhash64(e).cast(_DEC)).alias("_h1"),
-        F.sum(F.xxhash64(F.lit("simpairs"), e).cast(_DEC)).alias("_h2"))
+    aggs = [F.count("*").alias("_n")]
+    for i, h in enumerate((F.xxhash64(e), F.xxhash64(F.lit("simpairs"), e))):
+        for j in range(4):
+            piece = F.shiftrightunsigned(h, 16 * j).bitwiseAND(F.lit(0xFFFF))
+            aggs.append(F.sum(piece).alias(f"_p{i}{j}"))
+    return sets.groupBy(F.col(key).alias("key")).agg(*aggs)
 
 
 def copy_groups(sets: DataFrame, key: str = "key", element: str = "element") -> DataFrame:
     """``(key, rep)`` for every key; ``rep`` is the smallest key with the same multiset."""
     fp = fingerprints(sets, key, element)
-    reps = fp.groupBy("_n", "_h1", "_h2").agg(F.min("key").alias("rep"))
-    return materialize(fp.join(reps, ["_n", "_h1", "_h2"]).select("key", "rep"))
+    cols = ["_n"] + _PIECES
+    reps = fp.groupBy(*cols).agg(F.min("key").alias("rep"))
+    return materialize(fp.join(reps, cols).select("key", "rep"))
 
 
 def representatives(members: DataFrame) -> DataFrame:
