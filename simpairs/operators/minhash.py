@@ -27,7 +27,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from simpairs.functions.hashing import MAX_HASH, MERSENNE_PRIME, NUM_PERM, sha1_hash32
 from simpairs.session import ship_package

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from simpairs.operators import banding, elements, minhash, multimap, pairs, projection
 from simpairs.plans import jobs
-from simpairs.sources import sinks
 from simpairs.sources import tables as tb
 
 # Fixed settings of the registered queries (the oracle uses the same ones).

@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from simpairs.operators import banding
 from simpairs.operators import minhash as mh

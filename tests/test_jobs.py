@@ -1,7 +1,6 @@
 import itertools
 
 import numpy as np
-from pyspark.sql import functions as F
 
 from simpairs.plans import jobs
 from simpairs.sources import tables as tb

@@ -2,7 +2,6 @@ import itertools
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from simpairs.operators import multimap, pairs
 
