@@ -1,5 +1,7 @@
 import uuid
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from simpairs.operators import banding
@@ -43,3 +45,16 @@ def test_index_upkeep_multi_batch(spark, sf_small, tmp_path):
     assert hits <= full
     undirected = {(min(a, b), max(a, b)) for a, b in hits if a != b}
     assert undirected == {(min(a, b), max(a, b)) for a, b in full if a != b}
+
+
+def test_upkeep_rejects_reinserted_key_and_replay_is_idempotent(spark, tmp_path):
+    rows = [(1, "a b c"), (2, "a b d")]
+    first = spark.createDataFrame([(k, e) for k, t in rows for e in t.split()], "key long, element string")
+    idx, hits = str(tmp_path / "i"), str(tmp_path / "h")
+    st.upkeep_batch(first, 0, idx, hits, SPEC, 22, 5)
+    # replaying batch 0 overwrites its own partition instead of failing or duplicating
+    st.upkeep_batch(first, 0, idx, hits, SPEC, 22, 5)
+    assert st.read_index(spark, idx).count() == 2 * 22
+    again = spark.createDataFrame([(2, "x")], "key long, element string")
+    with pytest.raises(ValueError):
+        st.upkeep_batch(again, 1, idx, hits, SPEC, 22, 5)
