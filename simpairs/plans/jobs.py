@@ -82,7 +82,10 @@ def cosine_pairs(ratings: DataFrame, threshold: float = 0.67, seed: int = 2020,
     """
     if feature_dims is not None:
         ratings = elements.feature_sample_ratings(ratings, feature_dims, seed)
-    vec = elements.binary_vectors(ratings) if binary else elements.rating_vectors(ratings)
+    # the vectors are read by the signature, the sizes/norms and both scoring paths:
+    # aggregate the raw ratings once instead of once per reader
+    vec = materialize(elements.binary_vectors(ratings) if binary
+                      else elements.rating_vectors(ratings))
     sig = projection.sparse_signatures(vec, seed=seed, hash_size=hash_size,
                                        num_tables=num_tables)
     cand = projection.rp_candidates(sig)
@@ -102,7 +105,8 @@ def similar_pairs(ratings: DataFrame, method: str = "js", threshold: float | Non
         raise ValueError(f"unknown method {method!r}; use js, cs or dcs")
     t = METHOD_THRESHOLDS[method] if threshold is None else threshold
     if method == "js":
-        sets = elements.item_sets(ratings)
+        # read by the copy fingerprint, the sketch and the verification
+        sets = materialize(elements.item_sets(ratings))
         if not verify:
             return jaccard_candidates(sets, seed=seed, threshold=t, **kw)
         return jaccard_pairs(sets, t, seed=seed, **kw)
