@@ -13,7 +13,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from simpairs.operators.pairs import salted_join
 from simpairs.operators.tuning import check_bands
+from simpairs.session import materialize
 
 DEFAULT_BANDS = (22, 5)
 
@@ -48,19 +50,26 @@ def index_insert(index: DataFrame, new_rows: DataFrame, check_duplication: bool
 
 
 def index_query(index: DataFrame, probe: DataFrame, bands: int | None = None,
-                total_bands: int | None = None) -> DataFrame:
+                total_bands: int | None = None, materialize_index: bool = True) -> DataFrame:
     """Keys sharing at least one bucket with each probe key: ``(q, key)`` distinct.
 
     ``probe`` holds band rows ``(key, band, bucket)`` of the query sketches.
     ``bands`` restricts the lookup to the first ``bands`` bands (``_query_b``).
+    The lookup is a salted join: a hot index bucket is split into blocks and
+    the probes of that bucket are replicated per block. The index is read
+    twice (bucket sizes, join), so it is materialized unless the caller's
+    index is already a cheap scan.
     """
     if bands is not None:
         if total_bands is not None and bands > total_bands:
             raise ValueError("b must be less or equal to the number of hash tables")
         probe = probe.filter(F.col("band") < F.lit(bands))
         index = index.filter(F.col("band") < F.lit(bands))
-    p = probe.select(F.col("key").alias("q"), "band", "bucket")
-    return p.join(index, ["band", "bucket"]).select("q", "key").distinct()
+    idx = index.select("key", "band", "bucket")
+    if materialize_index:
+        idx = materialize(idx)
+    hits = salted_join(idx, probe, ("band", "bucket"), "key", "key")
+    return hits.select(F.col("_sk").alias("q"), F.col("_bk").alias("key")).distinct()
 
 
 def index_contains(index: DataFrame, keys: DataFrame, key: str = "key") -> DataFrame:

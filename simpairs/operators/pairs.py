@@ -27,33 +27,59 @@ MAX_HOT = 10000
 PACK_CAP = 1024
 
 
+def hot_groups(rows: DataFrame, group_cols, max_block: int = MAX_BLOCK,
+               max_hot: int = MAX_HOT) -> DataFrame:
+    """Broadcastable ``(*group_cols, _s)``: block count of the largest groups.
+
+    Only groups above ``max_block`` rows, and at most the ``max_hot`` largest
+    of them, are listed – a proven bound on what is broadcast. Groups not
+    listed keep one block, which is always correct (salting moves work only).
+    """
+    gc = list(group_cols)
+    sizes = rows.groupBy(*gc).agg(F.count("*").alias("_n"))
+    return F.broadcast(sizes.filter(F.col("_n") > F.lit(max_block))
+                       .orderBy(F.desc("_n")).limit(max_hot)
+                       .select(*gc, F.ceil(F.col("_n") / F.lit(max_block)).cast("int").alias("_s")))
+
+
+def salted_join(big: DataFrame, small: DataFrame, group_cols, big_key: str, small_key: str,
+                max_block: int = MAX_BLOCK, max_hot: int = MAX_HOT) -> DataFrame:
+    """Rows ``(*group_cols, _salt, _sk, _bk)`` for every small/big pair sharing a group.
+
+    Hot groups of ``big`` are split into blocks by a hash of ``big_key``; the
+    rows of ``small`` in those groups are replicated once per block, so every
+    matching pair meets exactly once and no task holds a whole hot group.
+    """
+    gc = list(group_cols)
+    hot = hot_groups(big, gc, max_block, max_hot)
+    b = (big.select(*gc, F.col(big_key).alias("_bk")).join(hot, gc, "left")
+         .select(*gc, "_bk", F.pmod(F.xxhash64("_bk"), F.coalesce("_s", F.lit(1))).cast("int")
+                 .alias("_salt")))
+    sm = (small.select(*gc, F.col(small_key).alias("_sk")).join(hot, gc, "left")
+          .select(*gc, "_sk", F.explode(F.sequence(F.lit(0), F.coalesce("_s", F.lit(1)) - 1))
+                  .alias("_salt")))
+    return sm.join(b, gc + ["_salt"])
+
+
 def bucket_pairs(buckets: DataFrame, group_cols=("band", "bucket"), key: str = "key",
                  max_block: int = MAX_BLOCK, max_hot: int = MAX_HOT,
                  materialize_input: bool = True, materialize_output: bool = True) -> DataFrame:
     """Distinct canonical pairs ``(u, v)``, u < v, of keys sharing any bucket.
 
-    The bucket rows are read three times (sizes, left, right), so they are
-    materialized once; the returned pairs are materialized as well because
-    scoring reads them several times. Callers whose input is already a cheap
-    scan, or who read the pairs once, can switch either off.
+    A salted self-join (see ``salted_join``). The bucket rows are read three
+    times (sizes and both sides), so they are materialized once; the returned
+    pairs are materialized as well because scoring reads them several times.
+    Callers whose input is already a cheap scan, or who read the pairs once,
+    can switch either off.
     """
     gc = list(group_cols)
     rows = buckets.select(*gc, F.col(key).alias("_k"))
     if materialize_input:
         rows = materialize(rows)
-    sizes = rows.groupBy(*gc).agg(F.count("*").alias("_n"))
-    hot = (sizes.filter(F.col("_n") > F.lit(max_block))
-           .orderBy(F.desc("_n")).limit(max_hot)
-           .select(*gc, F.ceil(F.col("_n") / F.lit(max_block)).cast("int").alias("_s")))
-    salted = (rows.join(F.broadcast(hot), gc, "left")
-              .withColumn("_s", F.coalesce("_s", F.lit(1))))
-    left = salted.select(*gc, F.col("_k").alias("u"),
-                         F.pmod(F.xxhash64("_k"), F.col("_s")).cast("int").alias("_salt"))
-    right = salted.select(*gc, F.col("_k").alias("v"),
-                          F.explode(F.sequence(F.lit(0), F.col("_s") - 1)).alias("_salt"))
-    out = (left.join(right, gc + ["_salt"])
+    out = (salted_join(rows, rows, gc, "_k", "_k", max_block, max_hot)
+           .select(F.col("_bk").alias("u"), F.col("_sk").alias("v"))
            .filter(F.col("u") < F.col("v"))
-           .select("u", "v").distinct())
+           .distinct())
     return materialize(out) if materialize_output else out
 
 

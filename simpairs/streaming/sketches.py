@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from simpairs.operators import banding, minhash
-from simpairs.session import ensure_checkpoint_dir
+from simpairs.session import ensure_checkpoint_dir, materialize
 
 
 def checkpoint_location(spark: SparkSession, name: str) -> str:
@@ -79,7 +79,8 @@ def upkeep_batch(batch: DataFrame, batch_id: int, index_path: str, hits_path: st
     """One micro-batch of ``index_upkeep`` (also callable on a static DataFrame)."""
     spark = batch.sparkSession
     sig = minhash.minhash_signatures(batch.select("key", "element"), spec)
-    new_rows = banding.band_buckets(sig, bands, rows, spec.num_perm)
+    # read by the duplicate check, the probe and the write: sketch the batch once
+    new_rows = materialize(banding.band_buckets(sig, bands, rows, spec.num_perm))
     if _exists(spark, index_path):
         current = (spark.read.parquet(index_path)
                    .filter(F.col("batch_id") != F.lit(batch_id))  # replay-safe
@@ -91,7 +92,8 @@ def upkeep_batch(batch: DataFrame, batch_id: int, index_path: str, hits_path: st
         if dup.limit(1).count() > 0:
             raise ValueError("The given key already exists")
     pool = new_rows if current is None else current.unionByName(new_rows)
-    hits = banding.index_query(pool, new_rows)
+    # the pool is a parquet scan plus the materialized batch: cheap to read twice
+    hits = banding.index_query(pool, new_rows, materialize_index=False)
     tag = F.lit(batch_id).cast("long").alias("batch_id")
     (new_rows.select("key", "band", "bucket", tag).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(index_path))

@@ -68,3 +68,17 @@ def test_salted_pairs_equal_plain(spark):
     expected = {(a, b) for a in range(40) for b in range(a + 1, 40)} | {(1, 2)}
     assert len(got) == len(set(got)) == len(expected)
     assert set(got) == expected
+
+
+def test_salted_index_query_equals_plain_join(spark):
+    from simpairs.operators.pairs import salted_join
+    idx = spark.createDataFrame([(k, 0, "hot") for k in range(30)] + [(100, 1, "x"), (101, 1, "y")],
+                                "key long, band int, bucket string")
+    probe = spark.createDataFrame([(7, 0, "hot"), (8, 0, "hot"), (9, 1, "x"), (10, 1, "z")],
+                                  "key long, band int, bucket string")
+    got = sorted((r._sk, r._bk) for r in salted_join(idx, probe, ("band", "bucket"), "key", "key",
+                                                     max_block=4).collect())
+    expected = sorted([(q, k) for q in (7, 8) for k in range(30)] + [(9, 100)])
+    assert got == expected
+    hits = sorted((r.q, r.key) for r in banding.index_query(idx, probe).collect())
+    assert hits == expected
