@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from simpairs.operators.pairs import bucket_pairs
+from simpairs.operators.pairs import MAX_BLOCK, bucket_pairs, salted_join
 from simpairs.session import materialize
 
 _PIECES = [f"_p{i}{j}" for i in range(2) for j in range(4)]
@@ -50,24 +50,30 @@ def representatives(members: DataFrame) -> DataFrame:
     return members.filter(F.col("key") == F.col("rep")).select("key")
 
 
-def expand_pairs(rep_pairs: DataFrame, members: DataFrame, within_value: dict | None = None) -> DataFrame:
+def expand_pairs(rep_pairs: DataFrame, members: DataFrame, within_value: dict | None = None,
+                 max_block: int = MAX_BLOCK) -> DataFrame:
     """Member pairs of representative pairs, plus all pairs inside each group.
 
     ``rep_pairs`` is ``(u, v, *cols)``; expanded rows keep ``cols``; pairs inside a
     group get the literal values of ``within_value`` for those columns.
     """
     extra = [c for c in rep_pairs.columns if c not in ("u", "v")]
-    a = members.select(F.col("rep").alias("u"), F.col("key").alias("_x"))
-    b = members.select(F.col("rep").alias("v"), F.col("key").alias("_y"))
-    cross = (rep_pairs.join(a, "u").join(b, "v")
-             .select(F.least("_x", "_y").alias("u"), F.greatest("_x", "_y").alias("v"), *extra))
+    # both expansions are salted joins on the representative: a group of copies
+    # holding a third of all keys is split into blocks instead of one task
+    grp = members.select(F.col("rep").alias("_g"), "key")
+    first = salted_join(grp, rep_pairs.select(F.col("u").alias("_g"), "v", *extra), ("_g",),
+                        "key", "v", max_block, small_cols=tuple(extra))
+    first = first.select(F.col("_bk").alias("_x"), F.col("_sk").alias("_g"), *extra)
+    second = salted_join(grp, first, ("_g",), "key", "_x", max_block, small_cols=tuple(extra))
+    cross = second.select(F.least("_sk", "_bk").alias("u"), F.greatest("_sk", "_bk").alias("v"),
+                          *extra)
     if members.filter(F.col("key") != F.col("rep")).limit(1).count() == 0:
         return cross  # no group has two members
     multi = members.groupBy("rep").agg(F.count("*").alias("_c")).filter(F.col("_c") > 1)
     grouped = members.join(multi.select("rep"), "rep", "left_semi")
     # members is materialized already and the pairs are read once: no extra copies
     within = bucket_pairs(grouped.select(F.col("rep").alias("_g"), "key"), ("_g",), "key",
-                          materialize_input=False, materialize_output=False)
+                          max_block=max_block, materialize_input=False, materialize_output=False)
     values = within_value or {}
     within = within.select("u", "v", *[F.lit(values[c]).alias(c) if c in values else
                                        F.lit(None).cast(rep_pairs.schema[c].dataType).alias(c)

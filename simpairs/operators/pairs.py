@@ -43,8 +43,9 @@ def hot_groups(rows: DataFrame, group_cols, max_block: int = MAX_BLOCK,
 
 
 def salted_join(big: DataFrame, small: DataFrame, group_cols, big_key: str, small_key: str,
-                max_block: int = MAX_BLOCK, max_hot: int = MAX_HOT) -> DataFrame:
-    """Rows ``(*group_cols, _salt, _sk, _bk)`` for every small/big pair sharing a group.
+                max_block: int = MAX_BLOCK, max_hot: int = MAX_HOT,
+                small_cols: tuple = ()) -> DataFrame:
+    """Rows ``(*group_cols, _salt, _sk, *small_cols, _bk)`` for every small/big pair sharing a group.
 
     Hot groups of ``big`` are split into blocks by a hash of ``big_key``; the
     rows of ``small`` in those groups are replicated once per block, so every
@@ -55,9 +56,9 @@ def salted_join(big: DataFrame, small: DataFrame, group_cols, big_key: str, smal
     b = (big.select(*gc, F.col(big_key).alias("_bk")).join(hot, gc, "left")
          .select(*gc, "_bk", F.pmod(F.xxhash64("_bk"), F.coalesce("_s", F.lit(1))).cast("int")
                  .alias("_salt")))
-    sm = (small.select(*gc, F.col(small_key).alias("_sk")).join(hot, gc, "left")
-          .select(*gc, "_sk", F.explode(F.sequence(F.lit(0), F.coalesce("_s", F.lit(1)) - 1))
-                  .alias("_salt")))
+    sm = (small.select(*gc, F.col(small_key).alias("_sk"), *small_cols).join(hot, gc, "left")
+          .select(*gc, "_sk", *small_cols,
+                  F.explode(F.sequence(F.lit(0), F.coalesce("_s", F.lit(1)) - 1)).alias("_salt")))
     return sm.join(b, gc + ["_salt"])
 
 

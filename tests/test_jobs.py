@@ -66,3 +66,17 @@ def test_group_of_copies_matches_plain_path(spark):
     ca = sorted(tuple(r) for r in jobs.jaccard_candidates(sets, 7, collapse_copies=True).collect())
     cb = sorted(tuple(r) for r in jobs.jaccard_candidates(sets, 7, collapse_copies=False).collect())
     assert ca == cb
+
+
+def test_expand_pairs_salted_equals_unsalted(spark):
+    from simpairs.operators import copies
+    # group 0 has 25 members, group 100 has 6, group 200 has 1
+    members = spark.createDataFrame([(k, 0) for k in range(25)] + [(100 + k, 100) for k in range(6)]
+                                    + [(200, 200)], "key long, rep long")
+    reps = spark.createDataFrame([(0, 100, 0.7), (0, 200, 0.6), (100, 200, 0.55)],
+                                 "u long, v long, jaccard double")
+    a = sorted(tuple(r) for r in copies.expand_pairs(reps, members, {"jaccard": 1.0}).collect())
+    b = sorted(tuple(r) for r in copies.expand_pairs(reps, members, {"jaccard": 1.0}, max_block=3).collect())
+    assert a == b
+    assert len(a) == 25 * 6 + 25 + 6 + 25 * 24 // 2 + 6 * 5 // 2
+    assert all(u < v for u, v, _ in a)
