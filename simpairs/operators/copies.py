@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from simpairs.operators.pairs import MAX_BLOCK, bucket_pairs, salted_join
+from simpairs.operators.pairs import MAX_BLOCK, bucket_pairs, hot_groups, salted_join
 from simpairs.session import materialize
 
 _PIECES = [f"_p{i}{j}" for i in range(2) for j in range(4)]
@@ -58,17 +58,19 @@ def expand_pairs(rep_pairs: DataFrame, members: DataFrame, within_value: dict |
     group get the literal values of ``within_value`` for those columns.
     """
     extra = [c for c in rep_pairs.columns if c not in ("u", "v")]
+    if members.filter(F.col("key") != F.col("rep")).limit(1).count() == 0:
+        return rep_pairs  # every group is a single key: nothing to expand
     # both expansions are salted joins on the representative: a group of copies
     # holding a third of all keys is split into blocks instead of one task
     grp = members.select(F.col("rep").alias("_g"), "key")
+    hot = hot_groups(grp, ("_g",), max_block)
     first = salted_join(grp, rep_pairs.select(F.col("u").alias("_g"), "v", *extra), ("_g",),
-                        "key", "v", max_block, small_cols=tuple(extra))
+                        "key", "v", max_block, small_cols=tuple(extra), hot=hot)
     first = first.select(F.col("_bk").alias("_x"), F.col("_sk").alias("_g"), *extra)
-    second = salted_join(grp, first, ("_g",), "key", "_x", max_block, small_cols=tuple(extra))
+    second = salted_join(grp, first, ("_g",), "key", "_x", max_block, small_cols=tuple(extra),
+                         hot=hot)
     cross = second.select(F.least("_sk", "_bk").alias("u"), F.greatest("_sk", "_bk").alias("v"),
                           *extra)
-    if members.filter(F.col("key") != F.col("rep")).limit(1).count() == 0:
-        return cross  # no group has two members
     multi = members.groupBy("rep").agg(F.count("*").alias("_c")).filter(F.col("_c") > 1)
     grouped = members.join(multi.select("rep"), "rep", "left_semi")
     # members is materialized already and the pairs are read once: no extra copies

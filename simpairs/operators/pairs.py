@@ -44,7 +44,7 @@ def hot_groups(rows: DataFrame, group_cols, max_block: int = MAX_BLOCK,
 
 def salted_join(big: DataFrame, small: DataFrame, group_cols, big_key: str, small_key: str,
                 max_block: int = MAX_BLOCK, max_hot: int = MAX_HOT,
-                small_cols: tuple = ()) -> DataFrame:
+                small_cols: tuple = (), hot: DataFrame | None = None) -> DataFrame:
     """Rows ``(*group_cols, _salt, _sk, *small_cols, _bk)`` for every small/big pair sharing a group.
 
     Hot groups of ``big`` are split into blocks by a hash of ``big_key``; the
@@ -52,7 +52,8 @@ def salted_join(big: DataFrame, small: DataFrame, group_cols, big_key: str, smal
     matching pair meets exactly once and no task holds a whole hot group.
     """
     gc = list(group_cols)
-    hot = hot_groups(big, gc, max_block, max_hot)
+    if hot is None:
+        hot = hot_groups(big, gc, max_block, max_hot)
     b = (big.select(*gc, F.col(big_key).alias("_bk")).join(hot, gc, "left")
          .select(*gc, "_bk", F.pmod(F.xxhash64("_bk"), F.coalesce("_s", F.lit(1))).cast("int")
                  .alias("_salt")))

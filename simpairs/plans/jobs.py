@@ -20,6 +20,14 @@ from simpairs.session import materialize
 METHOD_THRESHOLDS = {"js": 0.5, "cs": 0.67, "dcs": 0.66}
 
 
+def _copy_members(sets: DataFrame) -> DataFrame | None:
+    """Copy groups of the sets, or None when every set is unique (nothing to collapse)."""
+    members = copies.copy_groups(sets)
+    if members.filter(F.col("key") != F.col("rep")).limit(1).count() == 0:
+        return None
+    return members
+
+
 def _signature_candidates(sets: DataFrame, seed: int, bands, threshold: float, num_perm: int,
                           method: str, members: DataFrame | None) -> DataFrame:
     validate(threshold, num_perm)
@@ -42,11 +50,9 @@ def jaccard_candidates(sets: DataFrame, seed: int = 1, bands: tuple[int, int] |
     ``collapse_copies`` identical sets are banded once and expanded after
     (same pairs, no quadratic bucket for a large group of copies).
     """
-    if not collapse_copies:
-        return _signature_candidates(sets, seed, bands, threshold, num_perm, method, None)
-    members = copies.copy_groups(sets)
+    members = _copy_members(sets) if collapse_copies else None
     rep = _signature_candidates(sets, seed, bands, threshold, num_perm, method, members)
-    return copies.expand_pairs(rep, members)
+    return rep if members is None else copies.expand_pairs(rep, members)
 
 
 def jaccard_pairs(sets: DataFrame, threshold: float = 0.5, seed: int = 1,
@@ -58,7 +64,7 @@ def jaccard_pairs(sets: DataFrame, threshold: float = 0.5, seed: int = 1,
     and set semantics are restored (``distinct``) only for candidate keys.
     Copies are verified once through their representative and expanded after.
     """
-    members = copies.copy_groups(sets) if collapse_copies else None
+    members = _copy_members(sets) if collapse_copies else None
     cand = _signature_candidates(sets, seed, bands, threshold, num_perm, "arrow", members)
     keys = (cand.select(F.col("u").alias("key"))
             .union(cand.select(F.col("v").alias("key"))).distinct())
