@@ -40,8 +40,16 @@ def fingerprints(sets: DataFrame, key: str = "key", element: str = "element") ->
 
 def copy_groups(sets: DataFrame, key: str = "key", element: str = "element") -> DataFrame:
     """``(key, rep)`` for every key; ``rep`` is the smallest key with the same multiset."""
-    fp = fingerprints(sets, key, element)
-    cols = ["_n"] + _PIECES
+    return groups_from_fingerprints(fingerprints(sets, key, element), ["_n"] + _PIECES)
+
+
+def groups_from_fingerprints(fp: DataFrame, cols) -> DataFrame:
+    """``(key, rep)`` from any ``(key, *cols)`` fingerprint: equal fingerprints share a rep.
+
+    The fingerprint must imply equal element sets (e.g. a digest of the source
+    a set is derived from); unequal fingerprints only forgo collapsing.
+    """
+    cols = list(cols)
     reps = fp.groupBy(*cols).agg(F.min("key").alias("rep"))
     return materialize(fp.join(reps, cols).select("key", "rep"))
 

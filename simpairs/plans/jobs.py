@@ -20,9 +20,10 @@ from simpairs.session import materialize
 METHOD_THRESHOLDS = {"js": 0.5, "cs": 0.67, "dcs": 0.66}
 
 
-def _copy_members(sets: DataFrame) -> DataFrame | None:
+def _copy_members(sets: DataFrame, members: DataFrame | None = None) -> DataFrame | None:
     """Copy groups of the sets, or None when every set is unique (nothing to collapse)."""
-    members = copies.copy_groups(sets)
+    if members is None:
+        members = copies.copy_groups(sets)
     if members.filter(F.col("key") != F.col("rep")).limit(1).count() == 0:
         return None
     return members
@@ -43,28 +44,32 @@ def _signature_candidates(sets: DataFrame, seed: int, bands, threshold: float, n
 
 def jaccard_candidates(sets: DataFrame, seed: int = 1, bands: tuple[int, int] | None = (22, 5),
                        threshold: float = 0.5, num_perm: int = 128,
-                       method: str = "arrow", collapse_copies: bool = True) -> DataFrame:
+                       method: str = "arrow", collapse_copies: bool = True,
+                       copy_members: DataFrame | None = None) -> DataFrame:
     """Unverified MinHash-LSH candidate pairs ``(u, v)`` of element sets.
 
     ``bands=None`` picks (b, r) by the false-positive/negative tuner. With
     ``collapse_copies`` identical sets are banded once and expanded after
     (same pairs, no quadratic bucket for a large group of copies).
     """
-    members = _copy_members(sets) if collapse_copies else None
+    members = _copy_members(sets, copy_members) if collapse_copies else None
     rep = _signature_candidates(sets, seed, bands, threshold, num_perm, method, members)
     return rep if members is None else copies.expand_pairs(rep, members)
 
 
 def jaccard_pairs(sets: DataFrame, threshold: float = 0.5, seed: int = 1,
                   bands: tuple[int, int] | None = (22, 5), num_perm: int = 128,
-                  ndigits: int = 6, collapse_copies: bool = True) -> DataFrame:
+                  ndigits: int = 6, collapse_copies: bool = True,
+                  copy_members: DataFrame | None = None) -> DataFrame:
     """Verified pairs: LSH candidates whose exact Jaccard is ≥ ``threshold``.
 
     ``sets`` may repeat an element within a key: the sketch ignores repeats,
     and set semantics are restored (``distinct``) only for candidate keys.
-    Copies are verified once through their representative and expanded after.
+    Copies are verified once through their representative and expanded after;
+    ``copy_members`` may supply the copy groups ``(key, rep)`` (covering exactly
+    the keys that have elements) when the caller knows a cheaper fingerprint.
     """
-    members = _copy_members(sets) if collapse_copies else None
+    members = _copy_members(sets, copy_members) if collapse_copies else None
     cand = _signature_candidates(sets, seed, bands, threshold, num_perm, "arrow", members)
     keys = (cand.select(F.col("u").alias("key"))
             .union(cand.select(F.col("v").alias("key"))).distinct())
@@ -123,7 +128,8 @@ def near_duplicate_documents(docs: DataFrame, threshold: float = 0.5, k: int = 3
                              seed: int = 1, bands: tuple[int, int] | None = (22, 5),
                              num_perm: int = 128) -> DataFrame:
     """Document pairs whose k-word-shingle sets have Jaccard ≥ ``threshold``."""
-    from simpairs.sources.tables import doc_elements
+    from simpairs.sources.tables import doc_copy_groups, doc_elements
 
     sets = doc_elements(docs.sparkSession, "", k, docs=docs)
-    return jaccard_pairs(sets, threshold, seed, bands, num_perm)
+    return jaccard_pairs(sets, threshold, seed, bands, num_perm,
+                         copy_members=doc_copy_groups(docs))

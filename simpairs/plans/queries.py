@@ -73,8 +73,10 @@ def _customer_keys(spark, base):
 
 
 def _doc_candidates(spark, base):
-    return jobs.jaccard_candidates(tb.doc_elements(spark, base, SHINGLE), SEED, (BANDS, ROWS),
-                                   DOC_THRESHOLD)
+    docs = tb.table(spark, base, "documents")
+    return jobs.jaccard_candidates(tb.doc_elements(spark, base, SHINGLE, docs=docs), SEED,
+                                   (BANDS, ROWS), DOC_THRESHOLD,
+                                   copy_members=tb.doc_copy_groups(docs))
 
 
 def _ev_hits(spark, base):

@@ -108,6 +108,21 @@ def doc_elements(spark: SparkSession, base: str, k: int = 3,
     return toks.select("key", F.explode(shingles_of_tokens("_tok", k)).alias("element"))
 
 
+def doc_copy_groups(docs: DataFrame) -> DataFrame:
+    """Copy groups of documents with at least one word: equal text ⇒ equal shingle set.
+
+    One SHA-256 per document instead of a hash per shingle.
+    """
+    from simpairs.functions.text import WHITESPACE
+    from simpairs.operators.copies import groups_from_fingerprints
+
+    has_words = F.col("text").rlike("[^" + WHITESPACE[1:-2] + "]")
+    fp = (docs.filter(F.col("text").isNotNull() & has_words)
+          .select(F.col("doc_id").alias("key"), F.sha2(F.col("text"), 256).alias("_h"),
+                  F.length("text").alias("_l")))
+    return groups_from_fingerprints(fp, ["_h", "_l"])
+
+
 def doc_shingles(spark: SparkSession, base: str, k: int = 3,
                  docs: DataFrame | None = None) -> DataFrame:
     """Fixture ``doc_shingles``: distinct lower-cased k-word shingles per document."""

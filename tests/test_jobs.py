@@ -80,3 +80,13 @@ def test_expand_pairs_salted_equals_unsalted(spark):
     assert a == b
     assert len(a) == 25 * 6 + 25 + 6 + 25 * 24 // 2 + 6 * 5 // 2
     assert all(u < v for u, v, _ in a)
+
+
+def test_doc_copy_groups_skip_wordless_texts(spark):
+    from simpairs.sources.tables import doc_copy_groups
+    docs = spark.createDataFrame([(1, "a b c"), (2, "a b c"), (3, "  \n "), (4, "  \n "), (5, None), (6, "x")],
+                                 "doc_id long, text string")
+    got = sorted(tuple(r) for r in doc_copy_groups(docs).collect())
+    assert got == [(1, 1), (2, 1), (6, 6)]
+    pairs = {(r.u, r.v) for r in jobs.near_duplicate_documents(docs, 0.5, seed=3).collect()}
+    assert pairs == {(1, 2)}
