@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from simpairs.operators.pairs import salted_join
+from simpairs.operators.pairs import hot_groups, salted_join
 from simpairs.operators.tuning import check_bands
 from simpairs.session import materialize
 
@@ -38,8 +38,8 @@ def band_buckets(sig: DataFrame, bands: int = DEFAULT_BANDS[0], rows: int = DEFA
 
 def duplicate_keys(index: DataFrame, new_rows: DataFrame) -> DataFrame:
     """Keys of ``new_rows`` that are already in ``index`` (distinct)."""
-    return (new_rows.select("key").distinct()
-            .join(index.select("key").distinct(), "key", "left_semi"))
+    # a semi-join ignores repeats on the index side: no distinct over the whole index
+    return new_rows.select("key").distinct().join(index.select("key"), "key", "left_semi")
 
 
 def index_insert(index: DataFrame, new_rows: DataFrame, check_duplication: bool = True) -> DataFrame:
@@ -68,7 +68,10 @@ def index_query(index: DataFrame, probe: DataFrame, bands: int | None = None,
     idx = index.select("key", "band", "bucket")
     if materialize_index:
         idx = materialize(idx)
-    hits = salted_join(idx, probe, ("band", "bucket"), "key", "key")
+    gc = ("band", "bucket")
+    # only buckets the probe touches can be hot for this lookup
+    touched = idx.join(probe.select(*gc).distinct(), list(gc), "left_semi")
+    hits = salted_join(idx, probe, gc, "key", "key", hot=hot_groups(touched, gc))
     return hits.select(F.col("_sk").alias("q"), F.col("_bk").alias("key")).distinct()
 
 
