@@ -76,9 +76,28 @@ def materialize(df: DataFrame) -> DataFrame:
         return df.persist(StorageLevel.MEMORY_AND_DISK)
     path = f"{root.rstrip('/')}/simpairs-tables/{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.parquet(path)
 
 
+_WRITTEN: dict[str, list[str]] = {}
+
+
+def drop_materialized(spark: SparkSession) -> int:
+    """Delete the intermediate tables this application wrote; returns how many.
+
+    Call once the results that depend on them have been written or collected:
+    DataFrames built on a dropped table can no longer be evaluated.
+    """
+    sc = spark.sparkContext
+    paths = _WRITTEN.pop(sc.applicationId, [])
+    jvm = sc._jvm
+    for path in paths:
+        jpath = jvm.org.apache.hadoop.fs.Path(path)
+        jpath.getFileSystem(sc._jsc.hadoopConfiguration()).delete(jpath, True)
+    return len(paths)
+
+
 _SHIPPED: set[str] = set()
 
 

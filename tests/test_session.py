@@ -13,3 +13,14 @@ def test_materialize_reads_back_same_rows(spark):
     m = materialize(df)
     assert sorted(tuple(r) for r in m.collect()) == sorted(tuple(r) for r in df.collect())
     assert "Scan parquet" in m._jdf.queryExecution().simpleString() or m.is_cached
+
+
+def test_drop_materialized(spark):
+    import os
+
+    from simpairs.session import drop_materialized
+    m = materialize(spark.range(5))
+    path = m.inputFiles()[0]
+    assert drop_materialized(spark) >= 1
+    assert not os.path.exists(path.replace("file:", ""))
+    assert drop_materialized(spark) == 0
