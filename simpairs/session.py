@@ -13,8 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int = 8, shuffle_partitions: int | None = None,
-                  app: str = "simpairs") -> SparkSession:
-    """A local[N] session configured like the cluster one (AQE on, UI off)."""
+                  app: str = "simpairs", checkpoint_dir: str | None = None) -> SparkSession:
+    """A local[N] session configured like the cluster one (AQE on, UI off).
+
+    ``checkpoint_dir`` is set where the configuration names none; without
+    one, intermediates are persisted.
+    """
     parts = shuffle_partitions or cores
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -31,65 +35,67 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None,
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark, local_fallback=True)
+    if checkpoint_dir and not shared_folder(spark):
+        spark.sparkContext.setCheckpointDir(checkpoint_dir)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession, local_fallback: bool = False) -> str | None:
-    """Make sure the context has a reliable checkpoint directory.
+def shared_folder(spark: SparkSession) -> str | None:
+    """The folder that driver and executors share, as ``spark.checkpoint.dir`` names it.
 
-    The cluster names a shared folder in ``spark.checkpoint.dir``; that wins.
-    Only local runs (tests, bench) may fall back to a fresh temp folder.
+    None when the session names none. A context whose checkpoint folder was
+    set by its owner (``sc.setCheckpointDir``, as the tests do) counts too.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
-    if conf_dir:
-        sc.setCheckpointDir(conf_dir)
-        return conf_dir
-    if local_fallback and sc.master.startswith("local"):
-        path = tempfile.mkdtemp(prefix="simpairs-ckpt-")
-        sc.setCheckpointDir(path)
-        return path
-    return None
+    return named or sc.getCheckpointDir()
+
+
+def shared_path(spark: SparkSession, kind: str) -> str | None:
+    """A new path for one table below the shared folder; None without such a folder."""
+    import uuid
+
+    root = shared_folder(spark)
+    if root is None:
+        return None
+    path = f"{root.rstrip('/')}/simpairs-{kind}/{uuid.uuid4().hex}"
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def materialize(df: DataFrame) -> DataFrame:
     """Compute ``df`` once for several later uses, cutting its lineage.
 
-    The rows are written once as a parquet table under the checkpoint folder
-    the cluster names in ``spark.checkpoint.dir`` (local runs fall back to a
-    temp folder) and read back, so later stages scan files instead of
-    recomputing – and survive lost executors. With no folder at all the rows
-    are persisted (memory and disk) instead.
+    The rows are written as a parquet table below the shared folder of
+    ``spark.checkpoint.dir`` and read back, so later stages scan files that
+    outlive any executor. A session without such a folder keeps the rows by
+    ``persist`` instead (recomputed from their lineage if lost).
     """
-    import uuid
-
     from pyspark import StorageLevel
 
-    spark = df.sparkSession
-    root = ensure_checkpoint_dir(spark, local_fallback=True)
-    if root is None:
-        return df.persist(StorageLevel.MEMORY_AND_DISK)
-    path = f"{root.rstrip('/')}/simpairs-tables/{uuid.uuid4().hex}"
+    path = shared_path(df.sparkSession, "tables")
+    if path is None:
+        kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+        _KEPT.setdefault(df.sparkSession.sparkContext.applicationId, []).append(kept)
+        return kept
     df.write.mode("error").parquet(path)
-    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
-    return spark.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_KEPT: dict[str, list[DataFrame]] = {}
 _WRITTEN: dict[str, list[str]] = {}
 
 
 def drop_materialized(spark: SparkSession) -> int:
-    """Delete the intermediate tables this application wrote; returns how many.
+    """Delete (and unpersist) the intermediate tables of this application; returns how many tables.
 
     Call once the results that depend on them have been written or collected:
     DataFrames built on a dropped table can no longer be evaluated.
     """
     sc = spark.sparkContext
+    for kept in _KEPT.pop(sc.applicationId, []):
+        kept.unpersist()
     paths = _WRITTEN.pop(sc.applicationId, [])
     jvm = sc._jvm
     for path in paths:

@@ -23,13 +23,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from simpairs.operators import banding, minhash
-from simpairs.session import ensure_checkpoint_dir, materialize
+from simpairs.session import materialize, shared_folder
 
 
 def checkpoint_location(spark: SparkSession, name: str) -> str:
-    root = ensure_checkpoint_dir(spark, local_fallback=True)
-    if root is None:
-        raise ValueError("streaming needs spark.checkpoint.dir (a shared folder)")
+    """Folder of one stream: below ``spark.checkpoint.dir``, else below the warehouse.
+
+    Both are shared by driver and executors; no machine-local folder is used.
+    """
+    root = shared_folder(spark) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/streams/{name}"
 
 

@@ -9,10 +9,11 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from simpairs.session import local_session
 
-    s = local_session(cores=4, shuffle_partitions=4, app="simpairs-tests")
+    s = local_session(cores=4, shuffle_partitions=4, app="simpairs-tests",
+                      checkpoint_dir=str(tmp_path_factory.mktemp("shared")))
     yield s
     s.stop()
 
