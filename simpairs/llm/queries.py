@@ -7,12 +7,20 @@ derive the columns of their contract from its result.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from simpairs.llm import packing, token_counts
+from simpairs.llm import mixing, packing, token_counts
 from simpairs.llm.common import table
 from simpairs.session import shared_path
 
 
+def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.by_position(mixing.mix(table(spark, sf_dir, "documents")))
+    time = lambda i: F.round(F.col("positions")[i], 9)
+    return mixed.select("row.doc_id", "size", "source_size", "target", "taken",
+                        time(0).alias("position"), time(1).alias("repeat_position"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -24,7 +32,8 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_source_mix": op2_source_mix,
     "op5_packing": op5_packing,
     "op10_token_counts": op10_token_counts,
 }
-ORACLE: dict[str, str] = {}
+from simpairs.llm.oracle import ORACLE  # noqa: E402,F401
