@@ -32,13 +32,15 @@ def no_nulls(text: str = "text") -> Column:
     return F.coalesce(F.col(text), F.lit(""))
 
 
-def text_key(doc_id: str = "doc_id", text: str = "text") -> Column:
-    """128-bit key of a row by its id and text, as two longs in a struct.
+def row_key(df: DataFrame) -> Column:
+    """128-bit key of a row by all its columns (maps aside), as a struct of two longs.
 
-    Rows equal in both columns share it; null and empty differ.
+    Equal rows share it; a null differs from any value.
     """
-    return F.struct(F.xxhash64(F.lit(1), F.col(doc_id).isNull(), doc_id, F.col(text).isNull(), text).alias("a"),
-                    F.xxhash64(F.lit(2), F.col(text).isNull(), text, F.col(doc_id).isNull(), doc_id).alias("b"))
+    columns = [F.col(f"`{f.name}`") for f in df.schema.fields if f.dataType.typeName() != "map"]
+    flags = [c.isNull() for c in columns]
+    return F.struct(F.xxhash64(F.lit(1), *columns, *flags).alias("a"),
+                    F.xxhash64(F.lit(2), *reversed(columns), *flags).alias("b"))
 
 
 def byte_texts(column: pa.Array) -> Iterator[bytes | None]:

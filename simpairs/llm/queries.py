@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from simpairs.llm import mixing, packing, token_counts
+from simpairs.llm import mixing, packing, simhash, token_counts
 from simpairs.llm.common import table
 from simpairs.session import shared_path
 
@@ -25,6 +25,11 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op7_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
+    return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A cold cache for each call: every distinct content is encoded."""
     return token_counts.token_counts(table(spark, sf_dir, "documents"),
@@ -34,6 +39,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_source_mix": op2_source_mix,
     "op5_packing": op5_packing,
+    "op7_simhash_groups": op7_simhash_groups,
     "op10_token_counts": op10_token_counts,
 }
 from simpairs.llm.oracle import ORACLE  # noqa: E402,F401
