@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from simpairs.llm import mixing, packing, simhash, token_counts
+from simpairs.llm import langid, mixing, packing, simhash, token_counts
 from simpairs.llm.common import table
 from simpairs.session import shared_path
 
@@ -30,6 +30,12 @@ def op7_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = langid.identify(docs, langid.learn(langid.learning_rows(docs)))
+    return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A cold cache for each call: every distinct content is encoded."""
     return token_counts.token_counts(table(spark, sf_dir, "documents"),
@@ -40,6 +46,7 @@ QUERIES = {
     "op2_source_mix": op2_source_mix,
     "op5_packing": op5_packing,
     "op7_simhash_groups": op7_simhash_groups,
+    "op8_language_id": op8_language_id,
     "op10_token_counts": op10_token_counts,
 }
 from simpairs.llm.oracle import ORACLE  # noqa: E402,F401
