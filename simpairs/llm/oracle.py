@@ -38,4 +38,18 @@ SELECT doc_id, size, CAST(source_size AS BIGINT) AS source_size, target, CAST(pa
 FROM p
 """
 
-ORACLE = {"op2_source_mix": OP2}
+OP4 = r"""
+WITH v AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.x, c.x) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id != c.vec_id
+  WHERE q.vec_id % 50 = 0),
+r AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+ORACLE = {"op2_source_mix": OP2, "op4_exact_topk": OP4}

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from simpairs.llm import langid, mixing, packing, simhash, token_counts
+from simpairs.llm import ann, bitslice, langid, mixing, packing, simhash, token_counts
 from simpairs.llm.common import table
 from simpairs.session import shared_path
 
@@ -21,6 +21,10 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
                         time(0).alias("position"), time(1).alias("repeat_position"))
 
 
+def op4_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitslice.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256)
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -36,6 +40,10 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op9_ann_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A cold cache for each call: every distinct content is encoded."""
     return token_counts.token_counts(table(spark, sf_dir, "documents"),
@@ -44,9 +52,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_source_mix": op2_source_mix,
+    "op4_exact_topk": op4_exact_topk,
     "op5_packing": op5_packing,
     "op7_simhash_groups": op7_simhash_groups,
     "op8_language_id": op8_language_id,
+    "op9_ann_search": op9_ann_search,
     "op10_token_counts": op10_token_counts,
 }
 from simpairs.llm.oracle import ORACLE  # noqa: E402,F401
