@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from simpairs.llm import ann, bitslice, langid, mixing, packing, simhash, token_counts
+from simpairs.llm import ann, bitslice, langid, lines, mixing, packing, simhash, token_counts
 from simpairs.llm.common import table
 from simpairs.session import shared_path
 
@@ -21,6 +21,12 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
                         time(0).alias("position"), time(1).alias("repeat_position"))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = lines.dedup_lines(table(spark, sf_dir, "documents"), keep=("doc_id",))
+    return out.select("row.doc_id", "n_lines", "n_removed",
+                      F.sha2(F.coalesce("kept", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op4_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitslice.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256)
 
@@ -52,6 +58,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_source_mix": op2_source_mix,
+    "op3_line_dedup": op3_line_dedup,
     "op4_exact_topk": op4_exact_topk,
     "op5_packing": op5_packing,
     "op7_simhash_groups": op7_simhash_groups,
