@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from simpairs.llm import ann, bitslice, langid, lines, mixing, packing, simhash, token_counts
+from simpairs.llm import ann, bitslice, langid, lines, mixing, packing, simhash, suffix, token_counts
 from simpairs.llm.common import table
 from simpairs.session import shared_path
 
@@ -35,6 +35,11 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix.repeated_spans(table(spark, sf_dir, "documents"), length=200)
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 def op7_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -61,6 +66,7 @@ QUERIES = {
     "op3_line_dedup": op3_line_dedup,
     "op4_exact_topk": op4_exact_topk,
     "op5_packing": op5_packing,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_simhash_groups": op7_simhash_groups,
     "op8_language_id": op8_language_id,
     "op9_ann_search": op9_ann_search,
