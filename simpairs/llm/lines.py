@@ -162,6 +162,18 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, min_lines: int = MI
 
 
 def deduplicated(docs: DataFrame, min_words: int = MIN_WORDS, min_lines: int = MIN_LINES) -> DataFrame:
-    """The documents with their columns, later repeats of line runs deleted from the text."""
+    """The documents with their columns, later repeats of line runs deleted from the text.
+
+    A column ``n_chars``, if there is one, follows the texts that lost lines.
+    """
     out = dedup_lines(docs, min_words, min_lines)
-    return out.select(*[F.col("kept").alias("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])
+
+    def column(c):
+        if c == "text":
+            return F.col("kept").alias(c)
+        if c == "n_chars":
+            kind = docs.schema[c].dataType
+            return F.when(F.col("n_removed") > 0, F.char_length("kept").cast(kind)).otherwise(F.col("row")[c]).alias(c)
+        return F.col("row")[c].alias(c)
+
+    return out.select(*[column(c) for c in docs.columns])
