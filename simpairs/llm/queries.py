@@ -9,11 +9,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from simpairs.llm import ann, bitslice, langid, lines, mixing, packing, simhash, suffix, token_counts
+from simpairs.llm import ann, bitslice, langid, lines, mixing, packing, secret_scan, simhash, suffix, token_counts
 from simpairs.llm.common import table
 from simpairs.session import shared_path
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trained on format-labelled findings outside the held-out quarter of ids; judges all candidates."""
+    out = secret_scan.secrets(table(spark, sf_dir, "documents"), learn_from=~langid.held_out())
+    return out.select("doc_id", "start", "length", F.sha2("finding", 256).alias("finding_sha256"),
+                      F.round("score", 6).alias("score"), "is_secret")
+
+
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.by_position(mixing.mix(table(spark, sf_dir, "documents")))
     time = lambda i: F.round(F.col("positions")[i], 9)
@@ -62,6 +69,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_secret_scan": op1_secret_scan,
     "op2_source_mix": op2_source_mix,
     "op3_line_dedup": op3_line_dedup,
     "op4_exact_topk": op4_exact_topk,
