@@ -71,9 +71,11 @@ def source_targets(sizes: DataFrame, schedules: DataFrame, share: float = SHARE,
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     left = F.sum(F.col("source_size")).over(everything) * F.lit(share) - F.coalesce(F.sum("cap").over(before), F.lit(0.0))
     over = F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0.0))
-    s = s.withColumn("level", left / over)
+    s = s.withColumn("level", left / over).withColumn("place", F.row_number().over(order))
     s = s.withColumn("full", F.col("cap") <= F.col("level") * F.col("weight"))
-    level = F.min(F.when(~F.col("full"), F.struct((F.col("cap") / F.col("weight")).alias("r"), "level"))).over(everything)
+    # the first source that its level leaves below its cap; later ones were counted down with it
+    level = F.min(F.when(~F.col("full"), F.struct("place", "level"))).over(everything)
+    s = s.withColumn("full", F.col("full") & (level.isNull() | (F.col("place") < level["place"])))
     return s.select("source", "source_size", "weight", "segments",
                     F.when(F.col("full"), F.col("cap")).otherwise(level["level"] * F.col("weight")).alias("target"))
 

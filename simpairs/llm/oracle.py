@@ -13,13 +13,15 @@ s AS (
   FROM d GROUP BY source),
 l AS (
   SELECT *, (sum(source_size) OVER () * 1.5::DOUBLE - coalesce(sum(2 * source_size) OVER b, 0))
-            / (sum(w) OVER () - coalesce(sum(w) OVER b, 0)) AS level
+            / (sum(w) OVER () - coalesce(sum(w) OVER b, 0)) AS level,
+         row_number() OVER (ORDER BY 2 * source_size / w, source NULLS LAST) AS place
   FROM s WINDOW b AS (ORDER BY 2 * source_size / w, source NULLS LAST
                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 t AS (
   SELECT source, source_size, w, CASE w WHEN 3 THEN -0.5::DOUBLE WHEN 1 THEN 0.5::DOUBLE ELSE 0::DOUBLE END AS slope,
-         CASE WHEN 2 * source_size <= level * w THEN 2 * source_size
-              ELSE w * (SELECT arg_min(level, 2 * source_size / w) FROM l WHERE 2 * source_size > level * w) END AS target
+         CASE WHEN place < coalesce((SELECT min(place) FROM l WHERE 2 * source_size > level * w), place + 1)
+              THEN 2 * source_size
+              ELSE w * (SELECT arg_min(level, place) FROM l WHERE 2 * source_size > level * w) END AS target
   FROM l),
 c AS (
   SELECT d.doc_id, d.size, t.source_size, t.w, t.slope, t.target,
