@@ -167,12 +167,12 @@ def learn(labelled: DataFrame, sample: int = SAMPLE) -> Model:
     return fit_model(list(got["lang"]), x)
 
 
-def _batches_of(batch: pa.RecordBatch, model: Model):
-    """Languages and scores of a batch; ``und`` for a null text or one without a letter."""
+def _languages(texts: pa.Array, model: Model):
+    """Languages and scores of texts; ``und`` for a null text or one without a letter."""
     import regex
 
     letter = regex.compile(r"\p{L}")
-    names, scores = ["und"] * batch.num_rows, [0.0] * batch.num_rows
+    names, scores = ["und"] * len(texts), [0.0] * len(texts)
     if not model.families:
         return names, scores
     held, at = [], []
@@ -182,7 +182,7 @@ def _batches_of(batch: pa.RecordBatch, model: Model):
             names[i], scores[i] = name, float(score)
         held.clear(), at.clear()
 
-    for i, text in enumerate(common.byte_texts(batch.column("text"))):
+    for i, text in enumerate(common.byte_texts(texts)):
         if text and letter.search(text.decode()):
             held.append(features(text))
             at.append(i)
@@ -206,13 +206,12 @@ def identify(docs: DataFrame, model: Model, keep: tuple = ("doc_id",)) -> DataFr
 
     def run(batches):
         for batch in batches:
-            names, scores = _batches_of(batch, shared.value)
-            rest = [batch.column(c) for c in batch.schema.names[:-1]]
-            yield pa.RecordBatch.from_arrays([*rest, pa.array(names, pa.string()), pa.array(scores, pa.float64())],
+            names, scores = _languages(batch.columns[-1], shared.value)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(names, pa.string()), pa.array(scores, pa.float64())],
                                              names=[*batch.schema.names[:-1], "lang_pred", "score"])
 
-    rows = docs.select(*[F.col(c) for c in keep], F.col("text").cast("string").alias("text"))
-    ddl = ", ".join(f"`{c}` {common.sql_type(rows, c)}" for c in keep) + ", lang_pred string, score double"
+    rows = docs.select(*[F.col(c) for c in keep], F.col("text").cast("string").alias("text to identify"))
+    ddl = ", ".join(f"`{c}` {common.sql_type(docs, c)}" for c in keep) + ", lang_pred string, score double"
     return rows.mapInArrow(run, ddl)
 
 
@@ -224,7 +223,7 @@ def known_only(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            names, _ = _batches_of(batch, shared.value)
+            names, _ = _languages(batch.column("text"), shared.value)
             yield batch.filter(pa.array([n != "und" for n in names], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -98,10 +98,9 @@ def fingerprint(text: bytes | None, shingle: int = 3) -> int:
 def _fingerprints(shingle: int):
     def run(batches):
         for batch in batches:
-            values = [fingerprint(t, shingle) for t in common.byte_texts(batch.column("text"))]
-            rest = [c for c in batch.schema.names if c != "text"]
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in rest] + [pa.array(values, pa.int64())],
-                                             names=[*rest, "fp"])
+            values = [fingerprint(t, shingle) for t in common.byte_texts(batch.columns[-1])]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(values, pa.int64())],
+                                             names=[*batch.schema.names[:-1], "fp"])
 
     return run
 
@@ -109,8 +108,8 @@ def _fingerprints(shingle: int):
 def fingerprints(docs: DataFrame, keep: tuple = ("doc_id",), shingle: int = 3) -> DataFrame:
     """``(*keep, fp)`` for each row; ``fp`` is the fingerprint as a signed long."""
     ship_package(docs.sparkSession)
-    rows = docs.select(*keep, F.col("text").cast("string").alias("text"))
-    ddl = ", ".join(f"`{c}` {common.sql_type(rows, c)}" for c in keep) + ", fp long"
+    rows = docs.select(*keep, F.col("text").cast("string").alias("text to hash"))
+    ddl = ", ".join(f"`{c}` {common.sql_type(docs, c)}" for c in keep) + ", fp long"
     return rows.mapInArrow(_fingerprints(shingle), ddl)
 
 
