@@ -74,8 +74,7 @@ def token_counts(docs: DataFrame, tokenizer: str | None = None, cache: str | Non
         (counts.select("digest", F.lit(name).alias("tokenizer"), "n_tokens")
          .write.mode("append").parquet(cache))
         counts = read_cache(spark, cache).filter(F.col("tokenizer") == F.lit(name)).select("digest", "n_tokens")
-    else:
-        counts = materialize(counts)
-    counts = counts.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
+    # one row per digest, stored: a join of two plain shuffles lets a digest with very many rows be split
+    counts = materialize(counts.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens")))
     return (rows.join(counts, "digest")
             .select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > F.lit(limit)).alias("over_limit")))
