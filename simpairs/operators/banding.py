@@ -13,13 +13,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from simpairs.operators.pairs import hot_groups, salted_join
+from simpairs.functions.hashing import sha1_hash32
+from simpairs.operators import minhash
+from simpairs.operators.pairs import cross_pairs
 from simpairs.operators.tuning import check_bands
 from simpairs.session import materialize
 
 DEFAULT_BANDS = (22, 5)
 
 
+def _hex8(v):
+    return F.lpad(F.hex(v), 8, "0")
+
+
+def index_rows(sets: DataFrame, bands: int = DEFAULT_BANDS[0], rows: int = DEFAULT_BANDS[1],
+               spec: minhash.SketchSpec = minhash.SketchSpec(), key: str = "key", element: str = "element",
+               hashfunc=sha1_hash32) -> DataFrame:
+    """Element sets → ``(key, band, bucket)`` in one shuffle; ``bands`` rows per key.
+
+    The same rows as ``band_buckets`` of the signature, which stays the way
+    from a stored signature.
+    """
+    check_bands(bands, rows, spec.num_perm)
+    hashes = minhash.element_hashes(sets, key, element, hashfunc)
+    bucket = F.concat(*[_hex8(f"m{j}") for j in range(rows)])
+    return minhash.band_minimums(hashes, bands, rows, spec).select("key", "band", bucket.alias("bucket"))
+
+
 def band_buckets(sig: DataFrame, bands: int = DEFAULT_BANDS[0], rows: int = DEFAULT_BANDS[1],
                  num_perm: int = 128) -> DataFrame:
     """Long-form signatures → ``(key, band, bucket)``; ``bands`` rows per key.
@@ -31,62 +51,69 @@ def band_buckets(sig: DataFrame, bands: int = DEFAULT_BANDS[0], rows: int = DEFA
     used = sig.filter(F.col("perm") < F.lit(bands * rows))
     grouped = (used.groupBy("key", (F.col("perm") / F.lit(rows)).cast("int").alias("band"))
                .agg(F.array_sort(F.collect_list(F.struct("perm", "v"))).alias("_pv")))
-    bucket = F.array_join(
-        F.transform("_pv", lambda x: F.lpad(F.hex(x["v"]), 8, "0")), "")
+    bucket = F.array_join(F.transform("_pv", lambda x: _hex8(x["v"])), "")
     return grouped.select("key", "band", bucket.alias("bucket"))
 
 
 def duplicate_keys(index: DataFrame, new_rows: DataFrame) -> DataFrame:
-    """Keys of ``new_rows`` that are already in ``index`` (distinct)."""
+    """Keys of ``new_rows`` that the index has already, or that the new rows hold twice (distinct).
+
+    ``new_rows`` are band rows (a repeated (key, band) is a repeated key) or
+    just keys, one row per arrival.
+    """
+    by = ["key", "band"] if "band" in new_rows.columns else ["key"]
+    twice = new_rows.groupBy(*by).agg(F.count("*").alias("_n")).filter("_n > 1").select("key")
     # a semi-join ignores repeats on the index side: no distinct over the whole index
-    return new_rows.select("key").distinct().join(index.select("key"), "key", "left_semi")
+    known = new_rows.select("key").distinct().join(index.select("key"), "key", "left_semi")
+    return known.unionByName(twice).distinct()
 
 
 def index_insert(index: DataFrame, new_rows: DataFrame, check_duplication: bool = True) -> DataFrame:
-    """Append band rows of new keys; with ``check_duplication`` a re-insert fails."""
-    if check_duplication and duplicate_keys(index, new_rows).limit(1).count() > 0:
-        raise ValueError("The given key already exists")
-    return index.unionByName(new_rows.select("key", "band", "bucket"))
+    """Append band rows of new keys; with ``check_duplication`` a key indexed or given twice fails.
+
+    The new rows are read by the check and by the result, so they are computed once.
+    """
+    new_rows = new_rows.select("key", "band", "bucket")
+    if check_duplication:
+        new_rows = materialize(new_rows)
+        found = duplicate_keys(index, new_rows).first()
+        if found is not None:
+            raise ValueError(f"insert of a key that is not new: {found['key']!r}")
+    return index.unionByName(new_rows)
 
 
 def index_query(index: DataFrame, probe: DataFrame, bands: int | None = None,
-                total_bands: int | None = None, materialize_index: bool = True) -> DataFrame:
+                total_bands: int | None = None) -> DataFrame:
     """Keys sharing at least one bucket with each probe key: ``(q, key)`` distinct.
 
     ``probe`` holds band rows ``(key, band, bucket)`` of the query sketches.
     ``bands`` restricts the lookup to the first ``bands`` bands (``_query_b``).
-    The lookup is a salted join: a hot index bucket is split into blocks and
-    the probes of that bucket are replicated per block. The index is read
-    twice (bucket sizes, join), so it is materialized unless the caller's
-    index is already a cheap scan.
+    Both sides of a bucket are dealt into blocks, so neither a hot bucket of
+    the index nor very many equal probes land in one task. Index and probe are
+    read twice (sizes, cells); hand in stored ones.
     """
     if bands is not None:
         if total_bands is not None and bands > total_bands:
-            raise ValueError("b must be less or equal to the number of hash tables")
+            raise ValueError(f"{bands} bands asked for; the index has {total_bands}")
         probe = probe.filter(F.col("band") < F.lit(bands))
         index = index.filter(F.col("band") < F.lit(bands))
-    idx = index.select("key", "band", "bucket")
-    if materialize_index:
-        idx = materialize(idx)
-    gc = ("band", "bucket")
-    # only buckets the probe touches can be hot for this lookup
-    touched = idx.join(probe.select(*gc).distinct(), list(gc), "left_semi")
-    hits = salted_join(idx, probe, gc, "key", "key", hot=hot_groups(touched, gc))
-    return hits.select(F.col("_sk").alias("q"), F.col("_bk").alias("key")).distinct()
+    hits = cross_pairs(probe, index, ("band", "bucket"), "key", "key")
+    return hits.select(F.col("_x").alias("q"), F.col("_y").alias("key")).distinct()
 
 
 def index_contains(index: DataFrame, keys: DataFrame, key: str = "key") -> DataFrame:
     """Keys of ``keys`` present in the index."""
-    k = keys.select(F.col(key).cast("long").alias("key")).distinct()
+    k = keys.select(F.col(key).alias("key")).distinct()
     return k.join(index.select("key"), "key", "left_semi")
 
 
 def index_remove(index: DataFrame, keys: DataFrame, key: str = "key",
                  must_exist: bool = False) -> DataFrame:
     """Index without the given keys; buckets left empty simply have no rows."""
-    k = keys.select(F.col(key).cast("long").alias("key")).distinct()
-    if must_exist and k.join(index.select("key"), "key", "left_anti").limit(1).count() > 0:
-        raise ValueError("The given key does not exist")
+    k = keys.select(F.col(key).alias("key")).distinct()
+    missing = k.join(index.select("key"), "key", "left_anti").first() if must_exist else None
+    if missing is not None:
+        raise ValueError(f"remove of a key that the index lacks: {missing['key']!r}")
     return index.join(k, "key", "left_anti")
 
 
@@ -106,7 +133,7 @@ def bucket_subset_counts(index: DataFrame, keys: DataFrame, key: str = "key") ->
 
 
 def index_contains_rows(index: DataFrame, keys: DataFrame, key: str = "key") -> DataFrame:
-    k = keys.select(F.col(key).cast("long").alias("key")).distinct()
+    k = keys.select(F.col(key).alias("key")).distinct()
     return index.join(k, "key", "left_semi")
 
 
@@ -115,7 +142,7 @@ def index_lookup(index: DataFrame, keys: DataFrame, key: str = "key") -> DataFra
 
     Lists are bounded by the number of bands.
     """
-    k = keys.select(F.col(key).cast("long").alias("key")).distinct()
+    k = keys.select(F.col(key).alias("key")).distinct()
     found = (index.join(k, "key", "left_semi").groupBy("key")
              .agg(F.array_sort(F.collect_list(F.struct("band", "bucket"))).alias("_bb")))
     return (k.join(found, "key", "left")

@@ -5,10 +5,12 @@ would turn the bucket self-join quadratic. They are collapsed first: each
 key gets a multiset fingerprint (element count and sums of two independent
 64-bit hashes, a partial aggregate – no element shuffle), keys with equal
 fingerprints map to one representative (the smallest key), and LSH plus
-verification run on representatives only. Representative pairs are then
-expanded back to member pairs; pairs inside a group (Jaccard 1) come from
-the salted pair generator, so even the expansion of a huge group is split
-over many tasks. The expansion is exactly the result – nothing is dropped.
+verification run on representatives only.
+
+The result of a pair job is then the pairs of representatives plus the
+membership table ``(key, rep)``: linear in a group of copies, and no link is
+lost. ``expand_pairs`` writes out all member pairs – quadratic in a group, so
+only on request.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from simpairs.operators.pairs import MAX_BLOCK, bucket_pairs, hot_groups, salted_join
+from simpairs.operators.pairs import MAX_BLOCK, bucket_pairs, cross_pairs
 from simpairs.session import materialize
 
 _PIECES = [f"_p{i}{j}" for i in range(2) for j in range(4)]
@@ -63,27 +65,18 @@ def expand_pairs(rep_pairs: DataFrame, members: DataFrame, within_value: dict |
     """Member pairs of representative pairs, plus all pairs inside each group.
 
     ``rep_pairs`` is ``(u, v, *cols)``; expanded rows keep ``cols``; pairs inside a
-    group get the literal values of ``within_value`` for those columns.
+    group get the literal values of ``within_value`` for those columns. The
+    output is quadratic in a group of copies, dealt into cells of blocks.
     """
-    extra = [c for c in rep_pairs.columns if c not in ("u", "v")]
-    if members.filter(F.col("key") != F.col("rep")).limit(1).count() == 0:
-        return rep_pairs  # every group is a single key: nothing to expand
-    # both expansions are salted joins on the representative: a group of copies
-    # holding a third of all keys is split into blocks instead of one task
+    extra = tuple(c for c in rep_pairs.columns if c not in ("u", "v"))
     grp = members.select(F.col("rep").alias("_g"), "key")
-    hot = hot_groups(grp, ("_g",), max_block)
-    first = salted_join(grp, rep_pairs.select(F.col("u").alias("_g"), "v", *extra), ("_g",),
-                        "key", "v", max_block, small_cols=tuple(extra), hot=hot)
-    first = first.select(F.col("_bk").alias("_x"), F.col("_sk").alias("_g"), *extra)
-    second = salted_join(grp, first, ("_g",), "key", "_x", max_block, small_cols=tuple(extra),
-                         hot=hot)
-    cross = second.select(F.least("_sk", "_bk").alias("u"), F.greatest("_sk", "_bk").alias("v"),
-                          *extra)
-    multi = members.groupBy("rep").agg(F.count("*").alias("_c")).filter(F.col("_c") > 1)
-    grouped = members.join(multi.select("rep"), "rep", "left_semi")
-    # members is materialized already and the pairs are read once: no extra copies
-    within = bucket_pairs(grouped.select(F.col("rep").alias("_g"), "key"), ("_g",), "key",
-                          max_block=max_block, materialize_input=False, materialize_output=False)
+    first = cross_pairs(rep_pairs.select(F.col("u").alias("_g"), "v", *extra), grp, ("_g",), "v", "key",
+                        extra, max_block).select(F.col("_x").alias("_g"), F.col("_y").alias("_m"), *extra)
+    second = cross_pairs(first, grp, ("_g",), "_m", "key", extra, max_block)
+    cross = second.select(F.least("_x", "_y").alias("u"), F.greatest("_x", "_y").alias("v"), *extra)
+    # members is stored already and the pairs are read once: no extra copies
+    within = bucket_pairs(grp, ("_g",), "key", max_block=max_block, materialize_input=False,
+                          materialize_output=False)
     values = within_value or {}
     within = within.select("u", "v", *[F.lit(values[c]).alias(c) if c in values else
                                        F.lit(None).cast(rep_pairs.schema[c].dataType).alias(c)

@@ -42,10 +42,7 @@ def item_domain(ratings: DataFrame) -> DataFrame:
 
 
 def feature_sample(items: DataFrame, n: int, seed: int = 2020) -> DataFrame:
-    """Seeded sample of ``n`` item ids (md5 order of ``seed:item``, ties by id).
-
-    The result has at most ``n`` rows – a proven bound – so it may be broadcast.
-    """
+    """Seeded sample of ``n`` item ids (md5 order of ``seed:item``, ties by id)."""
     if n < 1:
         raise ValueError("feature sample size must be positive")
     return (items.select("item").distinct()
@@ -53,21 +50,25 @@ def feature_sample(items: DataFrame, n: int, seed: int = 2020) -> DataFrame:
 
 
 def feature_sample_ratings(ratings: DataFrame, n: int, seed: int = 2020) -> DataFrame:
-    """Ratings restricted to a seeded sample of ``n`` items (broadcast semi-join)."""
+    """Ratings restricted to a seeded sample of ``n`` items (semi-join; the optimizer picks its side by size)."""
     sample = feature_sample(item_domain(ratings), n, seed)
-    return ratings.join(F.broadcast(sample), "item", "left_semi")
+    return ratings.join(sample, "item", "left_semi")
 
 
 def rating_vectors(ratings: DataFrame, order: str | None = None) -> DataFrame:
     """Sparse integer rating vectors ``(key, item, w)``.
 
-    Duplicate (user, item) rows resolve to the latest by ``order`` (the
-    reference overwrites in row order); without an order column the largest
-    rating wins. Weights are truncated toward zero to ``long``; zero weights
-    are absent (missing coordinates are 0).
+    Of several rows of one (user, item) the latest by ``order`` counts (the
+    reference overwrites in row order). Without an order column there must be
+    one row of each; a second one fails the job. Weights are truncated toward
+    zero to ``long``; zero weights are absent (missing coordinates are 0).
     """
     r = ratings.select("user", "item", "rating", *([order] if order else []))
-    val = F.max_by("rating", order) if order else F.max("rating")
+    if order:
+        val = F.max_by("rating", order)
+    else:
+        val = F.when(F.count("*") == 1, F.max("rating")).otherwise(
+            F.raise_error(F.lit("several ratings of one user and item: name the order column")))
     w = F.col("rating").cast("long")
     return (r.groupBy("user", "item").agg(val.alias("rating"))
             .select(F.col("user").alias("key"), "item", w.alias("w"))

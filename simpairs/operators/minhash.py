@@ -11,29 +11,32 @@ Long form is what makes the sketch a plain ``min`` aggregate:
 * merge / union of sketches is the same ``min`` over more rows;
 * arrays (``digest``) are only built per key, bounded by ``num_perm``.
 
+Where only band buckets are wanted, ``band_minimums`` emits one row of ``rows``
+minimums per key and band instead, and one shuffle gives the bands.
+
 The permuted hash is ``((a * hv + b) mod 2**64) mod p) & (2**32 - 1)``; the
 ``mod 2**64`` wrap is reproduced exactly. The default plan evaluates it in
-Arrow batches with NumPy ``uint64`` (wraps natively) inside ``mapInPandas``
-and keeps running minimums per key across all batches of a task (a bounded
-map-side combine, flushed every 32k keys); ``method="jvm"`` evaluates it with decimal
-arithmetic in codegen (no Python), used by the streaming path and as a check.
+Arrow batches with NumPy ``uint64`` (wraps natively) and keeps running
+minimums per key across all batches of a task (a bounded map-side combine,
+flushed every 32k keys); the streaming sketch runs the same plan.
+``method="jvm"`` evaluates it with decimal arithmetic in codegen (no Python)
+and serves as a check. A null key or a null element is no member of any set:
+such rows are left out by both.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from simpairs.functions.hashing import MAX_HASH, MERSENNE_PRIME, NUM_PERM, sha1_hash32
 from simpairs.session import ship_package
 
-LONG_FORM = "key long, perm int, v long"
-
-
 @dataclass(frozen=True)
 class SketchSpec:
     """Seed and length of a family of sketches; only equal specs combine."""
@@ -42,17 +45,14 @@ class SketchSpec:
     num_perm: int = NUM_PERM
 
     def __post_init__(self):
-        if self.num_perm < 2:
-            raise ValueError("Too few permutation functions")
-        if self.num_perm > (1 << 32):
-            raise ValueError("Cannot have more than 2**32 permutation functions")
+        if not 2 <= self.num_perm <= 1 << 32:
+            raise ValueError(f"num_perm must lie between 2 and 2**32; {self.num_perm} does not")
 
     def check_compatible(self, other: "SketchSpec") -> None:
-        if other.seed != self.seed:
-            raise ValueError("Cannot combine MinHash signatures with different seeds")
-        if other.num_perm != self.num_perm:
-            raise ValueError("Cannot combine MinHash signatures with different "
-                             "numbers of permutation functions")
+        for field in ("seed", "num_perm"):
+            mine, theirs = getattr(self, field), getattr(other, field)
+            if mine != theirs:
+                raise ValueError(f"sketches of different {field} do not combine: {mine} and {theirs}")
 
 
 def permutations(seed: int = 1, num_perm: int = NUM_PERM) -> np.ndarray:
@@ -91,37 +91,31 @@ def permuted_hash_col(hv: Column, a: int, b: int) -> Column:
     return x.cast("long").bitwiseAND(F.lit(MAX_HASH))
 
 
-def element_hashes(sets: DataFrame, key: str = "key", element: str = "element") -> DataFrame:
-    """(key, hv): the 32-bit SHA-1 hash of every element of every set."""
-    return sets.select(F.col(key).cast("long").alias("key"), sha1_hash32(element).alias("hv"))
-
-
-def _batch_mins(keys: np.ndarray, hv: np.ndarray, ab: np.ndarray, chunk: int):
-    """(unique keys, their (n_keys, num_perm) minimum permuted hashes) of one batch."""
-    num_perm = ab.shape[0]
-    order = np.argsort(keys, kind="stable")
-    keys, hv = keys[order], hv[order]
-    uniq, starts = np.unique(keys, return_index=True)
-    ends = np.append(starts[1:], len(keys))
-    mins = np.empty((len(uniq), num_perm), dtype=np.uint64)
-    # walk groups in row chunks; each chunk reduces its groups with reduceat
-    g = 0
-    while g < len(uniq):
-        g_end = g
-        while g_end < len(uniq) and ends[g_end] - starts[g] <= chunk:
-            g_end += 1
-        if g_end == g:  # a single group larger than a chunk
-            acc = np.full(num_perm, MAX_HASH, dtype=np.uint64)
-            for lo in range(starts[g], ends[g], chunk):
-                ph = permuted_hash_np(hv[lo:min(lo + chunk, ends[g])], ab)
-                acc = np.minimum(acc, ph.min(axis=0))
-            mins[g] = acc
-            g += 1
-            continue
-        lo, hi = starts[g], ends[g_end - 1]
-        ph = permuted_hash_np(hv[lo:hi], ab)
-        mins[g:g_end] = np.minimum.reduceat(ph, starts[g:g_end] - lo, axis=0)
-        g = g_end
+def element_hashes(sets: DataFrame, key: str = "key", element: str = "element",
+                   hashfunc: Callable[[Column], Column] = sha1_hash32) -> DataFrame:
+    """(key, hv): the 32-bit hash of every element of every set; the key keeps its type.
+
+    ``hashfunc`` maps an element column to a long in 0 … 2**32 − 1. Rows with
+    a null key or element are left out.
+    """
+    return (sets.filter(F.col(key).isNotNull() & F.col(element).isNotNull())
+            .select(F.col(key).alias("key"), hashfunc(F.col(element)).alias("hv")))
+
+
+def _batch_mins(codes: np.ndarray, hv: np.ndarray, ab: np.ndarray, chunk: int):
+    """(distinct codes, their (n_codes, num_perm) minimum permuted hashes) of one batch."""
+    order = np.argsort(codes, kind="stable")
+    codes, hv = codes[order], hv[order]
+    uniq, starts = np.unique(codes, return_index=True)
+    mins = np.full((len(uniq), ab.shape[0]), MAX_HASH, dtype=np.uint64)
+    # rows are hashed in chunks; a group cut by a chunk edge takes the minimum of its parts
+    for lo in range(0, len(codes), chunk):
+        hi = min(lo + chunk, len(codes))
+        first = np.searchsorted(starts, lo, side="right") - 1
+        last = np.searchsorted(starts, hi, side="left")
+        cuts = np.maximum(starts[first:last], lo) - lo
+        part = np.minimum.reduceat(permuted_hash_np(hv[lo:hi], ab), cuts, axis=0)
+        mins[first:last] = np.minimum(mins[first:last], part)
     return uniq, mins
 
 
@@ -134,13 +128,13 @@ class _TaskCombiner:
         self.reset()
 
     def reset(self):
-        self.index: dict[int, int] = {}
+        self.index: dict = {}
         self.mins = np.full((1024, self.num_perm), MAX_HASH, dtype=np.uint64)
 
-    def add(self, uniq: np.ndarray, mins: np.ndarray) -> None:
+    def add(self, keys: list, mins: np.ndarray) -> None:
         index = self.index
-        rows = np.fromiter((index.setdefault(k, len(index)) for k in uniq.tolist()),
-                           dtype=np.int64, count=len(uniq))
+        rows = np.fromiter((index.setdefault(k, len(index)) for k in keys),
+                           dtype=np.int64, count=len(keys))
         if len(index) > self.mins.shape[0]:
             grown = np.full((max(len(index), 2 * self.mins.shape[0]), self.num_perm), MAX_HASH,
                             dtype=np.uint64)
@@ -151,53 +145,76 @@ class _TaskCombiner:
     def full(self) -> bool:
         return len(self.index) >= self.max_keys
 
-    def frames(self, perm_ids: np.ndarray, keys_per_frame: int = 4096):
-        n = len(self.index)
-        keys = np.fromiter(self.index.keys(), dtype=np.int64, count=n)
-        for lo in range(0, n, keys_per_frame):
-            hi = min(lo + keys_per_frame, n)
-            yield pd.DataFrame({
-                "key": np.repeat(keys[lo:hi], self.num_perm),
-                "perm": np.tile(perm_ids, hi - lo),
-                "v": self.mins[lo:hi].reshape(-1).astype(np.int64),
-            })
+    def parts(self, keys_per_batch: int = 4096):
+        """(keys, minimums) in slices; the combiner starts anew afterwards."""
+        keys = list(self.index)
+        for lo in range(0, len(keys), keys_per_batch):
+            hi = min(lo + keys_per_batch, len(keys))
+            yield keys[lo:hi], self.mins[lo:hi].astype(np.int64)
         self.reset()
 
 
-def _partial_sketch(ab: np.ndarray, max_keys: int = 32768):
-    """mapInPandas function: per-task partial sketches, flushed every ``max_keys`` keys.
+def _partial_sketch(ab: np.ndarray, emit, max_keys: int = 32768):
+    """mapInArrow function: per-task partial sketches, flushed every ``max_keys`` keys.
 
     Memory stays near ``max_keys × num_perm × 8`` bytes plus one batch, however
-    many keys or rows a task sees; output is one row per (key, perm) per flush.
+    many keys or rows a task sees. ``emit(key array, minimums)`` makes the
+    output batch of some keys.
     """
-    num_perm = ab.shape[0]
-    perm_ids = np.arange(num_perm, dtype=np.int32)
     # keep the (n, num_perm) matrix near 16 MB however large an Arrow batch is
-    chunk = max(1, (1 << 21) // num_perm)
+    chunk = max(1, (1 << 21) // ab.shape[0])
 
     def run(batches):
-        comb = _TaskCombiner(num_perm, max_keys)
-        for pdf in batches:
-            if pdf.empty:
+        comb = _TaskCombiner(ab.shape[0], max_keys)
+        kind = None
+        for batch in batches:
+            if batch.num_rows == 0:
                 continue
-            uniq, mins = _batch_mins(pdf["key"].to_numpy(dtype=np.int64),
-                                     pdf["hv"].to_numpy(dtype=np.int64), ab, chunk)
-            comb.add(uniq, mins)
+            kind = batch.column("key").type
+            keys = batch.column("key").dictionary_encode()
+            uniq, mins = _batch_mins(keys.indices.to_numpy(zero_copy_only=False),
+                                     batch.column("hv").to_numpy(zero_copy_only=False), ab, chunk)
+            comb.add(keys.dictionary.take(pa.array(uniq)).to_pylist(), mins)
             if comb.full():
-                yield from comb.frames(perm_ids)
-        if comb.index:
-            yield from comb.frames(perm_ids)
+                yield from (emit(pa.array(k, kind), m) for k, m in comb.parts())
+        yield from (emit(pa.array(k, kind), m) for k, m in comb.parts())
 
     return run
 
 
+def _long_rows(keys: pa.Array, mins: np.ndarray) -> pa.RecordBatch:
+    n, num_perm = mins.shape
+    return pa.RecordBatch.from_arrays(
+        [keys.take(pa.array(np.repeat(np.arange(n), num_perm))),
+         pa.array(np.tile(np.arange(num_perm, dtype=np.int32), n)), pa.array(mins.reshape(-1))],
+        names=["key", "perm", "v"])
+
+
+def _band_rows(bands: int, rows: int):
+    def emit(keys: pa.Array, mins: np.ndarray) -> pa.RecordBatch:
+        n = len(mins)
+        grid = mins[:, :bands * rows].reshape(n * bands, rows)
+        return pa.RecordBatch.from_arrays(
+            [keys.take(pa.array(np.repeat(np.arange(n), bands))),
+             pa.array(np.tile(np.arange(bands, dtype=np.int32), n)),
+             *[pa.array(np.ascontiguousarray(grid[:, j])) for j in range(rows)]],
+            names=["key", "band", *[f"m{j}" for j in range(rows)]])
+
+    return emit
+
+
+def _key_type(hashes: DataFrame) -> str:
+    return hashes.schema["key"].dataType.simpleString()
+
+
 def signatures_from_hashes(hashes: DataFrame, spec: SketchSpec = SketchSpec(),
                            method: str = "arrow") -> DataFrame:
     """Long-form signatures ``(key, perm, v)`` from ``(key, hv)`` rows."""
     ab = permutations(spec.seed, spec.num_perm)
     if method == "arrow":
         ship_package(hashes.sparkSession)
-        partial = hashes.select("key", "hv").mapInPandas(_partial_sketch(ab), LONG_FORM)
+        partial = hashes.select("key", "hv").mapInArrow(
+            _partial_sketch(ab, _long_rows), f"key {_key_type(hashes)}, perm int, v long")
     elif method == "jvm":
         vals = F.array(*[F.struct(F.lit(i).alias("perm"),
                                   permuted_hash_col(F.col("hv"), int(a), int(b)).alias("v"))
@@ -208,16 +225,27 @@ def signatures_from_hashes(hashes: DataFrame, spec: SketchSpec = SketchSpec(),
     return partial.groupBy("key", "perm").agg(F.min("v").alias("v"))
 
 
+def band_minimums(hashes: DataFrame, bands: int, rows: int, spec: SketchSpec = SketchSpec()) -> DataFrame:
+    """``(key, band, m0 … m<rows−1>)``: the signature cut into bands, in one shuffle by (key, band)."""
+    ship_package(hashes.sparkSession)
+    ab = permutations(spec.seed, spec.num_perm)[:bands * rows]
+    names = [f"m{j}" for j in range(rows)]
+    ddl = f"key {_key_type(hashes)}, band int, " + ", ".join(f"{m} long" for m in names)
+    partial = hashes.select("key", "hv").mapInArrow(_partial_sketch(ab, _band_rows(bands, rows)), ddl)
+    return partial.groupBy("key", "band").agg(*[F.min(m).alias(m) for m in names])
+
+
 def minhash_signatures(sets: DataFrame, spec: SketchSpec = SketchSpec(), key: str = "key",
-                       element: str = "element", method: str = "arrow") -> DataFrame:
+                       element: str = "element", method: str = "arrow",
+                       hashfunc: Callable[[Column], Column] = sha1_hash32) -> DataFrame:
     """Long-form MinHash signatures of the element sets (one row per key, perm)."""
-    return signatures_from_hashes(element_hashes(sets, key, element), spec, method)
+    return signatures_from_hashes(element_hashes(sets, key, element, hashfunc), spec, method)
 
 
 def with_empty_signatures(keys: DataFrame, sig: DataFrame, spec: SketchSpec = SketchSpec(),
                           key: str = "key") -> DataFrame:
     """Signatures for every key of ``keys``; keys without elements get the empty sketch."""
-    grid = (keys.select(F.col(key).cast("long").alias("key")).distinct()
+    grid = (keys.select(F.col(key).alias("key")).distinct()
             .select("key", F.explode(F.sequence(F.lit(0), F.lit(spec.num_perm - 1))).alias("perm")))
     return (grid.join(sig, ["key", "perm"], "left")
             .select("key", "perm", F.coalesce("v", F.lit(MAX_HASH).cast("long")).alias("v")))
@@ -265,7 +293,7 @@ def merge(sig_a: DataFrame, sig_b: DataFrame, spec_a: SketchSpec = SketchSpec(),
 def union(sig: DataFrame, groups: DataFrame, key: str = "key",
           group: str = "group") -> DataFrame:
     """N-way union: the sketch of each group is the min over its members' sketches."""
-    g = groups.select(F.col(key).cast("long").alias("key"), F.col(group).alias("group"))
+    g = groups.select(F.col(key).alias("key"), F.col(group).alias("group"))
     return (sig.join(g, "key")
             .groupBy("group", "perm").agg(F.min("v").alias("v")))
 
@@ -299,17 +327,20 @@ def dim_guard(sig: DataFrame, num_perm: int) -> DataFrame:
     n = signature_length(sig)
     return n.select("key", F.when(F.col("num_perm") == num_perm, F.col("num_perm"))
                     .otherwise(F.raise_error(F.concat(
-                        F.lit("Expecting minhash with length %d, got " % num_perm),
+                        F.lit(f"a sketch has other than {num_perm} values: "),
                         F.col("num_perm").cast("string")))).alias("num_perm"))
 
 
 def merged_pair_cardinality(pairs: DataFrame, sig: DataFrame, u: str = "u", v: str = "v",
                             ndigits: int = 6) -> DataFrame:
-    """Cardinality estimate of the merged (pairwise min) sketch of each pair."""
-    a = sig.select(F.col("key").alias(u), "perm", F.col("v").alias("_a"))
-    b = sig.select(F.col("key").alias(v), "perm", F.col("v").alias("_b"))
-    merged = (pairs.select(u, v).join(a, u).join(b, [v, "perm"])
-              .select(u, v, F.least("_a", "_b").alias("_m")))
-    return merged.groupBy(u, v).agg(
-        F.round(F.count("*") / F.sum(F.col("_m") / F.lit(float(MAX_HASH))) - F.lit(1.0),
-                ndigits).alias("union_card"))
+    """Cardinality estimate of the merged (pairwise min) sketch of each pair.
+
+    One array of values per key meets the pair, not one row per value.
+    """
+    arr = digest(sig)
+    a = arr.select(F.col("key").alias(u), F.col("hashvalues").alias("_a"))
+    b = arr.select(F.col("key").alias(v), F.col("hashvalues").alias("_b"))
+    merged = F.zip_with("_a", "_b", lambda x, y: F.least(x, y) / F.lit(float(MAX_HASH)))
+    total = F.aggregate(merged, F.lit(0.0), lambda s, x: s + x)
+    return (pairs.select(u, v).join(a, u).join(b, v)
+            .select(u, v, F.round(F.size("_a") / total - F.lit(1.0), ndigits).alias("union_card")))

@@ -1,12 +1,12 @@
 """Candidate pairs from shared buckets, exact scoring, and result shaping.
 
-``bucket_pairs`` is the one place where pairs are generated. Buckets are
-sized first (a partial aggregate, skew-safe); the largest ones — at most
-``max_hot`` rows, so the broadcast has a proven bound — are split into
-``ceil(n / max_block)`` salted blocks. A left row keeps its block, the right
-side is replicated once per block, so a hot bucket's comparisons are spread
-over many tasks instead of landing in one. Salting only moves work; every
-pair is produced exactly once either way, so results stay whole.
+``bucket_pairs`` and ``cross_pairs`` are the places where pairs are generated.
+Buckets are sized first (a partial aggregate, stored), and every bucket's rows
+are dealt into blocks of about ``max_block`` rows. Cells of two blocks then
+meet, not whole buckets, so a task sees at most ``max_block``² pairs of a
+bucket, whatever its size and whichever side is large; every pair is met in
+exactly one cell. Block counts reach the rows by a shuffle join, nothing is
+broadcast or capped.
 
 Exact scores use long-form joins keyed by ``(key, element)`` – never a
 collected set – so a key with a huge set is spread by element.
@@ -14,77 +14,68 @@ collected set – so a key with a huge set is spread by element.
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from simpairs.session import materialize, ship_package
+from simpairs.session import materialize
 
 MAX_BLOCK = 4096
-MAX_HOT = 10000
-# sets up to this size are scored from packed arrays, larger ones by long-form joins
-PACK_CAP = 1024
 
 
-def hot_groups(rows: DataFrame, group_cols, max_block: int = MAX_BLOCK,
-               max_hot: int = MAX_HOT) -> DataFrame:
-    """Broadcastable ``(*group_cols, _s)``: block count of the largest groups.
-
-    Only groups above ``max_block`` rows, and at most the ``max_hot`` largest
-    of them, are listed – a proven bound on what is broadcast. Groups not
-    listed keep one block, which is always correct (salting moves work only).
-    """
-    gc = list(group_cols)
-    sizes = rows.groupBy(*gc).agg(F.count("*").alias("_n"))
-    return F.broadcast(sizes.filter(F.col("_n") > F.lit(max_block))
-                       .orderBy(F.desc("_n")).limit(max_hot)
-                       .select(*gc, F.ceil(F.col("_n") / F.lit(max_block)).cast("int").alias("_s")))
+def _blocks(n, max_block: int):
+    return F.ceil(n / F.lit(max_block)).cast("int")
 
 
-def salted_join(big: DataFrame, small: DataFrame, group_cols, big_key: str, small_key: str,
-                max_block: int = MAX_BLOCK, max_hot: int = MAX_HOT,
-                small_cols: tuple = (), hot: DataFrame | None = None) -> DataFrame:
-    """Rows ``(*group_cols, _salt, _sk, *small_cols, _bk)`` for every small/big pair sharing a group.
-
-    Hot groups of ``big`` are split into blocks by a hash of ``big_key``; the
-    rows of ``small`` in those groups are replicated once per block, so every
-    matching pair meets exactly once and no task holds a whole hot group.
-    """
-    gc = list(group_cols)
-    if hot is None:
-        hot = hot_groups(big, gc, max_block, max_hot)
-    b = (big.select(*gc, F.col(big_key).alias("_bk")).join(hot, gc, "left")
-         .select(*gc, "_bk", F.pmod(F.xxhash64("_bk"), F.coalesce("_s", F.lit(1))).cast("int")
-                 .alias("_salt")))
-    sm = (small.select(*gc, F.col(small_key).alias("_sk"), *small_cols).join(hot, gc, "left")
-          .select(*gc, "_sk", *small_cols,
-                  F.explode(F.sequence(F.lit(0), F.coalesce("_s", F.lit(1)) - 1)).alias("_salt")))
-    return sm.join(b, gc + ["_salt"])
+def _dealt(key, n_blocks):
+    return F.pmod(F.xxhash64(key), n_blocks).cast("int")
 
 
 def bucket_pairs(buckets: DataFrame, group_cols=("band", "bucket"), key: str = "key",
-                 max_block: int = MAX_BLOCK, max_hot: int = MAX_HOT,
-                 materialize_input: bool = True, materialize_output: bool = True) -> DataFrame:
+                 max_block: int = MAX_BLOCK, materialize_input: bool = True,
+                 materialize_output: bool = True) -> DataFrame:
     """Distinct canonical pairs ``(u, v)``, u < v, of keys sharing any bucket.
 
-    A salted self-join (see ``salted_join``). The bucket rows are read three
-    times (sizes and both sides), so they are materialized once; the returned
-    pairs are materialized as well because scoring reads them several times.
+    Cell (i, j), i ≤ j, of a bucket pairs its block i with its block j. The
+    bucket rows are read twice (sizes and cells), so they are materialized
+    once; the pairs are as well, because scoring reads them several times.
     Callers whose input is already a cheap scan, or who read the pairs once,
-    can switch either off.
+    can switch either off. Buckets of one row have no pair and go early.
     """
     gc = list(group_cols)
     rows = buckets.select(*gc, F.col(key).alias("_k"))
     if materialize_input:
         rows = materialize(rows)
-    out = (salted_join(rows, rows, gc, "_k", "_k", max_block, max_hot)
-           .select(F.col("_bk").alias("u"), F.col("_sk").alias("v"))
-           .filter(F.col("u") < F.col("v"))
-           .distinct())
+    sizes = materialize(rows.groupBy(*gc).agg(F.count("*").alias("_n")).filter("_n > 1")
+                        .select(*gc, _blocks(F.col("_n"), max_block).alias("_b")))
+    dealt = rows.join(sizes, gc).select(*gc, "_k", "_b", _dealt("_k", F.col("_b")).alias("_own"))
+    upper = dealt.select(*gc, F.col("_k").alias("_x"), F.col("_own").alias("_i"),
+                         F.explode(F.sequence("_own", F.col("_b") - 1)).alias("_j"))
+    lower = dealt.select(*gc, F.col("_k").alias("_y"), F.col("_own").alias("_j"),
+                         F.explode(F.sequence(F.lit(0), F.col("_own"))).alias("_i"))
+    met = upper.join(lower, [*gc, "_i", "_j"]).filter((F.col("_i") < F.col("_j")) | (F.col("_x") < F.col("_y")))
+    out = met.filter("_x != _y").select(F.least("_x", "_y").alias("u"), F.greatest("_x", "_y").alias("v")).distinct()
     return materialize(out) if materialize_output else out
 
 
+def cross_pairs(left: DataFrame, right: DataFrame, group_cols, left_key: str, right_key: str,
+                left_cols: tuple = (), max_block: int = MAX_BLOCK) -> DataFrame:
+    """``(*group_cols, _x, *left_cols, _y)`` for every left and right row sharing a group.
+
+    Both sides are dealt into blocks, and each left block meets each right
+    block of its group in a cell of its own. Groups on one side only go early.
+    """
+    gc = list(group_cols)
+    count = lambda df, name: df.groupBy(*gc).agg(_blocks(F.count("*"), max_block).alias(name))
+    sizes = materialize(count(left, "_m").join(count(right, "_n"), gc))
+    a = (left.select(*gc, F.col(left_key).alias("_x"), *left_cols).join(sizes, gc)
+         .select(*gc, "_x", *left_cols, _dealt("_x", F.col("_m")).alias("_i"),
+                 F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("_j")))
+    b = (right.select(*gc, F.col(right_key).alias("_y")).join(sizes, gc)
+         .select(*gc, "_y", _dealt("_y", F.col("_n")).alias("_j"),
+                 F.explode(F.sequence(F.lit(0), F.col("_m") - 1)).alias("_i")))
+    return a.join(b, [*gc, "_i", "_j"]).select(*gc, "_x", *left_cols, "_y")
+
+
 # ---------------------------------------------------------------- shaping
 
 def canonical_pairs(hits: DataFrame, q: str = "q", k: str = "key") -> DataFrame:
@@ -107,11 +98,16 @@ def users_with_matches(hits: DataFrame, q: str = "q", k: str = "key") -> DataFra
     return hits.filter(F.col(q) != F.col(k)).select(F.col(q).alias("q")).distinct()
 
 
-def sample_pairs(pairs: DataFrame, cap: int, seed: int = 2020) -> DataFrame:
-    """Deterministic sample of at most ``cap`` pairs (md5 order of seed, u, v)."""
-    order = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("u").cast("string"),
-                              F.col("v").cast("string")))
-    return pairs.select("u", "v").orderBy(order, "u", "v").limit(cap)
+def sample_pairs(pairs: DataFrame, rate: float, seed: int = 2020) -> DataFrame:
+    """Seeded sample of pairs at a rate: each pair stays or goes by a digest of itself.
+
+    No cap and no order: the sample of a union is the union of the samples.
+    """
+    if not 0.0 <= rate <= 1.0:
+        raise ValueError(f"rate = {rate} lies outside 0 … 1")
+    draw = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("u").cast("string"), F.col("v").cast("string")))
+    return pairs.select("u", "v").filter(
+        F.conv(F.substring(draw, 1, 8), 16, 10).cast("long") < F.lit(int(rate * (1 << 32))))
 
 
 def pair_lines(pairs: DataFrame) -> DataFrame:
@@ -123,154 +119,63 @@ def pair_lines(pairs: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- exact scores
 
-def _with_sizes(pairs: DataFrame, sizes: DataFrame, size_col: str) -> DataFrame:
-    su = sizes.select(F.col("key").alias("u"), F.col(size_col).alias("_nu"))
-    sv = sizes.select(F.col("key").alias("v"), F.col(size_col).alias("_nv"))
-    return pairs.select("u", "v").join(su, "u").join(sv, "v")
-
+def _products(pairs: DataFrame, v: DataFrame) -> DataFrame:
+    """Sizes, norms and Σ w_u·w_v over common features of each pair.
 
-def _products(sized_pairs: DataFrame, v: DataFrame) -> DataFrame:
-    """Σ w_u·w_v over common features for pairs carrying sizes ``_nu``/``_nv``.
-
-    ``v`` is ``(key, _f, _w)``. Each pair is expanded with the features of its
-    *smaller* side, then joined with the other side on ``(key, feature)`` – a
-    unique key, so a key with a huge vector is spread by feature.
+    ``v`` is ``(key, _f, _w)``, one row per key and feature. Each pair is
+    expanded with the features of its *smaller* side, then joined with the
+    other side on ``(key, feature)`` – a unique key, so a key with a huge
+    vector is spread by feature. One path for all sizes.
     """
+    stats = materialize(v.groupBy("key").agg(F.count("*").alias("_n"), F.sum(F.col("_w") * F.col("_w")).alias("_nn")))
+    side = lambda k, n, nn: stats.select(F.col("key").alias(k), F.col("_n").alias(n), F.col("_nn").alias(nn))
+    sized = pairs.select("u", "v").join(side("u", "_nu", "_nnu"), "u").join(side("v", "_nv", "_nnv"), "v")
     small_is_u = F.col("_nu") <= F.col("_nv")
-    p = sized_pairs.select(
-        "u", "v",
-        F.when(small_is_u, F.col("u")).otherwise(F.col("v")).alias("_small"),
-        F.when(small_is_u, F.col("v")).otherwise(F.col("u")).alias("_big"))
+    p = sized.select("u", "v",
+                     F.when(small_is_u, F.col("u")).otherwise(F.col("v")).alias("_small"),
+                     F.when(small_is_u, F.col("v")).otherwise(F.col("u")).alias("_big"))
     small = v.select(F.col("key").alias("_small"), "_f", F.col("_w").alias("_ws"))
     big = v.select(F.col("key").alias("_big"), "_f", F.col("_w").alias("_wb"))
-    return (p.join(small, "_small").join(big, ["_big", "_f"])
+    dots = (p.join(small, "_small").join(big, ["_big", "_f"])
             .groupBy("u", "v").agg(F.sum(F.col("_ws") * F.col("_wb")).alias("dot"),
                                    F.count("*").alias("overlap")))
+    return (sized.join(dots, ["u", "v"], "left")
+            .withColumn("dot", F.coalesce("dot", F.lit(0.0)))
+            .withColumn("overlap", F.coalesce("overlap", F.lit(0)).cast("long")))
 
 
 def sparse_products(pairs: DataFrame, vec: DataFrame, feature: str = "element",
                     weight: str | None = None) -> DataFrame:
-    """Σ over common features of w_u · w_v for each pair (only pairs that overlap).
+    """``(u, v, dot, overlap)`` over common features of each pair (only pairs that overlap).
 
     ``vec`` is ``(key, feature[, weight])`` with one row per key and feature.
     """
     w = F.col(weight).cast("double") if weight else F.lit(1.0)
     v = vec.select(F.col("key"), F.col(feature).alias("_f"), w.alias("_w"))
-    sizes = v.groupBy("key").agg(F.count("*").alias("_n"))
-    return _products(_with_sizes(pairs, sizes, "_n"), v)
+    return _products(pairs, v).filter("overlap > 0").select("u", "v", "dot", "overlap")
 
 
-def set_similarity(pairs: DataFrame, sets: DataFrame, element: str = "element",
-                   pack_cap: int = PACK_CAP) -> DataFrame:
+def set_similarity(pairs: DataFrame, sets: DataFrame, element: str = "element") -> DataFrame:
     """Exact overlap, Jaccard and binary cosine of set pairs.
 
     ``sets`` holds one row per distinct (key, element). Returns
     ``(u, v, n_u, n_v, overlap, jaccard, bincos)``; pairs without a common
-    element get overlap 0. Pairs whose two sets both have at most
-    ``pack_cap`` elements are scored from packed arrays (``array_intersect``,
-    JVM-side; each array bounded by the cap); any pair with a larger side
-    goes through the long-form ``(key, element)`` joins, so no set of any
-    size is ever gathered into one row beyond the cap.
+    element get overlap 0.
     """
     s = sets.select("key", F.col(element).alias("_f"), F.lit(1.0).alias("_w"))
-    sizes = s.groupBy("key").agg(F.count("*").alias("_n"))
-    base = _with_sizes(pairs, sizes, "_n")
-    small = (F.col("_nu") <= F.lit(pack_cap)) & (F.col("_nv") <= F.lit(pack_cap))
-
-    packed = (s.join(sizes.filter(F.col("_n") <= F.lit(pack_cap)), "key", "left_semi")
-              .groupBy("key").agg(F.collect_list("_f").alias("_e")))
-    pu = packed.select(F.col("key").alias("u"), F.col("_e").alias("_a"))
-    pv = packed.select(F.col("key").alias("v"), F.col("_e").alias("_b"))
-    by_array = (base.filter(small).join(pu, "u").join(pv, "v")
-                .select("u", "v", "_nu", "_nv",
-                        F.size(F.array_intersect("_a", "_b")).cast("long").alias("overlap")))
-
-    large = base.filter(~small)
-    inter = _products(large, s).select("u", "v", "overlap")
-    by_join = (large.join(inter, ["u", "v"], "left")
-               .select("u", "v", "_nu", "_nv", F.coalesce("overlap", F.lit(0)).cast("long").alias("overlap")))
-
-    out = by_array.unionByName(by_join)
     n_u, n_v, o = F.col("_nu"), F.col("_nv"), F.col("overlap")
-    return out.select(
+    return _products(pairs, s).select(
         "u", "v", n_u.alias("n_u"), n_v.alias("n_v"), o.alias("overlap"),
         (o.cast("double") / (n_u + n_v - o)).alias("jaccard"),
         (o.cast("double") / F.sqrt((n_u * n_v).cast("double"))).alias("bincos"))
 
 
-_DOT_SCHEMA = "u long, v long, _nnu double, _nnv double, dot double"
-
-
-def _arrow_sparse_dots(batches):
-    """mapInArrow kernel: Σ w_u·w_v over common features of packed sorted vectors.
-
-    Vectorised per batch: every (row, feature) becomes one composite int64
-    key, one ``intersect1d`` finds all matches, ``bincount`` sums per row.
-    """
-    import pyarrow as pa
-
-    for rb in batches:
-        n = rb.num_rows
-        if n == 0:
-            continue
-        fu, fv = rb.column("_fu"), rb.column("_fv")
-        items_u = fu.flatten().to_numpy(zero_copy_only=False)
-        items_v = fv.flatten().to_numpy(zero_copy_only=False)
-        w_u = rb.column("_wu").flatten().to_numpy(zero_copy_only=False)
-        w_v = rb.column("_wv").flatten().to_numpy(zero_copy_only=False)
-        rows = np.arange(n, dtype=np.int64)
-        pid_u = np.repeat(rows, fu.value_lengths().to_numpy(zero_copy_only=False))
-        pid_v = np.repeat(rows, fv.value_lengths().to_numpy(zero_copy_only=False))
-        _, rank = np.unique(np.concatenate([items_u, items_v]), return_inverse=True)
-        key_u = (pid_u << 32) | rank[:len(items_u)]
-        key_v = (pid_v << 32) | rank[len(items_u):]
-        _, iu, iv = np.intersect1d(key_u, key_v, assume_unique=True, return_indices=True)
-        dot = np.bincount(pid_u[iu], weights=w_u[iu] * w_v[iv], minlength=n)
-        yield pa.RecordBatch.from_arrays(
-            [rb.column("u"), rb.column("v"), rb.column("_nnu"), rb.column("_nnv"),
-             pa.array(dot, type=pa.float64())],
-            names=["u", "v", "_nnu", "_nnv", "dot"])
-
-
 def vector_cosine(pairs: DataFrame, vec: DataFrame, feature: str = "item",
-                  weight: str = "w", pack_cap: int = PACK_CAP) -> DataFrame:
+                  weight: str = "w") -> DataFrame:
     """Exact cosine of sparse weighted vectors ``(key, feature, weight)``.
 
-    Pairs whose vectors both have at most ``pack_cap`` non-zeros (and an
-    integer feature id) are scored from packed, feature-sorted arrays by a
-    vectorised Arrow kernel; every other pair by long-form joins on
-    ``(key, feature)``. Zero norms give null (never NaN), so a threshold
-    filter drops them.
+    Zero norms give null (never NaN), so a threshold filter drops them.
     """
     v = vec.select("key", F.col(feature).alias("_f"), F.col(weight).cast("double").alias("_w"))
-    stats = v.groupBy("key").agg(F.count("*").alias("_n"),
-                                 F.sum(F.col("_w") * F.col("_w")).alias("_nn"))
-    sized = (pairs.select("u", "v")
-             .join(stats.select(F.col("key").alias("u"), F.col("_n").alias("_nu"),
-                                F.col("_nn").alias("_nnu")), "u")
-             .join(stats.select(F.col("key").alias("v"), F.col("_n").alias("_nv"),
-                                F.col("_nn").alias("_nnv")), "v"))
-    if not isinstance(v.schema["_f"].dataType, T.IntegralType):
-        pack_cap = 0
-    small = (F.col("_nu") <= F.lit(pack_cap)) & (F.col("_nv") <= F.lit(pack_cap))
-
-    parts = []
-    if pack_cap > 0:
-        ship_package(vec.sparkSession)
-        packed = (v.join(stats.filter(F.col("_n") <= F.lit(pack_cap)), "key", "left_semi")
-                  .groupBy("key")
-                  .agg(F.array_sort(F.collect_list(F.struct(F.col("_f").cast("long").alias("_f"),
-                                                            "_w"))).alias("_kv"))
-                  .select("key", F.col("_kv._f").alias("_fs"), F.col("_kv._w").alias("_ws")))
-        pu = packed.select(F.col("key").alias("u"), F.col("_fs").alias("_fu"), F.col("_ws").alias("_wu"))
-        pv = packed.select(F.col("key").alias("v"), F.col("_fs").alias("_fv"), F.col("_ws").alias("_wv"))
-        parts.append(sized.filter(small).select("u", "v", "_nnu", "_nnv").join(pu, "u").join(pv, "v")
-                     .mapInArrow(_arrow_sparse_dots, _DOT_SCHEMA))
-    large = sized.filter(~small)
-    dots = _products(large, v).select("u", "v", "dot")
-    parts.append(large.select("u", "v", "_nnu", "_nnv").join(dots, ["u", "v"], "left")
-                 .withColumn("dot", F.coalesce("dot", F.lit(0.0))))
-    out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     denom = F.sqrt(F.col("_nnu") * F.col("_nnv"))
-    return out.select("u", "v", F.col("dot"),
-                      F.when(denom > 0, F.col("dot") / denom).alias("cosine"))
+    return _products(pairs, v).select("u", "v", "dot", F.when(denom > 0, F.col("dot") / denom).alias("cosine"))

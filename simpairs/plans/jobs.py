@@ -1,11 +1,15 @@
 """End-to-end similar-pair jobs (the three methods and document near-duplicates).
 
-Each job is a composition of operators and returns a lazy DataFrame of
-canonical pairs ``(u, v, score)`` with u < v. Plan shape of the Jaccard job:
+Each job is a composition of operators and returns canonical pairs
+``(u, v, score)`` with u < v. Intermediates that several steps read are stored
+when the job is built. Plan shape of the Jaccard job:
 
-    scan → elements → sha1 hv → [Arrow partial sketch] → shuffle (key, perm) min
-         → shuffle (key, band) buckets → salted self-join on (band, bucket, salt)
-         → shuffle (u, v) distinct → exact overlap by (key, element) joins → filter
+    scan → elements → sha1 hv → [Arrow partial sketch] → shuffle (key, band) min
+         → cells of bucket blocks → shuffle (u, v) distinct
+         → exact overlap by (key, element) joins → filter
+
+Copies are collapsed: pairs are pairs of representatives, and ``copy_groups``
+gives the membership ``(key, rep)``; ``expand=True`` writes out all member pairs.
 """
 
 from __future__ import annotations
@@ -14,92 +18,82 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from simpairs.operators import banding, copies, elements, minhash, pairs, projection
-from simpairs.operators.tuning import check_bands, optimal_bands, validate
+from simpairs.operators.tuning import check_bands, optimal_bands, projection_tables, validate
 from simpairs.session import materialize
 
 METHOD_THRESHOLDS = {"js": 0.5, "cs": 0.67, "dcs": 0.66}
 
 
-def _copy_members(sets: DataFrame, members: DataFrame | None = None) -> DataFrame | None:
-    """Copy groups of the sets, or None when every set is unique (nothing to collapse)."""
-    if members is None:
-        members = copies.copy_groups(sets)
-    if members.filter(F.col("key") != F.col("rep")).limit(1).count() == 0:
-        return None
-    return members
+def _representative_sets(sets: DataFrame, members: DataFrame) -> DataFrame:
+    return sets.join(copies.representatives(members), "key", "left_semi")
 
 
-def _signature_candidates(sets: DataFrame, seed: int, bands, threshold: float, num_perm: int,
-                          method: str, members: DataFrame | None) -> DataFrame:
+def _candidates(sets: DataFrame, seed: int, bands, threshold: float, num_perm: int) -> DataFrame:
     validate(threshold, num_perm)
     b, r = bands if bands is not None else optimal_bands(threshold, num_perm)
     check_bands(b, r, num_perm)
     spec = minhash.SketchSpec(seed=seed, num_perm=num_perm)
-    sig = minhash.minhash_signatures(sets, spec, method=method)
-    if members is not None:
-        sig = sig.join(copies.representatives(members), "key", "left_semi")
-    idx = banding.band_buckets(sig, b, r, num_perm)
-    return pairs.bucket_pairs(idx, ("band", "bucket"), "key")
+    return pairs.bucket_pairs(banding.index_rows(sets, b, r, spec), ("band", "bucket"), "key")
 
 
 def jaccard_candidates(sets: DataFrame, seed: int = 1, bands: tuple[int, int] | None = (22, 5),
-                       threshold: float = 0.5, num_perm: int = 128,
-                       method: str = "arrow", collapse_copies: bool = True,
+                       threshold: float = 0.5, num_perm: int = 128, expand: bool = False,
                        copy_members: DataFrame | None = None) -> DataFrame:
-    """Unverified MinHash-LSH candidate pairs ``(u, v)`` of element sets.
+    """Unverified MinHash-LSH candidate pairs ``(u, v)`` of representatives of equal sets.
 
-    ``bands=None`` picks (b, r) by the false-positive/negative tuner. With
-    ``collapse_copies`` identical sets are banded once and expanded after
-    (same pairs, no quadratic bucket for a large group of copies).
+    ``bands=None`` picks (b, r) by the false-positive/negative tuner.
+    ``copy_members`` may supply the copy groups ``(key, rep)`` (covering exactly
+    the keys that have elements) when the caller knows a cheaper fingerprint.
     """
-    members = _copy_members(sets, copy_members) if collapse_copies else None
-    rep = _signature_candidates(sets, seed, bands, threshold, num_perm, method, members)
-    return rep if members is None else copies.expand_pairs(rep, members)
+    members = copies.copy_groups(sets) if copy_members is None else copy_members
+    found = _candidates(_representative_sets(sets, members), seed, bands, threshold, num_perm)
+    return copies.expand_pairs(found, members) if expand else found
 
 
 def jaccard_pairs(sets: DataFrame, threshold: float = 0.5, seed: int = 1,
                   bands: tuple[int, int] | None = (22, 5), num_perm: int = 128,
-                  ndigits: int = 6, collapse_copies: bool = True,
+                  ndigits: int = 6, expand: bool = False,
                   copy_members: DataFrame | None = None) -> DataFrame:
-    """Verified pairs: LSH candidates whose exact Jaccard is ≥ ``threshold``.
+    """Verified pairs of representatives: LSH candidates whose exact Jaccard is ≥ ``threshold``.
 
     ``sets`` may repeat an element within a key: the sketch ignores repeats,
-    and set semantics are restored (``distinct``) only for candidate keys.
-    Copies are verified once through their representative and expanded after;
-    ``copy_members`` may supply the copy groups ``(key, rep)`` (covering exactly
-    the keys that have elements) when the caller knows a cheaper fingerprint.
+    and set semantics are restored (``distinct``) only for candidate keys. The
+    members of a copy group, Jaccard 1, follow from ``copies.copy_groups``.
     """
-    members = _copy_members(sets, copy_members) if collapse_copies else None
-    cand = _signature_candidates(sets, seed, bands, threshold, num_perm, "arrow", members)
+    members = copies.copy_groups(sets) if copy_members is None else copy_members
+    cand = _candidates(_representative_sets(sets, members), seed, bands, threshold, num_perm)
     keys = (cand.select(F.col("u").alias("key"))
             .union(cand.select(F.col("v").alias("key"))).distinct())
-    # read three times by the scorer (sizes, small side, big side)
+    # read by the scorer three times (sizes, small side, big side)
     cand_sets = materialize(sets.join(keys, "key", "left_semi").distinct())
     scored = pairs.set_similarity(cand, cand_sets)
     out = (scored.filter(F.col("jaccard") >= F.lit(threshold))
            .select("u", "v", F.round("jaccard", ndigits).alias("jaccard")))
-    if members is None:
-        return out
-    return copies.expand_pairs(out, members, {"jaccard": 1.0})
+    return copies.expand_pairs(out, members, {"jaccard": 1.0}) if expand else out
 
 
-def cosine_pairs(ratings: DataFrame, threshold: float = 0.67, seed: int = 2020,
-                 hash_size: int = 6, num_tables: int = 8, feature_dims: int | None = None,
-                 binary: bool = False, ndigits: int = 6) -> DataFrame:
+def cosine_pairs(ratings: DataFrame, threshold: float, hash_size: int, num_tables: int | None = None,
+                 recall: float = 0.9, seed: int = 2020, order: str | None = None,
+                 feature_dims: int | None = None, binary: bool = False, ndigits: int = 6) -> DataFrame:
     """Random-projection candidates verified by exact cosine ≥ ``threshold``.
 
-    ``binary=False`` scores truncated rating vectors (cs); ``binary=True``
-    scores item presence, i.e. |A∩B| / sqrt(|A|·|B|) (dcs).
+    ``binary=False`` scores truncated rating vectors (cs), the last rating by
+    ``order`` where a user rated an item twice; ``binary=True`` scores item
+    presence, i.e. |A∩B| / sqrt(|A|·|B|) (dcs). ``hash_size`` is the caller's:
+    about log2(rows) − 4 bits at least, more for vectors that are alike, as
+    the share of all pairs that meet falls by bits only. Without ``num_tables``
+    there are as many tables as a pair at the threshold needs to be found with
+    chance ``recall``; fewer tables cost recall (``projection_recall``), which
+    pairs found never show.
     """
     if feature_dims is not None:
         ratings = elements.feature_sample_ratings(ratings, feature_dims, seed)
-    # the vectors are read by the signature, the sizes/norms and both scoring paths:
+    tables = projection_tables(threshold, recall, hash_size) if num_tables is None else num_tables
+    # the vectors are read by the signature, the sizes/norms and the scorer:
     # aggregate the raw ratings once instead of once per reader
     vec = materialize(elements.binary_vectors(ratings) if binary
-                      else elements.rating_vectors(ratings))
-    sig = projection.sparse_signatures(vec, seed=seed, hash_size=hash_size,
-                                       num_tables=num_tables)
-    cand = projection.rp_candidates(sig)
+                      else elements.rating_vectors(ratings, order))
+    cand = projection.rp_candidates(projection.sparse_signatures(vec, hash_size, tables, seed))
     if binary:
         s = vec.select("key", F.col("item").alias("element"))
         scored = pairs.set_similarity(cand, s).select("u", "v", F.col("bincos").alias("cosine"))
@@ -111,7 +105,7 @@ def cosine_pairs(ratings: DataFrame, threshold: float = 0.67, seed: int = 2020,
 
 def similar_pairs(ratings: DataFrame, method: str = "js", threshold: float | None = None,
                   seed: int = 2020, verify: bool = True, **kw) -> DataFrame:
-    """Method dispatch over ``(user, item, rating)`` triples: js / cs / dcs."""
+    """Method dispatch over ``(user, item, rating)`` triples: js / cs / dcs (cs and dcs need ``hash_size``)."""
     if method not in METHOD_THRESHOLDS:
         raise ValueError(f"unknown method {method!r}; use js, cs or dcs")
     t = METHOD_THRESHOLDS[method] if threshold is None else threshold
@@ -126,10 +120,13 @@ def similar_pairs(ratings: DataFrame, method: str = "js", threshold: float | Non
 
 def near_duplicate_documents(docs: DataFrame, threshold: float = 0.5, k: int = 3,
                              seed: int = 1, bands: tuple[int, int] | None = (22, 5),
-                             num_perm: int = 128) -> DataFrame:
-    """Document pairs whose k-word-shingle sets have Jaccard ≥ ``threshold``."""
+                             num_perm: int = 128, expand: bool = False) -> DataFrame:
+    """Pairs of distinct texts whose k-word-shingle sets have Jaccard ≥ ``threshold``.
+
+    A text is named by the least id of its documents (``tables.doc_copy_groups``).
+    """
     from simpairs.sources.tables import doc_copy_groups, doc_elements
 
     sets = doc_elements(docs.sparkSession, "", k, docs=docs)
-    return jaccard_pairs(sets, threshold, seed, bands, num_perm,
+    return jaccard_pairs(sets, threshold, seed, bands, num_perm, expand=expand,
                          copy_members=doc_copy_groups(docs))

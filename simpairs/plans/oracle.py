@@ -83,10 +83,21 @@ def _bands(sig: str, name: str) -> str:
   FROM {sig} WHERE perm < {b * r} GROUP BY key, perm // {r})"""
 
 
-def _cand(idx: str, name: str) -> str:
+def _cand(idx: str, name: str, reps: str | None = None) -> str:
+    """Candidate pairs; with ``reps`` (key, rep) only pairs of representatives."""
+    only = f"WHERE a.key IN (SELECT rep FROM {reps}) AND b.key IN (SELECT rep FROM {reps})" if reps else ""
     return f"""{name} AS (
   SELECT DISTINCT a.key AS u, b.key AS v FROM {idx} a JOIN {idx} b
-    ON a.band = b.band AND a.bucket = b.bucket AND a.key < b.key)"""
+    ON a.band = b.band AND a.bucket = b.bucket AND a.key < b.key {only})"""
+
+
+DOC_REPS = r"""doc_reps AS (
+  SELECT doc_id AS key, min(doc_id) OVER (PARTITION BY text) AS rep FROM documents
+  WHERE regexp_matches(text, '[^ \t\n\r\f\x0B]'))"""
+
+EV_REPS = """ev_reps AS (
+  SELECT key, min(key) OVER (PARTITION BY members) AS rep
+  FROM (SELECT key, string_agg(element, ',' ORDER BY element) AS members FROM ev_sets GROUP BY key))"""
 
 
 def _doc_index(name="doc_idx", where="TRUE") -> str:
@@ -126,14 +137,14 @@ def _gauss(seed, t, j, item) -> str:
     return f"(sqrt(-2.0::DOUBLE * ln({u1})) * cos({TWO_PI}::DOUBLE * {u2}))"
 
 
-def _planes(items_sql: str, name="planes") -> str:
+def _planes(items_sql: str, bits: int, name="planes") -> str:
     return f"""{name} AS (
   SELECT item, t::INTEGER AS tbl, j::INTEGER AS bit, {_gauss(Q.SEED, 't', 'j', 'item')} AS w
-  FROM (SELECT DISTINCT item FROM ({items_sql})) i, range({Q.RP_TABLES}) tt(t), range({Q.RP_BITS}) jj(j))"""
+  FROM (SELECT DISTINCT item FROM ({items_sql})) i, range({Q.RP_TABLES}) tt(t), range({bits}) jj(j))"""
 
 
-def _sparse_sig(vec: str, name: str) -> str:
-    return f"""{_planes(f'SELECT item FROM {vec}', name + '_pl')},
+def _sparse_sig(vec: str, name: str, bits: int) -> str:
+    return f"""{_planes(f'SELECT item FROM {vec}', bits, name + '_pl')},
 {name}_p AS (
   SELECT x.key, p.tbl, p.bit, sum(x.w::DOUBLE * p.w) AS pr
   FROM {vec} x JOIN {name}_pl p ON p.item = x.item GROUP BY x.key, p.tbl, p.bit),
@@ -152,7 +163,7 @@ def _vec_sig() -> str:
     return f"""vx AS (
   SELECT vec_id AS key, unnest(range(len(embedding))) AS d, unnest(embedding)::DOUBLE AS x
   FROM embeddings),
-{_planes('SELECT d AS item FROM vx', 'vpl')},
+{_planes('SELECT d AS item FROM vx', Q.VEC_BITS, 'vpl')},
 vproj AS (SELECT vx.key, vpl.tbl, vpl.bit, sum(vx.x * vpl.w) AS pr
           FROM vx JOIN vpl ON vpl.item = vx.d GROUP BY vx.key, vpl.tbl, vpl.bit),
 vsig AS (
@@ -173,11 +184,13 @@ vsc AS (
 
 def _cosine_pairs(binary: bool, threshold: float) -> str:
     if binary:
-        vec = """vec AS (SELECT DISTINCT "user" AS key, item, 1::BIGINT AS w FROM ev_r)"""
+        vec = """vec AS (SELECT DISTINCT "user" AS key, item, 1::BIGINT AS w FROM ev_tr)"""
     else:
-        vec = """vec AS (SELECT "user" AS key, item, trunc(rating)::BIGINT AS w FROM ev_r
-                 WHERE trunc(rating)::BIGINT <> 0)"""
-    return _with(_ev_ratings(), vec, _sparse_sig("vec", "rsig"), _rp_cand("rsig", "rcand"),
+        vec = """vec AS (SELECT * FROM (
+                 SELECT "user" AS key, item, trunc(arg_max(rating, event_id))::BIGINT AS w
+                 FROM ev_tr GROUP BY "user", item) WHERE w <> 0)"""
+    bits = Q.DCS_BITS if binary else Q.CS_BITS
+    return _with(_ev_triples(), vec, _sparse_sig("vec", "rsig", bits), _rp_cand("rsig", "rcand"),
                  f"""nrm AS (SELECT key, sum(w::DOUBLE * w) AS nn FROM vec GROUP BY key),
 dots AS (SELECT c.u, c.v, sum(x.w::DOUBLE * y.w) AS dot FROM rcand c
            JOIN vec x ON x.key = c.u JOIN vec y ON y.key = c.v AND y.item = x.item
@@ -251,9 +264,9 @@ grp AS (SELECT d, min(key) AS rep, count(*) AS group_size FROM dg GROUP BY d HAV
         "SELECT dg.key, grp.rep, grp.group_size FROM dg JOIN grp ON grp.d = dg.d"
     s["band_buckets"] = _with(_perms(), _doc_index()) + "SELECT key, band, bucket FROM doc_idx"
     s["index_insert"] = s["band_buckets"]
-    s["index_duplicates"] = _with(_doc_sets("a_s", "lang IN ('en', 'fr')"),
-                                  _doc_sets("b_s", "lang IN ('fr', 'de')")) + \
-        "SELECT DISTINCT key FROM b_s WHERE key IN (SELECT key FROM a_s)"
+    s["index_duplicates"] = _with(_doc_sets("a_s")) + """
+SELECT doc_id AS key FROM labels WHERE doc_id IN (SELECT key FROM a_s)
+UNION SELECT doc_id FROM labels GROUP BY doc_id HAVING count(*) > 1"""
     probe_de = _doc_index("de_idx", "lang = 'de'")
     s["index_query"] = _with(_perms(), _doc_index(), probe_de) + """
 SELECT DISTINCT p.key AS q, i.key AS key FROM de_idx p
@@ -274,8 +287,10 @@ WHERE key NOT IN (SELECT doc_id FROM documents WHERE lang = 'en')"""
     s["bucket_subset_counts"] = _with(_perms(), _doc_index()) + """
 SELECT band, bucket, count(*) AS n_keys FROM doc_idx
 WHERE key IN (SELECT doc_id FROM documents WHERE lang = 'de') GROUP BY band, bucket"""
-    s["js_candidate_pairs"] = _with(_perms(), _doc_index(), _cand("doc_idx", "cand")) + \
+    s["js_candidate_pairs"] = _with(_perms(), _doc_index(), DOC_REPS, _cand("doc_idx", "cand", "doc_reps")) + \
         "SELECT u, v FROM cand"
+    s["copy_groups"] = _with(DOC_REPS) + "SELECT key, rep FROM doc_reps"
+    s["set_copy_groups"] = _with(_ev_sets(), EV_REPS) + "SELECT key, rep FROM ev_reps"
     s["index_lookup"] = _with(_perms(), _bk_index()) + """
 SELECT c.c_custkey AS key, coalesce(l.buckets, '') AS buckets
 FROM (SELECT DISTINCT c_custkey FROM customer) c LEFT JOIN (
@@ -294,10 +309,10 @@ WITH firsts AS (
   GROUP BY user_id, event_type)
 SELECT e.user_id, e.event_type, e.event_id FROM events e
 WHERE (e.user_id, e.event_type, e.event_id) NOT IN (SELECT user_id, event_type, event_id FROM firsts)"""
-    s["hyperplanes"] = _with(_ev_triples(), _planes("SELECT item FROM ev_tr")) + \
+    s["hyperplanes"] = _with(_ev_triples(), _planes("SELECT item FROM ev_tr", Q.DCS_BITS)) + \
         "SELECT item, tbl, bit, round(w, 6) AS w FROM planes"
-    s["rp_signature"] = _with(_ev_ratings(), 'bv AS (SELECT DISTINCT "user" AS key, item, 1::BIGINT AS w FROM ev_r)',
-                              _sparse_sig("bv", "rsig")) + "SELECT key, tbl, bucket FROM rsig"
+    s["rp_signature"] = _with(_ev_triples(), 'bv AS (SELECT DISTINCT "user" AS key, item, 1::BIGINT AS w FROM ev_tr)',
+                              _sparse_sig("bv", "rsig", Q.DCS_BITS)) + "SELECT key, tbl, bucket FROM rsig"
     s["rp_index"] = _with(_vec_sig()) + "SELECT key, tbl, bucket, label FROM vsig_l"
     s["rp_candidates"] = _with(_vec_sig(), _rp_cand("vsig", "vcand")) + "SELECT u, v FROM vcand"
     s["cosine_score"] = _with(_vec_scores()) + "SELECT u, v, round(cosine, 6) AS cosine FROM vsc"
@@ -308,6 +323,17 @@ WHERE (e.user_id, e.event_type, e.event_id) NOT IN (SELECT user_id, event_type,
 rk AS (SELECT q, key, cosine, row_number() OVER (PARTITION BY q ORDER BY cosine DESC, key ASC) AS rank
        FROM hits WHERE cosine IS NOT NULL)""") + \
         f"SELECT q, key, round(cosine, 6) AS cosine, rank::INTEGER AS rank FROM rk WHERE rank <= {Q.TOP_K}"
+    s["rp_probe_topk"] = _with(_vec_sig(), f"""hits AS (
+  SELECT DISTINCT p.key AS q, i.key FROM vsig_l p JOIN vsig_l i ON i.tbl = p.tbl AND i.bucket = p.bucket
+  WHERE p.label = {Q.PROBE_LABEL}),
+sc AS (
+  SELECT h.q, h.key, list_dot_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[])
+           / sqrt(list_dot_product(a.embedding::DOUBLE[], a.embedding::DOUBLE[])
+                  * list_dot_product(b.embedding::DOUBLE[], b.embedding::DOUBLE[])) AS cosine
+  FROM hits h JOIN embeddings a ON a.vec_id = h.q JOIN embeddings b ON b.vec_id = h.key),
+rk AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY cosine DESC, key) AS rank
+       FROM sc WHERE cosine >= {Q.PROBE_THRESHOLD})""") + \
+        f"SELECT q, key, round(cosine, 6) AS cosine, rank::INTEGER AS rank FROM rk WHERE rank <= {Q.TOP_K}"
     s["cs_pairs"] = _cosine_pairs(False, Q.CS_THRESHOLD)
     s["dcs_pairs"] = _cosine_pairs(True, Q.DCS_THRESHOLD)
     s["pair_lines"] = ("SELECT DISTINCT concat_ws(', ', u::VARCHAR, v::VARCHAR) AS value FROM ("
@@ -318,15 +344,15 @@ rk AS (SELECT q, key, cosine, row_number() OVER (PARTITION BY q ORDER BY cosine
         "SELECT DISTINCT least(q, key) AS u, greatest(q, key) AS v FROM hits WHERE q <> key"
     s["hit_count"] = hits + "SELECT count(*) AS n_hits FROM hits WHERE q <> key"
     s["users_with_matches"] = hits + "SELECT DISTINCT q FROM hits WHERE q <> key"
-    s["sampled_pairs"] = _with(_perms(), _doc_index(), _cand("doc_idx", "cand")) + f"""
-SELECT u, v FROM cand
-ORDER BY md5(concat_ws(':', '{Q.SEED}', u::VARCHAR, v::VARCHAR)), u, v LIMIT {Q.SAMPLE_CAP}"""
+    s["sampled_pairs"] = s["js_candidate_pairs"] + f"""
+WHERE ('0x' || substr(md5(concat_ws(':', '{Q.SEED}', u::VARCHAR, v::VARCHAR)), 1, 8))::BIGINT
+      < {int(Q.SAMPLE_RATE * (1 << 32))}"""
     s["stream_signature"] = _with(_perms(), _ev_sets(), _sig("ev_sets", "sig")) + \
         "SELECT key, perm, v FROM sig"
     s["stream_index"] = s["band_buckets"]
-    s["js_pairs"] = _with(_perms(), _ev_index(), _cand("ev_idx", "cand"),
+    s["js_pairs"] = _with(_perms(), _ev_index(), EV_REPS, _cand("ev_idx", "cand", "ev_reps"),
                           _jaccard_verified("ev_sets", "cand", Q.JS_THRESHOLD))
-    s["doc_near_duplicates"] = _with(_perms(), _doc_index(), _cand("doc_idx", "cand"),
+    s["doc_near_duplicates"] = _with(_perms(), _doc_index(), DOC_REPS, _cand("doc_idx", "cand", "doc_reps"),
                                      _jaccard_verified("doc_idx_s", "cand", Q.DOC_THRESHOLD))
     return s
 

@@ -1,9 +1,10 @@
 """Registered queries: one per operator of the survey inventory.
 
 Every query reads the given tables (whole tables, no id subsets) and returns
-a lazy DataFrame whose column names equal those of its DuckDB oracle
-(``simpairs.plans.oracle``). Settings shared with the oracle are constants
-of this module.
+a DataFrame whose column names equal those of its DuckDB oracle
+(``simpairs.plans.oracle``). Intermediates that several steps read, duplicate
+checks and streams run while a query is built; the rest is lazy. Settings
+shared with the oracle are constants of this module.
 """
 
 from __future__ import annotations
@@ -13,8 +14,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from simpairs.operators import banding, elements, minhash, multimap, pairs, projection
+from simpairs.operators import banding, copies, elements, minhash, multimap, pairs, projection
 from simpairs.plans import jobs
+from simpairs.session import materialize
 from simpairs.sources import tables as tb
 
 # Fixed settings of the registered queries (the oracle uses the same ones).
@@ -25,14 +27,17 @@ DOC_THRESHOLD = 0.5
 JS_THRESHOLD = 0.5
 CS_THRESHOLD = 0.5
 DCS_THRESHOLD = 0.66
-RP_BITS, RP_TABLES = 6, 8
+# Bits and tables of random projection. Candidates, as a share of all pairs at sf0.01 and sf0.1:
+# vectors 0.35 % and 0.34 %, ratings 1.8 % and 1.8 %, binary vectors (alike: all are positive) 1.8 % and 2.0 %.
+VEC_BITS, CS_BITS, DCS_BITS, RP_TABLES = 14, 14, 18, 32
 VEC_DIM = 64
 VEC_THRESHOLD = 0.3
 TOP_K = 5
 FEATURES = 40
 DOMAIN = (1, 50)
-QUERY_BANDS = 8
-SAMPLE_CAP = 50
+PROBE_LABEL, PROBE_THRESHOLD = 0, 0.2
+QUERY_BANDS = 2
+SAMPLE_RATE = 0.25
 
 SPEC = minhash.SketchSpec(seed=SEED)
 
@@ -49,7 +54,7 @@ def _doc_sig(spark, base):
 
 def _doc_index(spark, base, docs=None):
     sets = tb.doc_elements(spark, base, SHINGLE, docs=docs)
-    return banding.band_buckets(minhash.minhash_signatures(sets, SPEC), BANDS, ROWS)
+    return banding.index_rows(sets, BANDS, ROWS, SPEC)
 
 
 def _docs_where(spark, base, cond):
@@ -61,7 +66,7 @@ def _ev_sig(spark, base):
 
 
 def _ev_index(spark, base):
-    return banding.band_buckets(_ev_sig(spark, base), BANDS, ROWS)
+    return banding.index_rows(tb.ev_sets(spark, base), BANDS, ROWS, SPEC)
 
 
 def _basket_sig(spark, base):
@@ -80,18 +85,18 @@ def _doc_candidates(spark, base):
 
 
 def _ev_hits(spark, base):
-    idx = _ev_index(spark, base)
+    idx = materialize(_ev_index(spark, base))
     return banding.index_query(idx, idx)
 
 
 def _vec_sig(spark, base):
-    return projection.dense_signatures(tb.vectors(spark, base), VEC_DIM, SEED, RP_BITS,
-                                       RP_TABLES, extra=("label",))
+    return projection.dense_signatures(tb.vectors(spark, base), VEC_DIM, VEC_BITS, RP_TABLES, SEED,
+                                       extra=("label",))
 
 
 def _vec_scores(spark, base):
     cand = projection.rp_candidates(_vec_sig(spark, base))
-    return projection.dense_cosine(cand, tb.vectors(spark, base))
+    return projection.dense_cosine(cand, tb.vectors(spark, base), VEC_DIM)
 
 
 def _round(df, col, nd=6):
@@ -161,9 +166,15 @@ def q_empty_signature(spark, base):
     return minhash.with_empty_signatures(_customer_keys(spark, base), _basket_sig(spark, base), SPEC)
 
 
+def _ev_sketched(spark, base):
+    """Signatures of the event users, stored, and the candidate pairs from their bands."""
+    sig = materialize(_ev_sig(spark, base))
+    return sig, pairs.bucket_pairs(banding.band_buckets(sig, BANDS, ROWS))
+
+
 def q_minhash_jaccard(spark, base):
-    cand = pairs.bucket_pairs(_ev_index(spark, base))
-    return _round(minhash.jaccard_estimate(cand, _ev_sig(spark, base)), "jaccard_est")
+    sig, cand = _ev_sketched(spark, base)
+    return _round(minhash.jaccard_estimate(cand, sig), "jaccard_est")
 
 
 def q_minhash_cardinality(spark, base):
@@ -171,8 +182,8 @@ def q_minhash_cardinality(spark, base):
 
 
 def q_minhash_merge(spark, base):
-    cand = pairs.bucket_pairs(_ev_index(spark, base))
-    return minhash.merged_pair_cardinality(cand, _ev_sig(spark, base))
+    sig, cand = _ev_sketched(spark, base)
+    return minhash.merged_pair_cardinality(cand, sig)
 
 
 def q_minhash_union(spark, base):
@@ -200,31 +211,36 @@ def q_band_buckets(spark, base):
 
 
 def q_index_insert(spark, base):
-    first = _doc_index(spark, base, _docs_where(spark, base, F.col("lang") == "en"))
-    rest = _doc_index(spark, base, _docs_where(spark, base, F.col("lang") != "en"))
+    """English documents are indexed, all others (null languages too) inserted."""
+    english = F.col("lang").eqNullSafe(F.lit("en"))
+    first = _doc_index(spark, base, _docs_where(spark, base, english))
+    rest = _doc_index(spark, base, _docs_where(spark, base, ~english))
     return banding.index_insert(first, rest, check_duplication=True)
 
 
 def q_index_duplicates(spark, base):
-    a = _doc_index(spark, base, _docs_where(spark, base, F.col("lang").isin("en", "fr")))
-    b = _doc_index(spark, base, _docs_where(spark, base, F.col("lang").isin("fr", "de")))
-    return banding.duplicate_keys(a, b)
+    """All documents are indexed; the labelled ones arrive again."""
+    labels = tb.table(spark, base, "labels").select(F.col("doc_id").alias("key"))
+    return banding.duplicate_keys(_doc_index(spark, base), labels)
+
+
+def _doc_probe(spark, base):
+    """The document index, stored, and its rows of German documents as the probe."""
+    idx = materialize(_doc_index(spark, base))
+    german = _docs_where(spark, base, F.col("lang") == "de").select(F.col("doc_id").alias("key"))
+    return idx, idx.join(german, "key", "left_semi")
 
 
 def q_index_query(spark, base):
-    idx = _doc_index(spark, base)
-    probe = _doc_index(spark, base, _docs_where(spark, base, F.col("lang") == "de"))
-    return banding.index_query(idx, probe)
+    return banding.index_query(*_doc_probe(spark, base))
 
 
 def q_index_query_bands(spark, base):
-    idx = _doc_index(spark, base)
-    probe = _doc_index(spark, base, _docs_where(spark, base, F.col("lang") == "de"))
-    return banding.index_query(idx, probe, bands=QUERY_BANDS, total_bands=BANDS)
+    return banding.index_query(*_doc_probe(spark, base), bands=QUERY_BANDS, total_bands=BANDS)
 
 
 def q_index_contains(spark, base):
-    idx = banding.band_buckets(_basket_sig(spark, base), BANDS, ROWS)
+    idx = banding.index_rows(tb.basket_sets(spark, base), BANDS, ROWS, SPEC)
     return banding.index_contains(idx, _customer_keys(spark, base))
 
 
@@ -251,8 +267,18 @@ def q_js_candidate_pairs(spark, base):
     return _doc_candidates(spark, base)
 
 
+def q_copy_groups(spark, base):
+    """Membership that goes with the pairs of representatives: ``(key, rep)`` of documents."""
+    return tb.doc_copy_groups(tb.table(spark, base, "documents"))
+
+
+def q_set_copy_groups(spark, base):
+    """Membership by equal item sets of event users."""
+    return copies.copy_groups(tb.ev_sets(spark, base))
+
+
 def q_index_lookup(spark, base):
-    idx = banding.band_buckets(_basket_sig(spark, base), BANDS, ROWS)
+    idx = banding.index_rows(tb.basket_sets(spark, base), BANDS, ROWS, SPEC)
     return banding.index_lookup(idx, _customer_keys(spark, base))
 
 
@@ -273,12 +299,12 @@ def q_multimap_remove(spark, base):
 
 def q_hyperplanes(spark, base):
     items = tb.event_triples(spark, base).select("item")
-    return _round(projection.hyperplanes(items, SEED, RP_BITS, RP_TABLES), "w")
+    return _round(projection.hyperplanes(items, DCS_BITS, RP_TABLES, SEED), "w")
 
 
 def q_rp_signature(spark, base):
-    vec = elements.binary_vectors(tb.ev_ratings(spark, base))
-    return projection.sparse_signatures(vec, SEED, RP_BITS, RP_TABLES)
+    vec = elements.binary_vectors(tb.event_triples(spark, base))
+    return projection.sparse_signatures(vec, DCS_BITS, RP_TABLES, SEED)
 
 
 def q_rp_index(spark, base):
@@ -301,13 +327,22 @@ def q_cosine_topk(spark, base):
     return _round(projection.top_k(_vec_scores(spark, base), TOP_K), "cosine")
 
 
+def q_rp_probe_topk(spark, base):
+    """Points of one label probe the index of all vectors: candidates, score, threshold, top k."""
+    index, vec = materialize(_vec_sig(spark, base)), tb.vectors(spark, base)
+    probes = vec.filter(F.col("label") == PROBE_LABEL)
+    sig = materialize(projection.dense_signatures(probes, VEC_DIM, VEC_BITS, RP_TABLES, SEED))
+    return _round(projection.probe_top_k(index, vec, sig, probes, VEC_DIM, PROBE_THRESHOLD, TOP_K), "cosine")
+
+
 def q_cs_pairs(spark, base):
-    return jobs.cosine_pairs(tb.ev_ratings(spark, base), CS_THRESHOLD, SEED, RP_BITS, RP_TABLES,
-                             binary=False)
+    """Ratings as they came: the last one of a user and item counts."""
+    return jobs.cosine_pairs(tb.event_triples(spark, base), CS_THRESHOLD, CS_BITS, RP_TABLES, seed=SEED,
+                             order="event_id", binary=False)
 
 
 def q_dcs_pairs(spark, base):
-    return jobs.cosine_pairs(tb.ev_ratings(spark, base), DCS_THRESHOLD, SEED, RP_BITS, RP_TABLES,
+    return jobs.cosine_pairs(tb.event_triples(spark, base), DCS_THRESHOLD, DCS_BITS, RP_TABLES, seed=SEED,
                              binary=True)
 
 
@@ -324,7 +359,7 @@ def q_distinct_pairs(spark, base):
 
 
 def q_sampled_pairs(spark, base):
-    return pairs.sample_pairs(_doc_candidates(spark, base), SAMPLE_CAP, SEED)
+    return pairs.sample_pairs(_doc_candidates(spark, base), SAMPLE_RATE, SEED)
 
 
 def q_hit_count(spark, base):
@@ -341,13 +376,11 @@ def q_stream_signature(spark, base):
 
     from simpairs.streaming import sketches as st
 
-    name = "stream_sig_" + uuid.uuid4().hex[:12]
+    path = st.stream_folder(spark, "signature-" + uuid.uuid4().hex)
     ev = st.file_stream(spark, base, "events.parquet")
     sets = ev.select(F.col("user_id").alias("key"), tb.event_item().cast("string").alias("element"))
-    q = st.start_signature_stream(sets, name, SPEC)
-    q.awaitTermination()
-    # the memory sink holds every update; the latest value per position is its minimum
-    return spark.table(name).groupBy("key", "perm").agg(F.min("v").alias("v"))
+    st.start_signature_stream(sets, path, SPEC).awaitTermination()
+    return st.read_signatures(spark, path)
 
 
 def q_stream_index(spark, base):
@@ -356,13 +389,11 @@ def q_stream_index(spark, base):
 
     from simpairs.streaming import sketches as st
 
-    run = uuid.uuid4().hex[:12]
-    root = st.checkpoint_location(spark, "simpairs-index-" + run)
+    path = st.stream_folder(spark, "index-" + uuid.uuid4().hex)
     docs = st.file_stream(spark, base, "documents.parquet")
-    sets = tb.doc_elements(spark, base, SHINGLE, docs=docs)
-    q = st.index_upkeep(sets, root + "/index", root + "/hits", "index_" + run, SPEC, BANDS, ROWS)
-    q.awaitTermination()
-    return st.read_index(spark, root + "/index")
+    sets = tb.doc_elements(spark, base, SHINGLE, docs=docs, positions=True)
+    st.index_upkeep(sets, path, SPEC, BANDS, ROWS).awaitTermination()
+    return st.read_index(spark, path)
 
 
 def q_js_pairs(spark, base):

@@ -32,6 +32,7 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None,
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
+        .config("spark.simpairs.scanPartitions", str(cores))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -156,16 +157,12 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a narrow input over the cluster before heavy per-row work.
+def widened(df: DataFrame) -> DataFrame:
+    """Deal a scan into the number of partitions that ``spark.simpairs.scanPartitions`` names.
 
-    Only when the scan yields fewer partitions than the default parallelism
-    (few large row groups); a normal big scan already has enough splits and
-    is returned unchanged, so this never adds a shuffle at scale.
+    For inputs of one large row group, which Spark cannot split, on a session
+    that runs them in local mode. Unset, as on a cluster, the scan stays as
+    it is; the number of rows or partitions plays no part.
     """
-    if df.isStreaming:
-        return df
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    n = df.sparkSession.conf.get("spark.simpairs.scanPartitions", None)
+    return df.repartition(int(n)) if n and not df.isStreaming else df

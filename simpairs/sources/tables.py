@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from simpairs.functions.text import shingles_of_tokens, word_tokens
-from simpairs.session import spread
+from simpairs.session import widened
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -85,27 +85,22 @@ def basket_sets(spark: SparkSession, base: str) -> DataFrame:
         F.col("user").alias("key"), F.col("item").cast("string").alias("element"))
 
 
-def brand_sets(spark: SparkSession, base: str) -> DataFrame:
-    """Fixture ``brand_sets``: brands bought per customer (skew stress)."""
-    part = table(spark, base, "part").select("p_partkey", "p_brand")
-    return (baskets(spark, base).join(part, F.col("item") == part.p_partkey)
-            .select(F.col("user").alias("key"), F.col("p_brand").alias("element"))
-            .distinct())
-
-
 # ---------------------------------------------------------------- documents
 
 def doc_elements(spark: SparkSession, base: str, k: int = 3,
-                 docs: DataFrame | None = None) -> DataFrame:
-    """Lower-cased k-word shingles per document, repeats kept (``(key, element)``).
+                 docs: DataFrame | None = None, positions: bool = False) -> DataFrame:
+    """Lower-cased k-word shingles per document, repeats kept (``(key, element)``, or with ``pos``).
 
     Enough for sketching (MinHash ignores repeats); use ``doc_shingles`` where
     set semantics matter.
     """
     d = docs if docs is not None else table(spark, base, "documents")
-    d = spread(d.select("doc_id", "text"))
+    d = widened(d.select("doc_id", "text"))
     toks = d.select(F.col("doc_id").alias("key"), word_tokens("text").alias("_tok"))
-    return toks.select("key", F.explode(shingles_of_tokens("_tok", k)).alias("element"))
+    grams = shingles_of_tokens("_tok", k)
+    if positions:
+        return toks.select("key", F.posexplode(grams).alias("pos", "element"))
+    return toks.select("key", F.explode(grams).alias("element"))
 
 
 def doc_copy_groups(docs: DataFrame) -> DataFrame:
@@ -133,5 +128,5 @@ def doc_shingles(spark: SparkSession, base: str, k: int = 3,
 
 def vectors(spark: SparkSession, base: str) -> DataFrame:
     """Fixture ``vectors``: the embeddings as (key, vec, label)."""
-    e = spread(table(spark, base, "embeddings").select("vec_id", "embedding", "label"))
+    e = widened(table(spark, base, "embeddings").select("vec_id", "embedding", "label"))
     return e.select(F.col("vec_id").alias("key"), F.col("embedding").alias("vec"), "label")

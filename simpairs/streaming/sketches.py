@@ -1,19 +1,24 @@
 """Structured Streaming: keep MinHash signatures and the banding index current.
 
-* ``signature_stream`` – element-at-a-time ``update`` of the reference as a
-  stateful streaming aggregate: each micro-batch is pre-aggregated (Arrow
+* ``start_signature_stream`` – element-at-a-time ``update`` of the reference as
+  a stateful streaming aggregate: each micro-batch is pre-aggregated (Arrow
   partial sketch) and merged into the state store with ``min`` per
-  ``(key, perm)``. Output mode ``update`` emits changed positions only; the
-  final state equals the batch signature of all rows seen.
+  ``(key, perm)``. Changed positions go to a parquet table, partitioned by
+  batch; ``read_signatures`` takes the minimum per position, which equals the
+  batch signature of all rows seen.
 * ``index_upkeep`` – ``insert`` / ``query`` for keys arriving in batches:
-  ``foreachBatch`` sketches the new keys, rejects keys already indexed,
-  probes the new band rows against index ∪ new (stream–static join), and
-  appends both the band rows and the hits to parquet tables. Batches are
-  idempotent per ``batch_id`` (rows carry it; a replayed batch overwrites its
-  own partition), so a restarted query does not double-insert.
-
-File sources need a directory; pick the files with ``pathGlobFilter``.
-Streaming checkpoints live under the cluster's checkpoint folder.
+  ``foreachBatch`` sketches the new keys, rejects keys already indexed or
+  arriving twice, probes the new band rows against index ∪ new, and appends
+  band rows, keys and hits to parquet tables. Batches are idempotent per
+  ``batch_id`` (a replayed batch overwrites its own partitions).
+
+Index and keys are partitioned by ``shard``, a part of the hash of the bucket
+(or key), below ``batch_id``: a batch reads only the shards its own buckets
+and keys fall into, so the cost of a small batch does not follow the size of
+the index. ``compact_index`` merges the files of many small batches.
+
+File sources need a directory; pick the files with ``pathGlobFilter``. Every
+stream writes below an explicit path in a shared folder.
 """
 
 from __future__ import annotations
@@ -25,12 +30,11 @@ from pyspark.sql.streaming import StreamingQuery
 from simpairs.operators import banding, minhash
 from simpairs.session import materialize, shared_folder
 
+SHARDS = 64
 
-def checkpoint_location(spark: SparkSession, name: str) -> str:
-    """Folder of one stream: below ``spark.checkpoint.dir``, else below the warehouse.
 
-    Both are shared by driver and executors; no machine-local folder is used.
-    """
+def stream_folder(spark: SparkSession, name: str) -> str:
+    """A folder for one stream below ``spark.checkpoint.dir``, else below the warehouse (both are shared)."""
     root = shared_folder(spark) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/streams/{name}"
 
@@ -52,22 +56,34 @@ def signature_stream(stream_sets: DataFrame, spec: minhash.SketchSpec = minhash.
     return minhash.minhash_signatures(stream_sets, spec, key, element)
 
 
-def start_signature_stream(stream_sets: DataFrame, name: str,
+def _write_batch(df: DataFrame, path: str, *by: str) -> None:
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("batch_id", *by).parquet(path))
+
+
+def _tag(batch_id: int):
+    return F.lit(batch_id).cast("long").alias("batch_id")
+
+
+def start_signature_stream(stream_sets: DataFrame, path: str,
                            spec: minhash.SketchSpec = minhash.SketchSpec(),
-                           sink: str = "memory", available_now: bool = True,
-                           **sink_options) -> StreamingQuery:
-    """Run ``signature_stream`` into a sink in update mode."""
-    spark = stream_sets.sparkSession
+                           available_now: bool = True) -> StreamingQuery:
+    """Run ``signature_stream`` in update mode into parquet below ``path``."""
+
+    def write(batch, batch_id):
+        _write_batch(batch.select("key", "perm", "v", _tag(batch_id)), f"{path}/updates")
+
     w = (signature_stream(stream_sets, spec).writeStream.outputMode("update")
-         .option("checkpointLocation", checkpoint_location(spark, name)))
-    if sink == "memory":
-        w = w.format("memory").queryName(name)
-    else:
-        w = w.format(sink).options(**sink_options)
+         .option("checkpointLocation", f"{path}/checkpoint").foreachBatch(write))
     w = w.trigger(availableNow=True) if available_now else w
     return w.start()
 
 
+def read_signatures(spark: SparkSession, path: str) -> DataFrame:
+    """Current signatures of a signature stream: a value only ever falls, so the least is the latest."""
+    return spark.read.parquet(f"{path}/updates").groupBy("key", "perm").agg(F.min("v").alias("v"))
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     jpath = jvm.org.apache.hadoop.fs.Path(path)
@@ -75,56 +91,80 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jpath)
 
 
-def upkeep_batch(batch: DataFrame, batch_id: int, index_path: str, hits_path: str,
-                 spec: minhash.SketchSpec, bands: int, rows: int,
-                 check_duplication: bool = True) -> None:
-    """One micro-batch of ``index_upkeep`` (also callable on a static DataFrame)."""
+def _shard(shards: int, *columns: str):
+    return F.pmod(F.xxhash64(*columns), F.lit(shards)).cast("int").alias("shard")
+
+
+def _stored(spark: SparkSession, path: str, batch_id: int, touched: DataFrame) -> DataFrame | None:
+    """Rows of earlier batches in the shards that ``touched`` has (at most as many numbers as shards)."""
+    if not _exists(spark, path):
+        return None
+    shards = [r["shard"] for r in touched.select("shard").distinct().collect()]
+    return (spark.read.parquet(path)
+            .filter(F.col("shard").isin(shards) & (F.col("batch_id") != F.lit(batch_id))))  # replay-safe
+
+
+def upkeep_batch(batch: DataFrame, batch_id: int, path: str, spec: minhash.SketchSpec, bands: int, rows: int,
+                 check_duplication: bool = True, shards: int = SHARDS) -> None:
+    """One micro-batch of ``index_upkeep`` (also callable on a static DataFrame).
+
+    ``batch`` is ``(key, element)``, optionally with ``pos``, the place of the
+    element in its arrival (0 for one element of each): with it, a key that
+    arrives twice in one batch is rejected like one that is indexed already.
+    """
     spark = batch.sparkSession
-    sig = minhash.minhash_signatures(batch.select("key", "element"), spec)
-    # read by the duplicate check, the probe and the write: sketch the batch once
-    new_rows = materialize(banding.band_buckets(sig, bands, rows, spec.num_perm))
-    if _exists(spark, index_path):
-        current = (spark.read.parquet(index_path)
-                   .filter(F.col("batch_id") != F.lit(batch_id))  # replay-safe
-                   .select("key", "band", "bucket"))
-    else:
-        current = None
-    if current is not None and check_duplication:
-        dup = banding.duplicate_keys(current, new_rows)
-        if dup.limit(1).count() > 0:
-            raise ValueError("The given key already exists")
-    pool = new_rows if current is None else current.unionByName(new_rows)
-    # the pool is a parquet scan plus the materialized batch: cheap to read twice
-    hits = banding.index_query(pool, new_rows, materialize_index=False)
-    tag = F.lit(batch_id).cast("long").alias("batch_id")
-    (new_rows.select("key", "band", "bucket", tag).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(index_path))
-    (hits.select("q", "key", tag).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(hits_path))
-
-
-def index_upkeep(stream_sets: DataFrame, index_path: str, hits_path: str, name: str,
-                 spec: minhash.SketchSpec = minhash.SketchSpec(), bands: int = 22,
-                 rows: int = 5, available_now: bool = True) -> StreamingQuery:
-    """Insert arriving keys into the index table and record their hits."""
-    spark = stream_sets.sparkSession
+    # read by the probe and the writes: sketch the batch once
+    new_rows = materialize(banding.index_rows(batch.select("key", "element"), bands, rows, spec)
+                           .select("key", "band", "bucket", _shard(shards, "band", "bucket")))
+    keys = materialize(new_rows.select("key").distinct().select("key", _shard(shards, "key")))
+    if check_duplication:
+        known = _stored(spark, f"{path}/keys", batch_id, keys)
+        found = None if known is None else keys.join(known.select("key"), "key", "left_semi").first()
+        if found is None and "pos" in batch.columns:
+            found = (batch.filter("pos = 0 AND key IS NOT NULL").groupBy("key").agg(F.count("*").alias("n"))
+                     .filter("n > 1").first())
+        if found is not None:
+            raise ValueError(f"batch {batch_id} brings a key that is not new: {found['key']!r}")
+    old = _stored(spark, f"{path}/index", batch_id, new_rows)
+    fresh = new_rows.select("key", "band", "bucket")
+    pool = fresh if old is None else old.select("key", "band", "bucket").unionByName(fresh)
+    hits = banding.index_query(pool, fresh)
+    _write_batch(hits.select("q", "key", _tag(batch_id)), f"{path}/hits")
+    _write_batch(keys.select("key", _tag(batch_id), "shard"), f"{path}/keys", "shard")
+    _write_batch(new_rows.select("key", "band", "bucket", _tag(batch_id), "shard").repartition("shard"),
+                 f"{path}/index", "shard")
+
+
+def index_upkeep(stream_sets: DataFrame, path: str, spec: minhash.SketchSpec = minhash.SketchSpec(), bands: int = 22,
+                 rows: int = 5, available_now: bool = True, shards: int = SHARDS) -> StreamingQuery:
+    """Insert arriving keys into the index below ``path`` and record their hits."""
 
     def run(batch, batch_id):
-        upkeep_batch(batch, batch_id, index_path, hits_path, spec, bands, rows)
+        upkeep_batch(batch, batch_id, path, spec, bands, rows, shards=shards)
 
-    w = (stream_sets.writeStream.foreachBatch(run)
-         .option("checkpointLocation", checkpoint_location(spark, name)))
+    w = stream_sets.writeStream.foreachBatch(run).option("checkpointLocation", f"{path}/checkpoint")
     w = w.trigger(availableNow=True) if available_now else w
     return w.start()
 
 
-def read_index(spark: SparkSession, index_path: str) -> DataFrame:
-    return spark.read.parquet(index_path).select("key", "band", "bucket")
+def compact_index(spark: SparkSession, path: str, target: str) -> None:
+    """Write the index and keys below ``path`` to ``target`` with one file per shard, as batch −1.
+
+    Streams may go on from ``target``; its hits start anew.
+    """
+    for part in ("index", "keys"):
+        rows = spark.read.parquet(f"{path}/{part}").drop("batch_id")
+        rows = rows.withColumn("batch_id", F.lit(-1).cast("long"))
+        _write_batch(rows.repartition("shard"), f"{target}/{part}", "shard")
+
+
+def read_index(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(f"{path}/index").select("key", "band", "bucket")
 
 
-def read_hits(spark: SparkSession, hits_path: str) -> DataFrame:
-    return spark.read.parquet(hits_path).select("q", "key")
+def read_hits(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(f"{path}/hits").select("q", "key")
 
 
-__all__ = ["file_stream", "signature_stream", "start_signature_stream", "index_upkeep",
-           "upkeep_batch", "read_index", "read_hits", "checkpoint_location"]
+__all__ = ["file_stream", "signature_stream", "start_signature_stream", "read_signatures", "index_upkeep",
+           "upkeep_batch", "compact_index", "read_index", "read_hits", "stream_folder"]

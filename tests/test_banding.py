@@ -70,15 +70,40 @@ def test_salted_pairs_equal_plain(spark):
     assert set(got) == expected
 
 
-def test_salted_index_query_equals_plain_join(spark):
-    from simpairs.operators.pairs import salted_join
-    idx = spark.createDataFrame([(k, 0, "hot") for k in range(30)] + [(100, 1, "x"), (101, 1, "y")],
-                                "key long, band int, bucket string")
-    probe = spark.createDataFrame([(7, 0, "hot"), (8, 0, "hot"), (9, 1, "x"), (10, 1, "z")],
+def test_index_query_in_blocks_equals_plain_join(spark):
+    from pyspark.sql import functions as F
+
+    from simpairs.operators.pairs import cross_pairs
+
+    index = spark.createDataFrame([(k, 0, "h") for k in range(40)] + [(50, 0, "x"), (50, 1, "h")],
                                   "key long, band int, bucket string")
-    got = sorted((r._sk, r._bk) for r in salted_join(idx, probe, ("band", "bucket"), "key", "key",
-                                                     max_block=4).collect())
-    expected = sorted([(q, k) for q in (7, 8) for k in range(30)] + [(9, 100)])
-    assert got == expected
-    hits = sorted((r.q, r.key) for r in banding.index_query(idx, probe).collect())
-    assert hits == expected
+    probe = spark.createDataFrame([(k, 0, "h") for k in range(100, 117)] + [(200, 1, "h"), (201, 3, "h")],
+                                  "key long, band int, bucket string")
+    plain = (probe.select(F.col("key").alias("q"), "band", "bucket").join(index, ["band", "bucket"])
+             .select("q", "key").distinct())
+    want = sorted(map(tuple, plain.collect()))
+    assert sorted(map(tuple, banding.index_query(index, probe).collect())) == want
+    for block in (1, 6):
+        met = cross_pairs(probe, index, ("band", "bucket"), "key", "key", max_block=block)
+        assert sorted((r._x, r._y) for r in met.collect()) == want
+
+
+def test_a_key_given_twice_or_known_is_a_duplicate(spark, ev_index):
+    keys = sorted({r.key for r in ev_index.select("key").distinct().collect()})
+    none = ev_index.filter("false")
+    new = ev_index.filter(f"key = {keys[0]}")
+    assert banding.duplicate_keys(none, new).count() == 0
+    assert [r.key for r in banding.duplicate_keys(none, new.union(new)).collect()] == [keys[0]]
+    with pytest.raises(ValueError, match=str(keys[0])):
+        banding.index_insert(none, new.union(new))
+    arrivals = spark.createDataFrame([(keys[1],), (-7,), (-8,), (-8,)], "key long")
+    assert sorted(r.key for r in banding.duplicate_keys(ev_index, arrivals).collect()) == [-8, keys[1]]
+
+
+def test_fewer_bands_find_less(spark):
+    """The registered setting of the band-limited query differs from the whole query."""
+    from simpairs.plans import queries as q
+
+    sf = "/root/testdata/sf0.01"
+    whole, few = (q.QUERIES[n](spark, sf).count() for n in ("index_query", "index_query_bands"))
+    assert 0 < few < whole

@@ -13,9 +13,10 @@ def test_planted_documents_found(spark):
         [(1, base), (2, base), (3, near), (4, "completely different text here"), (5, "")],
         "doc_id long, text string")
     got = {(r.u, r.v): r.jaccard for r in jobs.near_duplicate_documents(docs, 0.8, seed=2020).collect()}
-    assert got[(1, 2)] == 1.0
-    assert (1, 3) in got and (2, 3) in got
-    assert all(4 not in p and 5 not in p for p in got)
+    assert set(got) == {(1, 3)}  # 2 is a copy of 1
+    assert sorted(tuple(r) for r in tb.doc_copy_groups(docs).collect()) == [(1, 1), (2, 1), (3, 3), (4, 4)]
+    got = {(r.u, r.v): r.jaccard for r in jobs.near_duplicate_documents(docs, 0.8, seed=2020, expand=True).collect()}
+    assert got[(1, 2)] == 1.0 and set(got) == {(1, 2), (1, 3), (2, 3)}
 
 
 def test_js_pairs_subset_of_bruteforce(spark, sf_small):
@@ -44,7 +45,7 @@ def test_cosine_pairs_vs_bruteforce(spark, sf_small):
         b[ui[x.user], ii[x.item]] = 1
     for binary, mat, t in ((True, b, 0.5), (False, m, 0.4)):
         got = {(row.u, row.v): row.cosine for row in
-               jobs.cosine_pairs(r, t, 2020, hash_size=4, num_tables=16, binary=binary).collect()}
+               jobs.cosine_pairs(r, t, hash_size=4, num_tables=16, binary=binary).collect()}
         for (u, v), c in got.items():
             x, y = mat[ui[u]], mat[ui[v]]
             assert abs(c - round(x @ y / np.sqrt((x @ x) * (y @ y)), 6)) < 1e-9
@@ -52,20 +53,31 @@ def test_cosine_pairs_vs_bruteforce(spark, sf_small):
         assert len(got) > 0
 
 
-def test_group_of_copies_matches_plain_path(spark):
-    # a third of the keys are copies of one set; collapsing must not change results
+def test_group_of_copies_stays_linear_and_expands(spark):
+    # a third of the keys are copies of one set
     base = [f"e{i}" for i in range(40)]
     rows = [(k, e) for k in range(30) for e in base]
     rows += [(100 + k, e) for k in range(30) for e in base[k % 10: 30 + k % 10]]
     rows += [(200 + k, f"z{k}_{i}") for k in range(30) for i in range(10)]
     sets = spark.createDataFrame(rows, "key long, element string")
-    a = sorted(tuple(r) for r in jobs.jaccard_pairs(sets, 0.5, 7, collapse_copies=True).collect())
-    b = sorted(tuple(r) for r in jobs.jaccard_pairs(sets, 0.5, 7, collapse_copies=False).collect())
-    assert a == b
-    assert sum(1 for r in a if r[0] < 30 and r[1] < 30) == 30 * 29 // 2
-    ca = sorted(tuple(r) for r in jobs.jaccard_candidates(sets, 7, collapse_copies=True).collect())
-    cb = sorted(tuple(r) for r in jobs.jaccard_candidates(sets, 7, collapse_copies=False).collect())
-    assert ca == cb
+    of = {}
+    for k, e in rows:
+        of.setdefault(k, set()).add(e)
+    rep = {k: min(j for j in of if of[j] == of[k]) for k in of}
+    short = {(r.u, r.v): r.jaccard for r in jobs.jaccard_pairs(sets, 0.5, 7).collect()}
+    assert set(x for p in short for x in p) <= set(rep.values())
+    full = {(r.u, r.v): r.jaccard for r in jobs.jaccard_pairs(sets, 0.5, 7, expand=True).collect()}
+    want = {}
+    for u, v in itertools.combinations(sorted(of), 2):
+        if rep[u] == rep[v]:
+            want[(u, v)] = 1.0
+        else:
+            pair = tuple(sorted((rep[u], rep[v])))
+            if pair in short:
+                want[(u, v)] = short[pair]
+    assert full == want and len(short) < 100 < len(full)
+    for (u, v), j in short.items():
+        assert j == round(len(of[u] & of[v]) / len(of[u] | of[v]), 6) >= 0.5
 
 
 def test_expand_pairs_salted_equals_unsalted(spark):
@@ -89,4 +101,17 @@ def test_doc_copy_groups_skip_wordless_texts(spark):
     got = sorted(tuple(r) for r in doc_copy_groups(docs).collect())
     assert got == [(1, 1), (2, 1), (6, 6)]
     pairs = {(r.u, r.v) for r in jobs.near_duplicate_documents(docs, 0.5, seed=3).collect()}
+    assert pairs == set()
+    pairs = {(r.u, r.v) for r in jobs.near_duplicate_documents(docs, 0.5, seed=3, expand=True).collect()}
     assert pairs == {(1, 2)}
+
+
+def test_last_rating_counts_and_unordered_repeats_fail(spark):
+    import pytest
+
+    rows = [(1, 5, 9.0, 1), (1, 5, 2.0, 2), (1, 6, 3.0, 3), (2, 5, 2.0, 4), (2, 6, 3.0, 5), (3, 7, 1.0, 6)]
+    r = spark.createDataFrame(rows, "user long, item long, rating double, at long")
+    got = [tuple(x) for x in jobs.cosine_pairs(r, 0.99, 2, 20, order="at").collect()]
+    assert got == [(1, 2, 1.0)]
+    with pytest.raises(Exception, match="order column"):
+        jobs.cosine_pairs(r, 0.99, 2, 20)

@@ -1,5 +1,3 @@
-import uuid
-
 import pytest
 
 from pyspark.sql import functions as F
@@ -12,13 +10,15 @@ from simpairs.streaming import sketches as st
 SPEC = mh.SketchSpec(seed=2020)
 
 
-def test_signature_stream_equals_batch(spark, sf_small):
-    name = "sig_" + uuid.uuid4().hex[:8]
-    ev = st.file_stream(spark, sf_small, "events.parquet")
+def test_signature_stream_equals_batch(spark, sf_small, tmp_path):
+    src = tmp_path / "src"
+    for part in range(3):
+        (tb.table(spark, sf_small, "events").filter(F.col("event_id") % 3 == part).coalesce(1)
+         .write.mode("append").parquet(str(src)))
+    ev = st.file_stream(spark, str(src), "*.parquet", max_files_per_trigger=1)
     sets = ev.select(F.col("user_id").alias("key"), tb.event_item().cast("string").alias("element"))
-    q = st.start_signature_stream(sets, name, SPEC)
-    q.awaitTermination(300)
-    streamed = spark.sql(f"SELECT key, perm, min(v) AS v FROM {name} GROUP BY key, perm")
+    st.start_signature_stream(sets, str(tmp_path / "sig"), SPEC).awaitTermination(300)
+    streamed = st.read_signatures(spark, str(tmp_path / "sig"))
     batch = mh.minhash_signatures(tb.ev_sets(spark, sf_small), SPEC)
     assert sorted(tuple(r) for r in streamed.collect()) == sorted(tuple(r) for r in batch.collect())
 
@@ -30,31 +30,50 @@ def test_index_upkeep_multi_batch(spark, sf_small, tmp_path):
     for lang_set in (["en"], ["fr"], ["de", "es"]):
         docs.filter(F.col("lang").isin(lang_set)).coalesce(1).write.mode("append").parquet(str(src))
     stream = st.file_stream(spark, str(src), "*.parquet", max_files_per_trigger=1)
-    sets = tb.doc_elements(spark, "", 3, docs=stream)
-    idx_path, hits_path = str(tmp_path / "index"), str(tmp_path / "hits")
-    q = st.index_upkeep(sets, idx_path, hits_path, "idx_" + uuid.uuid4().hex[:8], SPEC)
-    q.awaitTermination(600)
-    index = st.read_index(spark, idx_path)
+    sets = tb.doc_elements(spark, "", 3, docs=stream, positions=True)
+    path = str(tmp_path / "index")
+    st.index_upkeep(sets, path, SPEC, shards=4).awaitTermination(600)
+    index = st.read_index(spark, path)
     batch_index = banding.band_buckets(
         mh.minhash_signatures(tb.doc_elements(spark, sf_small, 3), SPEC), 22, 5)
     assert sorted(tuple(r) for r in index.collect()) == sorted(tuple(r) for r in batch_index.collect())
-    assert spark.read.parquet(idx_path).select("batch_id").distinct().count() == 3
+    assert spark.read.parquet(path + "/index").select("batch_id").distinct().count() == 3
     # every pair found by the all-pairs batch query is recorded from the later key's side
-    hits = {(r.q, r.key) for r in st.read_hits(spark, hits_path).collect()}
+    hits = {(r.q, r.key) for r in st.read_hits(spark, path).collect()}
     full = {(r.q, r.key) for r in banding.index_query(batch_index, batch_index).collect()}
     assert hits <= full
     undirected = {(min(a, b), max(a, b)) for a, b in hits if a != b}
     assert undirected == {(min(a, b), max(a, b)) for a, b in full if a != b}
+    # compacted: the same rows, one file per shard, and upkeep goes on from there
+    target = str(tmp_path / "compact")
+    st.compact_index(spark, path, target)
+    assert sorted(map(tuple, st.read_index(spark, target).collect())) == sorted(map(tuple, index.collect()))
+    again = spark.createDataFrame([(0, "x")], "key long, element string")
+    with pytest.raises(ValueError, match="not new"):
+        st.upkeep_batch(again, 9, target, SPEC, 22, 5, shards=4)
 
 
-def test_upkeep_rejects_reinserted_key_and_replay_is_idempotent(spark, tmp_path):
+def test_upkeep_rejects_known_and_repeated_keys_and_replay_is_idempotent(spark, tmp_path):
     rows = [(1, "a b c"), (2, "a b d")]
     first = spark.createDataFrame([(k, e) for k, t in rows for e in t.split()], "key long, element string")
-    idx, hits = str(tmp_path / "i"), str(tmp_path / "h")
-    st.upkeep_batch(first, 0, idx, hits, SPEC, 22, 5)
-    # replaying batch 0 overwrites its own partition instead of failing or duplicating
-    st.upkeep_batch(first, 0, idx, hits, SPEC, 22, 5)
-    assert st.read_index(spark, idx).count() == 2 * 22
+    path = str(tmp_path / "i")
+    st.upkeep_batch(first, 0, path, SPEC, 22, 5)
+    # replaying batch 0 overwrites its own partitions instead of failing or duplicating
+    st.upkeep_batch(first, 0, path, SPEC, 22, 5)
+    assert st.read_index(spark, path).count() == 2 * 22
     again = spark.createDataFrame([(2, "x")], "key long, element string")
-    with pytest.raises(ValueError):
-        st.upkeep_batch(again, 1, idx, hits, SPEC, 22, 5)
+    with pytest.raises(ValueError, match="not new"):
+        st.upkeep_batch(again, 1, path, SPEC, 22, 5)
+    twice = spark.createDataFrame([(5, "x", 0), (5, "y", 1), (5, "z", 0)], "key long, element string, pos int")
+    with pytest.raises(ValueError, match="not new"):
+        st.upkeep_batch(twice, 2, path, SPEC, 22, 5)
+
+
+def test_a_batch_reads_only_its_shards(spark, tmp_path):
+    path = str(tmp_path / "i")
+    for k in range(3):
+        sets = spark.createDataFrame([(k, f"e{k}{i}") for i in range(4)], "key long, element string")
+        st.upkeep_batch(sets, k, path, SPEC, 2, 5, shards=512)
+    touched = spark.createDataFrame([(7,)], "shard int")
+    plan = st._stored(spark, path + "/index", 99, touched)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "shard" in plan.split("PartitionFilters: [")[1].split("]")[0]
