@@ -141,8 +141,8 @@ def mix(docs: DataFrame, schedules: DataFrame | None = None, share: float = SHAR
 
 
 def by_position(mixed: DataFrame) -> DataFrame:
-    """Rows of ``mix`` range-sorted by their first position; those not taken come last."""
-    return mixed.orderBy(F.col("positions")[0].asc_nulls_last())
+    """Rows of ``mix`` range-sorted by their first position; those not taken come last, spread by their content."""
+    return mixed.orderBy(F.col("positions")[0].asc_nulls_last(), F.xxhash64("row", "size"))
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
