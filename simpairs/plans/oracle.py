@@ -137,10 +137,10 @@ def _gauss(seed, t, j, item) -> str:
     return f"(sqrt(-2.0::DOUBLE * ln({u1})) * cos({TWO_PI}::DOUBLE * {u2}))"
 
 
-def _planes(items_sql: str, bits: int, name="planes") -> str:
+def _planes(items_sql: str, bits: int, name="planes", tables: int = Q.RP_TABLES) -> str:
     return f"""{name} AS (
   SELECT item, t::INTEGER AS tbl, j::INTEGER AS bit, {_gauss(Q.SEED, 't', 'j', 'item')} AS w
-  FROM (SELECT DISTINCT item FROM ({items_sql})) i, range({Q.RP_TABLES}) tt(t), range({bits}) jj(j))"""
+  FROM (SELECT DISTINCT item FROM ({items_sql})) i, range({tables}) tt(t), range({bits}) jj(j))"""
 
 
 def _sparse_sig(vec: str, name: str, bits: int) -> str:
@@ -311,6 +311,8 @@ SELECT e.user_id, e.event_type, e.event_id FROM events e
 WHERE (e.user_id, e.event_type, e.event_id) NOT IN (SELECT user_id, event_type, event_id FROM firsts)"""
     s["hyperplanes"] = _with(_ev_triples(), _planes("SELECT item FROM ev_tr", Q.DCS_BITS)) + \
         "SELECT item, tbl, bit, round(w, 6) AS w FROM planes"
+    s["saved_planes"] = _with(_ev_triples(), _planes("SELECT item FROM ev_tr", Q.CS_BITS, tables=2)) + \
+        "SELECT item, tbl, bit, round(w, 6) AS w FROM planes"
     s["rp_signature"] = _with(_ev_triples(), 'bv AS (SELECT DISTINCT "user" AS key, item, 1::BIGINT AS w FROM ev_tr)',
                               _sparse_sig("bv", "rsig", Q.DCS_BITS)) + "SELECT key, tbl, bucket FROM rsig"
     s["rp_index"] = _with(_vec_sig()) + "SELECT key, tbl, bucket, label FROM vsig_l"

@@ -9,6 +9,7 @@ shared with the oracle are constants of this module.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -302,6 +303,17 @@ def q_hyperplanes(spark, base):
     return _round(projection.hyperplanes(items, DCS_BITS, RP_TABLES, SEED), "w")
 
 
+def q_saved_planes(spark, base):
+    """Hash parameters written once and read back; a second save keeps the stored ones."""
+    from simpairs.session import shared_path
+    from simpairs.sources import sinks
+
+    items = tb.event_triples(spark, base).select("item")
+    path = shared_path(spark, "parameters") or f"{spark.conf.get('spark.sql.warehouse.dir')}/parameters-{uuid.uuid4().hex}"
+    sinks.save_or_load(projection.hyperplanes(items, CS_BITS, 2, SEED), path)
+    return _round(sinks.save_or_load(projection.hyperplanes(items, CS_BITS, 2, SEED + 1), path), "w")
+
+
 def q_rp_signature(spark, base):
     vec = elements.binary_vectors(tb.event_triples(spark, base))
     return projection.sparse_signatures(vec, DCS_BITS, RP_TABLES, SEED)
@@ -337,13 +349,13 @@ def q_rp_probe_topk(spark, base):
 
 def q_cs_pairs(spark, base):
     """Ratings as they came: the last one of a user and item counts."""
-    return jobs.cosine_pairs(tb.event_triples(spark, base), CS_THRESHOLD, CS_BITS, RP_TABLES, seed=SEED,
-                             order="event_id", binary=False)
+    return jobs.similar_pairs(tb.event_triples(spark, base), "cs", CS_THRESHOLD, SEED, hash_size=CS_BITS,
+                              num_tables=RP_TABLES, order="event_id")
 
 
 def q_dcs_pairs(spark, base):
-    return jobs.cosine_pairs(tb.event_triples(spark, base), DCS_THRESHOLD, DCS_BITS, RP_TABLES, seed=SEED,
-                             binary=True)
+    return jobs.similar_pairs(tb.event_triples(spark, base), "dcs", DCS_THRESHOLD, SEED, hash_size=DCS_BITS,
+                              num_tables=RP_TABLES)
 
 
 def q_pair_lines(spark, base):
@@ -372,8 +384,6 @@ def q_users_with_matches(spark, base):
 
 def q_stream_signature(spark, base):
     """X4: events streamed from the table directory; state = batch signatures."""
-    import uuid
-
     from simpairs.streaming import sketches as st
 
     path = st.stream_folder(spark, "signature-" + uuid.uuid4().hex)
@@ -385,8 +395,6 @@ def q_stream_signature(spark, base):
 
 def q_stream_index(spark, base):
     """X5: documents streamed into the banding index with foreachBatch insert/probe."""
-    import uuid
-
     from simpairs.streaming import sketches as st
 
     path = st.stream_folder(spark, "index-" + uuid.uuid4().hex)
