@@ -174,8 +174,10 @@ def search(vectors: DataFrame, is_query, k: int = 20, probe: float = PROBE, samp
     drawn = rows.filter(F.pmod(F.xxhash64("vec_id", "x"), F.lit(1_000_000)) < share).limit(sample).select("x").toArrow()
     fitted = np.zeros((0, dim + 1), np.float32)
     if drawn.num_rows:
-        fitted = (lifted(cells.matrix(drawn["x"], dim, np.float64), top) @ turn).astype(np.float32)
-        fitted = fitted[np.lexsort(fitted.T)]  # the same centroids whatever the order of arrival
+        # sorted, so centroids do not depend on the order of arrival; without copies, so that a vector
+        # very many rows share does not take many equal centroids
+        distinct = np.unique(cells.matrix(drawn["x"], dim, np.float64), axis=0)
+        fitted = (lifted(distinct, top) @ turn).astype(np.float32)
         fitted = fit_centroids(fitted, min(len(fitted), max(1, math.isqrt(n))), seed)
     shared = spark.sparkContext.broadcast(Index(dim, top, fitted, turn))
     listed = materialize(rows.mapInArrow(_lists(shared, dim), "vec_id long, x array<double>, list int"))

@@ -102,6 +102,26 @@ def test_nearest_neighbours_with_ties(spark, vectors):
         assert [i for i in got[40] if 40 <= i < 60] == sorted(i for i in got[40] if 40 <= i < 60)
 
 
+def test_recall_beside_a_very_common_vector(spark):
+    from pyspark.sql import functions as F
+
+    from simpairs.llm import ann
+
+    rng = np.random.default_rng(6)
+    v = rng.standard_normal((1500, 24)).astype(np.float32)
+    v[::3] = v[0]
+    table = spark.createDataFrame([(i, [float(c) for c in x]) for i, x in enumerate(v)], "vec_id long, embedding array<float>")
+    got = defaultdict(list)
+    for r in ann.search(table.repartition(4), F.col("vec_id") % 20 == 0, k=20).orderBy("query_id", "rank").collect():
+        got[r.query_id].append(r.vec_id)
+    x, hits = v.astype(np.float64), []
+    for q in range(0, 1500, 20):
+        want = [i for i, _ in ranked({i: float((x[i] * x[q]).sum()) for i in range(1500) if i != q}, 20)]
+        hits.append(len(set(want) & set(got[q])) / 20)
+    assert np.mean(hits) >= 0.9
+    assert got[0] == [i for i in range(3, 63, 3)]  # of 499 copies the smallest ids
+
+
 def test_recall_with_production_parameters(spark):
     from simpairs.llm.queries import op9_ann_search
 
