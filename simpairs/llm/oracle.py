@@ -54,4 +54,57 @@ r AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
 """
 
-ORACLE = {"op2_source_mix": OP2, "op4_exact_topk": OP4}
+OP3 = r"""
+WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents),
+n AS (SELECT doc_id, unnest(range(len(l))) AS place, unnest(l) AS line FROM d WHERE l IS NOT NULL),
+k AS (
+  SELECT doc_id, place, s, len(regexp_extract_all(s, '[^\x20\x09-\x0D]+')) AS w,
+         row_number() OVER (PARTITION BY doc_id ORDER BY place) AS i
+  FROM (SELECT doc_id, place, trim(line, e' \t\n\r\x0b\x0c') AS s FROM n) WHERE s <> ''),
+-- the shortest run from each line with 50 words or 3 lines
+b AS (
+  SELECT doc_id, i, CASE WHEN w >= 50 THEN s WHEN w + w1 >= 50 THEN s || chr(10) || s1
+                         ELSE s || chr(10) || s1 || chr(10) || s2 END AS block
+  FROM (SELECT *, lead(s, 1) OVER o AS s1, lead(w, 1) OVER o AS w1, lead(s, 2) OVER o AS s2
+        FROM k WINDOW o AS (PARTITION BY doc_id ORDER BY i))),
+f AS (
+  SELECT doc_id, i, first_value(doc_id) OVER q AS fd, first_value(i) OVER q AS fi
+  FROM b WHERE block IS NOT NULL WINDOW q AS (PARTITION BY block ORDER BY doc_id NULLS LAST, i)),
+m AS (SELECT doc_id, fd, fi - i AS shift, i FROM f WHERE doc_id <> fd OR i <> fi),
+-- runs of equal lines on the diagonal of a match, and those that hold a match
+e AS (
+  SELECT g.doc_id, g.fd, g.shift, a.i, a.place,
+         a.i - row_number() OVER (PARTITION BY g.doc_id, g.fd, g.shift ORDER BY a.i) AS run
+  FROM (SELECT DISTINCT doc_id, fd, shift FROM m) g JOIN k a ON a.doc_id = g.doc_id
+  JOIN k c ON c.doc_id = g.fd AND c.i = a.i + g.shift AND c.s = a.s),
+h AS (SELECT DISTINCT e.doc_id, e.fd, e.shift, e.run FROM e JOIN m USING (doc_id, fd, shift, i)),
+r AS (SELECT DISTINCT e.doc_id, e.place FROM e JOIN h USING (doc_id, fd, shift, run)),
+t AS (
+  SELECT n.doc_id, count(r.place) AS gone,
+         string_agg(n.line, chr(10) ORDER BY n.place) FILTER (WHERE r.place IS NULL) AS kept
+  FROM n LEFT JOIN r ON r.doc_id = n.doc_id AND r.place = n.place GROUP BY n.doc_id)
+SELECT d.doc_id, CAST(coalesce(len(d.l), 0) AS BIGINT) AS n_lines, CAST(coalesce(t.gone, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(t.kept, '')) AS kept_sha256
+FROM d LEFT JOIN t ON t.doc_id = d.doc_id
+"""
+
+OP6 = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+w AS (
+  SELECT r, p, count(*) OVER (PARTITION BY h) AS c
+  FROM (SELECT r, p, md5(x[2 * p + 1:2 * p + 400]) AS h
+        FROM (SELECT r, x, unnest(range(len(x) // 2 - 199)) AS p FROM d WHERE len(x) >= 400))),
+-- windows that start before or where the one before ends are one span
+s AS (SELECT r, p, sum(CASE WHEN p <= q + 200 THEN 0 ELSE 1 END) OVER (PARTITION BY r ORDER BY p) AS span
+      FROM (SELECT r, p, coalesce(lag(p) OVER (PARTITION BY r ORDER BY p), -1000) AS q FROM w WHERE c > 1)),
+v AS (SELECT r, min(p) AS a, max(p) + 200 AS z FROM s GROUP BY r, span),
+g AS (SELECT r, coalesce(lag(z) OVER (PARTITION BY r ORDER BY a), 0) AS a, a AS z FROM v
+      UNION ALL SELECT r, max(z), 1000000000 FROM v GROUP BY r),
+k AS (SELECT g.r, string_agg(d.x[2 * g.a + 1:2 * g.z], '' ORDER BY g.a) AS kept FROM g JOIN d USING (r) GROUP BY g.r),
+c AS (SELECT r, sum(z - a) AS gone, count(*) AS spans FROM v GROUP BY r)
+SELECT d.doc_id, CAST(len(d.x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(c.gone, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(c.spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(k.kept, d.x))) AS kept_sha256
+FROM d LEFT JOIN c USING (r) LEFT JOIN k USING (r)
+"""
+
+ORACLE = {"op2_source_mix": OP2, "op3_line_dedup": OP3, "op4_exact_topk": OP4, "op6_suffix_dedup": OP6}
