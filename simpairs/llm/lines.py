@@ -156,7 +156,9 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, min_lines: int = MI
     key = common.row_key(docs.select("doc_id", F.col("text").cast("string").alias("text")))
     keyed = rows.select("*", key.alias("key")).select("row", "doc_id", "text", "key.a", "key.b")
     removed = repeated_lines(keyed, min_words, min_lines)
-    joined = keyed.select("row", "text", "a", "b").join(removed, ["a", "b"], "left").select("row", "text", "removed")
+    # a table of removed lines grows with the input: never broadcast, the same plan at every size
+    joined = (keyed.select("row", "text", "a", "b").join(removed.hint("merge"), ["a", "b"], "left")
+              .select("row", "text", "removed"))
     row = docs.select(*[F.col(f"`{c}`") for c in columns]).schema.simpleString()
     return joined.mapInArrow(_delete, f"row {row}, kept string, n_lines long, n_removed long")
 
