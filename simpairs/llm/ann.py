@@ -22,11 +22,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from simpairs.llm import cells
+from simpairs.llm import cells, common
 from simpairs.session import materialize, ship_package
 
 FOUND = "query_id long, query long, vec_id long, score double"
-#: rows the centroids are fitted on
+#: expected number of rows the centroids are fitted on; at most twice as many
 SAMPLE = 20_000
 #: share of the lists a query probes; random vectors need many (measured recall: README)
 PROBE = 0.65
@@ -170,8 +170,7 @@ def search(vectors: DataFrame, is_query, k: int = 20, probe: float = PROBE, samp
     n, dim, top = rows.agg(F.count("*"), F.max(F.size("x")), F.max(norm)).first()
     dim, top = dim or 0, top or 0.0
     turn = rotation(dim + 1, seed)
-    share = int(1_000_000 * min(1.0, 1.1 * sample / max(1, n))) + 1
-    drawn = rows.filter(F.pmod(F.xxhash64("vec_id", "x"), F.lit(1_000_000)) < share).limit(sample).select("x").toArrow()
+    drawn = rows.filter(common.drawn(sample / max(1, n), "vec_id", "x")).limit(2 * sample).select("x").toArrow()
     fitted = np.zeros((0, dim + 1), np.float32)
     if drawn.num_rows:
         # sorted, so centroids do not depend on the order of arrival; without copies, so that a vector

@@ -43,6 +43,11 @@ def row_key(df: DataFrame) -> Column:
                     F.xxhash64(F.lit(2), *reversed(columns), *flags).alias("b"))
 
 
+def drawn(share: float, *columns: str) -> Column:
+    """True for a share of all rows, by a hash of the columns; fine enough for one row in 10^18."""
+    return F.shiftrightunsigned(F.xxhash64(*columns), 2) < F.lit(int(min(1.0, share) * (1 << 62)))
+
+
 def byte_texts(column: pa.Array) -> Iterator[bytes | None]:
     """UTF-8 bytes of a string column, one by one (a batch is never copied whole)."""
     for value in column.cast(pa.binary() if pa.types.is_string(column.type) else pa.large_binary()):

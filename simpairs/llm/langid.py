@@ -156,11 +156,10 @@ def learn(labelled: DataFrame, sample: int = SAMPLE) -> Model:
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return Model()
-    draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000))
-    rate = F.lit(0)
+    keep = F.lit(False)
     for lang, n in sorted(counts.items()):
-        rate = F.when(F.col("lang") == lang, int(1_000_000 * sample / len(counts) / n) + 1).otherwise(rate)
-    drawn = rows.filter(draw < rate).select("lang", "text").limit(2 * sample)
+        keep = F.when(F.col("lang") == lang, common.drawn(sample / len(counts) / n, "doc_id", "text")).otherwise(keep)
+    drawn = rows.filter(keep).select("lang", "text").limit(2 * sample)
     got = drawn.mapInArrow(_sampled, "lang string, x binary").toPandas()
     got = got.sort_values(["lang", "x"])  # the same machines whatever the order of arrival
     x = np.frombuffer(b"".join(got["x"]), np.float16).reshape(-1, DIM).astype(np.float32)
