@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from simpairs.operators import banding, minhash
-from simpairs.session import materialize, shared_folder
+from simpairs.session import materialize, shared_folder, widened
 
 SHARDS = 64
 
@@ -140,7 +140,7 @@ def index_upkeep(stream_sets: DataFrame, path: str, spec: minhash.SketchSpec = m
     """Insert arriving keys into the index below ``path`` and record their hits."""
 
     def run(batch, batch_id):
-        upkeep_batch(batch, batch_id, path, spec, bands, rows, shards=shards)
+        upkeep_batch(widened(batch), batch_id, path, spec, bands, rows, shards=shards)
 
     w = stream_sets.writeStream.foreachBatch(run).option("checkpointLocation", f"{path}/checkpoint")
     w = w.trigger(availableNow=True) if available_now else w

@@ -18,7 +18,7 @@ import sys
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-DEFAULT = ["band_buckets", "doc_near_duplicates", "cs_pairs", "cosine_topk", "minhash_union"]
+DEFAULT = ["band_buckets", "doc_near_duplicates", "cs_pairs", "cosine_topk", "rp_probe_topk", "minhash_union"]
 
 
 def main() -> None:
