@@ -33,12 +33,16 @@ def table(spark: SparkSession, base: str, name: str) -> DataFrame:
 
 def read_ratings(spark: SparkSession, path: str, fmt: str = "parquet",
                  user: str = "user", item: str = "item", rating: str = "rating",
-                 **options) -> DataFrame:
-    """Ratings scan (any ``spark.read`` format) renamed/cast to the triple shape."""
+                 order: str | None = None, **options) -> DataFrame:
+    """Ratings scan (any ``spark.read`` format) renamed/cast to the triple shape.
+
+    ``order`` names a column to keep that tells which of several ratings of
+    one user and item is the last.
+    """
     df = spark.read.format(fmt).options(**options).load(path)
     return df.select(F.col(user).cast("long").alias("user"),
                      F.col(item).cast("long").alias("item"),
-                     F.col(rating).cast("double").alias("rating"))
+                     F.col(rating).cast("double").alias("rating"), *([F.col(order)] if order else []))
 
 
 # ---------------------------------------------------------------- events

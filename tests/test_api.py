@@ -19,6 +19,8 @@ def test_read_ratings_any_format(spark, tmp_path):
                           header="true")
     assert got.schema.simpleString() == "struct<user:bigint,item:bigint,rating:double>"
     assert sorted(tuple(r) for r in got.collect()) == [(1, 10, 4.0), (2, 11, 3.0)]
+    dated = tb.read_ratings(spark, str(tmp_path / "r"), fmt="csv", user="u", item="i", rating="r", order="i", header="true")
+    assert dated.columns == ["user", "item", "rating", "i"]
 
 
 def test_remove_keys(spark):
