@@ -152,7 +152,7 @@ def links(distinct: DataFrame, max_bits: int = 3) -> DataFrame:
     ship_package(spark)
     # a few bytes a row would be read by few tasks, each of which makes dozens of rows from one
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keyed = distinct.select("fp").repartition(parts, "fp").mapInArrow(_keyed, "key long, fp long")
+    keyed = distinct.select("fp").repartition(parts, F.xxhash64("fp")).mapInArrow(_keyed, "key long, fp long")
     a, b = keyed.select("key", F.col("fp").alias("u")), keyed.select("key", F.col("fp").alias("v"))
     near = (F.col("u") < F.col("v")) & (F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= F.lit(max_bits))
     return a.join(b, (a["key"] == b["key"]) & near).select("u", "v").distinct()
