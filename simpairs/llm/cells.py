@@ -38,9 +38,13 @@ def in_cells(rows: DataFrame, n_blocks: int, queries: DataFrame, n_queries: int,
     ``ceil(n_queries / chunk)`` chunks by their row.
     """
     n_chunks = max(1, math.ceil(n_queries / chunk))
+    # a cell is small in bytes and large in work: cells are not packed together by their bytes
+    shuffled = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = min(max(1, n_blocks) * n_chunks, 8 * shuffled)
     left = rows.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(n_chunks - 1))))
     right = (queries.withColumn("chunk", F.pmod(F.xxhash64(*queries.columns), F.lit(n_chunks)).cast("int"))
              .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(max(1, n_blocks) - 1)))))
+    left, right = (side.repartition(parts, "block", "chunk") for side in (left, right))
     return (left.groupBy("block", "chunk").cogroup(right.groupBy("block", "chunk"))
             .applyInArrow(lambda a, b: function(a, b), schema))
 
