@@ -1,6 +1,9 @@
 """Secret scan: candidates by pattern, false positives removed by a random forest.
 
-A candidate is a maximal run of 14 or more letters, digits and ``+ / _ -``.
+A candidate is a maximal run of 14 or more ASCII letters, digits and
+``+ / _ -``, whatever stands beside it; only the part of a run that touches a
+further Latin letter (``ü``) belongs to a word and is left out. Behind a
+hinting word and an assignment, any value of 6 or more bytes is one too.
 The forest sees its length, its character transitions (mean log-probability
 of its byte pairs among all texts, and changes of character class), how much
 of it dictionary words cover (the corpus's own frequent words), the path it
@@ -21,13 +24,27 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from simpairs.llm import common
 from simpairs.session import materialize, ship_package
 
-CANDIDATE = re.compile(rb"(?<![A-Za-z0-9+/_\-\x80-\xff])[A-Za-z0-9+/_-]{14,}={0,2}(?![A-Za-z0-9\x80-\xff])")
+LEAST, SHORTEST = 14, 6  # bytes of a candidate, and of an assigned value behind a hinting word
+CANDIDATE = re.compile(rb"(?<![A-Za-z0-9+/_\-])[A-Za-z0-9+/_-]{%d,}={0,2}(?![A-Za-z0-9])" % LEAST)
+JOINTS = re.compile(rb"[+/_-]")
+#: a word goes on beside these; punctuation, symbols and letters of other scripts end it
+LATIN = regex.compile(r"[\p{Latin}\u0300-\u036f]")
+ASSIGNMENTS = ("=", ":", "\uff1d", "\uff1a")  # the last two are full-width
+QUOTES = ("\"", "'", *"`\u2018\u2019\u201a\u201b\u201c\u201d\u201e\u201f\u00ab\u00bb\u2039\u203a\u300c\u300d\u300e\u300f\uff02\uff07")
+_SIGNS, _OPEN = ("|".join(re.escape(c) for c in a).encode() for a in (ASSIGNMENTS, QUOTES))
+ASSIGN = re.compile(rb"(?:%s)+>?" % _SIGNS)
+OPEN = re.compile(rb"\s*(?:%s)?" % _OPEN)
+#: what may stand between a hinting word and its assignment
+CLOSED = re.compile(rb"([\w-]+)(?:%s)?\s*$" % _OPEN)
+#: an assigned value, which ends before white space, quotes, brackets and further punctuation
+VALUE = regex.compile(r"(?:[\p{L}\p{M}\p{N}!#$%*+\-./:=?@\\^_|~]|&(?![\w-]+=))+")
 WORD = re.compile(rb"[a-z]+")
 NEAR = re.compile(rb"[\w-]+")
 #: words that introduce a secret
@@ -78,21 +95,71 @@ def _kinds(token: np.ndarray) -> np.ndarray:
                     np.where((token >= 48) & (token <= 57), 2, 3)))
 
 
+def _whole(text: bytes, start: int, end: int) -> tuple[int, int]:
+    """The run ``start`` … ``end`` without its parts that touch a Latin letter beyond ASCII."""
+    if start and text[start - 1] > 127 and LATIN.match(text[max(0, start - 4):start].decode(errors="ignore")[-1:]):
+        joint = JOINTS.search(text, start, end)
+        start = joint.end() if joint else end
+    if end < len(text) and text[end] > 127:
+        follows = text[end:end + 4].decode(errors="ignore")[:1]
+        if text[end - 1:end] == b"=" and follows.isalnum():  # an assignment, no padding
+            end = start + len(text[start:end].rstrip(b"="))
+        elif LATIN.match(follows):
+            joints = [m.start() for m in JOINTS.finditer(text, start, end)]
+            end = joints[-1] if joints else start
+    return start, end
+
+
+def _value(text: bytes, start: int) -> int:
+    """End of the value that begins at ``start``; no more text is decoded than it takes."""
+    size = 256
+    while True:
+        part = text[start:start + size].decode(errors="replace")
+        value = VALUE.match(part)
+        if not value or len(value.group()) < len(part) - 4 or start + size >= len(text):
+            return start + len(value.group().rstrip(".:?").encode()) if value else start
+        size *= 4
+
+
+def _assigned(text: bytes):
+    """Places of values behind a hinting word and an assignment; they do not overlap."""
+    at = 0
+    while m := ASSIGN.search(text, at):
+        at = m.end()
+        word = CLOSED.search(text[max(0, m.start() - 40):m.start()])
+        if word and any(h in word.group(1).lower() for h in HINTS):
+            start = OPEN.match(text, m.end()).end()
+            end = _value(text, start)
+            if end - start >= SHORTEST:
+                yield start, end
+                at = end
+
+
+def places(text: bytes) -> list[tuple[int, int]]:
+    """Start and end of all candidates of a text, in order."""
+    runs = (_whole(text, *m.span()) for m in CANDIDATE.finditer(text))
+    found = {(a, b) for a, b in runs if b - a >= LEAST}
+    found.update(_assigned(text))
+    return sorted(found)
+
+
 def _scan(shared, schema: pa.Schema):
+    signs, quotes = (tuple(c.encode() for c in a) for a in (ASSIGNMENTS, QUOTES))
+
     def rows(batch):
         for doc_id, path, text in zip(batch.column("doc_id"), batch.column("path"), common.byte_texts(batch.column("text"))):
-            for m in CANDIDATE.finditer(text or b""):
-                token = np.frombuffer(m.group(), np.uint8).astype(np.int64)
+            for start, end in places(text or b""):
+                token = np.frombuffer(text[start:end], np.uint8).astype(np.int64)
                 kinds = _kinds(token)
-                before = text[max(0, m.start() - 40):m.start()]
-                after = text[m.end():m.end() + 40]
+                before = text[max(0, start - 40):start]
+                after = text[end:end + 40]
                 near = NEAR.findall(before)
                 last = near[-1].lower() if near else b""
                 gap = before[before.rfind(near[-1]) + len(near[-1]):] if near else before
                 following = NEAR.search(after)
-                yield (doc_id.as_py(), path.as_py(), m.start(), len(token), m.group().decode(),
-                       int(any(h in last for h in HINTS)), int(b"=" in gap or b":" in gap),
-                       int(gap.endswith((b'"', b"'"))), int(last.isalpha()),
+                yield (doc_id.as_py(), path.as_py(), start, len(token), text[start:end].decode(),
+                       int(any(h in last for h in HINTS)), int(any(c in gap for c in signs)),
+                       int(gap.endswith(quotes)), int(last.isalpha()),
                        int(bool(following) and following.group().isalpha()),
                        float((kinds == 2).mean()), float((kinds == 1).mean()),
                        float((kinds[1:] != kinds[:-1]).mean()),
@@ -111,10 +178,11 @@ def _substrings(batches):
     def rows(batch):
         for finding in batch.column("finding"):
             finding = finding.as_py()
-            for run in WORD.finditer(finding.lower().encode()):
+            data = finding.encode().lower()
+            for run in WORD.finditer(data):
                 for i in range(run.start(), run.end() - SHORT + 1):
                     for j in range(i + SHORT, min(i + LONG, run.end()) + 1):
-                        yield finding, i, finding[i:j].lower()
+                        yield finding, i, data[i:j].decode()
 
     for batch in batches:
         yield from common.in_slices(rows(batch), schema)

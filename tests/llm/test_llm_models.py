@@ -95,6 +95,32 @@ def test_secret_scan_awkward(spark, docs):
     assert all(r.is_secret and r.score is None for r in kept.collect()) and kept.count() == 2
 
 
+@pytest.mark.parametrize("before, after", ["\u201c\u201d", "\u00ab\u00bb", "\u300c\u300d", ("\uff1a", "\u3002"), ("token\uff1a", "\uff0c"),
+                                           ("\u5bc6\u94a5", "\u662f"), ("\u043a\u043b\u044e\u0447", " "), ("caf\u00e9/", "")])
+def test_secret_beside_characters_beyond_ascii(before, after):
+    from simpairs.llm import secret_scan
+
+    for secret in SECRETS:
+        text = f"\u00fc {before}{secret}{after} \u00fc".encode()
+        assert secret.encode() in [text[a:b] for a, b in secret_scan.places(text)]
+
+
+def test_short_assigned_values_are_candidates():
+    from simpairs.llm import secret_scan
+
+    found = lambda t: [t.encode()[a:b].decode() for a, b in secret_scan.places(t.encode())]
+    for text in ("password=S3cr3t!Pw9", "DB_PASSWORD: S3cr3t!Pw9.", '"passwd" : "S3cr3t!Pw9",', "pwd = \u201cS3cr3t!Pw9\u201d",
+                 "token\uff1aS3cr3t!Pw9\u3002", "secret=>'S3cr3t!Pw9'", "password=\u00abS3cr3t!Pw9\u00bb"):
+        assert found(text) == ["S3cr3t!Pw9"]
+    assert found("password=Schl\u00fcssel9 x") == ["Schl\u00fcssel9"]
+    assert found("time = S3cr3t!Pw9") == found("the password S3cr3t!Pw9") == found("pwd=abc") == []
+    assert found("?token=S3cr3t!Pw9&key=a1&pwd=S3cr3t&Pw9") == ["S3cr3t!Pw9", "S3cr3t&Pw9"]
+    assert "\u00e4b1!" * 3000 in found("password=" + "\u00e4b1!" * 3000 + " x")
+    # words with letters beyond ASCII are still not cut into candidates, and a run counts once
+    assert found("\u00dcberschwemmungsgebietsverordnung zust\u00e4ndigkeitsverteilungsplan e\u0301abcdefghijklmnopq") == []
+    assert found(f"password={SECRETS[1]}") == [SECRETS[1]]
+
+
 def test_pipeline_equals_its_stages_in_plain_python(spark):
     import corpus_pipeline
 
