@@ -221,22 +221,41 @@ def candidates(docs: DataFrame, path: str = "source", min_count: int = MIN_COUNT
             .withColumn("path_length", F.length(path_text)))
 
 
+def training_rows(labelled: DataFrame, sample: int = SAMPLE, seed: int = SEED) -> DataFrame:
+    """At most ``sample`` distinct ``(finding, features)`` of each kind, with their ``label``.
+
+    First (``again`` 0) one row of each finding, then (1) further ones, both
+    by a hash (``place``). A window over the rows of a finding would put a
+    common one into one task, so both parts are aggregates and top rows.
+    """
+    rows = (labelled.filter("is_secret IS NOT NULL").select("finding", F.col("is_secret").cast("double").alias("label"), *FEATURES)
+            .distinct().withColumn("place", F.xxhash64(F.lit(seed), "finding", *FEATURES)))
+    order = ["place", "finding", *FEATURES]
+    firsts = (rows.groupBy("finding", "label").agg(F.min(F.struct("place", *FEATURES)).alias("row"))
+              .select("finding", "label", "row.*"))
+    parts = [part.withColumn("again", F.lit(again)).filter(F.col("label") == kind).orderBy(*order).limit(sample)
+             for kind in (1.0, 0.0) for again, part in ((0, firsts), (1, rows))]
+    both = parts[0].unionByName(parts[1]), parts[2].unionByName(parts[3])
+    once = [b.groupBy("label", *order).agg(F.min("again").alias("again")).orderBy("again", *order).limit(sample) for b in both]
+    return once[0].unionByName(once[1])
+
+
 def train(labelled: DataFrame, sample: int = SAMPLE, seed: int = SEED):
     """Random forest from candidates with a boolean ``is_secret``; None without both kinds.
 
-    At most ``sample`` findings of each kind are used, the first by a hash of
-    their text, so the forest does not depend on the order of rows.
+    At most ``sample`` rows of each kind are used. Rows equal in finding and
+    features are one; each distinct finding gives one row before any gives a
+    second, and rows are taken by a hash, so neither copies nor the order of
+    rows decide what the forest learns from.
     """
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.feature import VectorAssembler
 
-    rows = labelled.filter("is_secret IS NOT NULL").select("finding", "doc_id", "start", "is_secret", *FEATURES)
-    order = [F.xxhash64(F.lit(seed), "finding"), F.col("finding"), F.col("doc_id"), F.col("start")]
-    kinds = [rows.filter(F.col("is_secret") == v).orderBy(*order).limit(sample) for v in (True, False)]
-    drawn = materialize(kinds[0].unionByName(kinds[1]).withColumn("label", F.col("is_secret").cast("double")))
+    drawn = materialize(training_rows(labelled, sample, seed))
     if drawn.select("label").distinct().count() < 2:
         return None
-    vectors = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(drawn.orderBy(*order).coalesce(1))
+    ordered = drawn.orderBy("label", "again", "place", "finding", *FEATURES).coalesce(1)
+    vectors = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(ordered)
     forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=seed, labelCol="label", featuresCol="features")
     return forest.fit(vectors.select("features", "label"))
 

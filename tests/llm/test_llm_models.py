@@ -121,6 +121,27 @@ def test_short_assigned_values_are_candidates():
     assert found(f"password={SECRETS[1]}") == [SECRETS[1]]
 
 
+def test_training_sample_has_variety_beside_a_common_finding(spark):
+    from pyspark.sql import functions as F
+
+    from simpairs.llm import secret_scan
+
+    def labelled(common):
+        rows = spark.range(900).withColumn("finding", F.when(F.col("id") % 3 == 0, F.lit(common)).otherwise(F.concat(F.lit("f"), "id")))
+        other = {f: F.lit(1.0) for f in secret_scan.FEATURES} | {"path_length": (F.col("id") % 200).cast("double")}
+        return rows.withColumns({**other, "doc_id": F.col("id"), "start": F.lit(0), "is_secret": F.col("id") % 2 == 0})
+
+    for common in ("a", "b", "c", "d"):  # whatever place its hash has
+        rows = secret_scan.training_rows(labelled(common), sample=50).collect()
+        assert Counter(r.label for r in rows) == {0.0: 50, 1.0: 50}
+        assert len({(r.label, r.finding) for r in rows}) == 100
+    # more room than findings: further feature vectors follow, none twice
+    rows = secret_scan.training_rows(labelled("a"), sample=330).filter("label = 1").collect()
+    assert Counter(r.again for r in rows) == {0: 301, 1: 29}
+    assert len({tuple(r[f] for f in ("finding", *secret_scan.FEATURES)) for r in rows}) == 330
+    assert secret_scan.train(labelled("a"), sample=50) is not None
+
+
 def test_pipeline_equals_its_stages_in_plain_python(spark):
     import corpus_pipeline
 
