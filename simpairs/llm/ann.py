@@ -1,7 +1,11 @@
 """Approximate nearest neighbours by adaptive dimension scan inside inverted lists.
 
 Largest inner product becomes least distance: vectors get one more component
-that raises all to the greatest norm (queries get zero there). A random
+that raises all to the greatest norm (queries get zero there). Rows of
+outlying norm are left out of this: they form a list of their own that every
+query scans, so they do not set the scale of all others. Lists and the order
+of probes are found in double precision, with the added component counted
+from the greatest norm, where no large numbers cancel. A random
 rotation spreads each vector's length evenly over its columns, so a distance
 over the first columns estimates the whole one. Vectors are dealt into lists
 by their nearest centroid; a query probes its nearest lists, nearest first.
@@ -30,6 +34,8 @@ FOUND = "query_id long, query long, vec_id long, score double"
 SAMPLE = 20_000
 #: share of the lists a query probes; random vectors need many (measured recall: README)
 PROBE = 0.65
+#: outlying: above this many times the norm that 99 % of the sampled rows do not exceed
+OUTLYING = 2.0
 COLUMNS = 16
 
 
@@ -56,22 +62,65 @@ def nearest(x: np.ndarray, centers: np.ndarray, at_once: int = 4096) -> np.ndarr
                            for i in range(0, len(x), at_once)] or [np.zeros(0, np.int64)])
 
 
-def lifted(x: np.ndarray, top: float) -> np.ndarray:
-    """Rows with one more component, so that all have norm² ``top``."""
-    return np.hstack([x, np.sqrt(np.maximum(0.0, top - (x * x).sum(axis=1, keepdims=True)))])
+def norms2(x: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return (x * x).sum(axis=1)
+
+
+def norm_bound(sample: np.ndarray) -> float:
+    """Squared norm above which a row is outlying; finite."""
+    n2 = np.sort(norms2(sample))
+    return min(OUTLYING ** 2 * float(n2[math.ceil(0.99 * len(n2)) - 1]), 1e300) if len(n2) else 0.0
 
 
 class Index:
-    """Rotation and centroids, shared with all tasks (lists × dimensions numbers)."""
+    """Rotation and centroids, shared with all tasks (lists × dimensions numbers).
+
+    Vectors are scaled so that the greatest norm not outlying is 1 (squared
+    ``top``). ``centers`` are in the coordinates of ``flat``.
+    """
+
+    def __init__(self, dim: int, bound: float, top: float, turn: np.ndarray):
+        self.dim, self.bound, self.scale, self.turn = dim, bound, math.sqrt(top) or 1.0, turn
+        self.centers = np.zeros((0, dim + 1))
+
+    def usual(self, x: np.ndarray) -> np.ndarray:
+        """True for rows that are not outlying."""
+        return norms2(x) <= self.bound
 
-    def __init__(self, dim: int, top: float, centers: np.ndarray, turn: np.ndarray):
-        self.dim, self.top, self.centers, self.turn = dim, top, centers, turn
+    def flat(self, x: np.ndarray) -> np.ndarray:
+        """Rows with what the added component lacks of the greatest norm: distances stay, small numbers keep their digits."""
+        x = x / self.scale
+        n2 = np.minimum(1.0, norms2(x))[:, None]
+        return np.hstack([x, n2 / (1 + np.sqrt(1 - n2))])
+
+    def lists(self, x: np.ndarray) -> np.ndarray:
+        """The list of each row; the one after the last centroid's is that of outlying rows."""
+        found, usual = np.full(len(x), len(self.centers)), self.usual(x)
+        if len(self.centers) and usual.any():
+            found[usual] = nearest(self.flat(x[usual]), self.centers)
+        return found
 
     def rows(self, x: np.ndarray) -> np.ndarray:
-        return (lifted(x, self.top) @ self.turn).astype(np.float32)
+        x = x / self.scale
+        lift = np.sqrt(np.maximum(0.0, 1 - norms2(x)))[:, None]
+        return (np.hstack([x, lift]) @ self.turn).astype(np.float32)
+
+    def scaled_queries(self, x: np.ndarray) -> np.ndarray:
+        """A query's length does not change the order of inner products: none is longer than the rows."""
+        largest = np.abs(x).max(axis=1, keepdims=True)  # not 0; divided by it, no square overflows
+        x = x / largest
+        with np.errstate(over="ignore"):
+            return x * np.minimum(largest / self.scale, 1 / np.sqrt(norms2(x))[:, None])
+
+    def queries(self, scaled: np.ndarray) -> np.ndarray:
+        return (np.hstack([scaled, np.zeros((len(scaled), 1))]) @ self.turn).astype(np.float32)
 
-    def queries(self, x: np.ndarray) -> np.ndarray:
-        return (np.hstack([x, np.zeros((len(x), 1))]) @ self.turn).astype(np.float32)
+    def order(self, scaled: np.ndarray) -> np.ndarray:
+        """Lists by their centroid's distance from each query, nearest first."""
+        at = np.hstack([scaled, np.ones((len(scaled), 1))])
+        near = at @ self.centers.T - (self.centers * self.centers).sum(axis=1) / 2
+        return np.argsort(-near, axis=1, kind="stable")
 
 
 def _lists(shared, dim: int):
@@ -79,8 +128,7 @@ def _lists(shared, dim: int):
         index = shared.value
         for batch in batches:
             x = cells.matrix(pa.chunked_array([batch.column("x")]), dim, np.float64)
-            found = nearest(index.rows(x), index.centers)
-            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("x"), pa.array(found, pa.int32())],
+            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("x"), pa.array(index.lists(x), pa.int32())],
                                              names=["vec_id", "x", "list"])
 
     return run
@@ -127,18 +175,21 @@ def _search(shared, dim: int, k: int, probe: float):
             rows = rows.sort_by([("list", "ascending"), ("vec_id", "ascending")])
             ids, lists = rows["vec_id"].to_numpy(), rows["list"].to_numpy()
             x = cells.matrix(rows["x"], dim, np.float64)
-            turned = np.ascontiguousarray(index.rows(x))
             starts = np.searchsorted(lists, np.arange(len(index.centers) + 1))
+            turned = np.ascontiguousarray(index.rows(x[:starts[-1]]))
+            outlying = np.arange(starts[-1], len(x))  # scored by all queries
             here = np.flatnonzero(np.diff(starts))
             q = cells.matrix(queries["x"], dim, np.float64)
-            turned_q = index.queries(q)
-            near = turned_q @ index.centers.T - (index.centers * index.centers).sum(axis=1) / 2
+            scaled = index.scaled_queries(q)
+            turned_q = index.queries(scaled)
             probes = max(1, math.ceil(probe * len(index.centers)))
-            chosen = np.argsort(-near, axis=1, kind="stable")[:, :probes]
+            chosen = index.order(scaled)[:, :probes]
             keys = zip(queries["query_id"].to_pylist(), queries["query"].to_pylist())
             for i, (query_id, query) in enumerate(keys):
                 mine = chosen[i][np.isin(chosen[i], here)]
-                got, _ = scan(turned, starts, turned_q[i], mine, ids == query_id, k)
+                own = ids == query_id
+                got, _ = scan(turned, starts, turned_q[i], mine, own, k)
+                got = np.concatenate([got, outlying[~own[outlying]]])
                 score = (x[got] * q[i]).sum(axis=1)
                 first = np.lexsort((ids[got], -score))[:k]
                 out += [(query_id, query, v, s) for v, s in zip(ids[got][first].tolist(), score[first].tolist())]
@@ -160,25 +211,28 @@ def search(vectors: DataFrame, is_query, k: int = 20, probe: float = PROBE, samp
     probes all candidates there are returns all of them if there are fewer
     than ``k``. Without rows the result is empty.
 
-    There are √n lists, none above the sample. A list larger than ``block``
+    There are √n lists, none above the sample, and one of outlying rows. A list larger than ``block``
     is split over blocks by row, so one hot list does not make one task.
     """
     spark = vectors.sparkSession
     ship_package(spark)
     rows = materialize(cells.valid_vectors(vectors, nonzero=True))
-    norm = F.aggregate("x", F.lit(0.0), lambda s, v: s + v * v)
-    n, dim, top = rows.agg(F.count("*"), F.max(F.size("x")), F.max(norm)).first()
-    dim, top = dim or 0, top or 0.0
+    n, dim = rows.agg(F.count("*"), F.max(F.size("x"))).first()
+    dim = dim or 0
     turn = rotation(dim + 1, seed)
     drawn = rows.filter(common.drawn(sample / max(1, n), "vec_id", "x")).limit(2 * sample).select("x").toArrow()
-    fitted = np.zeros((0, dim + 1), np.float32)
-    if drawn.num_rows:
-        # sorted, so centroids do not depend on the order of arrival; without copies, so that a vector
-        # very many rows share does not take many equal centroids
-        distinct = np.unique(cells.matrix(drawn["x"], dim, np.float64), axis=0)
-        fitted = (lifted(distinct, top) @ turn).astype(np.float32)
-        fitted = fit_centroids(fitted, min(len(fitted), max(1, math.isqrt(n))), seed)
-    shared = spark.sparkContext.broadcast(Index(dim, top, fitted, turn))
+    x = cells.matrix(drawn["x"], dim, np.float64) if drawn.num_rows else np.zeros((0, dim))
+    bound = norm_bound(x)
+    norm = F.aggregate("x", F.lit(0.0), lambda s, v: s + v * v)
+    top = rows.select(norm.alias("norm")).filter(F.col("norm") <= F.lit(bound)).agg(F.max("norm")).first()[0] or 0.0
+    index = Index(dim, bound, top, turn)
+    # sorted, so centroids do not depend on the order of arrival; without copies, so that a vector
+    # very many rows share does not take many equal centroids
+    usual = x[index.usual(x)]
+    if len(usual):
+        distinct = np.unique(usual, axis=0)
+        index.centers = fit_centroids(index.flat(distinct), min(len(distinct), max(1, math.isqrt(n))), seed)
+    shared = spark.sparkContext.broadcast(index)
     listed = materialize(rows.mapInArrow(_lists(shared, dim), "vec_id long, x array<double>, list int"))
     sizes = {r["list"]: r["count"] for r in listed.groupBy("list").count().collect()}  # one row per list
     n_blocks, first, parts = deal(sizes, block)

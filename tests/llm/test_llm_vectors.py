@@ -122,6 +122,27 @@ def test_recall_beside_a_very_common_vector(spark):
     assert got[0] == [i for i in range(3, 63, 3)]  # of 499 copies the smallest ids
 
 
+@pytest.mark.parametrize("n, times", [(4000, 1e3), (4000, 1e6), (4000, 1e200), (80, 1e6)])
+def test_recall_beside_a_very_long_vector(spark, n, times):
+    from pyspark.sql import functions as F
+
+    from simpairs.llm import ann
+
+    x = np.random.default_rng(7).standard_normal((n, 64))
+    x[n // 2] *= times  # also one of the queries
+    table = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    got = defaultdict(list)
+    for r in ann.search(table.repartition(4), F.col("vec_id") % 20 == 0, k=20).orderBy("query_id", "rank").collect():
+        got[r.query_id].append(r.vec_id)
+    hits = []
+    for q in range(0, n, 20):
+        want = [i for i, _ in ranked({i: s for i, s in enumerate((x @ (x[q] / np.abs(x[q]).max())).tolist()) if i != q}, 20)]
+        hits.append(len(set(want) & set(got[q])) / 20)
+        assert (n // 2 in want) == (n // 2 in got[q])
+    assert np.mean(hits) >= 0.9
+    assert hits[n // 40] >= 0.75
+
+
 def test_recall_with_production_parameters(spark):
     from simpairs.llm.queries import op9_ann_search
 
