@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -54,14 +54,21 @@ def byte_texts(column: pa.Array) -> Iterator[bytes | None]:
         yield value.as_py()
 
 
-def in_slices(rows: Iterable[dict], schema: pa.Schema, size: int = 20_000) -> Iterator[pa.RecordBatch]:
-    """Record batches of at most ``size`` rows from an iterator of tuples."""
+def in_slices(rows: Iterable[dict], schema: pa.Schema, size: int = 20_000, weigh: Callable | None = None,
+              most: int = 1 << 25) -> Iterator[pa.RecordBatch]:
+    """Record batches from an iterator of tuples.
+
+    A batch has at most ``size`` rows, and no further row once ``weigh`` (its
+    bytes, say) sums to ``most``.
+    """
     held: list = []
+    weight = 0
     for row in rows:
         held.append(row)
-        if len(held) >= size:
+        weight += weigh(row) if weigh else 0
+        if len(held) >= size or weight >= most:
             yield _batch(held, schema)
-            held = []
+            held, weight = [], 0
     if held:
         yield _batch(held, schema)
 

@@ -12,7 +12,8 @@ candidates it rejects are the false positives.
 
 Pair and word counts cover all documents (partial sums per batch, then a
 shuffle by key). Dictionary coverage joins the substrings of distinct
-candidates with the dictionary, so neither side is broadcast or collected.
+candidates, under 128-bit keys of these, with the dictionary, so neither side
+is broadcast or collected; work is in proportion to a candidate's length.
 Only the 65,536 pair counts, the bounded training sample and the forest pass
 through the driver.
 """
@@ -50,6 +51,7 @@ NEAR = re.compile(rb"[\w-]+")
 #: words that introduce a secret
 HINTS = (b"password", b"passwd", b"pwd", b"secret", b"token", b"key", b"apikey", b"api_key", b"auth", b"credential")
 SHORT, LONG = 3, 8  # letters of a dictionary word
+PIECE = 4096  # places of a candidate whose words are merged at once
 MIN_COUNT = 50  # occurrences that make a word a dictionary word
 SAMPLE = 5000  # labelled findings of each kind the forest is trained on
 TREES, DEPTH, SEED = 40, 8, 2020
@@ -167,27 +169,45 @@ def _scan(shared, schema: pa.Schema):
 
     def run(batches):
         for batch in batches:
-            yield from common.in_slices(rows(batch), schema, 5000)
+            yield from common.in_slices(rows(batch), schema, 5000, weigh=lambda row: row[3])
 
     return run
 
 
 def _substrings(batches):
-    schema = pa.schema([("finding", pa.string()), ("at", pa.int32()), ("word", pa.string())])
+    """Substrings that may be words, with the key of their candidate (``a``, ``b``): rows of a few bytes."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("at", pa.int32()), ("word", pa.string())])
 
     def rows(batch):
-        for finding in batch.column("finding"):
-            finding = finding.as_py()
-            data = finding.encode().lower()
+        for a, b, finding in zip(*(batch.column(c) for c in ("a", "b", "finding"))):
+            a, b, data = a.as_py(), b.as_py(), finding.as_py().encode().lower()
             for run in WORD.finditer(data):
                 for i in range(run.start(), run.end() - SHORT + 1):
                     for j in range(i + SHORT, min(i + LONG, run.end()) + 1):
-                        yield finding, i, data[i:j].decode()
+                        yield a, b, i, data[i:j].decode()
 
     for batch in batches:
         yield from common.in_slices(rows(batch), schema)
 
 
+def _covered(found: DataFrame, words: DataFrame) -> DataFrame:
+    """``(a, b, covered)``: bytes of each candidate that words cover, by its key.
+
+    Hits are merged in pieces of ``PIECE`` places, so a long candidate makes
+    no long list; a hit over the end of a piece counts in both with its part.
+    """
+    hits = (found.select("a", "b", "finding").distinct().mapInArrow(_substrings, "a long, b long, at int, word string")
+            .join(words, "word")
+            .groupBy("a", "b", "at").agg(F.max(F.length("word")).alias("letters"))
+            .withColumn("end", F.col("at") + F.col("letters"))
+            .withColumn("piece", F.explode(F.expr(f"array_distinct(array(at div {PIECE}, (end - 1) div {PIECE}))")))
+            .select("a", "b", "piece", F.expr(f"int(greatest(at, piece * {PIECE})) AS at"), F.expr(f"int(least(end, (piece + 1) * {PIECE})) AS end"))
+            .groupBy("a", "b", "piece").agg(F.array_sort(F.collect_list(F.struct("at", "end"))).alias("hits")))
+    merged = F.expr("aggregate(hits, struct(0 AS end, 0 AS n), (s, h) -> struct(greatest(s.end, h.end) AS end, "
+                    "s.n + greatest(0, h.end - greatest(s.end, h.at)) AS n))")
+    return hits.select("a", "b", merged["n"].alias("n")).groupBy("a", "b").agg(F.sum("n").alias("covered"))
+
+
 def candidates(docs: DataFrame, path: str = "source", min_count: int = MIN_COUNT) -> DataFrame:
     """Candidates with their place, text and features, one row each.
 
@@ -203,19 +223,14 @@ def candidates(docs: DataFrame, path: str = "source", min_count: int = MIN_COUNT
     table = table.reshape(256, 256)
     shared = spark.sparkContext.broadcast(np.log2(table / table.sum(axis=1, keepdims=True)).ravel())
     ddl = f"doc_id {common.sql_type(rows, 'doc_id')}, path string, {FOUND}"
-    found = materialize(rows.mapInArrow(_scan(shared, common.arrow_schema(ddl, spark)), ddl))
+    found = rows.mapInArrow(_scan(shared, common.arrow_schema(ddl, spark)), ddl)
+    found = materialize(found.withColumn("_key", common.row_key(found.select("finding"))).select("*", "_key.*").drop("_key"))
 
     words = counts.filter(~F.col("key").startswith("#") & (F.col("n") >= F.lit(min_count))).select(F.col("key").alias("word"))
-    hits = (found.select("finding").distinct().mapInArrow(_substrings, "finding string, at int, word string")
-            .join(words, "word")
-            .groupBy("finding", "at").agg(F.max(F.length("word")).alias("letters"))
-            .groupBy("finding").agg(F.array_sort(F.collect_list(F.struct("at", "letters"))).alias("hits")))
-    end = F.expr("aggregate(hits, struct(0 AS end, 0 AS n), (s, h) -> struct(greatest(s.end, h.at + h.letters) AS end, "
-                 "s.n + greatest(0, h.at + h.letters - greatest(s.end, h.at)) AS n))")
-    covered = materialize(hits.select("finding", end["n"].alias("covered")))
+    covered = materialize(_covered(found, words))
     path_text = F.coalesce(F.col("path"), F.lit(""))
-    return (found.join(covered, "finding", "left")
-            .withColumn("coverage", F.coalesce(F.col("covered"), F.lit(0)) / F.col("length")).drop("covered")
+    return (found.join(covered, ["a", "b"], "left")
+            .withColumn("coverage", F.coalesce(F.col("covered"), F.lit(0)) / F.col("length")).drop("covered", "a", "b")
             .withColumn("path_code", F.pmod(F.xxhash64(path_text), F.lit(PATH_CODES)).cast("int"))
             .withColumn("path_depth", F.size(F.split(path_text, "/")))
             .withColumn("path_length", F.length(path_text)))

@@ -142,6 +142,31 @@ def test_training_sample_has_variety_beside_a_common_finding(spark):
     assert secret_scan.train(labelled("a"), sample=50) is not None
 
 
+def test_long_runs_make_small_batches():
+    import pyarrow as pa
+
+    from simpairs.llm import common, secret_scan
+
+    run = "abcdefghij" * 1100  # 11,000 letters; rows that carried them made batches of 220 MB
+    batch = pa.RecordBatch.from_pydict({"a": [1], "b": [2], "finding": [run]})
+    batches = list(secret_scan._substrings([batch]))
+    assert sum(b.num_rows for b in batches) == 6 * (len(run) - 7) + 5 + 4 + 3 + 2 + 1
+    assert max(b.nbytes for b in batches) < 1 << 20
+    schema = pa.schema([("x", pa.string())])
+    cut = common.in_slices((("y" * 1000,) for _ in range(100)), schema, weigh=lambda row: len(row[0]), most=10_000)
+    assert [b.num_rows for b in cut] == [10] * 10
+
+
+def test_coverage_of_long_candidates(spark):
+    from simpairs.llm import secret_scan
+
+    words = spark.createDataFrame([("abc",), ("cdefg",), ("hij",)], "word string")
+    texts = ["Abcdefghij-x", "abcd" * 5000, "x" * 4094 + "abcdefg" + "x" * 9000, "x" * 150_000 + "hij"]
+    found = spark.createDataFrame([(i, -i, t) for i, t in enumerate(texts)], "a long, b long, finding string")
+    got = {r.a: r.covered for r in secret_scan._covered(found, words).collect()}
+    assert got == {0: 10, 1: 15_000, 2: 7, 3: 3}
+
+
 def test_pipeline_equals_its_stages_in_plain_python(spark):
     import corpus_pipeline
 
