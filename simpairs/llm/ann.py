@@ -83,6 +83,7 @@ class Index:
     def __init__(self, dim: int, bound: float, top: float, turn: np.ndarray):
         self.dim, self.bound, self.scale, self.turn = dim, bound, math.sqrt(top) or 1.0, turn
         self.centers = np.zeros((0, dim + 1))
+        self.sizes = np.zeros(1, np.int64)  # rows of each list in the whole table, the outlying ones last
 
     def usual(self, x: np.ndarray) -> np.ndarray:
         """True for rows that are not outlying."""
@@ -123,6 +124,16 @@ class Index:
         return np.argsort(-near, axis=1, kind="stable")
 
 
+    def probes(self, order: np.ndarray, least: int, wanted: np.ndarray) -> list[np.ndarray]:
+        """The first ``least`` lists of each query's order, and further ones until they hold the wanted number of rows.
+
+        Sizes are those of the whole table, so every block takes the same lists.
+        """
+        held = self.sizes[-1] + np.cumsum(self.sizes[order], axis=1)
+        enough = (held < wanted[:, None]).sum(axis=1) + 1
+        return [o[:max(least, e)] for o, e in zip(order, enough)]
+
+
 def _lists(shared, dim: int):
     def run(batches):
         index = shared.value
@@ -183,7 +194,8 @@ def _search(shared, dim: int, k: int, probe: float):
             scaled = index.scaled_queries(q)
             turned_q = index.queries(scaled)
             probes = max(1, math.ceil(probe * len(index.centers)))
-            chosen = index.order(scaled)[:, :probes]
+            # a query's own rows are no candidates
+            chosen = index.probes(index.order(scaled), probes, k + queries["own"].to_numpy())
             keys = zip(queries["query_id"].to_pylist(), queries["query"].to_pylist())
             for i, (query_id, query) in enumerate(keys):
                 mine = chosen[i][np.isin(chosen[i], here)]
@@ -207,9 +219,10 @@ def search(vectors: DataFrame, is_query, k: int = 20, probe: float = PROBE, samp
     is the inner product of the original vectors in double precision; ties go
     to the smaller id. Null or zero vectors, vectors with null or non-finite
     components and rows without an id take no part; rows equal in id and
-    vector are one; shorter vectors count as ended by zeros. A query that
-    probes all candidates there are returns all of them if there are fewer
-    than ``k``. Without rows the result is empty.
+    vector are one; shorter vectors count as ended by zeros. A query probes
+    its share of the lists, and further ones until they hold ``k`` candidates,
+    so it returns all candidates if there are fewer. Without rows the result
+    is empty.
 
     There are √n lists, none above the sample, and one of outlying rows. A list larger than ``block``
     is split over blocks by row, so one hot list does not make one task.
@@ -235,6 +248,8 @@ def search(vectors: DataFrame, is_query, k: int = 20, probe: float = PROBE, samp
     shared = spark.sparkContext.broadcast(index)
     listed = materialize(rows.mapInArrow(_lists(shared, dim), "vec_id long, x array<double>, list int"))
     sizes = {r["list"]: r["count"] for r in listed.groupBy("list").count().collect()}  # one row per list
+    index.sizes = np.array([sizes.get(l, 0) for l in range(len(index.centers) + 1)], np.int64)
+    sized = spark.sparkContext.broadcast(index)
     n_blocks, first, parts = deal(sizes, block)
     place = F.lit(0)
     if sizes:
@@ -242,9 +257,11 @@ def search(vectors: DataFrame, is_query, k: int = 20, probe: float = PROBE, samp
         starts, split = ([t.get(i, d) for i in range(lists)] for t, d in ((first, 0), (parts, 1)))
         at = lambda a: F.element_at(F.array(*[F.lit(v) for v in a]), F.col("list") + 1)
         place = at(starts) + F.pmod(F.xxhash64("vec_id", "x"), at(split)).cast("int")
-    queries = rows.filter(is_query).select(F.col("vec_id").alias("query_id"), F.xxhash64("vec_id", "x").alias("query"), "x")
+    asked = rows.filter(is_query)
+    queries = (asked.join(asked.groupBy("vec_id").agg(F.count("*").alias("own")), "vec_id")
+               .select(F.col("vec_id").alias("query_id"), F.xxhash64("vec_id", "x").alias("query"), "x", "own"))
     found = cells.in_cells(listed.withColumn("block", place), n_blocks, queries, queries.count(), chunk,
-                           _search(shared, dim, k, probe), FOUND)
+                           _search(sized, dim, k, probe), FOUND)
     return cells.best(found, k, "query_id", "query").select("query_id", "rank", "vec_id", "score")
 
 

@@ -143,6 +143,21 @@ def test_recall_beside_a_very_long_vector(spark, n, times):
     assert hits[n // 40] >= 0.75
 
 
+@pytest.mark.parametrize("n", [9, 15, 16, 24, 25, 40])
+def test_small_tables_give_all_rows_due(spark, n):
+    from pyspark.sql import functions as F
+
+    from simpairs.llm import ann
+
+    x = np.random.default_rng(n).standard_normal((n, 8)).tolist()
+    x.append([5.0] * 8)
+    ids = [*range(n), 0]  # one id with two vectors
+    table = spark.createDataFrame(list(zip(ids, x)), "vec_id long, embedding array<double>")
+    for block in (16_384, 4):
+        got = Counter(r.query_id for r in ann.search(table, F.lit(True), k=20, block=block).collect())
+        assert got == {q: min(20, sum(i != q for i in ids)) * ids.count(q) for q in ids}
+
+
 def test_recall_with_production_parameters(spark):
     from simpairs.llm.queries import op9_ann_search
 
