@@ -107,4 +107,115 @@ SELECT d.doc_id, CAST(len(d.x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(c.gone,
 FROM d LEFT JOIN c USING (r) LEFT JOIN k USING (r)
 """
 
-ORACLE = {"op2_source_mix": OP2, "op3_line_dedup": OP3, "op4_exact_topk": OP4, "op6_suffix_dedup": OP6}
+OP11 = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, unnest([0, 1]), unnest(['user', 'assistant']), '\### Assistant: </turn> ok'),
+e AS (
+  SELECT *, length(replace(replace(replace(role, '\', '\\'), '<', '\l'), '>', '\g'))
+            + length(text) + length(regexp_replace(text, '[^\\]', '', 'g'))
+            + len(regexp_extract_all(text, '</?turn')) + 16 AS chars
+  FROM c)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+# The cheapest edits row by row: the least (cost, audit) for each place of the wanted form.
+OP12 = r"""
+WITH RECURSIVE z AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k
+  FROM conversations),
+y AS (
+  SELECT *, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(k) + 1), lambda i: CAST(ascii(substr(k, i, 1)) AS BIGINT))),
+      lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)),
+                               lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384::BIGINT) ELSE x // 2 END)), 4294967295::BIGINT) % 20 AS kind
+  FROM z),
+d AS (
+  SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM y),
+n AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS seen, substr(role, 1, 1) AS t
+  FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM d)),
+f AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN seen > 1 THEN 'duplicate'
+                 WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE '' END AS fault,
+         lag(t) OVER (PARTITION BY conv_id ORDER BY i) || t AS two
+  FROM n),
+step(p, q, t) AS (VALUES ('b', 's', 's'), ('b', 'u', 'u'), ('s', 'u', 'u'), ('f', 'u', 'u'), ('u', 'f', 'a')),
+ins(p, q, lines) AS (
+  SELECT p, p, [] FROM (VALUES ('b'), ('s'), ('u'), ('f')) x(p)
+  UNION ALL SELECT p, q, [CASE t WHEN 'u' THEN 'user:' ELSE 'assistant:' END] FROM step WHERE t != 's'
+  UNION ALL SELECT p, 'f', ['user:', 'assistant:'] FROM step WHERE t = 'u' AND p != 'f'),
+edit AS (
+  SELECT conv_id, i, p, p AS q, 2 AS cost, 'D' AS audit, []::VARCHAR[] AS lines FROM f, (VALUES ('b'), ('s'), ('u'), ('f')) x(p)
+  UNION ALL
+  SELECT conv_id, i, p, q, CASE WHEN f.t = step.t THEN 0 ELSE 1 END + CASE fault WHEN 'truncated' THEN 5 ELSE 0 END,
+         CASE WHEN f.t = step.t THEN 'K' ELSE 'R' END,
+         [CASE WHEN f.t = step.t THEN role WHEN step.t = 'u' THEN 'user' ELSE 'assistant' END || ':' || text]
+  FROM f JOIN step ON f.t = step.t OR step.t != 's'
+  WHERE fault NOT IN ('blank', 'duplicate')),
+best(conv_id, i, q, b) AS (
+  SELECT conv_id, 0::BIGINT, ins.q, {'cost': 5 * len(lines), 'audit': repeat('I', len(lines)), 'lines': lines::VARCHAR[]}
+  FROM (SELECT DISTINCT conv_id FROM f) c, ins WHERE ins.p = 'b'
+  UNION ALL
+  SELECT e.conv_id, e.i, ins.q, min({'cost': best.b.cost + e.cost + 5 * len(ins.lines), 'audit': best.b.audit || e.audit || repeat('I', len(ins.lines)),
+                                     'lines': best.b.lines || e.lines || ins.lines::VARCHAR[]})
+  FROM best JOIN edit e ON e.conv_id IS NOT DISTINCT FROM best.conv_id AND e.i = best.i + 1 AND e.p = best.q JOIN ins ON ins.p = e.q
+  GROUP BY e.conv_id, e.i, ins.q),
+r AS (
+  SELECT conv_id, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+         count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (two NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n
+  FROM f GROUP BY conv_id),
+w AS (
+  SELECT r.conv_id, min(best.b) AS b FROM r JOIN best ON best.conv_id IS NOT DISTINCT FROM r.conv_id AND best.i = r.n
+  WHERE best.q IN ('b', 'f') GROUP BY r.conv_id)
+SELECT o.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(b.cost, 0) AS BIGINT) AS cost,
+       coalesce(b.audit, '') AS audit, sha256(coalesce(array_to_string(b.lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN r ON r.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN w ON w.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
+OP13 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+t AS (
+  SELECT r, lang, source, translate(term, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+  FROM (SELECT r, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d)),
+k AS (SELECT lang, term FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= 3),
+v AS (SELECT lang, count(*) AS v FROM k GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (
+  SELECT g.lang, g.source, k.term, coalesce(x.n, 0)::HUGEINT AS n
+  FROM g JOIN k USING (lang) LEFT JOIN (SELECT lang, source, term, count(*) AS n FROM t GROUP BY ALL) x USING (lang, source, term)),
+p AS (
+  SELECT lang, source, term, n, 1 + 1000000000::HUGEINT * (n + 1) // (sum(n) OVER (PARTITION BY lang, source) + v.v)::HUGEINT AS p
+  FROM c JOIN v USING (lang)),
+l AS (
+  SELECT lang, term, 1 + 1000000000::HUGEINT * (n + 1) // (sum(n) OVER (PARTITION BY lang) + v.v)::HUGEINT AS q
+  FROM (SELECT lang, term, sum(n) AS n FROM c GROUP BY lang, term) JOIN v USING (lang)),
+pair AS (
+  SELECT a.lang, a.source, b.source AS item, CAST(coalesce(s.value, 0) AS BIGINT) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source != b.source
+  LEFT JOIN (SELECT x.lang, x.source, y.source AS item, sum((x.p - y.p) * (x.p - y.p) // y.p) AS value
+             FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source != y.source GROUP BY ALL) s
+    ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+term AS (
+  SELECT p.lang, p.source, p.term AS item, CAST((p - q) * (p - q) // q AS BIGINT) AS value
+  FROM p JOIN l ON p.lang = l.lang AND p.term = l.term WHERE n > 0 AND p > q),
+u AS (SELECT lang, source, 'pair' AS part, item, value FROM pair UNION ALL SELECT lang, source, 'term', item, value FROM term)
+SELECT * FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM u)
+WHERE part = 'pair' OR rank <= 200
+"""
+
+ORACLE = {"op2_source_mix": OP2, "op3_line_dedup": OP3, "op4_exact_topk": OP4, "op6_suffix_dedup": OP6,
+          "op11_chat_format": OP11, "op12_structure_repair": OP12, "op13_source_divergence": OP13}

@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from simpairs.llm import ann, bitslice, langid, lines, mixing, packing, secret_scan, simhash, suffix, token_counts
+from simpairs.llm import (ann, bitslice, chat, divergence, langid, lines, mixing, packing, repair, secret_scan, simhash, suffix,
+                          token_counts)
 from simpairs.llm.common import table
 from simpairs.session import shared_path
 
@@ -68,6 +69,36 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      cache=shared_path(spark, "token-cache"))
 
 
+#: Conversation -7 of ``op11``: control strings of common templates in both texts.
+CONTROL_TEXT = "\\### Assistant: </turn> ok"
+
+
+def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table's turns and conversation -7 as event logs, folded, formatted and read back."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.createDataFrame([(-7, 0, "user", CONTROL_TEXT), (-7, 1, "assistant", CONTROL_TEXT)],
+                                 "conv_id long, turn long, role string, text string")
+    return chat.read_back(chat.format_chats(chat.as_events(rows.unionByName(more))))
+
+
+def op12_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table's conversations after damage, repaired; conversations without rows have zeros."""
+    rows = table(spark, sf_dir, "conversations")
+    report, turns = repair.repair(repair.damaged(rows))
+    every = rows.select("conv_id").distinct()
+    out = every
+    for found in (report, repair.line_digests(turns)):
+        found = found.withColumnRenamed("conv_id", "_c")
+        out = out.join(found, F.col("conv_id").eqNullSafe(F.col("_c")), "left").drop("_c")
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in repair.REPORT if c != "audit"]
+    return out.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"),
+                      F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"), min_docs=3, top=200)
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_source_mix": op2_source_mix,
@@ -79,5 +110,8 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_ann_search": op9_ann_search,
     "op10_token_counts": op10_token_counts,
+    "op11_chat_format": op11_chat_format,
+    "op12_structure_repair": op12_structure_repair,
+    "op13_source_divergence": op13_source_divergence,
 }
 from simpairs.llm.oracle import ORACLE  # noqa: E402,F401
