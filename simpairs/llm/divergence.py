@@ -34,13 +34,13 @@ from simpairs.llm.common import in_slices
 from simpairs.session import materialize, ship_package
 
 SHARE = 1_000_000_000
-SHARD_TERMS = 8192
+SHARD_TERMS = 16384
 ROUND_BYTES = 32 << 20
 BLOCK = 32
 #: A level has a place and a half for each term left; so many levels leave next to none to the list of the rest.
 SPACE, LEVELS = 1.5, 24
 #: Terms held before they are looked up, and slots held before they are handed on, in one task.
-HELD_TERMS, HELD_SLOTS = 1 << 18, 1 << 23
+HELD_TERMS, HELD_SLOTS, HELD_TOKENS = 1 << 19, 1 << 24, 1 << 30
 TEXT_BLOCK = 1 << 20
 
 #: Letters A-Z become small, other ASCII characters than letters become spaces; bytes from 0x80 on stay.
@@ -73,15 +73,15 @@ def term_hashes(terms: list[bytes]) -> np.ndarray:
 
 
 class PerfectHash:
-    """Slots 0 … n − 1 of n distinct terms, with the terms stored by slot."""
+    """Slots 0 … n − 1 of n distinct terms, with the terms stored by slot.
+
+    ``words`` are the bits of all levels, ``sizes`` the places of each level,
+    ``ends`` where each stored term ends.
+    """
 
     def __init__(self, words: np.ndarray, sizes: np.ndarray, ends: np.ndarray, stored: bytes):
         self.words, self.sizes, self.ends, self.stored = words, sizes, ends, stored
-        self.before = np.concatenate([[0], np.cumsum(np.bitwise_count(words), dtype=np.int64)[:-1]]) if len(words) else words
-        self.starts = np.concatenate([[0], np.cumsum((sizes + 63) // 64)]).astype(np.int64)
         self.n = len(ends) - 1
-        placed = int(np.bitwise_count(words).sum())
-        self.rest = {stored[ends[i]:ends[i + 1]]: i for i in range(placed, self.n)}
 
     @classmethod
     def build(cls, terms: list[bytes]) -> PerfectHash:
@@ -92,9 +92,8 @@ class PerfectHash:
                 break
             size = max(64, int(len(left) * SPACE))
             place = (_mixed(h[left], level) % np.uint64(size)).astype(np.int64)
-            alone = np.bincount(place, minlength=size) == 1
+            own = (np.bincount(place, minlength=size) == 1)[place]
             bits = np.zeros((size + 63) // 64 * 64, bool)
-            own = alone[place]
             bits[place[own]] = True
             words.append(np.packbits(bits, bitorder="little").view(np.uint64))
             sizes.append(size)
@@ -105,16 +104,56 @@ class PerfectHash:
         return cls(np.concatenate(words) if words else np.zeros(0, np.uint64), np.array(sizes, np.int64), ends,
                    b"".join(terms[i] for i in order))
 
-    def terms(self) -> list[bytes]:
-        return [self.stored[a:b] for a, b in zip(self.ends[:-1].tolist(), self.ends[1:].tolist())]
+    def packed(self) -> tuple:
+        return self.words.tobytes(), self.sizes.tobytes(), self.ends.tobytes(), self.stored
+
+    @classmethod
+    def unpacked(cls, words: bytes, sizes: bytes, ends: bytes, stored: bytes) -> PerfectHash:
+        return cls(np.frombuffer(words, np.uint64), np.frombuffer(sizes, np.int64), np.frombuffer(ends, np.int64), stored)
 
-    def slots(self, terms: list[bytes], h: np.ndarray) -> np.ndarray:
+
+class Lookup:
+    """Slots in some shards of a language at once; ``first[shard]`` is where a shard's slots begin, −1 if it is not here."""
+
+    def __init__(self, shards: dict[int, PerfectHash], n_shards: int):
+        self.n_shards, self.shards = n_shards, dict(sorted(shards.items()))
+        self.first = np.full(n_shards, -1, np.int64)
+        self.sizes = np.zeros((n_shards, LEVELS), np.uint64)
+        self.starts = np.zeros((n_shards, LEVELS), np.int64)
+        self.rest: dict[bytes, int] = {}
+        before, ends, at, slot, byte = [], [], 0, 0, 0
+        for shard, made in self.shards.items():
+            k = len(made.sizes)
+            self.first[shard], self.sizes[shard, :k] = slot, made.sizes
+            self.starts[shard, :k] = at + np.concatenate([[0], np.cumsum((made.sizes + 63) // 64)])[:-1]
+            ones = np.bitwise_count(made.words).astype(np.int64)
+            before.append(slot + np.cumsum(ones) - ones)
+            for i in range(int(ones.sum()), made.n):
+                self.rest[made.stored[made.ends[i]:made.ends[i + 1]]] = slot + i
+            ends.append(byte + made.ends[:-1])
+            at, slot, byte = at + len(made.words), slot + made.n, byte + len(made.stored)
+        self.n = slot
+        self.words = np.concatenate([m.words for m in self.shards.values()])
+        self.before, self.ends = np.concatenate(before), np.append(np.concatenate(ends), byte)
+        self.stored = b"".join(m.stored for m in self.shards.values())
+
+    def slots(self, terms: list[bytes]) -> np.ndarray:
         """The slot of each term, −1 for a term that is not the one stored at its slot."""
+        h = term_hashes(terms)
+        shard = shard_of(h, self.n_shards).astype(np.int64)
         out = np.full(len(terms), -1, np.int64)
-        todo = np.arange(len(terms))
-        for level, size in enumerate(self.sizes.tolist()):
-            place = _mixed(h[todo], level) % np.uint64(size)
-            at = self.starts[level] + (place >> np.uint64(6)).astype(np.int64)
+        todo = np.flatnonzero(self.first[shard] >= 0)
+        for level in range(LEVELS):
+            size = self.sizes[shard[todo], level]
+            out_of = size == 0
+            if out_of.any():  # a shard of fewer levels
+                for i in todo[out_of].tolist():
+                    out[i] = self.rest.get(terms[i], -1)
+                todo, size = todo[~out_of], size[~out_of]
+            if not len(todo):
+                break
+            place = _mixed(h[todo], level) % size
+            at = self.starts[shard[todo], level] + (place >> np.uint64(6)).astype(np.int64)
             bit = np.uint64(1) << (place & np.uint64(63))
             word = self.words[at]
             hit = (word & bit) != 0
@@ -123,18 +162,11 @@ class PerfectHash:
         for i in todo.tolist():
             out[i] = self.rest.get(terms[i], -1)
         found = np.flatnonzero(out >= 0)
-        a, b = self.ends[out[found]].tolist(), self.ends[out[found] + 1].tolist()
-        same = [self.stored[s:e] == terms[i] for s, e, i in zip(a, b, found.tolist())]
+        a, b, stored = self.ends[out[found]].tolist(), self.ends[out[found] + 1].tolist(), self.stored
+        same = [stored[s:e] == terms[i] for s, e, i in zip(a, b, found.tolist())]
         out[found[~np.array(same, bool)]] = -1
         return out
 
-    def packed(self) -> tuple:
-        return self.words.tobytes(), self.sizes.tobytes(), self.ends.tobytes(), self.stored
-
-    @classmethod
-    def unpacked(cls, words: bytes, sizes: bytes, ends: bytes, stored: bytes) -> PerfectHash:
-        return cls(np.frombuffer(words, np.uint64), np.frombuffer(sizes, np.int64), np.frombuffer(ends, np.int64), stored)
-
 
 def shard_of(h, n):
     """Shard of a term by the high half of its hash (a numpy array here, the same in ``_shard``)."""
@@ -208,62 +240,70 @@ _COUNTS = "lang string, source string, shard int, n long, slots array<int>, coun
 
 def _slot_counter(broadcast):
     def count(batches):
-        shards: dict[tuple, PerfectHash] = {}
+        shards: dict[str, dict] = defaultdict(dict)
         n_shards = {}
-        for lang, total, shard, packed in broadcast.value:
-            shards[lang, shard] = packed if isinstance(packed, PerfectHash) else PerfectHash.unpacked(*packed)
-            n_shards[lang] = total
-        held: dict[tuple, Counter] = defaultdict(Counter)
+        for lang, n_shards[lang], shard, packed in broadcast.value:
+            shards[lang][shard] = PerfectHash.unpacked(*packed)
+        lookups = {lang: Lookup(found, n_shards[lang]) for lang, found in shards.items()}
+        held: dict[str, dict[str, Counter]] = {lang: defaultdict(Counter) for lang in lookups}
         dense: dict[tuple, np.ndarray] = {}
         schema = pa.schema([("lang", pa.string()), ("source", pa.string()), ("shard", pa.int32()), ("n", pa.int64()),
                             ("slots", pa.list_(pa.int32())), ("counts", pa.list_(pa.int64()))])
         tokens = slots = entries = 0
 
         def look_up():
+            """Increments of the terms held; slots are handed on whenever a task has enough of them."""
             nonlocal slots
-            for (lang, source), counter in held.items():
-                terms, n = list(counter), np.fromiter(counter.values(), np.int64, len(counter))
-                h = term_hashes(terms)
-                of = shard_of(h, n_shards[lang]).astype(np.int64)
-                order = np.argsort(of, kind="stable")
-                for part in np.split(order, np.flatnonzero(np.diff(of[order])) + 1):
-                    shard = int(of[part[0]])
-                    made = shards.get((lang, shard))
-                    if made is None:  # of another round
+            for lang, groups in held.items():
+                lookup = lookups[lang]
+                terms = [t for counter in groups.values() for t in counter]
+                at, start = lookup.slots(terms) if terms else None, 0
+                for source, counter in groups.items():
+                    own = at[start:start + len(counter)] if counter else []
+                    start += len(counter)
+                    if not counter:
                         continue
-                    at = made.slots([terms[i] for i in part.tolist()], h[part])
-                    good = at >= 0
-                    key = (lang, source, shard)
-                    if key not in dense:
-                        dense[key] = np.zeros(made.n, np.int64)
-                        slots += made.n
-                    dense[key][at[good]] += n[part][good]  # a group's terms are distinct, so are their slots
-            held.clear()
+                    if slots > HELD_SLOTS:
+                        yield from hand_on()
+                    if (lang, source) not in dense:
+                        dense[lang, source] = np.zeros(lookup.n, np.int32)
+                        slots += lookup.n
+                    n, good = np.fromiter(counter.values(), np.int64, len(counter)), own >= 0
+                    dense[lang, source][own[good]] += n[good].astype(np.int32)  # distinct terms have distinct slots
+                groups.clear()
+
+        def hand_on():
+            nonlocal slots, tokens
+            yield from in_slices(rows(), schema, weigh=lambda r: 12 * len(r[4]))
+            dense.clear()
+            slots = tokens = 0
 
         def rows():
-            for (lang, source, shard), counts in dense.items():
-                at = np.flatnonzero(counts)
-                if len(at):
-                    yield lang, source, shard, len(counts), at.astype(np.int32), counts[at]
+            for (lang, source), counts in dense.items():
+                for shard, made in lookups[lang].shards.items():
+                    first = lookups[lang].first[shard]
+                    own = counts[first:first + made.n]
+                    at = np.flatnonzero(own)
+                    if len(at):
+                        yield lang, source, shard, made.n, at.astype(np.int32), own[at].astype(np.int64)
 
         for batch in batches:
             for lang, source, text in zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist(), batch.column("text")):
-                if lang not in n_shards:
+                if lang not in held:
                     continue
-                counter = held[lang, source]
                 for terms in term_blocks(text.as_py()):
+                    counter = held[lang][source]
                     before = len(counter)
                     counter.update(terms)
                     entries += len(counter) - before
-                    if entries > HELD_TERMS:
-                        look_up()
-                        counter, entries = held[lang, source], 0
-                if slots > HELD_SLOTS:
-                    yield from in_slices(rows(), schema, weigh=lambda r: 12 * len(r[4]))
-                    dense.clear()
-                    slots = 0
-        look_up()
-        yield from in_slices(rows(), schema, weigh=lambda r: 12 * len(r[4]))
+                    tokens += len(terms)
+                    if entries > HELD_TERMS or tokens > HELD_TOKENS:
+                        yield from look_up()
+                        entries = 0
+                        if tokens > HELD_TOKENS:
+                            yield from hand_on()
+        yield from look_up()
+        yield from hand_on()
 
     return count
 
