@@ -201,6 +201,40 @@ sc AS (SELECT c.u, c.v, coalesce(d.dot, 0.0) / sqrt(nu.nn * nv.nn) AS cosine
         f"SELECT u, v, round(cosine, 6) AS cosine FROM sc WHERE cosine >= {threshold}"
 
 
+# ---------------------------------------------------------------- exact pairs
+
+def _vec_cte(binary: bool) -> str:
+    if binary:
+        return """vec AS (SELECT DISTINCT "user" AS key, item, 1::BIGINT AS w FROM ev_tr)"""
+    return """vec AS (SELECT * FROM (
+                 SELECT "user" AS key, item, trunc(arg_max(rating, event_id))::BIGINT AS w
+                 FROM ev_tr GROUP BY "user", item) WHERE w <> 0)"""
+
+
+def _exact_jaccard(sets: str, reps: str, name: str) -> str:
+    """All pairs of representatives that share an element, with their Jaccard."""
+    return f"""{name}_r AS (SELECT * FROM {sets} WHERE key IN (SELECT rep FROM {reps})),
+{name}_n AS (SELECT key, count(*) AS n FROM {name}_r GROUP BY key),
+{name} AS (
+  SELECT o.u, o.v, o.o::DOUBLE / (a.n + b.n - o.o) AS score
+  FROM (SELECT x.key AS u, y.key AS v, count(*) AS o FROM {name}_r x JOIN {name}_r y
+          ON x.element = y.element AND x.key < y.key GROUP BY x.key, y.key) o
+  JOIN {name}_n a ON a.key = o.u JOIN {name}_n b ON b.key = o.v)"""
+
+
+def _exact_cosine(name: str, vec: str = "vec") -> str:
+    """All pairs of representatives of equal vectors that share a coordinate, with their cosine."""
+    return f"""{name}_g AS (
+  SELECT min(key) AS rep FROM (SELECT key, string_agg(item || ':' || w, ',' ORDER BY item) AS m FROM {vec} GROUP BY key) GROUP BY m),
+{name}_r AS (SELECT * FROM {vec} WHERE key IN (SELECT rep FROM {name}_g)),
+{name}_n AS (SELECT key, sum(w::DOUBLE * w) AS nn FROM {name}_r GROUP BY key),
+{name} AS (
+  SELECT d.u, d.v, d.dot / sqrt(a.nn * b.nn) AS score
+  FROM (SELECT x.key AS u, y.key AS v, sum(x.w::DOUBLE * y.w) AS dot FROM {name}_r x JOIN {name}_r y
+          ON x.item = y.item AND x.key < y.key GROUP BY x.key, y.key) d
+  JOIN {name}_n a ON a.key = d.u JOIN {name}_n b ON b.key = d.v)"""
+
+
 # ---------------------------------------------------------------- statements
 
 def _ev_hits_sql() -> str:
@@ -356,6 +390,13 @@ WHERE ('0x' || substr(md5(concat_ws(':', '{Q.SEED}', u::VARCHAR, v::VARCHAR)), 1
                           _jaccard_verified("ev_sets", "cand", Q.JS_THRESHOLD))
     s["doc_near_duplicates"] = _with(_perms(), _doc_index(), DOC_REPS, _cand("doc_idx", "cand", "doc_reps"),
                                      _jaccard_verified("doc_idx_s", "cand", Q.DOC_THRESHOLD))
+    at_least = lambda name, score, t: f"SELECT u, v, round(score, 6) AS {score} FROM {name} WHERE score >= {t}"
+    s["exact_js_pairs"] = _with(_ev_sets(), EV_REPS, _exact_jaccard("ev_sets", "ev_reps", "ex")) + \
+        at_least("ex", "jaccard", Q.JS_THRESHOLD)
+    s["exact_doc_pairs"] = _with(_doc_sets(), DOC_REPS, _exact_jaccard("doc_sets", "doc_reps", "ex")) + \
+        at_least("ex", "jaccard", Q.DOC_THRESHOLD)
+    s["exact_cs_pairs"] = _with(_ev_triples(), _vec_cte(False), _exact_cosine("ex")) + at_least("ex", "cosine", Q.CS_THRESHOLD)
+    s["exact_dcs_pairs"] = _with(_ev_triples(), _vec_cte(True), _exact_cosine("ex")) + at_least("ex", "cosine", Q.DCS_THRESHOLD)
     return s
 
 

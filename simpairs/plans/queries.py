@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from simpairs.operators import banding, copies, elements, minhash, multimap, pairs, projection
+from simpairs.operators import banding, copies, elements, exact, minhash, multimap, pairs, projection
 from simpairs.plans import jobs
 from simpairs.session import materialize
 from simpairs.sources import tables as tb
@@ -413,6 +413,30 @@ def q_doc_near_duplicates(spark, base):
     return jobs.near_duplicate_documents(docs, DOC_THRESHOLD, SHINGLE, SEED, (BANDS, ROWS))
 
 
+# ---------------------------------------------------------------- exact pairs
+
+def q_exact_js_pairs(spark, base):
+    """All pairs of event users' item sets at the threshold, without hashing."""
+    return exact.jaccard_pairs(materialize(tb.ev_sets(spark, base)), JS_THRESHOLD)
+
+
+def q_exact_doc_pairs(spark, base):
+    """All pairs of different texts at the threshold, without hashing."""
+    docs = tb.table(spark, base, "documents")
+    return exact.jaccard_pairs(materialize(tb.doc_shingles(spark, base, SHINGLE, docs=docs)), DOC_THRESHOLD,
+                               copy_members=tb.doc_copy_groups(docs))
+
+
+def q_exact_cs_pairs(spark, base):
+    """All pairs of last ratings' vectors at the threshold, without hashing."""
+    return exact.cosine_pairs(materialize(q_rating_vectors(spark, base)), CS_THRESHOLD)
+
+
+def q_exact_dcs_pairs(spark, base):
+    """All pairs of 0/1 vectors at the threshold, without hashing."""
+    return exact.cosine_pairs(materialize(q_binary_vectors(spark, base)), DCS_THRESHOLD)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items())
     if name.startswith("q_") and callable(fn)
