@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from simpairs.operators import banding, copies, elements, minhash, pairs, projection
+from simpairs.operators import banding, copies, elements, exact, minhash, pairs, probing, projection
 from simpairs.operators.tuning import check_bands, optimal_bands, projection_tables, validate
 from simpairs.session import materialize
 
@@ -103,6 +103,35 @@ def cosine_pairs(ratings: DataFrame, threshold: float, hash_size: int, num_table
             .select("u", "v", F.round("cosine", ndigits).alias("cosine")))
 
 
+def multiprobe_pairs(vec: DataFrame, threshold: float, hash_size: int, num_tables: int, probes: int, seed: int = 2020,
+                     ndigits: int = 6) -> DataFrame:
+    """Multi-probe candidates of integer vectors ``(key, item, w)``, verified by exact cosine ≥ ``threshold``.
+
+    Few tables do the work of many: each key looks into ``probes`` buckets
+    beside its own in every table.
+    """
+    vec = materialize(vec)
+    cand = probing.multiprobe_candidates(probing.hadamard_signatures(vec, hash_size, num_tables, seed, probes))
+    return (pairs.vector_cosine(cand, vec, "item", "w").filter(F.col("cosine") >= F.lit(threshold))
+            .select("u", "v", F.round("cosine", ndigits).alias("cosine")))
+
+
+def exact_pairs(ratings: DataFrame, method: str = "js", threshold: float | None = None, order: str | None = None,
+                ndigits: int = 6) -> DataFrame:
+    """Every pair of ``(user, item, rating)`` triples at the threshold, by js, cs or dcs, without hashing.
+
+    Pairs of smallest keys of equal sets or vectors; their members follow from
+    ``copies.copy_groups`` and ``exact.vector_copies``.
+    """
+    if method not in METHOD_THRESHOLDS:
+        raise ValueError(f"unknown method {method!r}; use js, cs or dcs")
+    t = METHOD_THRESHOLDS[method] if threshold is None else threshold
+    if method == "js":
+        return exact.jaccard_pairs(materialize(elements.item_sets(ratings)), t, ndigits)
+    vec = elements.binary_vectors(ratings) if method == "dcs" else elements.rating_vectors(ratings, order)
+    return exact.cosine_pairs(materialize(vec), t, ndigits)
+
+
 def similar_pairs(ratings: DataFrame, method: str = "js", threshold: float | None = None,
                   seed: int = 2020, verify: bool = True, **kw) -> DataFrame:
     """Method dispatch over ``(user, item, rating)`` triples: js / cs / dcs (cs and dcs need ``hash_size``)."""

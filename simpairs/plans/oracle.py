@@ -7,6 +7,7 @@ wrap, md5-derived hyperplanes), independent of the Spark code paths.
 
 from __future__ import annotations
 
+from simpairs.operators import probing
 from simpairs.operators.minhash import permutations
 from simpairs.plans import queries as Q
 
@@ -235,6 +236,116 @@ def _exact_cosine(name: str, vec: str = "vec") -> str:
   JOIN {name}_n a ON a.key = d.u JOIN {name}_n b ON b.key = d.v)"""
 
 
+# ---------------------------------------------------------------- multi-probe, forest, quality
+
+def _draw(*names: str) -> str:
+    return f"('0x' || substr(md5(concat_ws(':', {', '.join(f'({n})::VARCHAR' for n in (str(Q.SEED), *names))})), 1, 8))::BIGINT"
+
+
+def _hadamard(vec: str, name: str, bits: int, tables: int, probes: int) -> str:
+    """Own bucket and probes by the definition: the sign of each plane over all items, least sure bits by size."""
+    width, m = probing.WIDTH, probing.UNSURE
+    return f"""{name}_x AS (
+  SELECT key, {_draw("'at'", "item")} % {width} AS at,
+         sum(w * CASE WHEN {_draw("'turn'", "item")} % 2 = 1 THEN 1 ELSE -1 END)::BIGINT AS x
+  FROM {vec} WHERE w <> 0 GROUP BY ALL),
+{name}_s AS (SELECT t, j, CASE WHEN {_draw("'sign'", "t", "j")} % 2 = 1 THEN 1 ELSE -1 END AS s
+             FROM range({tables}) a(t), range({width}) b(j)),
+{name}_r AS (SELECT t, b, ({_draw("'row'", "t")} + 37 * b) % {width} AS r FROM range({tables}) x(t), range({bits}) y(b)),
+{name}_p AS (
+  SELECT x.key, r.t, r.b, sum(x.x * s.s * (1 - 2 * (bit_count(r.r & x.at)::INTEGER % 2)))::BIGINT AS p
+  FROM {name}_x x JOIN {name}_s s ON s.j = x.at JOIN {name}_r r ON r.t = s.t GROUP BY x.key, r.t, r.b),
+{name}_o AS (SELECT key, t, sum(CASE WHEN p > 0 THEN 1::BIGINT << ({bits - 1} - b)::INTEGER ELSE 0 END)::BIGINT AS own FROM {name}_p GROUP BY key, t),
+{name}_l AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY key, t ORDER BY abs(p), b) - 1 AS i FROM {name}_p) WHERE i < {m}),
+{name}_c AS (
+  SELECT key, t, n, sum(CASE WHEN (n >> i::INTEGER) & 1 = 1 THEN p * p ELSE 0 END) AS cost,
+         sum(CASE WHEN (n >> i::INTEGER) & 1 = 1 THEN 1::BIGINT << ({bits - 1} - b)::INTEGER ELSE 0 END)::BIGINT AS flip
+  FROM {name}_l, range({2 ** m}) z(n) GROUP BY key, t, n),
+{name} AS (
+  SELECT key, t::INTEGER AS tbl, (probe - 1)::INTEGER AS probe, xor(own, flip) AS bucket
+  FROM (SELECT *, row_number() OVER (PARTITION BY key, t ORDER BY cost, n) AS probe FROM {name}_c) JOIN {name}_o USING (key, t)
+  WHERE probe <= {1 + probes})"""
+
+
+def _probed(sig: str, name: str) -> str:
+    return f"""{name} AS (
+  SELECT DISTINCT least(p.key, o.key) AS u, greatest(p.key, o.key) AS v
+  FROM {sig} p JOIN {sig} o ON p.tbl = o.tbl AND p.bucket = o.bucket AND o.probe = 0 AND p.key <> o.key)"""
+
+
+def _multiprobe_pairs(binary: bool, threshold: float, setting: tuple) -> str:
+    return _with(_ev_triples(), _vec_cte(binary), _hadamard("vec", "hsig", *setting), _probed("hsig", "cand"),
+                 _scored_cosine("cand", "sc")) + f"SELECT u, v, round(score, 6) AS cosine FROM sc WHERE score >= {threshold}"
+
+
+def _scored_cosine(cand: str, name: str, vec: str = "vec") -> str:
+    return f"""{name}_m AS (SELECT key, sum(w::DOUBLE * w) AS nn FROM {vec} GROUP BY key),
+{name} AS (
+  SELECT c.u, c.v, coalesce(d.dot, 0.0::DOUBLE) / sqrt(a.nn * b.nn) AS score FROM {cand} c
+  JOIN {name}_m a ON a.key = c.u JOIN {name}_m b ON b.key = c.v
+  LEFT JOIN (SELECT c.u, c.v, sum(x.w::DOUBLE * y.w) AS dot FROM {cand} c JOIN {vec} x ON x.key = c.u
+             JOIN {vec} y ON y.key = c.v AND y.item = x.item GROUP BY c.u, c.v) d ON d.u = c.u AND d.v = c.v)"""
+
+
+def _scored_jaccard(cand: str, name: str, sets: str) -> str:
+    return f"""{name}_m AS (SELECT key, count(*) AS n FROM {sets} GROUP BY key),
+{name} AS (
+  SELECT c.u, c.v, coalesce(d.o, 0)::DOUBLE / (a.n + b.n - coalesce(d.o, 0)) AS score FROM {cand} c
+  JOIN {name}_m a ON a.key = c.u JOIN {name}_m b ON b.key = c.v
+  LEFT JOIN (SELECT c.u, c.v, count(*) AS o FROM {cand} c JOIN {sets} x ON x.key = c.u
+             JOIN {sets} y ON y.key = c.v AND y.element = x.element GROUP BY c.u, c.v) d ON d.u = c.u AND d.v = c.v)"""
+
+
+def _bands_of(method: str, exact: str, scored: str, threshold: float, chance: str) -> str:
+    return f"""(
+WITH e AS (SELECT u, v, round(score, 6) AS score FROM {exact} WHERE score >= {threshold}),
+c AS (SELECT u, v, round(score, 6) AS score FROM {scored}),
+t AS (SELECT floor(e.score * 20)::INTEGER AS b, count(*) AS pairs, count(c.u) AS found, avg({chance}) AS predicted
+      FROM e LEFT JOIN c ON c.u = e.u AND c.v = e.v GROUP BY ALL),
+m AS (SELECT floor(score * 20)::INTEGER AS b, count(*) AS candidates FROM c GROUP BY ALL)
+SELECT '{method}' AS method, round(b / 20, 2) AS band, coalesce(pairs, 0) AS pairs, coalesce(candidates, 0) AS candidates, coalesce(found, 0) AS found,
+       round(found / pairs, 6) AS recall, round(coalesce(candidates, 0) / nullif(sum(coalesce(candidates, 0)) OVER (), 0), 6) AS share,
+       round(predicted, 6) AS predicted
+FROM t FULL JOIN m USING (b))"""
+
+
+def _lsh_quality() -> str:
+    agree = "(1.0::DOUBLE - acos(greatest(least(e.score, 1.0::DOUBLE), -1.0::DOUBLE)) / pi())"
+    rp = lambda bits: f"1.0::DOUBLE - pow(1.0::DOUBLE - pow({agree}, {bits}), {Q.RP_TABLES})"
+    mh = f"1.0::DOUBLE - pow(1.0::DOUBLE - pow(e.score, {Q.ROWS}), {Q.BANDS})"
+    ctes = [_perms(), _ev_index(), EV_REPS, _cand("ev_idx", "jc", "ev_reps"), _exact_jaccard("ev_sets", "ev_reps", "jx"),
+            _scored_jaccard("jc", "js", "ev_sets"),
+            _doc_index(), DOC_REPS, _cand("doc_idx", "dc", "doc_reps"), _exact_jaccard("doc_idx_s", "doc_reps", "dx"),
+            _scored_jaccard("dc", "ds", "doc_idx_s")]
+    parts = [_bands_of("js", "jx", "js", Q.JS_THRESHOLD, mh), _bands_of("documents", "dx", "ds", Q.DOC_THRESHOLD, mh)]
+    for m, binary, t, bits, setting in (("cs", False, Q.CS_THRESHOLD, Q.CS_BITS, Q.CS_PROBE), ("dcs", True, Q.DCS_THRESHOLD, Q.DCS_BITS, Q.DCS_PROBE)):
+        ctes += [_vec_cte(binary).replace("vec AS", f"{m}_v AS", 1), _exact_cosine(f"{m}_e", f"{m}_v"),
+                 _sparse_sig(f"{m}_e_r", f"{m}_s", bits), _rp_cand(f"{m}_s", f"{m}_p"), _scored_cosine(f"{m}_p", f"{m}_ps", f"{m}_e_r"),
+                 _hadamard(f"{m}_e_r", f"{m}_h", *setting), _probed(f"{m}_h", f"{m}_q"), _scored_cosine(f"{m}_q", f"{m}_qs", f"{m}_e_r")]
+        parts += [_bands_of(m, f"{m}_e", f"{m}_ps", t, rp(bits)), _bands_of(f"{m} multi-probe", f"{m}_e", f"{m}_qs", t, "NULL::DOUBLE")]
+    return _with(*ctes) + "\nUNION ALL\n".join(f"SELECT * FROM {p}" for p in parts)
+
+
+def _forest() -> str:
+    """The k nearest among the keys that share the longest prefix under which enough lie."""
+    return _with(f"""vx AS (
+  SELECT vec_id AS key, unnest(range(len(embedding))) AS d, unnest(embedding)::DOUBLE AS x FROM embeddings),
+{_planes('SELECT d AS item FROM vx', Q.TREE_BITS, 'vpl', Q.TREES)},
+vproj AS (SELECT vx.key, vpl.tbl, vpl.bit, sum(vx.x * vpl.w) AS pr FROM vx JOIN vpl ON vpl.item = vx.d GROUP BY vx.key, vpl.tbl, vpl.bit),
+sig AS (SELECT key, tbl, string_agg(CASE WHEN pr > 0 THEN '1' ELSE '0' END, '' ORDER BY bit) AS bucket FROM vproj GROUP BY key, tbl),
+pre AS (SELECT key, tbl, d, substr(bucket, 1, d::INTEGER) AS prefix FROM sig, range({Q.TREE_BITS + 1}) x(d)),
+cnt AS (SELECT key, d, max(n) AS most, sum(n) AS every FROM (SELECT *, count(*) OVER (PARTITION BY tbl, d, prefix) AS n FROM pre) GROUP BY key, d),
+dep AS (SELECT key, coalesce(max(d) FILTER (most > {Q.TOP_K} AND every >= {Q.FOREST_CANDIDATES}), 0) AS d FROM cnt GROUP BY key),
+met AS (SELECT DISTINCT q.key AS q, i.key FROM dep JOIN pre q ON q.key = dep.key AND q.d = dep.d
+        JOIN pre i ON i.tbl = q.tbl AND i.d = q.d AND i.prefix = q.prefix AND i.key <> q.key),
+sc AS (
+  SELECT met.q, met.key, list_dot_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[])
+           / sqrt(list_dot_product(a.embedding::DOUBLE[], a.embedding::DOUBLE[]) * list_dot_product(b.embedding::DOUBLE[], b.embedding::DOUBLE[])) AS cosine
+  FROM met JOIN embeddings a ON a.vec_id = met.q JOIN embeddings b ON b.vec_id = met.key),
+rk AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY cosine DESC, key) AS rank FROM sc)""") + \
+        f"SELECT q, key, round(cosine, 6) AS cosine, rank::INTEGER AS rank FROM rk WHERE rank <= {Q.TOP_K}"
+
+
 # ---------------------------------------------------------------- statements
 
 def _ev_hits_sql() -> str:
@@ -397,6 +508,12 @@ WHERE ('0x' || substr(md5(concat_ws(':', '{Q.SEED}', u::VARCHAR, v::VARCHAR)), 1
         at_least("ex", "jaccard", Q.DOC_THRESHOLD)
     s["exact_cs_pairs"] = _with(_ev_triples(), _vec_cte(False), _exact_cosine("ex")) + at_least("ex", "cosine", Q.CS_THRESHOLD)
     s["exact_dcs_pairs"] = _with(_ev_triples(), _vec_cte(True), _exact_cosine("ex")) + at_least("ex", "cosine", Q.DCS_THRESHOLD)
+    s["hadamard_signature"] = _with(_ev_triples(), _vec_cte(True), _hadamard("vec", "hsig", *Q.DCS_PROBE)) + \
+        "SELECT key, tbl, probe, bucket FROM hsig"
+    s["multiprobe_cs_pairs"] = _multiprobe_pairs(False, Q.CS_THRESHOLD, Q.CS_PROBE)
+    s["multiprobe_dcs_pairs"] = _multiprobe_pairs(True, Q.DCS_THRESHOLD, Q.DCS_PROBE)
+    s["forest_topk"] = _forest()
+    s["lsh_quality"] = _lsh_quality()
     return s
 
 

@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from simpairs.operators import banding, copies, elements, exact, minhash, multimap, pairs, projection
+from simpairs.operators import banding, copies, elements, exact, minhash, multimap, pairs, probing, projection, quality
 from simpairs.plans import jobs
 from simpairs.session import materialize
 from simpairs.sources import tables as tb
@@ -37,6 +37,9 @@ TOP_K = 5
 FEATURES = 40
 DOMAIN = (1, 50)
 PROBE_LABEL, PROBE_THRESHOLD = 0, 0.2
+# Multi-probe: bits, tables and probes beside the own bucket. Forest: trees, bits of their strings, keys that a query meets.
+CS_PROBE, DCS_PROBE = (18, 8, 15), (22, 8, 15)
+TREES, TREE_BITS, FOREST_CANDIDATES = 8, 20, 400
 QUERY_BANDS = 2
 SAMPLE_RATE = 0.25
 
@@ -417,7 +420,7 @@ def q_doc_near_duplicates(spark, base):
 
 def q_exact_js_pairs(spark, base):
     """All pairs of event users' item sets at the threshold, without hashing."""
-    return exact.jaccard_pairs(materialize(tb.ev_sets(spark, base)), JS_THRESHOLD)
+    return jobs.exact_pairs(tb.event_triples(spark, base), "js", JS_THRESHOLD)
 
 
 def q_exact_doc_pairs(spark, base):
@@ -429,12 +432,69 @@ def q_exact_doc_pairs(spark, base):
 
 def q_exact_cs_pairs(spark, base):
     """All pairs of last ratings' vectors at the threshold, without hashing."""
-    return exact.cosine_pairs(materialize(q_rating_vectors(spark, base)), CS_THRESHOLD)
+    return jobs.exact_pairs(tb.event_triples(spark, base), "cs", CS_THRESHOLD, order="event_id")
 
 
 def q_exact_dcs_pairs(spark, base):
     """All pairs of 0/1 vectors at the threshold, without hashing."""
-    return exact.cosine_pairs(materialize(q_binary_vectors(spark, base)), DCS_THRESHOLD)
+    return jobs.exact_pairs(tb.event_triples(spark, base), "dcs", DCS_THRESHOLD)
+
+
+# ---------------------------------------------------------------- multi-probe, forest, quality
+
+def q_hadamard_signature(spark, base):
+    """Own bucket and probes of each table, by the structured rotation of 0/1 vectors."""
+    sig = probing.hadamard_signatures(q_binary_vectors(spark, base), *DCS_PROBE[:2], SEED, DCS_PROBE[2])
+    return sig.select("key", "tbl", F.posexplode("buckets").alias("probe", "bucket"))
+
+
+def q_multiprobe_cs_pairs(spark, base):
+    return jobs.multiprobe_pairs(q_rating_vectors(spark, base), CS_THRESHOLD, *CS_PROBE, SEED)
+
+
+def q_multiprobe_dcs_pairs(spark, base):
+    return jobs.multiprobe_pairs(q_binary_vectors(spark, base), DCS_THRESHOLD, *DCS_PROBE, SEED)
+
+
+def q_forest_topk(spark, base):
+    """The nearest of every vector by sorted sign strings: k rows for each, whatever the bits."""
+    vec = tb.vectors(spark, base).select("key", "vec")
+    sig = materialize(projection.dense_signatures(vec, VEC_DIM, TREE_BITS, TREES, SEED))
+    return _round(probing.forest_top_k(sig, vec, sig, vec, VEC_DIM, TREE_BITS, TOP_K, FOREST_CANDIDATES), "cosine")
+
+
+def q_lsh_quality(spark, base):
+    """Recall, precision and predicted chance of the registered settings by band of similarity."""
+    score = lambda df, c: df.select("u", "v", F.round(c, 6).alias("score"))
+    out = []
+
+    def report(method, exact_pairs, scored, chance):
+        bands = quality.band_report(exact_pairs, materialize(scored), chance)
+        out.append(bands.select(F.lit(method).alias("method"), *bands.columns))
+
+    docs = tb.table(spark, base, "documents")
+    minhash_sets = {"js": (materialize(tb.ev_sets(spark, base)), JS_THRESHOLD, None),
+                    "documents": (materialize(tb.doc_shingles(spark, base, SHINGLE, docs=docs)), DOC_THRESHOLD,
+                                  tb.doc_copy_groups(docs))}
+    for method, (sets, t, members) in minhash_sets.items():
+        members = copies.copy_groups(sets) if members is None else members
+        cand = jobs.jaccard_candidates(sets, SEED, (BANDS, ROWS), t, copy_members=members)
+        report(method, score(exact.jaccard_pairs(sets, t, copy_members=members), "jaccard"),
+               score(pairs.set_similarity(cand, sets), "jaccard"), quality.minhash_chance(BANDS, ROWS))
+    for method, vec, t, bits, probe in (("cs", q_rating_vectors(spark, base), CS_THRESHOLD, CS_BITS, CS_PROBE),
+                                        ("dcs", q_binary_vectors(spark, base), DCS_THRESHOLD, DCS_BITS, DCS_PROBE)):
+        vec = materialize(vec)
+        members = exact.vector_copies(vec)
+        vec = materialize(vec.join(copies.representatives(members), "key", "left_semi"))
+        truth = materialize(score(exact.cosine_pairs(vec, t, copy_members=members), "cosine"))
+        plain = projection.rp_candidates(projection.sparse_signatures(vec, bits, RP_TABLES, SEED))
+        probed = probing.multiprobe_candidates(probing.hadamard_signatures(vec, *probe[:2], SEED, probe[2]))
+        report(method, truth, score(pairs.vector_cosine(plain, vec), "cosine"), quality.projection_chance(bits, RP_TABLES))
+        report(method + " multi-probe", truth, score(pairs.vector_cosine(probed, vec), "cosine"), None)
+    whole = out[0]
+    for part in out[1:]:
+        whole = whole.unionByName(part)
+    return whole
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
