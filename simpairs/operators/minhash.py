@@ -19,8 +19,9 @@ The permuted hash is ``((a * hv + b) mod 2**64) mod p) & (2**32 - 1)``; the
 Arrow batches with NumPy ``uint64`` (wraps natively) and keeps running
 minimums per key across all batches of a task (a bounded map-side combine,
 flushed every 32k keys); the streaming sketch runs the same plan.
-``method="jvm"`` evaluates it with decimal arithmetic in codegen (no Python)
-and serves as a check. A null key or a null element is no member of any set:
+``method="limbs"`` evaluates it in generated code on longs, in limbs of 32 and
+16 bits that never overflow (no Python, no decimal, also under ANSI rules; it
+serves streams as well); ``method="jvm"`` does it with decimals, as a check. A null key or a null element is no member of any set:
 such rows are left out by both.
 """
 
@@ -91,6 +92,25 @@ def permuted_hash_col(hv: Column, a: int, b: int) -> Column:
     return x.cast("long").bitwiseAND(F.lit(MAX_HASH))
 
 
+def permuted_hash_limbs(hv: Column, a: Column, b: Column) -> Column:
+    """One permuted hash on longs: the product in 32-bit limbs, no step beyond 2**62.
+
+    ``a`` and ``b`` are below 2**61, ``hv`` below 2**32. With ``a = a1·2^32 + a0``
+    the high half of ``a·hv + b`` only needs ``a1·hv`` and the carry of
+    ``a0·hv``, which is added up in halves of ``hv``. The remainder by
+    2**61 − 1 adds the three bits above bit 61 to the rest.
+    """
+    m32, m16 = F.lit(MAX_HASH), F.lit(0xFFFF)
+    a1, a0 = F.shiftright(a, 32), a.bitwiseAND(m32)
+    b1, b0 = F.shiftright(b, 32), b.bitwiseAND(m32)
+    upper = a0 * F.shiftright(hv, 16)
+    low = a0 * hv.bitwiseAND(m16) + F.shiftleft(upper.bitwiseAND(m16), 16) + b0
+    high = (a1 * hv + F.shiftright(upper, 16) + F.shiftright(low, 32) + b1).bitwiseAND(m32)
+    below = F.shiftleft(high.bitwiseAND(F.lit((1 << 29) - 1)), 32) + low.bitwiseAND(m32)
+    x = below + F.shiftright(high, 29)
+    return F.when(x >= F.lit(MERSENNE_PRIME), x - F.lit(MERSENNE_PRIME)).otherwise(x).bitwiseAND(m32)
+
+
 def element_hashes(sets: DataFrame, key: str = "key", element: str = "element",
                    hashfunc: Callable[[Column], Column] = sha1_hash32) -> DataFrame:
     """(key, hv): the 32-bit hash of every element of every set; the key keeps its type.
@@ -220,6 +240,10 @@ def signatures_from_hashes(hashes: DataFrame, spec: SketchSpec = SketchSpec(),
                                   permuted_hash_col(F.col("hv"), int(a), int(b)).alias("v"))
                          for i, (a, b) in enumerate(ab)])
         partial = hashes.select("key", F.inline(vals))
+    elif method == "limbs":
+        at = lambda column: F.element_at(F.array(*[F.lit(int(x)) for x in column]), F.col("perm") + 1)
+        partial = (hashes.select("key", "hv", F.explode(F.sequence(F.lit(0), F.lit(spec.num_perm - 1))).alias("perm"))
+                   .select("key", "perm", permuted_hash_limbs(F.col("hv"), at(ab[:, 0]), at(ab[:, 1])).alias("v")))
     else:
         raise ValueError(f"unknown sketch method {method!r}")
     return partial.groupBy("key", "perm").agg(F.min("v").alias("v"))
@@ -298,6 +322,27 @@ def union(sig: DataFrame, groups: DataFrame, key: str = "key",
             .groupBy("group", "perm").agg(F.min("v").alias("v")))
 
 
+def union_rollup(sig: DataFrame, levels: DataFrame, *names: str, key: str = "key") -> DataFrame:
+    """Unions of sketches at every level of a hierarchy in one pass: ``(level, *names, key, perm, v)``.
+
+    ``levels`` names for each key its group on each level of ``names``, the
+    widest first. Level 0 is the widest union, the last one the key itself;
+    columns below a row's level are null. One grouping over all levels: a
+    task combines each of them before the shuffle. Keys without a row in
+    ``levels`` are left out; a null name is a group like any other, told from
+    a rolled-up one by ``level``.
+    """
+    g = levels.select(F.col(key).alias("key"), *names)
+    rows = sig.join(g, "key").select(*names, "key", "perm", "v")
+    chain = [*names, "key"]
+    sets = [[*[F.col(c) for c in chain[:i + 1]], F.col("perm")] for i in range(len(chain))]
+    grouped = rows.groupingSets(sets, *[F.col(c) for c in (*chain, "perm")])
+    below = [F.grouping(F.col(c)).alias(f"_below_{i}") for i, c in enumerate(chain)]
+    out = grouped.agg(F.min("v").alias("v"), *below)
+    level = F.lit(len(chain) - 1) - sum((F.col(f"_below_{i}").cast("int") for i in range(len(chain))), F.lit(0))
+    return out.select(level.cast("int").alias("level"), *chain, "perm", "v")
+
+
 def is_empty(sig: DataFrame) -> DataFrame:
     """(key, is_empty): every value still at the 32-bit maximum."""
     return sig.groupBy("key").agg(F.bool_and(F.col("v") == F.lit(MAX_HASH)).alias("is_empty"))

@@ -383,6 +383,14 @@ def build() -> dict[str, str]:
                          "FROM embeddings")
     s["minhash_signature"] = _with(_perms(), _doc_sets(), _sig("doc_sets", "sig")) + \
         "SELECT key, perm, v FROM sig"
+    s["minhash_signature_limbs"] = s["minhash_signature"]
+    s["npy_ratings"] = s["ratings_scan"]
+    s["minhash_rollup"] = _with(_perms(), _baskets(), _sig("bk_sets", "bk_sig"), """lv AS (
+  SELECT c_custkey AS key, r_name AS region, n_name AS nation
+  FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)""") + """
+SELECT 2 AS level, region, nation, key, perm, v FROM bk_sig JOIN lv USING (key)
+UNION ALL SELECT 1, region, nation, -1, perm, min(v) FROM bk_sig JOIN lv USING (key) GROUP BY region, nation, perm
+UNION ALL SELECT 0, region, '', -1, perm, min(v) FROM bk_sig JOIN lv USING (key) GROUP BY region, perm"""
     empty = _with(_perms(), _baskets(), _sig("bk_sets", "bk_sig"), f"""es AS (
   SELECT c.c_custkey AS key, p.perm, coalesce(s.v, {M32}) AS v
   FROM customer c CROSS JOIN perms p LEFT JOIN bk_sig s ON s.key = c.c_custkey AND s.perm = p.perm)""")

@@ -166,6 +166,32 @@ def q_minhash_signature(spark, base):
     return _doc_sig(spark, base)
 
 
+def q_minhash_signature_limbs(spark, base):
+    """The same signatures in generated code on longs, without Python."""
+    return minhash.minhash_signatures(tb.doc_elements(spark, base, SHINGLE), SPEC, method="limbs")
+
+
+def q_minhash_rollup(spark, base):
+    """Unions of the customers' sketches by nation and region, beside their own, in one pass."""
+    c, n = tb.table(spark, base, "customer"), tb.table(spark, base, "nation")
+    r = tb.table(spark, base, "region")
+    levels = (c.join(n, c.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
+              .select(F.col("c_custkey").alias("key"), F.col("r_name").alias("region"), F.col("n_name").alias("nation")))
+    out = minhash.union_rollup(_basket_sig(spark, base), levels, "region", "nation")
+    return out.select("level", "region", F.coalesce("nation", F.lit("")).alias("nation"),
+                      F.coalesce("key", F.lit(-1)).cast("long").alias("key"), "perm", "v")
+
+
+def q_npy_ratings(spark, base):
+    """Ratings written as an array of rows, the reference's file format, and read back in byte ranges."""
+    from simpairs.session import shared_path
+    from simpairs.sources import npy
+
+    path = shared_path(spark, "arrays") or f"{spark.conf.get('spark.sql.warehouse.dir')}/arrays-{uuid.uuid4().hex}"
+    npy.write_npy(q_ratings_scan(spark, base), path)
+    return tb.read_ratings(npy.with_npy(spark), path, "npy", columns="user,item,rating")
+
+
 def q_empty_signature(spark, base):
     return minhash.with_empty_signatures(_customer_keys(spark, base), _basket_sig(spark, base), SPEC)
 

@@ -51,9 +51,9 @@ def file_stream(spark: SparkSession, directory: str, glob: str, fmt: str = "parq
 
 
 def signature_stream(stream_sets: DataFrame, spec: minhash.SketchSpec = minhash.SketchSpec(),
-                     key: str = "key", element: str = "element") -> DataFrame:
+                     key: str = "key", element: str = "element", method: str = "arrow") -> DataFrame:
     """Streaming long-form signatures ``(key, perm, v)`` (stateful ``min``)."""
-    return minhash.minhash_signatures(stream_sets, spec, key, element)
+    return minhash.minhash_signatures(stream_sets, spec, key, element, method)
 
 
 def _write_batch(df: DataFrame, path: str, *by: str) -> None:
@@ -67,13 +67,13 @@ def _tag(batch_id: int):
 
 def start_signature_stream(stream_sets: DataFrame, path: str,
                            spec: minhash.SketchSpec = minhash.SketchSpec(),
-                           available_now: bool = True) -> StreamingQuery:
+                           available_now: bool = True, method: str = "arrow") -> StreamingQuery:
     """Run ``signature_stream`` in update mode into parquet below ``path``."""
 
     def write(batch, batch_id):
         _write_batch(batch.select("key", "perm", "v", _tag(batch_id)), f"{path}/updates")
 
-    w = (signature_stream(stream_sets, spec).writeStream.outputMode("update")
+    w = (signature_stream(stream_sets, spec, method=method).writeStream.outputMode("update")
          .option("checkpointLocation", f"{path}/checkpoint").foreachBatch(write))
     w = w.trigger(availableNow=True) if available_now else w
     return w.start()

@@ -191,3 +191,37 @@ def test_permutations_of_one_seed_are_pinned():
         (2052695163525591433, 2276179575440259702),
         (179773188627515484, 402797829737643651),
         (1603367534875211705, 1696256847176901168)]
+
+
+def test_limbs_equal_wrapping_hash(spark):
+    """Extreme parameters and hashes, bit for bit, and whole signatures."""
+    from pyspark.sql import functions as F
+
+    rnd = np.random.RandomState(3)
+    p, m = (1 << 61) - 1, (1 << 32) - 1
+    a = [1, p - 1, 1 << 60, (1 << 32) - 1, 1 << 32] + [int(x) for x in rnd.randint(1, p, 60, dtype=np.uint64)]
+    b = [0, p - 1, 1 << 60, (1 << 32) - 1, 1 << 32] + [int(x) for x in rnd.randint(0, p, 60, dtype=np.uint64)]
+    h = [0, 1, m, 1 << 31, 0xFFFF, 0x10000] + [int(x) for x in rnd.randint(0, m, 20, dtype=np.uint64)]
+    rows = [(x, i, j) for x in h for i in a[:12] for j in b[:12]] + [(x, i, j) for x in h for i, j in zip(a, b)]
+    df = spark.createDataFrame(rows, "h long, a long, b long")
+    got = df.select("h", "a", "b", mh.permuted_hash_limbs(F.col("h"), F.col("a"), F.col("b")).alias("v")).collect()
+    assert all(r.v == ((r.a * r.h + r.b) % (1 << 64)) % p & m for r in got)
+    sets = spark.createDataFrame([(k, f"e{(k * 7 + i) % 50}") for k in range(20) for i in range(k)] + [(5, None), (None, "x")], "key long, element string")
+    spec = mh.SketchSpec(seed=9, num_perm=32)
+    plans = [sorted(map(tuple, mh.minhash_signatures(sets, spec, method=m).collect())) for m in ("arrow", "limbs")]
+    assert plans[0] == plans[1] and len(plans[0]) == 19 * 32
+
+
+def test_union_rollup(spark):
+    sets = spark.createDataFrame([(k, f"e{k}-{i}") for k in range(12) for i in range(5)], "key long, element string")
+    spec = mh.SketchSpec(seed=2, num_perm=8)
+    sig = mh.minhash_signatures(sets, spec)
+    levels = spark.createDataFrame([(k, "wide" if k < 6 else None, f"n{k % 4}") for k in range(11)], "key long, region string, nation string")
+    got = {(r.level, r.region, r.nation, r.key, r.perm): r.v for r in mh.union_rollup(sig, levels, "region", "nation").collect()}
+    values = {(r.key, r.perm): r.v for r in sig.collect()}
+    want = {}
+    for k, region, nation in levels.collect():
+        for p in range(8):
+            for at in ((0, region, None, None, p), (1, region, nation, None, p), (2, region, nation, k, p)):
+                want[at] = min(want.get(at, 1 << 40), values[k, p])
+    assert got == want
