@@ -505,6 +505,16 @@ WHERE ('0x' || substr(md5(concat_ws(':', '{Q.SEED}', u::VARCHAR, v::VARCHAR)), 1
     s["stream_signature"] = _with(_perms(), _ev_sets(), _sig("ev_sets", "sig")) + \
         "SELECT key, perm, v FROM sig"
     s["stream_index"] = s["band_buckets"]
+    s["stream_keyed_index"] = _with(_perms(), _doc_index(where="lang IS DISTINCT FROM 'fr'")) + \
+        "SELECT key, band, bucket FROM doc_idx"
+    s["stream_rejects"] = f"""
+WITH d AS (SELECT doc_id, lang, regexp_matches(coalesce(text, ''), '[^{WS[1:-2]}]') AS words FROM documents)
+SELECT doc_id AS key, CASE lang WHEN 'de' THEN 1 ELSE 0 END::BIGINT AS seq,
+       CASE lang WHEN 'de' THEN 'key is there' ELSE 'no such key' END AS reason FROM d WHERE words AND lang IN ('de', 'es')
+UNION ALL SELECT doc_id, i, CASE WHEN op = 'insert' THEN 'no elements' ELSE 'no such key' END
+FROM (SELECT doc_id, unnest(range(len(o))) AS i, unnest(o) AS op FROM (
+  SELECT doc_id, CASE lang WHEN 'fr' THEN ['insert', 'remove'] WHEN 'de' THEN ['insert', 'insert']
+                           WHEN 'es' THEN ['remove', 'insert', 'remove', 'insert'] ELSE ['insert'] END AS o FROM d WHERE NOT words))"""
     s["js_pairs"] = _with(_perms(), _ev_index(), EV_REPS, _cand("ev_idx", "cand", "ev_reps"),
                           _jaccard_verified("ev_sets", "cand", Q.JS_THRESHOLD))
     s["doc_near_duplicates"] = _with(_perms(), _doc_index(), DOC_REPS, _cand("doc_idx", "cand", "doc_reps"),

@@ -433,6 +433,43 @@ def q_stream_index(spark, base):
     return st.read_index(spark, path)
 
 
+def _keyed_stream(spark, base):
+    """A log of the documents by language, streamed into an index with keyed state; returns its folder.
+
+    All are inserted; French ones are removed again, German ones inserted
+    twice, Spanish ones removed before they are there and inserted twice with
+    a removal between.
+    """
+    from simpairs.functions.text import shingles_of_tokens, word_tokens
+    from simpairs.streaming import keyed
+    from simpairs.streaming import sketches as st
+
+    path = st.stream_folder(spark, "keyed-" + uuid.uuid4().hex)
+    ops = lambda *names: F.array(*map(F.lit, names))
+    lang = F.coalesce("lang", F.lit(""))
+    log = (F.when(lang == "fr", ops("insert", "remove")).when(lang == "de", ops("insert", "insert"))
+           .when(lang == "es", ops("remove", "insert", "remove", "insert")).otherwise(ops("insert")))
+    docs = st.file_stream(spark, base, "documents.parquet").select(
+        F.col("doc_id").alias("key"), word_tokens("text").alias("tokens"), F.posexplode(log).alias("seq", "op"))
+    keyed.start_keyed_index(docs.select("key", "seq", "op", shingles_of_tokens("tokens", SHINGLE).alias("elements")),
+                            path, SPEC, BANDS, ROWS).awaitTermination()
+    return path
+
+
+def q_stream_keyed_index(spark, base):
+    """X5 with keyed state: the live keys' band rows after inserts, repeats and removals."""
+    from simpairs.streaming import keyed
+
+    return keyed.read_keyed_index(spark, _keyed_stream(spark, base))
+
+
+def q_stream_rejects(spark, base):
+    """Events of the same stream that had no effect, with their reason."""
+    from simpairs.streaming import keyed
+
+    return keyed.read_rejects(spark, _keyed_stream(spark, base))
+
+
 def q_js_pairs(spark, base):
     return jobs.similar_pairs(tb.ev_ratings(spark, base), "js", JS_THRESHOLD, SEED)
 
