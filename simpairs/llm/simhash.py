@@ -16,7 +16,10 @@ only if they share
 
 Those keys are joined, and a candidate pair must differ in at most three bits
 (inside the join condition, so only links leave the join). Copies share a
-fingerprint and enter the join once.
+fingerprint and enter the join once. A key that more than ``CROWD`` distinct
+fingerprints share, as a family of near copies that agree in two segments, is
+dealt into blocks; a cell compares two blocks and hands on a spanning forest
+of its links, which has the same components and fewer links than rows.
 """
 
 from __future__ import annotations
@@ -37,6 +40,8 @@ GENERATOR = 0b101011100011
 BITS = 23
 #: shingles hashed before their bits are summed, so a long text needs bounded memory
 BLOCK = 1 << 16
+#: fingerprints of one key beyond which it is compared in cells, of two blocks of about so many
+CROWD, CELL = 1024, 8192
 
 
 def _remainder(word: int) -> int:
@@ -114,7 +119,11 @@ def fingerprints(docs: DataFrame, keep: tuple = ("doc_id",), shingle: int = 3) -
 
 
 def _keyed(batches):
-    """(key, fp) rows: kind in the upper bits, then segment values and codeword indices."""
+    """(key, fp, family) rows: kind in the upper bits, then segment values and codeword indices."""
+    def rows(key, at):
+        return pa.RecordBatch.from_arrays([pa.array(key), pa.array(fp[at]), batch.column("family").take(pa.array(at))],
+                                          names=["key", "fp", "family"])
+
     for batch in batches:
         fp = batch.column("fp").to_numpy(zero_copy_only=False)
         u = fp.view(np.uint64)
@@ -131,7 +140,7 @@ def _keyed(batches):
                     at = np.flatnonzero(golay[j][:, k] >= 0)
                     if len(at):
                         key = (np.int64(kind) << 40) | (exact[i][at] << 12) | golay[j][at, k]
-                        yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(fp[at])], names=["key", "fp"])
+                        yield rows(key, at)
                 kind += 1
         halves = (exact[1] >> 11, exact[1] & 0x7FF)
         for half in halves:
@@ -140,22 +149,86 @@ def _keyed(batches):
                     at = np.flatnonzero((golay[0][:, k] >= 0) & (golay[2][:, m] >= 0))
                     if len(at):
                         key = ((np.int64(kind) << 40) | (half[at] << 24) | (golay[0][at, k] << 12) | golay[2][at, m])
-                        yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(fp[at])], names=["key", "fp"])
+                        yield rows(key, at)
             kind += 1
 
 
+def spanning_links(a: np.ndarray, b: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
+    """A spanning forest of the links between fingerprints of ``a`` and ``b`` (which may be the same)."""
+    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    root = list(range(len(nodes)))
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    out, left, right = [], at[:len(a)], at[len(a):]
+    step = max(1, (1 << 21) // max(1, len(b)))
+    for lo in range(0, len(a), step):
+        near = np.bitwise_count(a[lo:lo + step, None].view(np.uint64) ^ b[None, :].view(np.uint64)) <= max_bits
+        rows, columns = np.nonzero(near)
+        for i, j in zip(left[lo + rows].tolist(), right[columns].tolist()):
+            x, y = find(i), find(j)
+            if x != y:
+                root[max(x, y)] = min(x, y)
+                out.append((int(nodes[min(i, j)]), int(nodes[max(i, j)])))
+    return out
+
+
+def _cell_links(max_bits: int):
+    def run(a, b):
+        found = spanning_links(*(t.column("fp").to_numpy() for t in (a, b)), max_bits) if a.num_rows and b.num_rows else []
+        u, v = zip(*found) if found else ((), ())
+        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+
+    return run
+
+
+def _crowd_links(rows: DataFrame, crowds: DataFrame, max_bits: int) -> DataFrame:
+    """Spanning links of the keys in ``crowds``, ``(key, n)``, cell by cell of blocks."""
+    dealt = (rows.join(crowds, "key").withColumn("blocks", F.ceil(F.col("n") / F.lit(CELL)).cast("int"))
+             .withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")))
+    upper = dealt.select("key", "fp", F.col("own").alias("i"), F.explode(F.sequence("own", F.col("blocks") - 1)).alias("j"))
+    lower = dealt.select(F.col("key").alias("k"), F.col("fp").alias("f"), F.col("own").alias("q"),
+                         F.explode(F.sequence(F.lit(0), F.col("own"))).alias("p")).toDF("key", "fp", "j", "i")
+    return (upper.groupBy("key", "i", "j").cogroup(lower.groupBy("key", "i", "j"))
+            .applyInArrow(_cell_links(max_bits), "u long, v long"))
+
+
 def links(distinct: DataFrame, max_bits: int = 3) -> DataFrame:
-    """Pairs ``(u, v)``, u < v, of distinct fingerprints ``fp`` that differ in at most ``max_bits`` ≤ 3 bits."""
+    """Pairs ``(u, v)``, u < v, of distinct fingerprints ``fp`` that differ in at most ``max_bits`` ≤ 3 bits.
+
+    All such pairs of keys that up to ``CROWD`` fingerprints share, and links
+    that connect the same fingerprints for keys of more.
+    """
     if not 0 <= max_bits <= 3:
         raise ValueError("the segment keys find pairs up to 3 differing bits")
     spark = distinct.sparkSession
     ship_package(spark)
     # a few bytes a row would be read by few tasks, each of which makes dozens of rows from one
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keyed = distinct.select("fp").repartition(parts, F.xxhash64("fp")).mapInArrow(_keyed, "key long, fp long")
-    a, b = keyed.select("key", F.col("fp").alias("u")), keyed.select("key", F.col("fp").alias("v"))
+
+    def keyed(rows):
+        dealt = rows.repartition(parts, F.xxhash64("fp"))
+        return dealt.mapInArrow(_keyed, "key long, fp long, family long")
+
+    alone = keyed(distinct.select("fp", F.lit(None).cast("long").alias("family")))
+    crowds = materialize(alone.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > F.lit(CROWD)))
+    if crowds.first() is None:
+        return _thin_links(alone, max_bits).distinct()
+    # fingerprints of one crowded key are connected by its forest: other keys need not link them again
+    family = alone.join(crowds, "key").groupBy("fp").agg(F.min("key").alias("family"))
+    told = keyed(distinct.select("fp").join(family, "fp", "left"))
+    return (_thin_links(told.join(crowds, "key", "left_anti"), max_bits)
+            .unionByName(_crowd_links(alone, crowds, max_bits)).distinct())
+
+
+def _thin_links(keyed: DataFrame, max_bits: int) -> DataFrame:
+    a, b = keyed.select("key", F.col("fp").alias("u"), F.col("family").alias("f")), keyed.select("key", F.col("fp").alias("v"), F.col("family").alias("g"))
     near = (F.col("u") < F.col("v")) & (F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= F.lit(max_bits))
-    return a.join(b, (a["key"] == b["key"]) & near).select("u", "v").distinct()
+    return a.join(b, (a["key"] == b["key"]) & near & ~(F.col("f").isNotNull() & F.col("f").eqNullSafe(F.col("g")))).select("u", "v")
 
 
 def near_duplicates(docs: DataFrame, keep: tuple = ("doc_id",), shingle: int = 3, max_bits: int = 3) -> DataFrame:

@@ -307,3 +307,42 @@ def test_components_of_long_paths(spark):
     edges = [(i, i + 1) for i in range(40)] + [(i, 100) for i in range(101, 130)] + [(7, 7), (200, 201), (201, 200)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 130)}, 200: 200, 201: 200}
+
+
+@pytest.mark.parametrize("crowd,cell", [(1024, 8192), (4, 6)])
+def test_simhash_crowded_keys(spark, monkeypatch, crowd, cell):
+    """Families that agree in two segments: the same components, in cells of any size, with few links."""
+    import random
+
+    from simpairs.llm import simhash
+    from simpairs.llm.graph import components
+
+    monkeypatch.setattr(simhash, "CROWD", crowd)
+    monkeypatch.setattr(simhash, "CELL", cell)
+    r = random.Random(11)
+    signed = lambda x: x - (x >> 63 << 64)
+    values = {r.getrandbits(64) for _ in range(40)}
+    for _ in range(3):
+        base = r.getrandbits(64) >> 18 << 18
+        values |= {base | r.getrandbits(18) for _ in range(60)}
+        values |= {base ^ (1 << r.randrange(64)) ^ (1 << r.randrange(64)) for _ in range(20)}
+    values = sorted(signed(v) for v in values)
+    df = spark.createDataFrame([(v,) for v in values], "fp long")
+    found = simhash.links(df, 3)
+    roots = {x.node: x.root for x in components(found).collect()}
+    groups = brute.link_groups([v & (1 << 64) - 1 for v in values], 3)
+    assert [roots.get(v, v) for v in values] == [values[g] for g in groups]
+
+
+def test_simhash_large_family_has_linear_links(spark):
+    import random
+
+    from simpairs.llm import simhash
+
+    r = random.Random(2)
+    base = r.getrandbits(46) << 18
+    values = sorted({base | r.getrandbits(18) for _ in range(20000)})
+    df = spark.createDataFrame([(v - (v >> 63 << 64),) for v in values], "fp long")
+    found = [tuple(x) for x in simhash.links(df, 3).collect()]
+    assert len(found) < 8 * len(values)
+    assert all((u ^ v).bit_count() <= 3 for u, v in found)
