@@ -6,11 +6,17 @@ placed longest first, each into the open window with the least remaining
 capacity that holds it, or into a new one. A segment tree over the remaining
 capacities answers that in logarithmic time.
 
-Each scan task packs the documents it reads: pieces never leave their task,
-so nothing is shuffled, and a task holds a few integers per document, not
-their tokens. Only the last windows of a task can stay part empty, so the
-padding share falls as tasks grow. A retried task emits the same rows: pieces
-are ordered by length and row content, and windows are numbered by partition.
+Best fit leaves gaps where many pieces are a little longer than half a window.
+The least filled windows are then dissolved, as many as the gaps of the others
+hold, and their pieces are cut into those gaps, so nearly all documents stay
+whole and all windows are full. What is left, less than a window, joins the
+next pieces.
+
+Each scan task packs the documents it reads: pieces never leave their task, so
+nothing is shuffled. It packs some ``HELD`` tokens at a time and holds no more.
+What is left at its end goes into sequences whose lengths are powers of two,
+which need no padding either, so the padding share does not depend on the
+number of tasks. Sequences are numbered by partition.
 """
 
 from __future__ import annotations
@@ -25,6 +31,8 @@ from simpairs.llm import common, tokens
 from simpairs.session import ship_package
 
 WINDOW = 1024
+#: tokens of rest pieces that a task packs at a time
+HELD = 1 << 22
 COLUMNS = ("start long, length long, ids_crc32 long, doc_tokens long, "
            "sequence_id long, offset long")
 
@@ -79,34 +87,97 @@ def best_fit_decreasing(lengths: list[int], window: int = WINDOW) -> tuple[list[
     return where, offsets, n
 
 
+def fill(pieces: list[tuple], window: int = WINDOW) -> tuple[list[list[tuple]], list[tuple]]:
+    """Full windows of ``(document, start, end)`` pieces, and the pieces that are left, less than a window."""
+    pieces = sorted(pieces, key=lambda p: (p[1] - p[2], p[0], p[1]))
+    where, _, n = best_fit_decreasing([end - start for _, start, end in pieces], window)
+    windows: list[list[tuple]] = [[] for _ in range(n)]
+    used = [0] * n
+    for piece, w in zip(pieces, where):
+        windows[w].append(piece)
+        used[w] += piece[2] - piece[1]
+    order = sorted(range(n), key=lambda w: (-used[w], w))
+    full = sum(used) // window
+    loose = [piece for w in order[full:] for piece in windows[w]]
+    loose.reverse()
+    for w in order[:full]:
+        while used[w] < window:
+            document, start, end = loose.pop()
+            cut = min(end, start + window - used[w])
+            windows[w].append((document, start, cut))
+            used[w] += cut - start
+            if cut < end:
+                loose.append((document, cut, end))
+    return [windows[w] for w in order[:full]], loose[::-1]
+
+
+def tail(pieces: list[tuple], window: int = WINDOW) -> list[list[tuple]]:
+    """Pieces of less than a window in sequences whose lengths are falling powers of two."""
+    loose, out = pieces[::-1], []
+    size = sum(end - start for _, start, end in pieces)
+    while size:
+        room = 1 << size.bit_length() - 1
+        size -= room
+        out.append([])
+        while room:
+            document, start, end = loose.pop()
+            cut = min(end, start + room)
+            out[-1].append((document, start, cut))
+            room -= cut - start
+            if cut < end:
+                loose.append((document, cut, end))
+    return out
+
+
 def _packer(path: str, window: int, separator: int, schema: pa.Schema):
     def pack(batches):
         from pyspark import TaskContext
 
         encode = tokens.encoder(path).ids
-        base = TaskContext.get().partitionId() << 36
-        full, rest = 0, []
+        number = TaskContext.get().partitionId() << 36
+
+        def rows(sequences, held):
+            nonlocal number
+            for sequence in sequences:
+                offset = 0
+                for document, start, end in sequence:
+                    doc_id, before, ids, n = held[document]
+                    crc = zlib.crc32(memoryview(ids).cast("B")[4 * start:4 * end])
+                    yield doc_id, before + start, end - start, crc, n, number, offset
+                    offset += end - start
+                number += 1
 
         def pieces():
-            nonlocal full
+            nonlocal number
+            held: list[tuple] = []  # (doc_id, ids before the rest, ids of the rest, ids of the document)
+            loose: list[tuple] = []
+            size = 0
             for batch in batches:
                 for doc_id, text in zip(batch.column("doc_id"), batch.column("text")):
                     ids = array("I", encode(text.as_py() or ""))
                     ids.append(separator)
-                    data, n, doc = memoryview(ids).cast("B"), len(ids), doc_id.as_py()
+                    n, doc = len(ids), doc_id.as_py()
                     cut = n - n % window
+                    data = memoryview(ids).cast("B")
                     for start in range(0, cut, window):
-                        yield (doc, start, window, zlib.crc32(data[4 * start:4 * (start + window)]), n, base + full, 0)
-                        full += 1
+                        yield doc, start, window, zlib.crc32(data[4 * start:4 * (start + window)]), n, number, 0
+                        number += 1
                     if cut < n:
-                        rest.append((n - cut, doc, cut, zlib.crc32(data[4 * cut:]), n))
+                        held.append((doc, cut, ids[cut:], n))
+                        loose.append((len(held) - 1, 0, n - cut))
+                        size += n - cut
+                    if size >= HELD:
+                        full, loose = fill(loose, window)
+                        yield from rows(full, held)
+                        # what is left begins the next list
+                        held = [held[d] for d, _, _ in loose]
+                        loose = [(i, start, end) for i, (_, start, end) in enumerate(loose)]
+                        size = sum(end - start for _, start, end in loose)
+            full, loose = fill(loose, window)
+            yield from rows(full, held)
+            yield from rows(tail(loose, window), held)
 
         yield from common.in_slices(pieces(), schema)
-        rest.sort(key=lambda p: (-p[0], p[1] is None, p[1] if p[1] is not None else 0, p[2], p[3]))
-        where, offsets, _ = best_fit_decreasing([p[0] for p in rest], window)
-        yield from common.in_slices(
-            ((doc, start, length, crc, n, base + full + w, o)
-             for (length, doc, start, crc, n), w, o in zip(rest, where, offsets)), schema)
 
     return pack
 
@@ -116,7 +187,8 @@ def pack(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW, se
 
     ``start`` counts the document's ids before the piece, ``offset`` the ids
     before it in its sequence (gapless from 0). ``sequence_id`` is unique, not
-    dense. A null or empty text is the separator alone; a null id is kept;
+    dense. All sequences have ``window`` ids, but for at most ten a task whose
+    lengths are powers of two. A null or empty text is the separator alone; a null id is kept;
     repeated rows are packed each; a text of exactly ``window`` ids fills one
     window. An empty table gives no rows. Extra columns are ignored.
     """

@@ -146,25 +146,29 @@ def n_words(text: str | None) -> int:
 def check_pieces(pieces, ids_of, window: int = 1024):
     """Asserts that pieces of documents cover their ids once and sequences are gapless; returns the padding share.
 
-    ``pieces``: (doc_id, start, length, crc, doc_tokens, sequence_id, offset); ``ids_of``: multiset of id lists by doc_id.
+    ``pieces``: (doc_id, start, length, crc, doc_tokens, sequence_id, offset); ``ids_of``: lists of ids by doc_id.
+    Documents of one id and length are covered as often as there are of them, by pieces of any of them.
     """
     import zlib
     from array import array
     from collections import defaultdict
 
-    sequences, documents = defaultdict(list), defaultdict(Counter)
+    sequences, documents = defaultdict(list), defaultdict(list)
     for doc, start, length, crc, total, sequence, offset in pieces:
         sequences[sequence].append((offset, length))
-        documents[doc][(start, length, crc, total)] += 1
-    assert set(documents) == set(ids_of)
+        documents[doc, total].append((start, length, crc))
+    want = defaultdict(list)
     for doc, lists in ids_of.items():
-        got, want = documents[doc], Counter()
         for ids in lists:
-            full = [*ids, 0]
-            cut = len(full) - len(full) % window
-            for s, e in [(s, s + window) for s in range(0, cut, window)] + ([(cut, len(full))] if cut < len(full) else []):
-                want[(s, e - s, zlib.crc32(array("I", full[s:e]).tobytes()), len(full))] += 1
-        assert got == want
+            want[doc, len(ids) + 1].append(array("I", [*ids, 0]))
+    assert set(documents) == set(want)
+    for key, found in documents.items():
+        covered, bodies = Counter(), [memoryview(ids).cast("B") for ids in want[key]]
+        for start, length, crc in found:
+            assert 0 < length <= window and 0 <= start <= key[1] - length
+            assert any(zlib.crc32(b[4 * start:4 * (start + length)]) == crc for b in bodies)
+            covered.update(range(start, start + length))
+        assert covered == Counter({i: len(bodies) for i in range(key[1])})
     padding = used = 0
     for parts in sequences.values():
         end = 0

@@ -65,17 +65,73 @@ def test_token_counts(spark, docs, empty, tmp_path):
     assert other.count() == docs.count()
 
 
-def test_packing(spark, docs, empty):
+def test_packing(spark, docs, empty, monkeypatch):
     from simpairs.llm import packing, tokens
 
     library = tokens.Encoder(tokens.default_tokenizer(), twin=False)
     ids = defaultdict(list)
     for r in brute.awkward_documents():
         ids[r[0]].append(library.ids(r[1] or ""))
-    brute.check_pieces([tuple(r) for r in packing.pack(docs).collect()], ids)
+    for parts in (1, 3, 40):
+        assert brute.check_pieces([tuple(r) for r in packing.pack(docs.repartition(parts)).collect()], ids) == 0
+    monkeypatch.setattr(packing, "HELD", 3000)
+    assert brute.check_pieces(packed_here(packing, brute.awkward_documents()), ids) == 0
     assert packing.pack(empty).count() == 0
 
 
+def packed_here(packing, rows):
+    """The pieces of one task, in this process."""
+    from unittest import mock
+
+    import pyarrow as pa
+    from simpairs.llm import common, tokens
+
+    schema = common.arrow_schema(f"doc_id long, {packing.COLUMNS}", None)
+    task = mock.Mock()
+    task.get.return_value.partitionId.return_value = 3
+    batch = pa.RecordBatch.from_pylist([{"doc_id": r[0], "text": r[1]} for r in rows])
+    with mock.patch("pyspark.TaskContext", task):
+        out = packing._packer(tokens.default_tokenizer(), packing.WINDOW, 0, schema)(iter([batch]))
+        return [tuple(x.values()) for b in out for x in b.to_pylist()]
+
+
+def test_packing_padding(spark, sf_small):
+    """No padding on the given tables in 1 to 211 tasks, nor where every piece is longer than half a window."""
+    from simpairs.llm import packing, tokens
+
+    library = tokens.Encoder(tokens.default_tokenizer(), twin=False)
+    given = spark.read.parquet(f"{sf_small}/documents.parquet").select("doc_id", "text")
+    text = "one two three " * 200
+    copies = spark.range(500).selectExpr("id AS doc_id", f"'{text}' AS text")
+    assert 513 < len(library.ids(text)) < 700
+    for docs in (given, copies):
+        ids = {r.doc_id: [library.ids(r.text)] for r in docs.collect()}
+        for parts in (1, 32, 211):
+            pieces = [tuple(r) for r in packing.pack(docs.repartition(parts)).collect()]
+            assert brute.check_pieces(pieces, ids) == 0
+    # whole documents are the rule: cuts only fill gaps
+    pieces = [tuple(r) for r in packing.pack(given.repartition(1)).collect()]
+    cut = sum(start % 1024 != 0 for _, start, *_ in pieces)
+    assert cut < 0.1 * len(pieces)
+
+
+def test_fill_cuts_only_into_gaps():
+    import random
+
+    from simpairs.llm.packing import fill, tail
+
+    r = random.Random(8)
+    for _ in range(50):
+        pieces = [(d, 0, r.choice([r.randint(1, 63), 40])) for d in range(r.randint(0, 80))]
+        full, loose = fill(pieces, 64)
+        rest = tail(loose, 64)
+        covered = Counter((d, i) for w in [*full, *rest] for d, s, e in w for i in range(s, e))
+        assert covered == Counter((d, i) for d, s, e in pieces for i in range(s, e))
+        assert all(sum(e - s for _, s, e in w) == 64 for w in full)
+        sizes = [sum(e - s for _, s, e in w) for w in rest]
+        assert all(n & (n - 1) == 0 and n < 64 for n in sizes) and sizes == sorted(set(sizes), reverse=True)
+
+
 def test_best_fit_decreasing_equals_a_linear_search():
     import random
 
