@@ -8,15 +8,15 @@ capacities answers that in logarithmic time.
 
 Best fit leaves gaps where many pieces are a little longer than half a window.
 The least filled windows are then dissolved, as many as the gaps of the others
-hold, and their pieces are cut into those gaps, so nearly all documents stay
-whole and all windows are full. What is left, less than a window, joins the
-next pieces.
+hold, and their pieces are cut into those gaps, so most documents stay whole
+and no window has more than ``SCRAP`` tokens of padding. What is left, less
+than a window, joins the next pieces.
 
 Each scan task packs the documents it reads: pieces never leave their task, so
 nothing is shuffled. It packs some ``HELD`` tokens at a time and holds no more.
 What is left at its end goes into sequences whose lengths are powers of two,
-which need no padding either, so the padding share does not depend on the
-number of tasks. Sequences are numbered by partition.
+which need no padding, so the padding share stays below 1 % in any number of
+tasks. Sequences are numbered by partition.
 """
 
 from __future__ import annotations
@@ -33,6 +33,8 @@ from simpairs.session import ship_package
 WINDOW = 1024
 #: tokens of rest pieces that a task packs at a time
 HELD = 1 << 22
+#: a gap of so many tokens, below 1 % of a window, is left: filling it would cut a document for a scrap
+SCRAP = 8
 COLUMNS = ("start long, length long, ids_crc32 long, doc_tokens long, "
            "sequence_id long, offset long")
 
@@ -88,7 +90,7 @@ def best_fit_decreasing(lengths: list[int], window: int = WINDOW) -> tuple[list[
 
 
 def fill(pieces: list[tuple], window: int = WINDOW) -> tuple[list[list[tuple]], list[tuple]]:
-    """Full windows of ``(document, start, end)`` pieces, and the pieces that are left, less than a window."""
+    """Windows of ``(document, start, end)`` pieces, full but for a scrap, and the pieces that are left, less than a window."""
     pieces = sorted(pieces, key=lambda p: (p[1] - p[2], p[0], p[1]))
     where, _, n = best_fit_decreasing([end - start for _, start, end in pieces], window)
     windows: list[list[tuple]] = [[] for _ in range(n)]
@@ -97,10 +99,11 @@ def fill(pieces: list[tuple], window: int = WINDOW) -> tuple[list[list[tuple]],
         windows[w].append(piece)
         used[w] += piece[2] - piece[1]
     order = sorted(range(n), key=lambda w: (-used[w], w))
-    full = sum(used) // window
+    done = sum(u >= window - SCRAP for u in used)
+    full = done + sum(used[w] for w in order[done:]) // window
     loose = [piece for w in order[full:] for piece in windows[w]]
     loose.reverse()
-    for w in order[:full]:
+    for w in order[done:full]:
         while used[w] < window:
             document, start, end = loose.pop()
             cut = min(end, start + window - used[w])
@@ -187,8 +190,8 @@ def pack(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW, se
 
     ``start`` counts the document's ids before the piece, ``offset`` the ids
     before it in its sequence (gapless from 0). ``sequence_id`` is unique, not
-    dense. All sequences have ``window`` ids, but for at most ten a task whose
-    lengths are powers of two. A null or empty text is the separator alone; a null id is kept;
+    dense. All sequences have ``window`` ids or up to ``SCRAP`` fewer, but for at
+    most ten a task whose lengths are powers of two. A null or empty text is the separator alone; a null id is kept;
     repeated rows are packed each; a text of exactly ``window`` ids fills one
     window. An empty table gives no rows. Extra columns are ignored.
     """

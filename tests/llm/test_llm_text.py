@@ -73,9 +73,9 @@ def test_packing(spark, docs, empty, monkeypatch):
     for r in brute.awkward_documents():
         ids[r[0]].append(library.ids(r[1] or ""))
     for parts in (1, 3, 40):
-        assert brute.check_pieces([tuple(r) for r in packing.pack(docs.repartition(parts)).collect()], ids) == 0
+        assert brute.check_pieces([tuple(r) for r in packing.pack(docs.repartition(parts)).collect()], ids) < 0.01
     monkeypatch.setattr(packing, "HELD", 3000)
-    assert brute.check_pieces(packed_here(packing, brute.awkward_documents()), ids) == 0
+    assert brute.check_pieces(packed_here(packing, brute.awkward_documents()), ids) < 0.01
     assert packing.pack(empty).count() == 0
 
 
@@ -96,7 +96,7 @@ def packed_here(packing, rows):
 
 
 def test_packing_padding(spark, sf_small):
-    """No padding on the given tables in 1 to 211 tasks, nor where every piece is longer than half a window."""
+    """Under 1 % padding on the given tables in 1 to 211 tasks, and where every piece is longer than half a window."""
     from simpairs.llm import packing, tokens
 
     library = tokens.Encoder(tokens.default_tokenizer(), twin=False)
@@ -108,7 +108,7 @@ def test_packing_padding(spark, sf_small):
         ids = {r.doc_id: [library.ids(r.text)] for r in docs.collect()}
         for parts in (1, 32, 211):
             pieces = [tuple(r) for r in packing.pack(docs.repartition(parts)).collect()]
-            assert brute.check_pieces(pieces, ids) == 0
+            assert brute.check_pieces(pieces, ids) < 0.01
     # whole documents are the rule: cuts only fill gaps
     pieces = [tuple(r) for r in packing.pack(given.repartition(1)).collect()]
     cut = sum(start % 1024 != 0 for _, start, *_ in pieces)
@@ -127,7 +127,7 @@ def test_fill_cuts_only_into_gaps():
         rest = tail(loose, 64)
         covered = Counter((d, i) for w in [*full, *rest] for d, s, e in w for i in range(s, e))
         assert covered == Counter((d, i) for d, s, e in pieces for i in range(s, e))
-        assert all(sum(e - s for _, s, e in w) == 64 for w in full)
+        assert all(sum(e - s for _, s, e in w) >= 56 for w in full)
         sizes = [sum(e - s for _, s, e in w) for w in rest]
         assert all(n & (n - 1) == 0 and n < 64 for n in sizes) and sizes == sorted(set(sizes), reverse=True)
 
