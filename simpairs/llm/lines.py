@@ -1,23 +1,27 @@
 """Line dedup: later repeats of line runs are deleted, found by winnowing.
 
 A document is the sequence of its non-blank lines, hashed after trimming. A
-window starts at every line and is the shortest run from there with at least
-``min_words`` words or ``min_lines`` lines, the least run worth deleting. Each
-window selects its least line hash as fingerprint, kept with a digest of the
-window, so that a very common line selected by many different windows is not
-one hot fingerprint that hides them from each other. As equal windows select
-equal fingerprints, any repeated run that holds a window is guaranteed to
-share a fingerprint with its earlier occurrence.
-
-Positions are joined with the first occurrence of their fingerprint only (a
-partial ``min``), never with each other, so a passage in a third of all
-documents gives one match per document. A match is extended both ways along
-the two documents' line hashes, and the run found goes from the later one.
+run of lines is worth deleting from ``min_words`` words or ``min_lines`` lines
+on; a line goes if any such run that holds it occurs earlier. It is enough to
+look at runs of at most ``min_lines`` lines: a longer one is covered by them.
+
+A window starts at every line and is the shortest run from there that is worth
+deleting. Each window selects the place of its least line hash, and a document
+emits one position per selected place, however many windows select it. Equal
+windows select equal places, so whatever repeats shares a fingerprint, the hash
+of the selected line, with its earlier occurrence.
+
+Positions of fingerprints that occur once go first. The others are extended
+both ways: each carries the runs whose window selected it, and positions meet
+only where fingerprint and run agree, each run with its first occurrence (a
+partial ``min``), never with each other. So every distinct continuation of a
+fingerprint is compared, a very common line is spread by what stands around
+it, and a passage in a third of all documents gives one match per document.
+Overlapping runs make up the maximal ones.
 """
 
 from __future__ import annotations
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,101 +30,90 @@ from simpairs.llm import common
 from simpairs.session import materialize, ship_package
 
 MIN_WORDS, MIN_LINES = 50, 3
-LINES = ("places array<int>, hashes array<long>, "
-         "windows array<struct<start: int, fingerprint: long, digest: long>>")
+POSITIONS = ("array<struct<fingerprint: long, place: int, runs: array<struct<start: int, x: long, y: long, lines: array<int>>>>>")
 
 
-def windows(hashes: list[int], words: list[int], min_words: int, min_lines: int) -> list[tuple[int, int, int]]:
-    """``(start, fingerprint, digest)`` of each window of a document's lines."""
-    from xxhash import xxh64_intdigest
+def _long(value: int) -> int:
+    return value - (value >> 63 << 64)
 
-    data, out, end, held = np.array(hashes, np.int64).tobytes(), [], 0, 0
+
+def winnowed(hashes: list[int], words: list[int], min_words: int, min_lines: int) -> list[tuple[int, list[tuple[int, int]]]]:
+    """``(selected place, runs)`` of a document's lines; runs are ``(start, end)``, of at most ``min_lines`` lines.
+
+    A run belongs to the place that the window at its start selects, the last
+    of the least hashes.
+    """
+    out: list[tuple[int, list[tuple[int, int]]]] = []
+    at: dict[int, int] = {}
     for start in range(len(hashes)):
-        while end < len(hashes) and held < min_words and end - start < min_lines:
-            held += words[end]
-            end += 1
-        if held < min_words and end - start < min_lines:
-            break
-        digest = xxh64_intdigest(data[8 * start:8 * end])
-        out.append((start, min(hashes[start:end]), digest - (digest >> 63 << 64)))
-        held -= words[start]
+        held, selected = 0, -1
+        for end in range(start + 1, min(start + min_lines, len(hashes)) + 1):
+            held += words[end - 1]
+            if held < min_words and end - start < min_lines:
+                continue
+            if selected < 0:
+                selected = min(range(start, end), key=lambda i: (hashes[i], -i))
+                if selected not in at:
+                    at[selected] = len(out)
+                    out.append((selected, []))
+            out[at[selected]][1].append((start, end))
     return out
 
 
 def _parse(min_words: int, min_lines: int, schema: pa.Schema):
     def run(batches):
-        from xxhash import xxh64_intdigest
+        from xxhash import xxh3_128_digest, xxh64_intdigest
 
         def rows(batch):
             for a, b, doc_id, text in zip(batch.column("a"), batch.column("b"), batch.column("doc_id"),
                                           common.byte_texts(batch.column("text"))):
-                places, hashes, words = [], [], []
+                places, hashes, digests, words = [], [], [], []
                 for place, line in enumerate((text or b"").split(b"\n")):
                     line = line.strip()
                     if line:
-                        h = xxh64_intdigest(line)
                         places.append(place)
-                        hashes.append(h - (h >> 63 << 64))
+                        hashes.append(xxh64_intdigest(line))
+                        digests.append(xxh3_128_digest(line))
                         words.append(len(line.split()))
-                found = windows(hashes, words, min_words, min_lines)
-                yield a.as_py(), b.as_py(), doc_id.as_py(), places, hashes, [
-                    {"start": s, "fingerprint": f, "digest": d} for s, f, d in found]
+                found = []
+                for selected, runs in winnowed(hashes, words, min_words, min_lines):
+                    held = []
+                    for start, end in runs:
+                        d = xxh3_128_digest(b"".join(digests[start:end]))
+                        held.append({"start": start, "x": int.from_bytes(d[:8], "big", signed=True),
+                                     "y": int.from_bytes(d[8:], "big", signed=True), "lines": places[start:end]})
+                    found.append({"fingerprint": _long(hashes[selected]), "place": selected, "runs": held})
+                if found:
+                    yield a.as_py(), b.as_py(), doc_id.as_py(), found
 
         for batch in batches:
-            yield from common.in_slices(rows(batch), schema, 2000)
+            yield from common.in_slices(rows(batch), schema, 2000, weigh=lambda r: 100 * len(r[3]))
 
     return run
 
 
-def _extend(batches):
-    """Places of the lines of the later document that lie in a run around a matched window."""
-    for batch in batches:
-        removed = []
-        for row in batch.to_pylist():
-            later, first, hit = row["hashes"], row["first_hashes"], set()
-            for m in sorted(row["matches"], key=lambda m: m["start"]):
-                i, shift = m["start"], m["first_start"] - m["start"]
-                if (i, shift) in hit:
-                    continue  # inside a run on this diagonal already
-                low = i
-                while low > 0 and low + shift > 0 and later[low - 1] == first[low - 1 + shift]:
-                    low -= 1
-                while i < len(later) and i + shift < len(first) and later[i] == first[i + shift]:
-                    i += 1
-                hit.update((n, shift) for n in range(low, i))
-            removed.append(sorted({row["places"][n] for n, _ in hit}))
-        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(removed, pa.list_(pa.int32()))],
-                                         names=["a", "b", "removed"])
-
-
 def repeated_lines(keyed: DataFrame, min_words: int = MIN_WORDS, min_lines: int = MIN_LINES) -> DataFrame:
     """``(a, b, removed array<int>)``: line numbers (from 0) to delete, of documents ``(a, b, doc_id, text)``."""
     spark = keyed.sparkSession
     ship_package(spark)
-    ddl = f"a long, b long, doc_id {common.sql_type(keyed, 'doc_id')}, {LINES}"
-    parsed = keyed.select("a", "b", "doc_id", "text").mapInArrow(
-        _parse(min_words, min_lines, common.arrow_schema(ddl, spark)), ddl)
-    parsed = materialize(parsed)
-    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "a", "b", F.col("w.start").alias("start"))
-    spots = parsed.select("doc_id", "a", "b", F.explode("windows").alias("w")).select(
-        F.col("w.fingerprint").alias("fingerprint"), F.col("w.digest").alias("digest"), place.alias("spot"))
-    first = (spots.groupBy("fingerprint", "digest").agg(F.min("spot").alias("first"), F.max("spot").alias("last"))
-             .filter("first != last").select("fingerprint", "digest", "first"))
-    first = materialize(first)
-    matches = (spots.join(first, ["fingerprint", "digest"]).filter("spot != first")
-               .groupBy(F.col("spot.a").alias("a"), F.col("spot.b").alias("b"),
-                        F.col("first.a").alias("first_a"), F.col("first.b").alias("first_b"))
-               .agg(F.collect_set(F.struct(F.col("spot.start").alias("start"),
-                                           F.col("first.start").alias("first_start"))).alias("matches")))
-    matches = materialize(matches)
-    # equal rows have equal lines; one of them serves the joins
-    lines = materialize(parsed.select("a", "b", "places", "hashes").dropDuplicates(["a", "b"]))
-    firsts = lines.select(F.col("a").alias("first_a"), F.col("b").alias("first_b"), F.col("hashes").alias("first_hashes"))
-    runs = (matches.join(firsts, ["first_a", "first_b"]).join(lines, ["a", "b"])
-            .select("a", "b", "matches", "places", "hashes", "first_hashes")
-            .mapInArrow(_extend, "a long, b long, removed array<int>"))
-    return materialize(runs.groupBy("a", "b").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("removed"))))
-                                                  .alias("removed")))
+    ddl = f"a long, b long, doc_id {common.sql_type(keyed, 'doc_id')}, positions {POSITIONS}"
+    parsed = materialize(keyed.select("a", "b", "doc_id", "text").mapInArrow(
+        _parse(min_words, min_lines, common.arrow_schema(ddl, spark)), ddl))
+    document = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "a", "b")
+    positions = parsed.select(document.alias("document"), F.explode("positions").alias("p")).select(
+        "document", "p.fingerprint", "p.place", "p.runs")
+    spot = F.struct("document", "place")
+    repeated = (positions.groupBy("fingerprint").agg(F.min(spot).alias("first"), F.max(spot).alias("last"))
+                .filter("first != last").select("fingerprint"))
+    runs = materialize(positions.join(repeated, "fingerprint").select("document", "fingerprint", F.explode("runs").alias("r"))
+                       .select("fingerprint", "r.x", "r.y", F.struct("document", "r.start").alias("spot"), "r.lines"))
+    run = ["fingerprint", "x", "y"]
+    firsts = (runs.groupBy(*run).agg(F.min("spot").alias("first"), F.max("spot").alias("last"))
+              .filter("first != last").select(*run, "first"))
+    later = runs.join(firsts, run).filter("spot != first")
+    lines = F.array_sort(F.array_distinct(F.flatten(F.collect_set("lines"))))
+    return materialize(later.groupBy(F.col("spot.document.a").alias("a"), F.col("spot.document.b").alias("b"))
+                       .agg(lines.alias("removed")))
 
 
 def _delete(batches):
@@ -143,8 +136,8 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, min_lines: int = MI
 
     ``kept`` is the text without its later repeats: every run of lines with at
     least ``min_words`` words or ``min_lines`` lines (blank ones do not count)
-    that occurs earlier, in the same or another document, goes, with the lines
-    around it that repeat too. Earlier means by ``doc_id`` (null last, then by
+    that occurs earlier, in the same or any other document, goes whole.
+    Earlier means by ``doc_id`` (null last, then by
     content) and line. The first occurrence of a line is never deleted. Rows
     equal in id and text are one document: all keep their lines or lose the
     same ones. Null texts stay null with 0 lines, empty ones stay empty. An

@@ -61,24 +61,17 @@ k AS (
   SELECT doc_id, place, s, len(regexp_extract_all(s, '[^\x20\x09-\x0D]+')) AS w,
          row_number() OVER (PARTITION BY doc_id ORDER BY place) AS i
   FROM (SELECT doc_id, place, trim(line, e' \t\n\r\x0b\x0c') AS s FROM n) WHERE s <> ''),
--- the shortest run from each line with 50 words or 3 lines
+-- runs of 50 words or 3 lines, of at most 3 lines: longer ones consist of them
+w AS (
+  SELECT doc_id, i, place, w, s, lead(place, 1) OVER o AS p1, lead(s, 1) OVER o AS s1, lead(w, 1) OVER o AS w1,
+         lead(place, 2) OVER o AS p2, lead(s, 2) OVER o AS s2
+  FROM k WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
 b AS (
-  SELECT doc_id, i, CASE WHEN w >= 50 THEN s WHEN w + w1 >= 50 THEN s || chr(10) || s1
-                         ELSE s || chr(10) || s1 || chr(10) || s2 END AS block
-  FROM (SELECT *, lead(s, 1) OVER o AS s1, lead(w, 1) OVER o AS w1, lead(s, 2) OVER o AS s2
-        FROM k WINDOW o AS (PARTITION BY doc_id ORDER BY i))),
-f AS (
-  SELECT doc_id, i, first_value(doc_id) OVER q AS fd, first_value(i) OVER q AS fi
-  FROM b WHERE block IS NOT NULL WINDOW q AS (PARTITION BY block ORDER BY doc_id NULLS LAST, i)),
-m AS (SELECT doc_id, fd, fi - i AS shift, i FROM f WHERE doc_id <> fd OR i <> fi),
--- runs of equal lines on the diagonal of a match, and those that hold a match
-e AS (
-  SELECT g.doc_id, g.fd, g.shift, a.i, a.place,
-         a.i - row_number() OVER (PARTITION BY g.doc_id, g.fd, g.shift ORDER BY a.i) AS run
-  FROM (SELECT DISTINCT doc_id, fd, shift FROM m) g JOIN k a ON a.doc_id = g.doc_id
-  JOIN k c ON c.doc_id = g.fd AND c.i = a.i + g.shift AND c.s = a.s),
-h AS (SELECT DISTINCT e.doc_id, e.fd, e.shift, e.run FROM e JOIN m USING (doc_id, fd, shift, i)),
-r AS (SELECT DISTINCT e.doc_id, e.place FROM e JOIN h USING (doc_id, fd, shift, run)),
+  SELECT doc_id, i, [place] AS places, s AS block FROM w WHERE w >= 50
+  UNION ALL SELECT doc_id, i, [place, p1], s || chr(10) || s1 FROM w WHERE w + w1 >= 50
+  UNION ALL SELECT doc_id, i, [place, p1, p2], s || chr(10) || s1 || chr(10) || s2 FROM w WHERE s2 IS NOT NULL),
+f AS (SELECT *, row_number() OVER (PARTITION BY block ORDER BY doc_id NULLS LAST, i) AS occurrence FROM b),
+r AS (SELECT DISTINCT doc_id, unnest(places) AS place FROM f WHERE occurrence > 1),
 t AS (
   SELECT n.doc_id, count(r.place) AS gone,
          string_agg(n.line, chr(10) ORDER BY n.place) FILTER (WHERE r.place IS NULL) AS kept

@@ -37,37 +37,29 @@ SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, s
 
 
 def line_runs(lines: list[str], min_words: int, min_lines: int):
+    """All runs of lines worth deleting, of any length: (start, end)."""
     for i in range(len(lines)):
         words = 0
         for j in range(i, len(lines)):
             words += len(lines[j].split())
             if words >= min_words or j - i + 1 >= min_lines:
-                yield i, tuple(lines[i:j + 1])
-                break
+                yield i, j + 1
 
 
 def dedup_lines(texts: list[str | None], min_words: int = 50, min_lines: int = 3) -> list[tuple[str | None, int]]:
-    """Kept text and number of deleted lines of texts in their order."""
-    parsed = []
+    """Kept text and number of deleted lines of texts in their order: every line of a run that occurs earlier goes."""
+    seen, out = set(), []
     for text in texts:
         split = [] if text is None else text.split("\n")
         at = [n for n, l in enumerate(split) if l.strip(SPACE)]
-        parsed.append((split, at, [split[n].strip(SPACE) for n in at]))
-    first, out = {}, []
-    for k, (split, at, lines) in enumerate(parsed):
+        lines = [split[n].strip(SPACE) for n in at]
         gone = set()
-        for start, block in line_runs(lines, min_words, min_lines):
-            if block not in first:
-                first[block] = (k, start)
-                continue
-            other, shift = parsed[first[block][0]][2], first[block][1] - start
-            low = high = start
-            while low > 0 and low + shift > 0 and lines[low - 1] == other[low - 1 + shift]:
-                low -= 1
-            while high < len(lines) and high + shift < len(other) and lines[high] == other[high + shift]:
-                high += 1
-            gone |= {at[n] for n in range(low, high)}
-        kept = None if texts[k] is None else "\n".join(l for n, l in enumerate(split) if n not in gone)
+        for start, end in line_runs(lines, min_words, min_lines):
+            run = tuple(lines[start:end])
+            if run in seen:
+                gone |= {at[n] for n in range(start, end)}
+            seen.add(run)
+        kept = None if text is None else "\n".join(l for n, l in enumerate(split) if n not in gone)
         out.append((kept, len(gone)))
     return out
 

@@ -402,3 +402,19 @@ def test_simhash_large_family_has_linear_links(spark):
     found = [tuple(x) for x in simhash.links(df, 3).collect()]
     assert len(found) < 8 * len(values)
     assert all((u ^ v).bit_count() <= 3 for u, v in found)
+
+
+def test_line_dedup_compares_every_continuation(spark):
+    """A run that repeats goes whole, whichever earlier document holds it; fingerprints are window minima."""
+    from simpairs.llm import lines
+
+    a, b = " ".join(["alpha beta gamma"] * 20), " ".join(["delta echo fox"] * 20)
+    texts = [f"{a}\nfoo", f"{a}\nX", f"{a}\nX", f"Y\n{a}\nX", f"Y\n{b}\nZ", f"Y\n{a}\nZ", f"one\n{b}\nZ", "s\ns\ns\ns\ns", f"Z\n{a}"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {x.row.doc_id: x.kept for x in lines.dedup_lines(docs).collect()}
+    assert got == {0: texts[0], 1: "X", 2: "", 3: "Y", 4: texts[4], 5: "Z", 6: "one", 7: "s", 8: "Z"}
+    assert [got[i] for i in range(9)] == [k for k, _ in brute.dedup_lines(texts)]
+    # one position per selected place, each run held by the place its window selects
+    hashes, words = [5, 3, 9, 7, 1, 8], [10] * 6
+    assert lines.winnowed(hashes, words, 50, 3) == [(1, [(0, 3), (1, 4)]), (4, [(2, 5), (3, 6)])]
+    assert lines.winnowed([4, 4], [60, 1], 50, 3) == [(0, [(0, 1), (0, 2)])]
