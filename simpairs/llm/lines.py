@@ -108,8 +108,9 @@ def repeated_lines(keyed: DataFrame, min_words: int = MIN_WORDS, min_lines: int
     runs = materialize(positions.join(repeated, "fingerprint").select("document", "fingerprint", F.explode("runs").alias("r"))
                        .select("fingerprint", "r.x", "r.y", F.struct("document", "r.start").alias("spot"), "r.lines"))
     run = ["fingerprint", "x", "y"]
-    firsts = (runs.groupBy(*run).agg(F.min("spot").alias("first"), F.max("spot").alias("last"))
-              .filter("first != last").select(*run, "first"))
+    # stored, so that the join is a plain one of two scans and a run with very many rows can be split
+    firsts = materialize(runs.groupBy(*run).agg(F.min("spot").alias("first"), F.max("spot").alias("last"))
+                         .filter("first != last").select(*run, "first"))
     later = runs.join(firsts, run).filter("spot != first")
     lines = F.array_sort(F.array_distinct(F.flatten(F.collect_set("lines"))))
     return materialize(later.groupBy(F.col("spot.document.a").alias("a"), F.col("spot.document.b").alias("b"))
