@@ -428,6 +428,11 @@ SELECT DISTINCT p.key AS q, i.key AS key FROM de_idx p
 SELECT DISTINCT p.key AS q, i.key AS key FROM de_idx p
   JOIN doc_idx i ON i.band = p.band AND i.bucket = p.bucket
 WHERE p.band < {Q.QUERY_BANDS}"""
+    s["stored_index_query"] = s["index_query"]
+    s["stored_index_lookup"] = _with(_perms(), _doc_index()) + """
+SELECT c.doc_id AS key, coalesce(l.buckets, '') AS buckets
+FROM (SELECT DISTINCT doc_id FROM labels) c LEFT JOIN (
+  SELECT key, string_agg(bucket, ',' ORDER BY band) AS buckets FROM doc_idx GROUP BY key) l ON l.key = c.doc_id"""
     s["index_contains"] = _with(_baskets()) + \
         "SELECT DISTINCT c_custkey AS key FROM customer WHERE c_custkey IN (SELECT key FROM bk_sets)"
     s["index_remove"] = _with(_perms(), _doc_index()) + """

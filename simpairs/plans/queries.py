@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from simpairs.operators import banding, copies, elements, exact, minhash, multimap, pairs, probing, projection, quality
+from simpairs.operators import banding, copies, elements, exact, minhash, multimap, pairs, probing, projection, quality, stored
 from simpairs.plans import jobs
 from simpairs.session import materialize
 from simpairs.sources import tables as tb
@@ -269,6 +269,23 @@ def q_index_query_bands(spark, base):
     return banding.index_query(*_doc_probe(spark, base), bands=QUERY_BANDS, total_bands=BANDS)
 
 
+def _stored_doc_index(spark, base):
+    """The document index written once, and its rows of German documents as the probe."""
+    idx, probe = _doc_probe(spark, base)
+    return stored.store_index(idx), probe
+
+
+def q_stored_index_query(spark, base):
+    """As ``index_query``, but the index lies bucketed and only the probe is shuffled."""
+    return stored.query_stored(*_stored_doc_index(spark, base))
+
+
+def q_stored_index_lookup(spark, base):
+    """Buckets of the labelled documents from the stored index."""
+    index = _stored_doc_index(spark, base)[0]
+    return stored.lookup_stored(index, tb.table(spark, base, "labels"), "doc_id")
+
+
 def q_index_contains(spark, base):
     idx = banding.index_rows(tb.basket_sets(spark, base), BANDS, ROWS, SPEC)
     return banding.index_contains(idx, _customer_keys(spark, base))

@@ -103,6 +103,11 @@ def bucketed(df: DataFrame, *columns: str, compression: str = "zstd") -> DataFra
     return spark.table(name)
 
 
+def own_tables(spark: SparkSession, *names: str) -> None:
+    """Let ``drop_materialized`` drop these tables of the warehouse too."""
+    _TABLES.setdefault(spark.sparkContext.applicationId, []).extend(names)
+
+
 _KEPT: dict[str, list[DataFrame]] = {}
 _TABLES: dict[str, list[str]] = {}
 _WRITTEN: dict[str, list[str]] = {}
