@@ -52,11 +52,14 @@ def _sketcher(ab: np.ndarray, bands: int, rows: int):
 
 
 def sketched_events(events: DataFrame, spec: minhash.SketchSpec, bands: int, rows: int) -> DataFrame:
-    """``(key, seq, op, buckets)``; buckets of events without an element are null."""
+    """``(key, seq, op, buckets)``; buckets are null but for inserts of a set that is not empty."""
     check_bands(bands, rows, spec.num_perm)
     ship_package(events.sparkSession)
     present = F.filter("elements", lambda e: e.isNotNull())
-    hashes = F.when(F.size(present) > 0, F.transform(present, sha1_hash32))
+    hashes = F.when((F.col("op") == "insert") & (F.size(present) > 0), F.transform(present, sha1_hash32))
+    # as ``session.widened``, for a stream of files that Spark cannot split
+    n = events.sparkSession.conf.get("spark.simpairs.scanPartitions", None)
+    events = events.repartition(int(n)) if n else events
     kind = events.schema["key"].dataType.simpleString()
     ab = minhash.permutations(spec.seed, spec.num_perm)[:bands * rows]
     return (events.filter("key IS NOT NULL").select("key", F.col("seq").cast("long").alias("seq"), "op", hashes.alias("hashes"))
