@@ -11,11 +11,12 @@ comes from, and its neighbouring words. It is trained on labelled findings;
 candidates it rejects are the false positives.
 
 Pair and word counts cover all documents (partial sums per batch, then a
-shuffle by key). Dictionary coverage joins the substrings of distinct
-candidates, under 128-bit keys of these, with the dictionary, so neither side
-is broadcast or collected; work is in proportion to a candidate's length.
-Only the 65,536 pair counts, the bounded training sample and the forest pass
-through the driver.
+shuffle by key); words inside candidates do not count. A dictionary word makes
+up at least ``RATE`` of all words, so the dictionary has at most ``1 / RATE``
+words whatever the corpus, and means the same at every size. It, the 65,536
+pair counts, the bounded training sample and the forest are all that passes
+through the driver. Work is in proportion to the bytes of a text or candidate,
+and both are read in blocks.
 """
 
 from __future__ import annotations
@@ -47,41 +48,74 @@ CLOSED = re.compile(rb"([\w-]+)(?:%s)?\s*$" % _OPEN)
 #: an assigned value, which ends before white space, quotes, brackets and further punctuation
 VALUE = regex.compile(r"(?:[\p{L}\p{M}\p{N}!#$%*+\-./:=?@\\^_|~]|&(?![\w-]+=))+")
 WORD = re.compile(rb"[a-z]+")
+LETTERS, NO_LETTER = re.compile(rb"[A-Za-z]+"), re.compile(rb"[^A-Za-z]")
 NEAR = re.compile(rb"[\w-]+")
 #: words that introduce a secret
 HINTS = (b"password", b"passwd", b"pwd", b"secret", b"token", b"key", b"apikey", b"api_key", b"auth", b"credential")
-SHORT, LONG = 3, 8  # letters of a dictionary word
-PIECE = 4096  # places of a candidate whose words are merged at once
-MIN_COUNT = 50  # occurrences that make a word a dictionary word
+SHORT, LONG = 3, 40  # letters of a dictionary word
+RATE = 1e-5  # share of all words that makes a word a dictionary word; there are at most 1 / RATE
+BLOCK = 1 << 20  # bytes of a text or candidate that are looked at together
 SAMPLE = 5000  # labelled findings of each kind the forest is trained on
 TREES, DEPTH, SEED = 40, 8, 2020
 PATH_CODES = 16
 
 FOUND = ("start long, length long, finding string, hinted int, assigned int, quoted int, before_letters int, "
-         "after_letters int, digits double, upper double, changes double, pairs double")
+         "after_letters int, digits double, upper double, changes double, pairs double, coverage double")
 FEATURES = ["length", "pairs", "changes", "digits", "upper", "coverage", "path_code", "path_depth", "path_length",
             "hinted", "assigned", "quoted", "before_letters", "after_letters"]
 
 
+def _word_blocks(text: bytes):
+    """A text in lower case, in blocks that end where a word does."""
+    at = 0
+    while at < len(text):
+        end = NO_LETTER.search(text, at + BLOCK)
+        end = end.start() if end else len(text)
+        yield text[at:end].lower()
+        at = end
+
+
+def _overlapping(data: bytes):
+    """Blocks of bytes; each starts with the last byte of the one before, so each pair is in one."""
+    for at in range(0, max(1, len(data) - 1), BLOCK):
+        yield np.frombuffer(data, np.uint8, min(BLOCK + 1, len(data) - at), at)
+
+
+def _pairs(block: np.ndarray) -> np.ndarray:
+    wide = block.astype(np.uint16)
+    return wide[:-1] << 8 | wide[1:]
+
+
+def _outside(text: bytes, spans: list[tuple[int, int]]):
+    """The parts of a text between its candidates."""
+    at = 0
+    for start, end in spans:
+        if start > at:
+            yield text[at:start]
+        at = max(at, end)
+    yield text[at:] if at else text
+
+
 def _counts(batches):
-    """``(key, n)``: words of 3 to 8 letters, and byte pairs as ``#<number>``, summed per batch."""
+    """``(key, n)``: words outside candidates, and byte pairs as ``#<number>``, summed per batch."""
     for batch in batches:
         words: Counter = Counter()
         pairs = np.zeros(1 << 16, np.int64)
         held, size = [], 0
 
         def add():
-            data = np.frombuffer(b"\n".join(held), np.uint8).astype(np.int64)
-            if len(data) > 1:
-                pairs[:] += np.bincount(data[:-1] << 8 | data[1:], minlength=1 << 16)
+            for block in _overlapping(b"\n".join(held)) if held else ():
+                pairs[:] += np.bincount(_pairs(block), minlength=1 << 16)
 
         for text in common.byte_texts(batch.column("text")):
             if not text:
                 continue
-            words.update(w for w in WORD.findall(text.lower()) if SHORT <= len(w) <= LONG)
+            for part in _outside(text, places(text)):
+                for block in _word_blocks(part):
+                    words.update(w for w in WORD.findall(block) if SHORT <= len(w) <= LONG)
             held.append(text)
             size += len(text)
-            if size > 1 << 20:
+            if size > BLOCK:
                 add()
                 held, size = [], 0
         add()
@@ -97,6 +131,41 @@ def _kinds(token: np.ndarray) -> np.ndarray:
                     np.where((token >= 48) & (token <= 57), 2, 3)))
 
 
+def _shape(data: bytes, likely: np.ndarray) -> tuple[float, float, float, float]:
+    """Shares of digits, capitals and class changes, and the mean of ``likely`` over the byte pairs."""
+    sums = np.zeros(4)
+    for number, block in enumerate(_overlapping(data)):
+        kinds = _kinds(block)
+        own = kinds[int(number > 0):]
+        sums += ((own == 2).sum(), (own == 1).sum(), (kinds[1:] != kinds[:-1]).sum(), likely[_pairs(block)].sum())
+    n = max(1, len(data) - 1)
+    return sums[0] / len(data), sums[1] / len(data), sums[2] / n, sums[3] / n
+
+
+class Dictionary:
+    """Words of ``SHORT`` letters and more, found at a place by their first letters."""
+
+    def __init__(self, words):
+        self.words = frozenset(words)
+        lengths: dict[bytes, set] = {}
+        for w in self.words:
+            lengths.setdefault(w[:SHORT], set()).add(len(w))
+        self.lengths = {head: sorted(found, reverse=True) for head, found in lengths.items()}
+
+    def covered(self, data: bytes) -> int:
+        """Bytes of ``data`` (any case) that lie inside a word."""
+        n = 0
+        for run in LETTERS.finditer(data):
+            low, reach = run.group().lower(), 0
+            for i in range(len(low) - SHORT + 1):
+                for length in self.lengths.get(low[i:i + SHORT], ()):
+                    if i + length <= len(low) and low[i:i + length] in self.words:
+                        n += max(0, i + length - max(reach, i))
+                        reach = max(reach, i + length)
+                        break
+        return n
+
+
 def _whole(text: bytes, start: int, end: int) -> tuple[int, int]:
     """The run ``start`` … ``end`` without its parts that touch a Latin letter beyond ASCII."""
     if start and text[start - 1] > 127 and LATIN.match(text[max(0, start - 4):start].decode(errors="ignore")[-1:]):
@@ -146,26 +215,25 @@ def places(text: bytes) -> list[tuple[int, int]]:
 
 
 def _scan(shared, schema: pa.Schema):
+    """Candidates of each batch; ``shared`` holds the chances of byte pairs and the dictionary."""
     signs, quotes = (tuple(c.encode() for c in a) for a in (ASSIGNMENTS, QUOTES))
 
     def rows(batch):
+        likely, words = shared.value
         for doc_id, path, text in zip(batch.column("doc_id"), batch.column("path"), common.byte_texts(batch.column("text"))):
             for start, end in places(text or b""):
-                token = np.frombuffer(text[start:end], np.uint8).astype(np.int64)
-                kinds = _kinds(token)
+                token = text[start:end]
                 before = text[max(0, start - 40):start]
                 after = text[end:end + 40]
                 near = NEAR.findall(before)
                 last = near[-1].lower() if near else b""
                 gap = before[before.rfind(near[-1]) + len(near[-1]):] if near else before
                 following = NEAR.search(after)
-                yield (doc_id.as_py(), path.as_py(), start, len(token), text[start:end].decode(),
+                yield (doc_id.as_py(), path.as_py(), start, len(token), token.decode(),
                        int(any(h in last for h in HINTS)), int(any(c in gap for c in signs)),
                        int(gap.endswith(quotes)), int(last.isalpha()),
                        int(bool(following) and following.group().isalpha()),
-                       float((kinds == 2).mean()), float((kinds == 1).mean()),
-                       float((kinds[1:] != kinds[:-1]).mean()),
-                       float(shared.value[token[:-1] << 8 | token[1:]].mean()))
+                       *_shape(token, likely), words.covered(token) / len(token))
 
     def run(batches):
         for batch in batches:
@@ -174,44 +242,11 @@ def _scan(shared, schema: pa.Schema):
     return run
 
 
-def _substrings(batches):
-    """Substrings that may be words, with the key of their candidate (``a``, ``b``): rows of a few bytes."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("at", pa.int32()), ("word", pa.string())])
-
-    def rows(batch):
-        for a, b, finding in zip(*(batch.column(c) for c in ("a", "b", "finding"))):
-            a, b, data = a.as_py(), b.as_py(), finding.as_py().encode().lower()
-            for run in WORD.finditer(data):
-                for i in range(run.start(), run.end() - SHORT + 1):
-                    for j in range(i + SHORT, min(i + LONG, run.end()) + 1):
-                        yield a, b, i, data[i:j].decode()
-
-    for batch in batches:
-        yield from common.in_slices(rows(batch), schema)
-
-
-def _covered(found: DataFrame, words: DataFrame) -> DataFrame:
-    """``(a, b, covered)``: bytes of each candidate that words cover, by its key.
-
-    Hits are merged in pieces of ``PIECE`` places, so a long candidate makes
-    no long list; a hit over the end of a piece counts in both with its part.
-    """
-    hits = (found.select("a", "b", "finding").distinct().mapInArrow(_substrings, "a long, b long, at int, word string")
-            .join(words, "word")
-            .groupBy("a", "b", "at").agg(F.max(F.length("word")).alias("letters"))
-            .withColumn("end", F.col("at") + F.col("letters"))
-            .withColumn("piece", F.explode(F.expr(f"array_distinct(array(at div {PIECE}, (end - 1) div {PIECE}))")))
-            .select("a", "b", "piece", F.expr(f"int(greatest(at, piece * {PIECE})) AS at"), F.expr(f"int(least(end, (piece + 1) * {PIECE})) AS end"))
-            .groupBy("a", "b", "piece").agg(F.array_sort(F.collect_list(F.struct("at", "end"))).alias("hits")))
-    merged = F.expr("aggregate(hits, struct(0 AS end, 0 AS n), (s, h) -> struct(greatest(s.end, h.end) AS end, "
-                    "s.n + greatest(0, h.end - greatest(s.end, h.at)) AS n))")
-    return hits.select("a", "b", merged["n"].alias("n")).groupBy("a", "b").agg(F.sum("n").alias("covered"))
-
-
-def candidates(docs: DataFrame, path: str = "source", min_count: int = MIN_COUNT) -> DataFrame:
+def candidates(docs: DataFrame, path: str = "source", rate: float = RATE) -> DataFrame:
     """Candidates with their place, text and features, one row each.
 
-    ``path`` names the column that tells where a document comes from.
+    ``path`` names the column that tells where a document comes from. Words
+    that make up ``rate`` of all words outside candidates are the dictionary.
     """
     spark = docs.sparkSession
     ship_package(spark)
@@ -221,16 +256,15 @@ def candidates(docs: DataFrame, path: str = "source", min_count: int = MIN_COUNT
     for r in counts.filter("key LIKE '#%'").collect():  # at most 65,536 rows
         table[int(r["key"][1:])] += r["n"]
     table = table.reshape(256, 256)
-    shared = spark.sparkContext.broadcast(np.log2(table / table.sum(axis=1, keepdims=True)).ravel())
+    words = counts.filter(~F.col("key").startswith("#"))
+    total = words.agg(F.sum("n")).first()[0] or 0
+    frequent = words.filter(F.col("n") >= F.lit(rate * total)).select("key").collect()  # at most 1 / rate rows
+    shared = spark.sparkContext.broadcast((np.log2(table / table.sum(axis=1, keepdims=True)).ravel(),
+                                           Dictionary(r["key"].encode() for r in frequent)))
     ddl = f"doc_id {common.sql_type(rows, 'doc_id')}, path string, {FOUND}"
     found = rows.mapInArrow(_scan(shared, common.arrow_schema(ddl, spark)), ddl)
-    found = materialize(found.withColumn("_key", common.row_key(found.select("finding"))).select("*", "_key.*").drop("_key"))
-
-    words = counts.filter(~F.col("key").startswith("#") & (F.col("n") >= F.lit(min_count))).select(F.col("key").alias("word"))
-    covered = materialize(_covered(found, words))
     path_text = F.coalesce(F.col("path"), F.lit(""))
-    return (found.join(covered, ["a", "b"], "left")
-            .withColumn("coverage", F.coalesce(F.col("covered"), F.lit(0)) / F.col("length")).drop("covered", "a", "b")
+    return (found
             .withColumn("path_code", F.pmod(F.xxhash64(path_text), F.lit(PATH_CODES)).cast("int"))
             .withColumn("path_depth", F.size(F.split(path_text, "/")))
             .withColumn("path_length", F.length(path_text)))
@@ -304,12 +338,29 @@ def format_labels(found: DataFrame) -> DataFrame:
     return found.withColumn("is_secret", F.when(secret, True).when(plain, False))
 
 
+def reviewed(findings: DataFrame):
+    """Labels from a table of reviewed findings, as ``secrets`` takes them.
+
+    ``findings`` has ``is_secret`` and either ``finding`` or, where secrets
+    must not be stored, ``finding_sha256`` (lowercase hex). Null labels say
+    nothing; a finding that was ever marked as a secret is one.
+    """
+    by = "finding" if "finding" in findings.columns else "finding_sha256"
+    marks = findings.filter("is_secret IS NOT NULL").groupBy(by).agg(F.max("is_secret").alias("is_secret"))
+
+    def labels(found: DataFrame) -> DataFrame:
+        keyed = found if by == "finding" else found.withColumn(by, F.sha2("finding", 256))
+        return keyed.join(marks, by).select(*found.columns, "is_secret")
+
+    return labels
+
+
 def secrets(docs: DataFrame, labelled=format_labels, path: str = "source", learn_from=None, sample: int = SAMPLE) -> DataFrame:
     """``(doc_id, path, start, length, finding, score, is_secret)``, one row per candidate.
 
     ``start`` and ``length`` count bytes of the UTF-8 text. ``labelled`` maps
     candidates to labelled findings (``is_secret``, null: no label), for
-    example by a join with reviewed ones; ``learn_from`` is a condition on
+    example ``reviewed(table)``; ``learn_from`` is a condition on
     candidates that the forest may learn from. Null and empty texts have no
     candidates; a null path is an empty one; repeated rows give repeated
     findings; texts are searched whole. An empty table gives no rows, and
