@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from simpairs.functions.hashing import sha1_hash32
-from simpairs.operators import minhash
+from simpairs.operators import copies, minhash
 from simpairs.operators.pairs import cross_pairs
 from simpairs.operators.tuning import check_bands
 from simpairs.session import materialize
@@ -101,6 +101,36 @@ def index_query(index: DataFrame, probe: DataFrame, bands: int | None = None,
     return hits.select(F.col("_x").alias("q"), F.col("_y").alias("key")).distinct()
 
 
+def grouped_query(index: DataFrame, probe: DataFrame, bands: int | None = None,
+                  total_bands: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``index_query`` between representatives: ``(q, key)`` hits, and the members of both sides.
+
+    Keys with the same bucket in every band that is looked up have the same
+    hits, so each side is met through the smallest key of such a group.
+    Members are ``(key, rep)`` of the probe and of the index: rows stay linear
+    in a group of copies and no hit is lost. ``expand_hits`` writes them out.
+    """
+    if bands is not None:
+        if total_bands is not None and bands > total_bands:
+            raise ValueError(f"{bands} bands asked for; the index has {total_bands}")
+        index, probe = (side.filter(F.col("band") < F.lit(bands)) for side in (index, probe))
+    members, reps = [], []
+    for side in (probe, index):
+        placed = side.select("key", F.concat_ws(":", "band", "bucket").alias("element"))
+        members.append(copies.copy_groups(placed))
+        reps.append(materialize(side.join(copies.representatives(members[-1]), "key", "left_semi")))
+    return index_query(reps[1], reps[0]), members[0], members[1]
+
+
+def expand_hits(hits: DataFrame, probe_members: DataFrame, index_members: DataFrame) -> DataFrame:
+    """All ``(q, key)`` of hits between representatives; groups are dealt into cells of blocks."""
+    groups = [m.select(F.col("rep").alias("_g"), "key") for m in (probe_members, index_members)]
+    first = cross_pairs(hits.select(F.col("q").alias("_g"), "key"), groups[0], ("_g",), "key", "key")
+    first = first.select(F.col("_x").alias("_g"), F.col("_y").alias("q"))
+    second = cross_pairs(first, groups[1], ("_g",), "q", "key")
+    return second.select(F.col("_x").alias("q"), F.col("_y").alias("key"))
+
+
 def index_contains(index: DataFrame, keys: DataFrame, key: str = "key") -> DataFrame:
     """Keys of ``keys`` present in the index."""
     k = keys.select(F.col(key).alias("key")).distinct()

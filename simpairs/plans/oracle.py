@@ -428,6 +428,16 @@ SELECT DISTINCT p.key AS q, i.key AS key FROM de_idx p
 SELECT DISTINCT p.key AS q, i.key AS key FROM de_idx p
   JOIN doc_idx i ON i.band = p.band AND i.bucket = p.bucket
 WHERE p.band < {Q.QUERY_BANDS}"""
+    alike = """{0}_reps AS (
+  SELECT key, min(key) OVER (PARTITION BY buckets) AS rep
+  FROM (SELECT key, string_agg(bucket, ',' ORDER BY band) AS buckets FROM {0}_idx GROUP BY key))"""
+    both = _with(_perms(), _doc_index(), probe_de, alike.format("de"), alike.format("doc"))
+    s["index_query_groups"] = both + """
+SELECT DISTINCT p.key AS q, i.key AS key FROM de_idx p
+  JOIN doc_idx i ON i.band = p.band AND i.bucket = p.bucket
+WHERE p.key IN (SELECT rep FROM de_reps) AND i.key IN (SELECT rep FROM doc_reps)"""
+    s["index_query_members"] = both + """
+SELECT 'probe' AS side, key, rep FROM de_reps UNION ALL SELECT 'index', key, rep FROM doc_reps"""
     s["stored_index_query"] = s["index_query"]
     s["stored_index_lookup"] = _with(_perms(), _doc_index()) + """
 SELECT c.doc_id AS key, coalesce(l.buckets, '') AS buckets

@@ -255,10 +255,10 @@ def q_index_duplicates(spark, base):
 
 
 def _doc_probe(spark, base):
-    """The document index, stored, and its rows of German documents as the probe."""
+    """The document index and its rows of German documents as the probe, both stored."""
     idx = materialize(_doc_index(spark, base))
     german = _docs_where(spark, base, F.col("lang") == "de").select(F.col("doc_id").alias("key"))
-    return idx, idx.join(german, "key", "left_semi")
+    return idx, materialize(idx.join(german, "key", "left_semi"))
 
 
 def q_index_query(spark, base):
@@ -269,6 +269,17 @@ def q_index_query_bands(spark, base):
     return banding.index_query(*_doc_probe(spark, base), bands=QUERY_BANDS, total_bands=BANDS)
 
 
+def q_index_query_groups(spark, base):
+    """As ``index_query``, between representatives of keys alike in all bands."""
+    return banding.grouped_query(*_doc_probe(spark, base))[0]
+
+
+def q_index_query_members(spark, base):
+    """Membership that goes with ``index_query_groups``: ``(side, key, rep)``."""
+    _, probe, index = banding.grouped_query(*_doc_probe(spark, base))
+    return probe.withColumn("side", F.lit("probe")).unionByName(index.withColumn("side", F.lit("index")))
+
+
 def _stored_doc_index(spark, base):
     """The document index written once, and its rows of German documents as the probe."""
     idx, probe = _doc_probe(spark, base)

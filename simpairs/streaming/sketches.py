@@ -5,7 +5,8 @@
   partial sketch) and merged into the state store with ``min`` per
   ``(key, perm)``. Changed positions go to a parquet table, partitioned by
   batch; ``read_signatures`` takes the minimum per position, which equals the
-  batch signature of all rows seen.
+  batch signature of all rows seen. ``compact_signatures`` keeps that table
+  at one row per position, also while the stream runs.
 * ``index_upkeep`` – ``insert`` / ``query`` for keys arriving in batches:
   ``foreachBatch`` sketches the new keys, rejects keys already indexed or
   arriving twice, probes the new band rows against index ∪ new, and appends
@@ -84,6 +85,31 @@ def read_signatures(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/updates").groupBy("key", "perm").agg(F.min("v").alias("v"))
 
 
+def compact_signatures(spark: SparkSession, path: str) -> int:
+    """Replace the updates of all batches written so far by one row per position; returns their number.
+
+    The stream may be running: its later batches are not touched. The least
+    values are written first, under a batch number below zero that no earlier
+    compaction had, and only then the folders they replace are deleted, so a
+    reader or a lost driver finds each value at least once, at any moment.
+    """
+    folder = f"{path}/updates"
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    parts = {int(s.getPath().getName()[len("batch_id="):]): s.getPath() for s in fs.listStatus(root)
+             if s.getPath().getName().startswith("batch_id=")}
+    if len(parts) < 2:
+        return 0
+    rows = spark.read.option("basePath", folder).parquet(*[p.toString() for p in parts.values()])
+    least = rows.groupBy("key", "perm").agg(F.min("v").alias("v"))
+    # below every number in use: batches count from 0, compactions from -1 downward
+    _write_batch(least.select("*", _tag(min(0, *parts) - 1)), folder)
+    for part in parts.values():
+        fs.delete(part, True)
+    return len(parts)
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     jpath = jvm.org.apache.hadoop.fs.Path(path)
@@ -130,7 +156,7 @@ def upkeep_batch(batch: DataFrame, batch_id: int, path: str, spec: minhash.Sketc
     pool = fresh if old is None else old.select("key", "band", "bucket").unionByName(fresh)
     hits = banding.index_query(pool, fresh)
     _write_batch(hits.select("q", "key", _tag(batch_id)), f"{path}/hits")
-    _write_batch(keys.select("key", _tag(batch_id), "shard"), f"{path}/keys", "shard")
+    _write_batch(keys.select("key", _tag(batch_id), "shard").repartition("shard"), f"{path}/keys", "shard")
     _write_batch(new_rows.select("key", "band", "bucket", _tag(batch_id), "shard").repartition("shard"),
                  f"{path}/index", "shard")
 
@@ -166,5 +192,5 @@ def read_hits(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/hits").select("q", "key")
 
 
-__all__ = ["file_stream", "signature_stream", "start_signature_stream", "read_signatures", "index_upkeep",
+__all__ = ["file_stream", "signature_stream", "start_signature_stream", "read_signatures", "compact_signatures", "index_upkeep",
            "upkeep_batch", "compact_index", "read_index", "read_hits", "stream_folder"]

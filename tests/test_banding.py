@@ -107,3 +107,24 @@ def test_fewer_bands_find_less(spark):
     sf = "/root/testdata/sf0.01"
     whole, few = (q.QUERIES[n](spark, sf).count() for n in ("index_query", "index_query_bands"))
     assert 0 < few < whole
+
+
+def test_grouped_query_expands_to_the_plain_one(spark, ev_index):
+    from pyspark.sql import functions as F
+
+    # copies of users 1 to 5 under other keys, on both sides
+    twins = ev_index.filter("key <= 5").select((F.col("key") + 10 ** 6).alias("key"), "band", "bucket")
+    index = ev_index.unionByName(twins).unionByName(twins.withColumn("key", F.col("key") + 10 ** 6))
+    probe = index.filter("key % 3 = 1")
+    for bands in (None, 3):
+        hits, probes, members = banding.grouped_query(index, probe, bands, 22)
+        plain = sorted(map(tuple, banding.index_query(index, probe, bands, 22).collect()))
+        assert sorted(map(tuple, banding.expand_hits(hits, probes, members).collect())) == plain
+        assert hits.count() < len(plain)
+        rep = {r.key: r.rep for r in members.collect()}
+        assert len(rep) == index.select("key").distinct().count()
+        assert all(rep[k + 10 ** 6] == rep[k + 2 * 10 ** 6] == rep[k] <= k for k in range(1, 6) if k in rep)
+    with pytest.raises(ValueError):
+        banding.grouped_query(index, probe, 23, 22)
+    hits, probes, members = banding.grouped_query(index, probe.limit(0))
+    assert hits.count() == probes.count() == 0 < members.count()

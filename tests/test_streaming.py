@@ -23,6 +23,27 @@ def test_signature_stream_equals_batch(spark, sf_small, tmp_path):
     assert sorted(tuple(r) for r in streamed.collect()) == sorted(tuple(r) for r in batch.collect())
 
 
+def test_signatures_compacted_while_the_stream_goes_on(spark, sf_small, tmp_path):
+    src, path = tmp_path / "src", str(tmp_path / "sig")
+    sets_of = lambda ev: ev.select(F.col("user_id").alias("key"), tb.event_item().cast("string").alias("element"))
+    rows = tb.table(spark, sf_small, "events")
+    removed = []
+    for part in range(5):
+        rows.filter(F.col("event_id") % 5 == part).coalesce(1).write.mode("append").parquet(str(src))
+        ev = st.file_stream(spark, str(src), "*.parquet", max_files_per_trigger=1)
+        st.start_signature_stream(sets_of(ev), path, SPEC).awaitTermination(300)
+        if part in (1, 3):
+            removed.append(st.compact_signatures(spark, path))
+    assert removed == [2, 3]  # two batches; one compaction and two batches
+    stored = spark.read.parquet(path + "/updates")
+    assert sorted(r.batch_id for r in stored.select("batch_id").distinct().collect()) == [-2, 4]
+    batch = mh.minhash_signatures(tb.ev_sets(spark, sf_small), SPEC)
+    expected = sorted(tuple(r) for r in batch.collect())
+    assert sorted(tuple(r) for r in st.read_signatures(spark, path).collect()) == expected
+    assert st.compact_signatures(spark, path) == 2 and st.compact_signatures(spark, path) == 0
+    assert sorted(tuple(r) for r in st.read_signatures(spark, path).collect()) == expected
+
+
 def test_index_upkeep_multi_batch(spark, sf_small, tmp_path):
     # split the documents into three files so the stream sees three batches
     src = tmp_path / "src"
