@@ -156,13 +156,17 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, scale: int = 256, block: int
     ``vec_id``. Candidates are all rows but those of the query's id; ties go to
     the smaller id. Rows without an id, null vectors and vectors with null or
     non-finite components take no part; rows equal in id and vector are one;
-    shorter vectors count as ended by zeros. Scores are exact while products
-    of quantised components sum to less than 2^62. Fewer candidates give fewer
+    shorter vectors count as ended by zeros. Scores are longs: where the number
+    of components times the square of the largest quantised one reaches 2^62,
+    a ``ValueError`` says so before the search. Fewer candidates give fewer
     ranks; without rows or queries the result is empty.
     """
     ship_package(vectors.sparkSession)
     rows = materialize(quantised(cells.valid_vectors(vectors), scale))
-    n, dim = rows.agg(F.count("*"), F.coalesce(F.max(F.size("x")), F.lit(0))).first()
+    largest = F.aggregate("x", F.lit(0.0), lambda most, v: F.greatest(most, F.abs(v.cast("double"))))
+    n, dim, most = rows.agg(F.count("*"), F.coalesce(F.max(F.size("x")), F.lit(0)), F.coalesce(F.max(largest), F.lit(0.0))).first()
+    if dim * most * most >= 2.0 ** 62:
+        raise ValueError(f"{dim} components of up to {most:.3g} steps may have inner products beyond a long; take a smaller scale than {scale}")
     queries = rows.filter(is_query).select(F.col("vec_id").alias("query_id"), F.xxhash64("vec_id", "x").alias("query"), "x")
     n_blocks = max(1, math.ceil(n / block))
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("vec_id", "x"), F.lit(n_blocks)).cast("int"))
