@@ -20,6 +20,7 @@ Centroids are fitted on a bounded sample on the driver; every row is indexed.
 from __future__ import annotations
 
 import math
+from itertools import batched
 
 import numpy as np
 import pyarrow as pa
@@ -145,6 +146,40 @@ def _lists(shared, dim: int):
     return run
 
 
+def _routes(shared, dim: int, k: int, probe: float, at_once: int = 256):
+    """Each query once per block that holds a list it probes, with these ``lists``, nearest first.
+
+    Blocks of outlying rows get every query.
+    """
+
+    def run(batches):
+        index = shared.value
+        probes = max(1, math.ceil(probe * len(index.centers)))
+        outlying = index.blocks.get(len(index.centers), range(0))
+
+        def rows(part):
+            scaled = index.scaled_queries(cells.matrix(pa.chunked_array([part.column("x")]), dim, np.float64))
+            # a query's own rows are no candidates
+            chosen = index.probes(index.order(scaled), probes, k + part.column("own").to_numpy())
+            for i, lists in enumerate(chosen):
+                to = {block: [] for block in outlying}
+                for l in lists.tolist():
+                    for block in index.blocks.get(l, ()):  # an empty list lies in none
+                        to.setdefault(block, []).append(l)
+                yield from ((i, block, held) for block, held in to.items())
+
+        for batch in batches:
+            for at in range(0, batch.num_rows, at_once):
+                part = batch.slice(at, at_once)
+                for some in batched(rows(part), 4096):
+                    i, block, lists = zip(*some)
+                    copied = part.select(["query_id", "query", "x"]).take(pa.array(i, pa.int64()))
+                    yield pa.RecordBatch.from_arrays([*copied.columns, pa.array(block, pa.int32()), pa.array(lists, pa.list_(pa.int32()))],
+                                                     names=["query_id", "query", "x", "block", "lists"])
+
+    return run
+
+
 def scan(turned: np.ndarray, starts: np.ndarray, query: np.ndarray, probe: np.ndarray, own: np.ndarray,
          k: int, columns: int = COLUMNS, doubt: float = 2.1) -> tuple[np.ndarray, np.ndarray]:
     """Candidates left after the adaptive scan of the probed lists, and their squared distances.
@@ -176,7 +211,7 @@ def scan(turned: np.ndarray, starts: np.ndarray, query: np.ndarray, probe: np.nd
     return rows, found
 
 
-def _search(shared, dim: int, k: int, probe: float):
+def _search(shared, dim: int, k: int):
     schema = pa.schema([("query_id", pa.int64()), ("query", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
     def run(rows: pa.Table, queries: pa.Table) -> pa.Table:
@@ -189,18 +224,13 @@ def _search(shared, dim: int, k: int, probe: float):
             starts = np.searchsorted(lists, np.arange(len(index.centers) + 1))
             turned = np.ascontiguousarray(index.rows(x[:starts[-1]]))
             outlying = np.arange(starts[-1], len(x))  # scored by all queries
-            here = np.flatnonzero(np.diff(starts))
             q = cells.matrix(queries["x"], dim, np.float64)
-            scaled = index.scaled_queries(q)
-            turned_q = index.queries(scaled)
-            probes = max(1, math.ceil(probe * len(index.centers)))
-            # a query's own rows are no candidates
-            chosen = index.probes(index.order(scaled), probes, k + queries["own"].to_numpy())
+            turned_q = index.queries(index.scaled_queries(q))
+            probed = queries["lists"].to_pylist()
             keys = zip(queries["query_id"].to_pylist(), queries["query"].to_pylist())
             for i, (query_id, query) in enumerate(keys):
-                mine = chosen[i][np.isin(chosen[i], here)]
                 own = ids == query_id
-                got, _ = scan(turned, starts, turned_q[i], mine, own, k)
+                got, _ = scan(turned, starts, turned_q[i], probed[i], own, k)
                 got = np.concatenate([got, outlying[~own[outlying]]])
                 score = (x[got] * q[i]).sum(axis=1)
                 first = np.lexsort((ids[got], -score))[:k]
@@ -224,7 +254,8 @@ def search(vectors: DataFrame, is_query, k: int = 20, probe: float = PROBE, samp
     so it returns all candidates if there are fewer. Without rows the result
     is empty.
 
-    There are √n lists, none above the sample, and one of outlying rows. A list larger than ``block``
+    There are √n lists, none above the sample, and one of outlying rows. Queries
+    go to the blocks that hold a list they probe. A list larger than ``block``
     is split over blocks by row, so one hot list does not make one task.
     """
     spark = vectors.sparkSession
@@ -249,19 +280,18 @@ def search(vectors: DataFrame, is_query, k: int = 20, probe: float = PROBE, samp
     listed = materialize(rows.mapInArrow(_lists(shared, dim), "vec_id long, x array<double>, list int"))
     sizes = {r["list"]: r["count"] for r in listed.groupBy("list").count().collect()}  # one row per list
     index.sizes = np.array([sizes.get(l, 0) for l in range(len(index.centers) + 1)], np.int64)
-    sized = spark.sparkContext.broadcast(index)
     n_blocks, first, parts = deal(sizes, block)
-    place = F.lit(0)
-    if sizes:
-        lists = max(sizes) + 1
-        starts, split = ([t.get(i, d) for i in range(lists)] for t, d in ((first, 0), (parts, 1)))
-        at = lambda a: F.element_at(F.array(*[F.lit(v) for v in a]), F.col("list") + 1)
-        place = at(starts) + F.pmod(F.xxhash64("vec_id", "x"), at(split)).cast("int")
+    index.blocks = {l: range(first[l], first[l] + parts[l]) for l in sizes}
+    sized = spark.sparkContext.broadcast(index)
+    # one row per list, so at most 2 · sample + 1
+    table = spark.createDataFrame([(l, first[l], parts[l]) for l in sizes], "list int, first int, parts int")
+    placed = (listed.join(F.broadcast(table), "list")
+              .select("vec_id", "x", "list", (F.col("first") + F.pmod(F.xxhash64("vec_id", "x"), "parts")).cast("int").alias("block")))
     asked = rows.filter(is_query)
     queries = (asked.join(asked.groupBy("vec_id").agg(F.count("*").alias("own")), "vec_id")
                .select(F.col("vec_id").alias("query_id"), F.xxhash64("vec_id", "x").alias("query"), "x", "own"))
-    found = cells.in_cells(listed.withColumn("block", place), n_blocks, queries, queries.count(), chunk,
-                           _search(sized, dim, k, probe), FOUND)
+    routed = queries.mapInArrow(_routes(sized, dim, k, probe), "query_id long, query long, x array<double>, block int, lists array<int>")
+    found = cells.in_cells(placed, n_blocks, routed, queries.count(), chunk, _search(sized, dim, k), FOUND)
     return cells.best(found, k, "query_id", "query").select("query_id", "rank", "vec_id", "score")
 
 

@@ -2,7 +2,7 @@
 
 Rows are dealt into blocks, queries into chunks, and every (block, chunk) cell
 is one cogrouped task over both. Rows are copied once per chunk and queries
-once per block; the numbers of blocks and chunks follow from counts of all
+once per block, or once per block they are routed to; the numbers of blocks and chunks follow from counts of all
 rows, so a cell stays the same size however large the tables are.
 """
 
@@ -35,15 +35,17 @@ def in_cells(rows: DataFrame, n_blocks: int, queries: DataFrame, n_queries: int,
     """``function(rows, queries)`` over Arrow tables of each cell.
 
     ``rows`` carries its ``block`` (0 … n_blocks − 1); queries are dealt into
-    ``ceil(n_queries / chunk)`` chunks by their row.
+    ``ceil(n_queries / chunk)`` chunks by ``query_id`` and ``query``. Queries
+    that carry ``block`` too, one row per block, go nowhere else.
     """
     n_chunks = max(1, math.ceil(n_queries / chunk))
     # a cell is small in bytes and large in work: cells are not packed together by their bytes
     shuffled = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = min(max(1, n_blocks) * n_chunks, 8 * shuffled)
     left = rows.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(n_chunks - 1))))
-    right = (queries.withColumn("chunk", F.pmod(F.xxhash64(*queries.columns), F.lit(n_chunks)).cast("int"))
-             .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(max(1, n_blocks) - 1)))))
+    right = queries.withColumn("chunk", F.pmod(F.xxhash64("query_id", "query"), F.lit(n_chunks)).cast("int"))
+    if "block" not in queries.columns:
+        right = right.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(max(1, n_blocks) - 1))))
     left, right = (side.repartition(parts, "block", "chunk") for side in (left, right))
     return (left.groupBy("block", "chunk").cogroup(right.groupBy("block", "chunk"))
             .applyInArrow(lambda a, b: function(a, b), schema))

@@ -184,3 +184,50 @@ def test_lists_are_dealt_into_blocks_of_bounded_size():
         for p in range(parts[l]):
             load[first[l] + p] += size / parts[l]
     assert max(load.values()) <= 10 and max(load) < n and parts[1] == 5
+
+
+def test_topk_of_components_beyond_a_long(spark):
+    from pyspark.sql import functions as F
+
+    from simpairs.llm import bitslice
+
+    search = lambda rows, **kw: bitslice.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") == 0, **kw)
+    for huge in (1e17, -1e17, 1e300, 2.0 ** 23):
+        with pytest.raises(ValueError, match="beyond a long"):
+            search([(0, [1.0, huge]), (1, [1.0, 2.0])])
+    # just inside the bound, and outside it by a smaller scale
+    big = 2.0 ** 22
+    rows = search([(0, [big, big]), (1, [-big, -big]), (2, [big, 0.0])]).collect()
+    assert [(r.vec_id, r.score) for r in sorted(rows, key=lambda r: r.rank)] == [(2, 2 ** 60), (1, -2 ** 61)]
+    assert search([(0, [1.0, 1e8]), (1, [1.0, 1e8])], scale=1).first().score == 10 ** 16 + 1
+
+
+def test_queries_go_only_to_blocks_that_they_probe(spark):
+    """Clustered rows: a few probed lists find the neighbours, and most blocks do not see a query."""
+    from pyspark.sql import functions as F
+
+    from simpairs.llm import ann, cells
+
+    rng = np.random.default_rng(8)
+    centers = rng.standard_normal((40, 16)) * 4
+    points = centers[np.arange(2000) % 40] + rng.standard_normal((2000, 16)) * 0.2
+    rows = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "vec_id long, embedding array<double>")
+    seen = []
+    plain = cells.in_cells
+
+    def watched(left, n_blocks, right, *rest):
+        seen.append((n_blocks, right.groupBy("query_id").count().agg(F.avg("count")).first()[0]))
+        return plain(left, n_blocks, right, *rest)
+
+    cells.in_cells = watched
+    try:
+        found = ann.search(rows, F.col("vec_id") % 20 == 0, k=10, probe=0.1, block=50, chunk=16).collect()
+    finally:
+        cells.in_cells = plain
+    n_blocks, met = seen[0]
+    assert n_blocks > 30 and met < n_blocks / 4
+    scores = points[::20] @ points.T
+    scores[np.arange(100), np.arange(0, 2000, 20)] = -np.inf
+    best = {(20 * i, int(v)) for i, row in enumerate(np.argsort(-scores, axis=1)[:, :10]) for v in row}
+    got = {(r.query_id, r.vec_id) for r in found}
+    assert len(got) == 1000 and len(got & best) >= 900
