@@ -19,10 +19,15 @@ anywhere else goes. All windows of a corpus are too many to sort, so:
    the right: both orders cut at those lengths give classes, and a class of
    two or more is a repeat.
 
-An anchor with very many distinct runs is dealt over several tasks; each
-sorts its part, and classes found in parts are counted over all parts by
-their window digests. Texts are shuffled once, into a bucketed table of
-distinct contents with their number of copies; later steps join on it.
+An anchor may have very many distinct runs. Windows with ``lo`` to ``hi``
+bytes before their anchor all hold the ``lo`` bytes before it and the
+``length − hi`` bytes from it on, so such a group is cut into narrower bands
+of ``lo … hi`` and each band by a hash of that longer core: equal windows stay
+together, others part. The new groups are judged like anchors (seen once, all
+equal, mixed), and those still too large are cut again, down to bands of one
+window, where a group is one class. No task sorts more than ``PART`` runs of a
+group, and no classes are exchanged. Texts are shuffled once, into a bucketed
+table of distinct contents with their number of copies; later steps join on it.
 """
 
 from __future__ import annotations
@@ -40,8 +45,8 @@ from simpairs.session import bucketed, materialize, ship_package
 LENGTH, GRAM = 200, 32
 #: window starts hashed at once, so a long text needs bounded memory
 BLOCK = 1 << 18
-#: distinct runs of one anchor sorted in one part, and runs sorted at once
-PART, CHUNK = 10_000, 5_000
+#: runs of one group sorted by one task, runs sorted at once, and bands that a larger group is cut into
+PART, CHUNK, BANDS = 1_000, 5_000, 4
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -247,10 +252,9 @@ def _plain_order(data, place, size, group):
 
 
 def repeated_windows(group: np.ndarray, texts: list[bytes], off: np.ndarray, copies: np.ndarray, length: int):
-    """Rows (item, window start, class weight, class leader) of all windows of a chunk of runs.
+    """Arrays (item, window start, class weight) of all windows of a chunk of runs.
 
     ``group`` ascends; ``off`` is the place of the anchor in each text.
-    ``class leader`` is true for one member of each class of equal windows.
     """
     sizes = np.array([len(t) for t in texts], np.int64)
     data = np.frombuffer(b"".join(texts), np.uint8)
@@ -259,7 +263,7 @@ def repeated_windows(group: np.ndarray, texts: list[bytes], off: np.ndarray, cop
     right, right_same = suffix_order(data, anchor, sizes - off, group)
     left, left_same = suffix_order(data[::-1].copy(), len(data) - anchor, off, group)
     change = np.append(True, group[1:] != group[:-1])
-    items, starts, weights, leaders = [], [], [], []
+    items, starts, weights = [], [], []
     right_class, left_class = np.empty(n, np.int64), np.empty(n, np.int64)
     for l in range(int(off.max()) + 1):
         members = np.flatnonzero((off >= l) & (off - l < count))
@@ -267,29 +271,24 @@ def repeated_windows(group: np.ndarray, texts: list[bytes], off: np.ndarray, cop
             continue
         right_class[right] = np.cumsum(change | (right_same < length - l))
         left_class[left] = np.cumsum(change | (left_same < l))
-        _, lead, which = np.unique(right_class[members] * (n + 1) + left_class[members], return_index=True, return_inverse=True)
-        weight = np.bincount(which, weights=copies[members]).astype(np.int64)
-        leader = np.zeros(len(members), bool)
-        leader[lead] = True
+        _, which = np.unique(right_class[members] * (n + 1) + left_class[members], return_inverse=True)
         items.append(members)
         starts.append(off[members] - l)
-        weights.append(weight[which])
-        leaders.append(leader)
-    return tuple(np.concatenate(c) for c in (items, starts, weights, leaders))
+        weights.append(np.bincount(which, weights=copies[members]).astype(np.int64)[which])
+    return tuple(np.concatenate(c) for c in (items, starts, weights))
 
 
-SOLVED = ("anchor long, digest long, bounds array<int>, "
-          "before int, h1 long, h2 long, weight long, start int")
+SOLVED = "anchor long, digest long, bounds array<int>"
 
 
 def _solve(length: int, schema: pa.Schema):
-    """Sorts chunks of whole (anchor, part) groups; rows arrive sorted by both."""
+    """Sorts chunks of whole (core, lo) groups; rows arrive sorted by both."""
 
     def chunks(batches):
         held, size = [], 0
         for batch in batches:
             at = 0
-            key = list(zip(batch.column("anchor").to_pylist(), batch.column("part").to_pylist()))
+            key = list(zip(batch.column("core").to_pylist(), batch.column("lo").to_pylist()))
             for i in range(1, len(key) + 1):
                 if i == len(key) or key[i] != key[i - 1]:
                     if held and size >= CHUNK and held[-1][0] != key[at]:
@@ -303,20 +302,17 @@ def _solve(length: int, schema: pa.Schema):
 
     def run(batches):
         for chunk in chunks(batches):
-            anchor, part = chunk["anchor"].to_numpy(), chunk["part"].to_numpy()
-            group = np.cumsum(np.append(0, (anchor[1:] != anchor[:-1]) | (part[1:] != part[:-1])))
-            texts, off = chunk["bytes"].to_pylist(), chunk["off"].to_numpy().astype(np.int64)
-            copies, split, digest = chunk["copies"].to_numpy(), chunk["parts"].to_numpy() > 1, chunk["digest"].to_numpy()
-            item, start, weight, leader = repeated_windows(group, texts, off, copies, length)
-            yield from common.in_slices(_solved(anchor, digest, item, start, weight), schema)
-            if split.any():
-                yield from common.in_slices(
-                    _classes(texts, anchor, digest, off, item, start, weight, leader & split[item], length), schema)
+            core, lo = chunk["core"].to_numpy(), chunk["lo"].to_numpy()
+            group = np.cumsum(np.append(0, (core[1:] != core[:-1]) | (lo[1:] != lo[:-1])))
+            off, copies = chunk["off"].to_numpy().astype(np.int64), chunk["copies"].to_numpy()
+            item, start, weight = repeated_windows(group, chunk["bytes"].to_pylist(), off, copies, length)
+            yield from common.in_slices(_solved(chunk["anchor"].to_numpy(), chunk["digest"].to_numpy(), chunk["at"].to_numpy(),
+                                                item, start, weight), schema)
 
     return run
 
 
-def _solved(anchor, digest, item, start, weight):
+def _solved(anchor, digest, at, item, start, weight):
     """Starts of repeated windows of each run, as bounds of intervals."""
     twice = np.flatnonzero(weight > 1)
     order = twice[np.lexsort((start[twice], item[twice]))]
@@ -328,37 +324,84 @@ def _solved(anchor, digest, item, start, weight):
     owner = i[new]
     cut = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
     for a, b in zip(cut, np.append(cut[1:], len(owner))):
-        bounds = np.stack([s[new[a:b]], ends[a:b]], axis=1).ravel().tolist()
-        yield int(anchor[owner[a]]), int(digest[owner[a]]), bounds, None, None, None, None, None
+        bounds = np.stack([s[new[a:b]], ends[a:b]], axis=1).ravel() + at[owner[a]]
+        yield int(anchor[owner[a]]), int(digest[owner[a]]), bounds.tolist()
 
 
-def _classes(texts, anchor, digest, off, item, start, weight, chosen, length):
-    """One row for each class of equal windows of an anchor that is dealt over parts."""
-    data = np.frombuffer(b"".join(texts), np.uint8)
-    sizes = np.array([len(t) for t in texts], np.int64)
-    base = np.cumsum(sizes) - sizes
-    at = np.flatnonzero(chosen)
-    place = base[item[at]] + start[at]
-    h1, h2 = (_mix(PrefixHashes(data, b).of(place, length)).view(np.int64) for b in BASES)
-    for k, a, b in zip(at, h1.tolist(), h2.tolist()):
-        i = item[k]
-        yield int(anchor[i]), int(digest[i]), None, int(off[i] - start[k]), a, b, int(weight[k]), int(start[k])
+#: a run, or the part of it (``at`` bytes on) whose windows have ``lo`` to ``hi`` bytes before the anchor; ``own`` tells
+#: such parts apart, (``core``, ``lo``) names the group within which windows can be equal
+PARTS = ("anchor long, digest long, core long, lo int, hi int, at int, own long, "
+         "bytes binary, off int, copies long")
 
 
-# ---------------------------------------------------------------- the corpus
+def _narrowed(length: int, schema: pa.Schema):
+    """Cuts the band of each row into ``BANDS`` narrower ones, each under the hash of its core."""
 
-def _mixed_rows(length: int, schema: pa.Schema):
     def run(batches):
         from xxhash import xxh3_64_intdigest
 
         def rows(batch):
-            for a, b, copies, mixed, text in zip(batch.column("a"), batch.column("b"), batch.column("copies"),
-                                                 batch.column("mixed"), common.byte_texts(batch.column("text"))):
-                a, b, copies = a.as_py(), b.as_py(), copies.as_py()
+            for r in batch.to_pylist():
+                text, off = r["bytes"], r["off"]
+                least = off - (len(text) - length)
+                width = -(-(r["hi"] - r["lo"] + 1) // BANDS)
+                for lo in range(r["lo"], r["hi"] + 1, width):
+                    hi = min(lo + width - 1, r["hi"])
+                    first, last = max(lo, least), min(hi, off)
+                    if first <= last:
+                        part = text[off - last:off - first + length]
+                        core = xxh3_64_intdigest(text[off - lo:off + length - hi], seed=r["anchor"] % (1 << 64))
+                        yield (r["anchor"], r["digest"], _signed(core), lo, hi, r["at"] + off - last,
+                               _signed(xxh3_64_intdigest(part, seed=last)), part, last, r["copies"])
+
+        for batch in batches:
+            yield from common.in_slices(rows(batch), schema, 5000)
+
+    return run
+
+
+def _repeated_starts(strings: DataFrame, length: int, gram: int) -> DataFrame:
+    """``(anchor, digest, bounds)``: starts of repeated windows of distinct runs, as intervals; a run may have several rows."""
+    spark, key = strings.sparkSession, ["core", "lo"]
+    solve, narrow = _solve(length, common.arrow_schema(SOLVED, spark)), _narrowed(length, common.arrow_schema(PARTS, spark))
+    level = strings.select("anchor", "digest", F.col("anchor").alias("core"), F.lit(0).alias("lo"),
+                           F.lit(length - gram).alias("hi"), F.lit(0).alias("at"), F.col("digest").alias("own"),
+                           "bytes", "off", "copies")
+    found = []
+    while True:  # each round divides the width of bands by BANDS; those of one window are never mixed
+        judged = (level.groupBy(*key).agg(F.count("*").alias("n"), F.sum("copies").alias("all"),
+                                          F.min("own").alias("least"), F.max("own").alias("most"))
+                  .select(*key, F.when(F.col("all") == 1, "once").when(F.col("least") == F.col("most"), "equal")
+                          .when(F.col("n") > PART, "large").alias("kind")))
+        judged = materialize(judged.filter("kind IS NOT NULL"))
+        found.append(materialize(level.join(judged, key, "left_anti").repartition(*key).sortWithinPartitions(*key)
+                                 .mapInArrow(solve, SOLVED)))
+        whole = F.array("at", F.col("at") + F.octet_length("bytes") - F.lit(length - 1))
+        found.append(level.join(judged.filter("kind = 'equal'"), key).select("anchor", "digest", whole.alias("bounds")))
+        large = judged.filter("kind = 'large'")
+        if large.isEmpty():
+            break
+        level = materialize(level.join(large, key).drop("kind").mapInArrow(narrow, PARTS))
+    bounds = found[0]
+    for more in found[1:]:
+        bounds = bounds.unionByName(more)
+    return materialize(bounds)
+
+
+# ---------------------------------------------------------------- the corpus
+
+STRINGS = "anchor long, digest long, off int, copies long, bytes binary"
+
+
+def _strings(length: int, schema: pa.Schema):
+    """Bytes of the runs that a text stands for."""
+
+    def run(batches):
+        def rows(batch):
+            for mixed, text in zip(batch.column("mixed"), common.byte_texts(batch.column("text"))):
                 for m in mixed.as_py():
-                    start, count, off = m["place"] >> 32, m["place"] >> 16 & 0xFFFF, m["place"] & 0xFFFF
-                    part = text[start:start + count + length - 1]
-                    yield m["anchor"], _signed(xxh3_64_intdigest(part, seed=off)), a, b, m["place"], copies, part
+                    start, count = m["place"] >> 32, m["place"] >> 16 & 0xFFFF
+                    yield m["anchor"], m["digest"], m["place"] & 0xFFFF, m["copies"], text[start:start + count + length - 1]
 
         for batch in batches:
             yield from common.in_slices(rows(batch), schema, 5000)
@@ -415,31 +458,18 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     key = common.row_key(rows.select("text"))
     keyed = rows.select("doc_id", "text", key.alias("k")).select("doc_id", "text", "k.a", "k.b")
     contents = bucketed(keyed.groupBy("a", "b").agg(F.first("text").alias("text"), F.count("*").alias("copies")), "a", "b")
-    found = contents.mapInArrow(_run_rows(length, gram), RUNS)
+    found = materialize(contents.mapInArrow(_run_rows(length, gram), RUNS))
     anchors = (found.groupBy("anchor").agg(F.sum("copies").alias("n"), F.min("digest").alias("lo"), F.max("digest").alias("hi"))
                .filter("n > 1").select("anchor", (F.col("lo") != F.col("hi")).alias("mixed")))
-    anchors = materialize(anchors)
-    repeats = materialize(found.select("anchor", "a", "b", "place").join(anchors, "anchor"))
+    repeats = materialize(found.join(materialize(anchors), "anchor"))
     whole = repeats.filter("NOT mixed").select("a", "b", *_unpack()[:2])
-    # mixed runs: their bytes come from the texts, distinct ones are sorted by anchor
-    wanted = repeats.filter("mixed").groupBy("a", "b").agg(F.collect_list(F.struct("anchor", "place")).alias("mixed"))
-    ddl = RUNS + ", bytes binary"
-    mixed = (contents.join(wanted, ["a", "b"]).select("a", "b", "copies", "mixed", "text")
-             .mapInArrow(_mixed_rows(length, common.arrow_schema(ddl, spark)), ddl))
-    strings = materialize(mixed.groupBy("anchor", "digest").agg(F.first("bytes").alias("bytes"), F.sum("copies").alias("copies"),
-                                                                F.first("place").bitwiseAND(F.lit(0xFFFF)).cast("int").alias("off")))
-    parts = strings.groupBy("anchor").agg(F.ceil(F.count("*") / F.lit(PART)).cast("int").alias("parts")).filter("parts > 1")
-    parts = materialize(parts)
-    dealt = (strings.join(parts, "anchor", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-             .withColumn("part", F.pmod(F.xxhash64("digest"), F.col("parts")).cast("int"))
-             .repartition("anchor", "part").sortWithinPartitions("anchor", "part"))
-    solved = materialize(dealt.select("anchor", "part", "parts", "digest", "bytes", "off", "copies")
-                         .mapInArrow(_solve(length, common.arrow_schema(SOLVED, spark)), SOLVED))
-    classes = solved.filter("bounds IS NULL")
-    across = (classes.groupBy("anchor", "before", "h1", "h2").agg(F.sum("weight").alias("n")).filter("n > 1").drop("n"))
-    across = (classes.filter("weight = 1").join(across, ["anchor", "before", "h1", "h2"])
-              .groupBy("anchor", "digest").agg(F.flatten(F.collect_list(F.array("start", F.col("start") + 1))).alias("bounds")))
-    bounds = materialize(solved.filter("bounds IS NOT NULL").select("anchor", "digest", "bounds").unionByName(across))
+    # mixed runs: one text gives the bytes of all runs that are equal
+    mixed = repeats.filter("mixed")
+    wanted = (mixed.groupBy("anchor", "digest").agg(F.min(F.struct("a", "b", "place")).alias("one"), F.sum("copies").alias("copies"))
+              .groupBy("one.a", "one.b").agg(F.collect_list(F.struct("anchor", "digest", "one.place", "copies")).alias("mixed")))
+    strings = materialize(contents.join(wanted, ["a", "b"]).select("mixed", "text")
+                          .mapInArrow(_strings(length, common.arrow_schema(STRINGS, spark)), STRINGS))
+    bounds = _repeated_starts(strings, length, gram)
     pieces = (mixed.select("anchor", "digest", "a", "b", "place").join(bounds, ["anchor", "digest"])
               .select("a", "b", "bounds", _unpack()[0].alias("at"),
                       F.explode(F.sequence(F.lit(0), F.size("bounds") - 2, F.lit(2))).alias("i"))

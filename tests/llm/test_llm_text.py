@@ -259,12 +259,15 @@ def test_suffix_dedup(spark, docs, empty):
     assert suffix.repeated_spans(empty).count() == 0
 
 
-def test_suffix_dedup_hot_anchor_is_dealt_over_parts(spark, monkeypatch):
+@pytest.mark.parametrize("part, chunk", [(7, 20), (1, 5_000)])
+def test_suffix_dedup_cuts_large_groups_into_bands(spark, monkeypatch, part, chunk):
     import random
 
     from simpairs.llm import suffix
 
-    monkeypatch.setattr(suffix, "PART", 7)
+    # parts of one run: every mixed group is cut down to bands of one window
+    monkeypatch.setattr(suffix, "PART", part)
+    monkeypatch.setattr(suffix, "CHUNK", chunk)
     r = random.Random(11)
     noise = lambda k: "".join(r.choice("abcde ") for _ in range(k))
     hot = noise(70)
