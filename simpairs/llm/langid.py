@@ -21,8 +21,8 @@ from simpairs.llm import common
 from simpairs.session import ship_package
 
 DIM = 4096
-#: labelled rows a model is fitted on, over all languages; each gets an equal part
-SAMPLE = 2400
+#: distinct labelled texts a model is fitted on, over all languages (each gets an equal part), and languages learned at most
+SAMPLE, LABELS = 2400, 200
 #: bytes of a text whose trigrams are counted at once
 BLOCK = 1 << 20
 
@@ -143,23 +143,28 @@ def _sampled(batches):
             [batch.column("lang"), pa.array([r.astype(np.float16).tobytes() for r in rows], pa.binary())], names=["lang", "x"])
 
 
-def learn(labelled: DataFrame, sample: int = SAMPLE) -> Model:
-    """Model from ``(doc_id, text, lang)``: a sample of about ``sample`` rows with a label and a text.
+def learn(labelled: DataFrame, sample: int = SAMPLE, labels: int = LABELS) -> Model:
+    """Model from ``(doc_id, text, lang)``: a sample of about ``sample`` distinct texts with a label.
 
-    Rows are drawn by a hash of their id and text, at a rate for each language
-    that gives all languages the same expected number; at most twice ``sample``
-    rows of ``DIM`` numbers come to the driver. The count per language covers
-    all rows.
+    The ``labels`` values of ``lang`` with most distinct texts are learned
+    (counted over all rows, to a few per cent; ties by name). Texts are drawn
+    by their hash, at a rate for each language that gives all the same expected
+    number; copies of a text count once. At most twice ``sample`` rows of
+    ``DIM`` numbers and ``labels`` counts come to the driver.
     """
-    ship_package(labelled.sparkSession)
-    rows = labelled.select("doc_id", "lang", "text").filter("lang IS NOT NULL AND text IS NOT NULL AND text != ''")
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    spark = labelled.sparkSession
+    ship_package(spark)
+    rows = (labelled.select("lang", "text").filter("lang IS NOT NULL AND text IS NOT NULL AND text != ''")
+            .withColumn("hash", F.xxhash64("text")))
+    counts = (rows.groupBy("lang").agg(F.approx_count_distinct("hash").alias("n"))
+              .orderBy(F.desc("n"), "lang").limit(labels).collect())
     if not counts:
         return Model()
-    keep = F.lit(False)
-    for lang, n in sorted(counts.items()):
-        keep = F.when(F.col("lang") == lang, common.drawn(sample / len(counts) / n, "doc_id", "text")).otherwise(keep)
-    drawn = rows.filter(keep).select("lang", "text").limit(2 * sample)
+    bounds = [(r["lang"], int(min(1.0, sample / len(counts) / r["n"]) * (1 << 62))) for r in counts]
+    # one row for each of at most ``labels`` languages
+    bounds = F.broadcast(spark.createDataFrame(bounds, "lang string, bound long"))
+    drawn = (rows.join(bounds, "lang").filter(F.shiftrightunsigned("hash", 2) < F.col("bound"))
+             .select("lang", "text").distinct().limit(2 * sample))
     got = drawn.mapInArrow(_sampled, "lang string, x binary").toPandas()
     got = got.sort_values(["lang", "x"])  # the same machines whatever the order of arrival
     x = np.frombuffer(b"".join(got["x"]), np.float16).reshape(-1, DIM).astype(np.float32)
