@@ -33,6 +33,8 @@ from simpairs.session import ship_package
 WINDOW = 1024
 #: tokens of rest pieces that a task packs at a time
 HELD = 1 << 22
+#: ids that a held piece counts for beside its own (its tuples take some 500 bytes), so very many short texts stay bounded
+PIECE = 128
 #: a gap of so many tokens, below 1 % of a window, is left: filling it would cut a document for a scrap
 SCRAP = 8
 COLUMNS = ("start long, length long, ids_crc32 long, doc_tokens long, "
@@ -168,14 +170,14 @@ def _packer(path: str, window: int, separator: int, schema: pa.Schema):
                     if cut < n:
                         held.append((doc, cut, ids[cut:], n))
                         loose.append((len(held) - 1, 0, n - cut))
-                        size += n - cut
+                        size += n - cut + PIECE
                     if size >= HELD:
                         full, loose = fill(loose, window)
                         yield from rows(full, held)
                         # what is left begins the next list
                         held = [held[d] for d, _, _ in loose]
                         loose = [(i, start, end) for i, (_, start, end) in enumerate(loose)]
-                        size = sum(end - start for _, start, end in loose)
+                        size = sum(end - start + PIECE for _, start, end in loose)
             full, loose = fill(loose, window)
             yield from rows(full, held)
             yield from rows(tail(loose, window), held)
