@@ -229,6 +229,6 @@ def test_union_rollup(spark):
 
 def test_identical_groups_make_each_signature_once(spark):
     rows = [(k, p, v) for k, v in ((1, 5), (2, 5), (3, 6)) for p in range(4)]
-    out = minhash.identical_groups(spark.createDataFrame(rows, "key long, perm int, v long"))
+    out = mh.identical_groups(spark.createDataFrame(rows, "key long, perm int, v long"))
     assert "collect_list" not in out._jdf.queryExecution().toString()
     assert sorted(tuple(r) for r in out.collect()) == [(1, 1, 2), (2, 1, 2)]

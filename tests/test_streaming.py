@@ -107,7 +107,7 @@ def test_signature_state_lies_in_the_disk_store(spark, tmp_path):
     spark.createDataFrame([(1, "a"), (2, "b")], "key long, element string").write.parquet(str(tmp_path / "in"))
     before = spark.conf.get(st.STORE, None)
     stream = spark.readStream.schema("key long, element string").parquet(str(tmp_path / "in"))
-    st.start_signature_stream(stream, str(tmp_path / "out"), minhash.SketchSpec(3)).awaitTermination()
+    st.start_signature_stream(stream, str(tmp_path / "out"), mh.SketchSpec(3)).awaitTermination()
     assert spark.conf.get(st.STORE, None) == before
     assert all(st.ON_DISK in open(f).read() for f in glob.glob(f"{tmp_path}/out/checkpoint/offsets/[0-9]*"))
     assert {r["key"] for r in st.read_signatures(spark, str(tmp_path / "out")).collect()} == {1, 2}
