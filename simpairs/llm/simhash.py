@@ -187,8 +187,12 @@ def _cell_links(max_bits: int):
 
 
 def _crowd_links(rows: DataFrame, crowds: DataFrame, max_bits: int) -> DataFrame:
-    """Spanning links of the keys in ``crowds``, ``(key, n)``, cell by cell of blocks."""
-    dealt = (rows.join(crowds, "key").withColumn("blocks", F.ceil(F.col("n") / F.lit(CELL)).cast("int"))
+    """Spanning links of the keys in ``crowds``, ``(key, n)``, cell by cell of blocks.
+
+    No join may broadcast ``rows``, dozens for each fingerprint (see ``_thin_links``).
+    """
+    rows = rows.join(crowds.select("key"), "key", "left_semi").join(crowds.hint("merge"), "key")
+    dealt = (rows.withColumn("blocks", F.ceil(F.col("n") / F.lit(CELL)).cast("int"))
              .withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")))
     upper = dealt.select("key", "fp", F.col("own").alias("i"), F.explode(F.sequence("own", F.col("blocks") - 1)).alias("j"))
     lower = dealt.select(F.col("key").alias("k"), F.col("fp").alias("f"), F.col("own").alias("q"),
@@ -219,16 +223,17 @@ def links(distinct: DataFrame, max_bits: int = 3) -> DataFrame:
     if crowds.first() is None:
         return _thin_links(alone, max_bits).distinct()
     # fingerprints of one crowded key are connected by its forest: other keys need not link them again
-    family = alone.join(crowds, "key").groupBy("fp").agg(F.min("key").alias("family"))
+    family = alone.join(crowds.select("key"), "key", "left_semi").groupBy("fp").agg(F.min("key").alias("family"))
     told = keyed(distinct.select("fp").join(family, "fp", "left"))
     return (_thin_links(told.join(crowds, "key", "left_anti"), max_bits)
             .unionByName(_crowd_links(alone, crowds, max_bits)).distinct())
 
 
 def _thin_links(keyed: DataFrame, max_bits: int) -> DataFrame:
+    # Spark sizes the keyed rows by the fingerprints they come from, at a sixtieth of their bytes: never broadcast
     a, b = keyed.select("key", F.col("fp").alias("u"), F.col("family").alias("f")), keyed.select("key", F.col("fp").alias("v"), F.col("family").alias("g"))
     near = (F.col("u") < F.col("v")) & (F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= F.lit(max_bits))
-    return a.join(b, (a["key"] == b["key"]) & near & ~(F.col("f").isNotNull() & F.col("f").eqNullSafe(F.col("g")))).select("u", "v")
+    return a.join(b.hint("merge"), (a["key"] == b["key"]) & near & ~(F.col("f").isNotNull() & F.col("f").eqNullSafe(F.col("g")))).select("u", "v")
 
 
 def near_duplicates(docs: DataFrame, keep: tuple = ("doc_id",), shingle: int = 3, max_bits: int = 3) -> DataFrame:

@@ -421,3 +421,14 @@ def test_line_dedup_compares_every_continuation(spark):
     hashes, words = [5, 3, 9, 7, 1, 8], [10] * 6
     assert lines.winnowed(hashes, words, 50, 3) == [(1, [(0, 3), (1, 4)]), (4, [(2, 5), (3, 6)])]
     assert lines.winnowed([4, 4], [60, 1], 50, 3) == [(0, [(0, 1), (0, 2)])]
+
+
+def test_simhash_keyed_rows_are_never_broadcast(spark, tmp_path):
+    """Dozens of keyed rows come of one fingerprint, more than Spark's estimate says: their self-join is a merge join."""
+    from simpairs.llm import simhash
+
+    path = str(tmp_path / "fingerprints")
+    spark.range(50).selectExpr("xxhash64(id) AS fp").write.parquet(path)
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") not in ("-1", "0")
+    plan = simhash.links(spark.read.parquet(path), 3)._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
