@@ -1,4 +1,5 @@
 import hashlib
+import re
 
 import numpy as np
 import pytest
@@ -232,3 +233,38 @@ def test_identical_groups_make_each_signature_once(spark):
     out = mh.identical_groups(spark.createDataFrame(rows, "key long, perm int, v long"))
     assert "collect_list" not in out._jdf.queryExecution().toString()
     assert sorted(tuple(r) for r in out.collect()) == [(1, 1, 2), (2, 1, 2)]
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+#: an exchange that holds a row for each position of a signature
+BY_POSITION = re.compile(r"hashpartitioning\([^)]*key#\d+L?, [^)]*perm#")
+
+
+def _some_sets(spark):
+    rows = [(k, f"e{(k * 7 + i) % 50}") for k in range(30) for i in range(k % 9)] + [(5, None), (None, "x")]
+    return spark.createDataFrame(rows, "key long, element string")
+
+
+def test_union_sends_and_sorts_no_row_per_position(spark):
+    spec = mh.SketchSpec(seed=9, num_perm=40)  # the last packed row is not full
+    sig = mh.minhash_signatures(_some_sets(spark), spec, gather=True)
+    assert sorted(map(tuple, sig.collect())) == sorted(map(tuple, mh.minhash_signatures(_some_sets(spark), spec, method="jvm").collect()))
+    groups = spark.createDataFrame([(k, k % 3) for k in range(25)] + [(4, 2), (4, 2), (None, 1), (77, 9)], "key long, group long")
+    union = mh.union(sig, groups)
+    assert not BY_POSITION.search(_plan(union)) and "SortMergeJoin" not in _plan(union)
+    values, want = {(r.key, r.perm): r.v for r in sig.collect()}, {}
+    for k, g in groups.collect():
+        for p in range(40):
+            if (k, p) in values:
+                want[g, p] = min(want.get((g, p), 1 << 40), values[k, p])
+    assert {(r.group, r.perm): r.v for r in union.collect()} == want
+
+
+def test_gathered_keys_come_in_order(spark):
+    """A task of more keys than its combiner holds makes one partial sketch for each all the same."""
+    hashes = spark.range(60_000).select((F.col("id") % 5000).alias("key"), F.xxhash64("id").alias("hv")).repartition(4, "hv")
+    for keys in mh.gathered(hashes).select("key").rdd.map(lambda r: r.key).glom().collect():
+        assert keys == sorted(keys)
