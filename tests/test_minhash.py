@@ -268,3 +268,17 @@ def test_gathered_keys_come_in_order(spark):
     hashes = spark.range(60_000).select((F.col("id") % 5000).alias("key"), F.xxhash64("id").alias("hv")).repartition(4, "hv")
     for keys in mh.gathered(hashes).select("key").rdd.map(lambda r: r.key).glom().collect():
         assert keys == sorted(keys)
+
+
+def test_empty_signatures_send_and_sort_no_row_per_position(spark):
+    spec = mh.SketchSpec(seed=9, num_perm=40)
+    sig = mh.minhash_signatures(_some_sets(spark), spec, gather=True)
+    keys = spark.createDataFrame([(k,) for k in (1, 2, 2, 9, 42, None)], "key long")
+    full = mh.with_empty_signatures(keys, sig, spec)
+    empty = mh.is_empty(full)
+    for plan in (_plan(full), _plan(empty)):
+        assert not BY_POSITION.search(plan) and "SortMergeJoin" not in plan
+    values = {(r.key, r.perm): r.v for r in sig.collect()}
+    want = sorted((str(k), p, values.get((k, p), MAX_HASH)) for k in (1, 2, 9, 42, None) for p in range(40))
+    assert sorted((str(r.key), r.perm, r.v) for r in full.collect()) == want
+    assert {r.key: r.is_empty for r in empty.collect()} == {1: False, 2: False, 9: True, 42: True, None: True}
