@@ -282,3 +282,21 @@ def test_empty_signatures_send_and_sort_no_row_per_position(spark):
     want = sorted((str(k), p, values.get((k, p), MAX_HASH)) for k in (1, 2, 9, 42, None) for p in range(40))
     assert sorted((str(r.key), r.perm, r.v) for r in full.collect()) == want
     assert {r.key: r.is_empty for r in empty.collect()} == {1: False, 2: False, 9: True, 42: True, None: True}
+
+
+def test_union_rollup_sends_no_row_per_key_and_position(spark):
+    spec = mh.SketchSpec(seed=9, num_perm=40)
+    sig = mh.minhash_signatures(_some_sets(spark), spec, gather=True)
+    levels = spark.createDataFrame([(k, "a" if k < 9 else None, k % 2) for k in range(20)] + [(3, "a", 1), (4, "b", 0), (None, "a", 1)],
+                                   "key long, wide string, narrow long")
+    out = mh.union_rollup(sig, levels, "wide", "narrow")
+    assert not BY_POSITION.search(_plan(out))
+    got = [tuple(r) for r in out.collect()]
+    values, want = {(r.key, r.perm): r.v for r in sig.collect()}, {}
+    for k, wide, narrow in levels.collect():
+        for p in range(40):
+            for at in ((0, wide, None, None, p), (1, wide, narrow, None, p), (2, wide, narrow, k, p)):
+                if (k, p) in values:
+                    want[at] = min(want.get(at, 1 << 40), values[k, p])
+    assert len(got) == len(want) and {r[:5]: r[5] for r in got} == want
+    assert sorted(map(tuple, mh.union_rollup(sig, levels).collect())) == sorted((0, r.key, r.perm, r.v) for r in sig.collect() if r.key < 20)
