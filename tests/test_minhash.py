@@ -300,3 +300,11 @@ def test_union_rollup_sends_no_row_per_key_and_position(spark):
                     want[at] = min(want.get(at, 1 << 40), values[k, p])
     assert len(got) == len(want) and {r[:5]: r[5] for r in got} == want
     assert sorted(map(tuple, mh.union_rollup(sig, levels).collect())) == sorted((0, r.key, r.perm, r.v) for r in sig.collect() if r.key < 20)
+
+
+def test_limbs_update_packed_minimums(spark):
+    """One row per hash and ``PACK`` positions enters the aggregate, not one per position."""
+    spec = mh.SketchSpec(seed=9, num_perm=40)
+    sig = mh.minhash_signatures(_some_sets(spark), spec, method="limbs")
+    assert not BY_POSITION.search(_plan(sig)) and "band#" in _plan(sig)
+    assert sorted(map(tuple, sig.collect())) == sorted(map(tuple, mh.minhash_signatures(_some_sets(spark), spec).collect()))
