@@ -100,3 +100,23 @@ def test_a_folder_of_the_table_name_is_streamed(spark, tmp_path):
     stream.writeStream.foreachBatch(lambda b, i: seen.append(b.count())).option("checkpointLocation", str(tmp_path / "c")).trigger(
         availableNow=True).start().awaitTermination(120)
     assert sum(seen) == 100
+
+
+def test_signatures_travel_to_pairs_in_four_bytes_a_value(spark, monkeypatch):
+    """Values of the whole range score as the joined ones do; a bucket of up to 4,096 keys gets each of them once."""
+    sent, met_pairs = [], cells.met_pairs
+
+    def seen(rows, tables, payload, fits=None, prepare=None, scores=None, max_block=cells.MAX_BLOCK):
+        sent.append((payload.schema["hashvalues"].dataType.simpleString(), max_block))
+        return met_pairs(rows, tables, payload, fits, prepare, scores, max_block)
+
+    monkeypatch.setattr(cells, "met_pairs", seen)
+    rnd = np.random.RandomState(4)
+    ends = [0, 1, (1 << 31) - 1, 1 << 31, (1 << 31) + 1, (1 << 32) - 1]
+    rows = [(k, p, int(rnd.choice(ends))) for k in range(12) for p in range(8)]
+    sig = spark.createDataFrame(rows, "key long, perm int, v long")
+    buckets = spark.createDataFrame([(k, b, "x") for k in range(12) for b in range(2)], "key long, band int, bucket string")
+    cand = pairs.bucket_pairs(buckets)
+    for met, joined in ((minhash.met_jaccard_estimate, minhash.jaccard_estimate), (minhash.met_pair_cardinality, minhash.merged_pair_cardinality)):
+        assert sorted(map(tuple, met(buckets, sig).collect())) == sorted(map(tuple, joined(cand, sig).collect()))
+    assert sent == [("array<int>", 4096)] * 2
